@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,27 +19,47 @@ def _has(obj: Column, key: str) -> Column:
     return F.array_contains(F.json_object_keys(obj), key)
 
 
+def _is_object(value: Column) -> Column:
+    return F.json_object_keys(value).isNotNull()
+
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Compute a value once for an expression that needs it in several places."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _object(value: Column) -> Column:
+    return _bind(value, lambda v: F.when(_is_object(v), v))
+
+
 def extract_strict(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
     """Text at the path; broken JSON gives an empty text, a missing key gives null."""
     text = value
     for key in path:
         text = _member(text, key)
-    readable = F.try_parse_json(value).isNotNull()
-    return F.when(value.isNull(), F.lit(None).cast("string")).when(readable, text).otherwise(F.lit(""))
+    return F.when(_is_object(value), text).when(
+        value.isNotNull() & F.get_json_object(value, "$").isNull(), F.lit("")
+    )
+
+
+def _with_holder(value: Column, path: Sequence[str], use: Callable[[Column], Column]) -> Column:
+    """Hand on the object that should hold the last key.
+
+    A level whose key is absent is passed over; a level that is no object ends the walk with null.
+    """
 
+    def step(here: Column, keys: Sequence[str]) -> Column:
+        if not keys:
+            return use(here)
+        inner = F.when(_has(here, keys[0]), _object(_member(here, keys[0]))).otherwise(here)
+        return _bind(inner, lambda deeper: step(deeper, keys[1:]))
 
-def _walk(value: Column, path: Sequence[str]) -> Column:
-    """The object holding the last key: missing levels are skipped, a level that is no object ends the walk."""
-    here = F.when(F.json_object_keys(value).isNotNull(), value)
-    for key in path[:-1]:
-        inner = _member(here, key)
-        here = F.when(_has(here, key), F.when(F.json_object_keys(inner).isNotNull(), inner)).otherwise(here)
-    return here
+    return _bind(_object(value), lambda root: step(root, path[:-1]))
 
 
 def extract_lenient(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
     """Text at the path, passing over intermediate keys that are absent; null when unusable."""
-    return _member(_walk(value, path), path[-1])
+    return _with_holder(value, path, lambda holder: _member(holder, path[-1]))
 
 
 def extract_text(value: Column, path: Sequence[str] = DEFAULT_PATH, lenient: bool = True) -> Column:
@@ -48,23 +68,41 @@ def extract_text(value: Column, path: Sequence[str] = DEFAULT_PATH, lenient: boo
 
 def reject_reason(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
     """Why the lenient walk cannot use a message; null for a usable one."""
-    holder = _walk(value, path)
-    return (
-        F.when(value.isNull(), "null_message")
-        .when(F.try_parse_json(value).isNull(), "malformed")
-        .when(F.json_object_keys(value).isNull(), "not_an_object")
-        .when(holder.isNull(), "bad_level")
-        .when(~_has(holder, path[-1]), "missing_key")
-        .when(_member(holder, path[-1]).isNull(), "null_text")
+    last = path[-1]
+
+    def below_root(holder: Column) -> Column:
+        return (
+            F.when(holder.isNull(), "bad_level")
+            .when(~_has(holder, last), "missing_key")
+            .when(_member(holder, last).isNull(), "null_text")
+        )
+
+    return _bind(
+        value,
+        lambda v: F.when(v.isNull(), "null_message")
+        .when(_is_object(v), _with_holder(v, path, below_root))
+        .when(F.get_json_object(v, "$").isNull(), "malformed")
+        .otherwise("not_an_object"),
     )
 
 
 def mark(value: Column, verdict: Column) -> Column:
-    """The same JSON object with the boolean marker at its root; anything but an object gives null."""
-    fields = F.from_json(value, "map<string,variant>")
-    kept = F.map_filter(fields, lambda k, _: k != MARKER)
-    marker = F.create_map(F.lit(MARKER), F.parse_json(verdict.cast("string")))
-    return F.when(F.json_object_keys(value).isNotNull() & verdict.isNotNull(), F.to_json(F.map_concat(kept, marker)))
+    """The same JSON object with the boolean marker at its root; anything but an object gives null.
+
+    The marker is put before the closing brace and the rest stays as it was written. Only an
+    object that has a marker already is taken apart.
+    """
+
+    def marked(v: Column) -> Column:
+        keys = F.json_object_keys(v)
+        body = F.rtrim(v, F.lit(" \t\r\n"))
+        comma = F.when(F.size(keys) > 0, ",").otherwise("")
+        put_in = F.concat(F.substring(body, F.lit(1), F.length(body) - 1), comma, F.lit(f'"{MARKER}":'), verdict.cast("string"), F.lit("}"))
+        kept = F.map_filter(F.from_json(v, "map<string,variant>"), lambda k, _: k != MARKER)
+        replaced = F.to_json(F.map_concat(kept, F.create_map(F.lit(MARKER), F.parse_json(verdict.cast("string")))))
+        return F.when(F.array_contains(keys, MARKER), replaced).when(keys.isNotNull(), put_in)
+
+    return F.when(verdict.isNotNull(), _bind(value, marked))
 
 
 def wrap(text: Column) -> Column:

@@ -164,7 +164,7 @@ FLAGGED = f"""{INSULT},
 flagged AS (
   SELECT doc_id, source, text, list_has_any({TRAIN_TOKENS}, (SELECT list(word) FROM insult)) AS is_sensitive FROM documents)"""
 
-POSITIONS = f"""positions AS (SELECT doc_id, line, base, unnest(range(length(line))) AS at FROM lines)"""
+POSITIONS = f"""positions AS (SELECT doc_id, line, base, unnest(range(length(line))) AS i FROM lines)"""
 
 ORACLES: dict[str, str] = {
     "flag_messages": f"WITH {FLAGGED} SELECT doc_id, is_sensitive FROM flagged",
@@ -220,7 +220,7 @@ ORACLES: dict[str, str] = {
         SELECT conv_id, turn, coalesce(len(g), 0)::BIGINT AS n, coalesce(array_to_string(g, ' '), '') AS tokens FROM g""",
     "segment_all": f"""WITH {BENCH}, {GLUED}, {POSITIONS},
         sizes AS (SELECT DISTINCT length(word) AS size FROM bench WHERE length(word) > 3),
-        cut AS (SELECT doc_id, base + at AS start, substr(line, at + 1, size) AS word FROM positions, sizes WHERE at + size <= length(line))
+        cut AS (SELECT doc_id, base + i AS start, substr(line, i + 1, size) AS word FROM positions, sizes WHERE i + size <= length(line))
         SELECT doc_id, count(*) AS n, sum(start)::BIGINT AS starts, sum(length(word))::BIGINT AS chars
         FROM cut JOIN (SELECT word FROM bench WHERE length(word) > 3) USING (word) GROUP BY doc_id""",
     "segment_greedy": f"""WITH {BENCH}, dict AS (SELECT word FROM bench WHERE length(word) > 3),
@@ -228,9 +228,9 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(t)::BIGINT AS n, len(list_filter(t, lambda x: length(x) > 3))::BIGINT AS n_known,
           array_to_string(t, ' ') AS tokens FROM t WHERE len(t) > 0""",
     "segment_positives": f"""WITH {BENCH}, {CONV},
-        parts AS (SELECT c.word AS entry, substr(c.word, s.at, n.size) AS part
-          FROM conv c, (SELECT range AS at FROM range(1, 65)) s, (SELECT DISTINCT length(word) AS size FROM bench WHERE length(word) > 1) n
-          WHERE s.at + n.size - 1 <= length(c.word)),
+        parts AS (SELECT c.word AS entry, substr(c.word, s.i, n.size) AS part
+          FROM conv c, (SELECT range AS i FROM range(1, (SELECT max(length(word)) + 1 FROM conv))) s, (SELECT DISTINCT length(word) AS size FROM bench WHERE length(word) > 1) n
+          WHERE s.i + n.size - 1 <= length(c.word)),
         found AS (SELECT entry, string_agg(part, ' ' ORDER BY part COLLATE C) AS parts
           FROM parts JOIN (SELECT word AS part FROM bench WHERE length(word) > 1) USING (part) GROUP BY entry)
         SELECT coalesce(parts, word) AS parts, 1.0::DOUBLE AS label FROM conv LEFT JOIN found ON entry = word""",
@@ -239,8 +239,8 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, min(pos) AS pos, arg_min(word, pos) AS word FROM p JOIN insult USING (word) GROUP BY doc_id""",
     "widened_match": f"""WITH {BENCH}, {GLUED}, {POSITIONS},
         lex AS (SELECT word FROM bench WHERE length(word) > 2), dict AS (SELECT word FROM lex WHERE length(word) <= 4),
-        cut AS (SELECT doc_id, base + at AS start, size, substr(line, at + 1, size) AS word
-          FROM positions, (SELECT DISTINCT length(word) AS size FROM dict) WHERE at + size <= length(line)),
+        cut AS (SELECT doc_id, base + i AS start, size, substr(line, i + 1, size) AS word
+          FROM positions, (SELECT DISTINCT length(word) AS size FROM dict) WHERE i + size <= length(line)),
         hit AS (SELECT doc_id, arg_min(struct_pack(start, size, word), start * 10 - size) AS h FROM cut JOIN dict USING (word) GROUP BY doc_id),
         tries AS (SELECT doc_id, h.word AS word, l.l * 10 + r.r AS rank,
           substr(text, (greatest(h.start - l.l, 0) + 1)::BIGINT,
@@ -256,11 +256,11 @@ ORACLES: dict[str, str] = {
         lines AS (SELECT doc_id, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_no
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base FROM numbered),
         {POSITIONS},
-        starts AS (SELECT * FROM positions WHERE regexp_matches(substr(line, at + 1, 1), '{TOKEN}')
-          AND (at = 0 OR NOT regexp_matches(substr(line, at, 1), '{TOKEN}'))),
-        cut AS (SELECT doc_id, base + at AS start, size, substr(line, at + 1, size) AS word
+        starts AS (SELECT * FROM positions WHERE regexp_matches(substr(line, i + 1, 1), '{TOKEN}')
+          AND (i = 0 OR NOT regexp_matches(substr(line, i, 1), '{TOKEN}'))),
+        cut AS (SELECT doc_id, base + i AS start, size, substr(line, i + 1, size) AS word
           FROM starts, (SELECT DISTINCT length(word) AS size FROM lex)
-          WHERE at + size <= length(line) AND NOT regexp_matches(substr(line, at + 1 + size, 1), '{TOKEN}'))
+          WHERE i + size <= length(line) AND NOT regexp_matches(substr(line, i + 1 + size, 1), '{TOKEN}'))
         SELECT doc_id, word, category, count(*) AS n, min(start) AS first_start, sum(start + size)::BIGINT AS ends
         FROM cut JOIN lex USING (word) GROUP BY doc_id, word, category""",
     "match_counts": f"""WITH {INSULT}, t AS (SELECT doc_id, unnest({TRAIN_TOKENS}) AS word FROM documents)
