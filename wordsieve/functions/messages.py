@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wordsieve.functions.tokens import bind
+
 DEFAULT_PATH = ("content", "content")
 MARKER = "isSensitive"
 
@@ -23,13 +25,8 @@ def _is_object(value: Column) -> Column:
     return F.json_object_keys(value).isNotNull()
 
 
-def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Compute a value once for an expression that needs it in several places."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _object(value: Column) -> Column:
-    return _bind(value, lambda v: F.when(_is_object(v), v))
+    return bind(value, lambda v: F.when(_is_object(v), v))
 
 
 def extract_strict(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
@@ -52,9 +49,9 @@ def _with_holder(value: Column, path: Sequence[str], use: Callable[[Column], Col
         if not keys:
             return use(here)
         inner = F.when(_has(here, keys[0]), _object(_member(here, keys[0]))).otherwise(here)
-        return _bind(inner, lambda deeper: step(deeper, keys[1:]))
+        return bind(inner, lambda deeper: step(deeper, keys[1:]))
 
-    return _bind(_object(value), lambda root: step(root, path[:-1]))
+    return bind(_object(value), lambda root: step(root, path[:-1]))
 
 
 def extract_lenient(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
@@ -77,7 +74,7 @@ def reject_reason(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
             .when(_member(holder, last).isNull(), "null_text")
         )
 
-    return _bind(
+    return bind(
         value,
         lambda v: F.when(v.isNull(), "null_message")
         .when(_is_object(v), _with_holder(v, path, below_root))
@@ -102,7 +99,7 @@ def mark(value: Column, verdict: Column) -> Column:
         replaced = F.to_json(F.map_concat(kept, F.create_map(F.lit(MARKER), F.parse_json(verdict.cast("string")))))
         return F.when(F.array_contains(keys, MARKER), replaced).when(keys.isNotNull(), put_in)
 
-    return F.when(verdict.isNotNull(), _bind(value, marked))
+    return F.when(verdict.isNotNull(), bind(value, marked))
 
 
 def wrap(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ from pyspark.sql import functions as F
 LATIN = "0-9a-zà-öø-ÿ"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Compute a value once for an expression that needs it in several places, as inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def words(text: Column) -> Column:
     """Lower-cased runs of Latin letters and digits, in text order."""
     return F.regexp_extract_all(F.lower(text), F.lit(f"[{LATIN}]+"), F.lit(0))
@@ -30,18 +37,15 @@ def context_ngrams(tokens: Column) -> Column:
     The first token stands alone, the last has no right neighbour. No tokens give no n-grams.
     """
 
-    def around(i: Column) -> Column:
-        now = F.get(tokens, i)
-        pair = F.concat(F.get(tokens, i - 1), now)
-        triple = F.concat(pair, F.get(tokens, i + 1))
-        return (
-            F.when(i == 0, F.array(now))
-            .when(i == F.size(tokens) - 1, F.array(now, pair))
-            .otherwise(F.array(now, pair, triple))
-        )
-
-    grams = F.flatten(F.transform(F.sequence(F.lit(0), F.size(tokens) - 1), around))
-    return F.when(F.size(tokens) > 0, grams).otherwise(F.array().cast("array<string>"))
+    def grams(a: Column) -> Column:
+        def around(now: Column, i: Column) -> Column:
+            pair = F.concat(F.get(a, i - 1), now)
+            triple = F.concat(pair, F.get(a, i + 1))
+            return F.when(i == 0, F.array(now)).otherwise(F.array_compact(F.array(now, pair, triple)))
+
+        return F.flatten(F.transform(a, around))
+
+    return bind(tokens, grams)
 
 
 def windows(text: Column, width: int) -> Column:

@@ -84,14 +84,13 @@ def find_all(
     text: Column,
     dictionary: DataFrame,
     context: int = 0,
-    keep_unmatched: bool = False,
 ) -> DataFrame:
     """Every dictionary word at every position, overlaps included: ids, start, n, word, other dictionary columns.
 
     Each position is looked up by the first characters only (at most ``HEAD``, one lookup per length
     the dictionary has) and compared whole on a hit, so the work does not grow with the longest word.
     ``context`` adds a column of that many characters before and after the word; missing ones on the
-    left are ``PAD``. ``keep_unmatched`` keeps positions without a word, with nulls.
+    left are ``PAD``.
     """
     dictionary = dictionary.where(F.length("word") > 0)
     shape = dictionary_shape(dictionary)
@@ -114,12 +113,11 @@ def find_all(
     start = (F.col("_no") * step + F.col("_at")).cast("bigint")
     begin = F.col("_at") + context + 1
     extra = [c for c in dictionary.columns if c != "word"]
-    how = "left" if keep_unmatched else "inner"
     if shape.broadcast:
         hit = (F.col("t._head") == F.col("d._head")) & (
             F.substring(F.col("t._piece"), F.col("t._at") + context + 1, F.col("d._n")) == F.col("d.word")
         )
-        joined = at.alias("t").join(F.broadcast(words.alias("d")), hit, how)
+        joined = at.alias("t").join(F.broadcast(words.alias("d")), hit)
     else:
         # The shuffled form carries only the stretch a word can cover, and not the whole piece.
         narrow = at.withColumn("_piece", F.substring("_piece", F.col("_at") + 1, shape.longest + 2 * context))
@@ -127,9 +125,6 @@ def find_all(
         begin = F.lit(context + 1)
         matched = attach(narrow, words, ["_head"], "inner", ["_key"], broadcast=False)
         joined = matched.where(F.substring("_piece", begin, F.col("_n")) == F.col("word"))
-        if keep_unmatched:
-            blank = at.select(*ids, "_no", "_at", F.lit("").alias("_piece"))
-            joined = joined.unionByName(blank, allowMissingColumns=True)
     columns = [*ids, start.alias("start"), F.col("_n").alias("n"), "word", *extra]
     if context:
         columns.append(F.substring("_piece", begin - context, F.col("_n") + 2 * context).alias("context"))
@@ -176,11 +171,10 @@ def segment_greedy(
         whole = None
 
     placed = pieces.withColumnRenamed("start", "_run_start")
-    found = find_all(
-        placed, [*ids, "_run_start", "run"], F.col("run"), dictionary.select("word"), keep_unmatched=True
-    )
-    word = F.when(F.col("word").isNotNull(), F.struct("start", "n"))
-    per_run = found.groupBy(*ids, "_run_start").agg(F.first("run").alias("run"), F.collect_set(word).alias("_found"))
+    found = find_all(placed, [*ids, "_run_start"], F.col("run"), dictionary.select("word"))
+    places = found.select(*ids, "_run_start", F.lit(None).cast("string").alias("run"), F.struct("start", "n").alias("_at"))
+    every = places.unionByName(placed, allowMissingColumns=True)
+    per_run = every.groupBy(*ids, "_run_start").agg(F.max("run").alias("run"), F.collect_list("_at").alias("_found"))
     chosen = per_run.select(*ids, "_run_start", "run", _leftmost(F.col("_found")).alias("_w"))
     tokens = chosen.select(*ids, "_run_start", "run", F.explode(_fill(F.col("_w"), F.length("run"))).alias("_t"))
     start = F.col("_t.start")
