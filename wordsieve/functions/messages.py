@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wordsieve.functions.tokens import bind
+from wordsieve.functions import tokens as T
 
 DEFAULT_PATH = ("content", "content")
 MARKER = "isSensitive"
@@ -26,7 +26,7 @@ def _is_object(value: Column) -> Column:
 
 
 def _object(value: Column) -> Column:
-    return bind(value, lambda v: F.when(_is_object(v), v))
+    return T.bind(value, lambda v: F.when(_is_object(v), v))
 
 
 def extract_strict(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
@@ -49,9 +49,9 @@ def _with_holder(value: Column, path: Sequence[str], use: Callable[[Column], Col
         if not keys:
             return use(here)
         inner = F.when(_has(here, keys[0]), _object(_member(here, keys[0]))).otherwise(here)
-        return bind(inner, lambda deeper: step(deeper, keys[1:]))
+        return T.bind(inner, lambda deeper: step(deeper, keys[1:]))
 
-    return bind(_object(value), lambda root: step(root, path[:-1]))
+    return T.bind(_object(value), lambda root: step(root, path[:-1]))
 
 
 def extract_lenient(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
@@ -74,7 +74,7 @@ def reject_reason(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
             .when(_member(holder, last).isNull(), "null_text")
         )
 
-    return bind(
+    return T.bind(
         value,
         lambda v: F.when(v.isNull(), "null_message")
         .when(_is_object(v), _with_holder(v, path, below_root))
@@ -90,16 +90,20 @@ def mark(value: Column, verdict: Column) -> Column:
     object that has a marker already is taken apart.
     """
 
-    def marked(v: Column) -> Column:
-        keys = F.json_object_keys(v)
-        body = F.rtrim(v, F.lit(" \t\r\n"))
+    text = verdict.cast("string")
+
+    def marked(v: Column, keys: Column) -> Column:
         comma = F.when(F.size(keys) > 0, ",").otherwise("")
-        put_in = F.concat(F.substring(body, F.lit(1), F.length(body) - 1), comma, F.lit(f'"{MARKER}":'), verdict.cast("string"), F.lit("}"))
+        put_in = T.bind(
+            F.rtrim(v, F.lit(" \t\r\n")),
+            lambda body: F.concat(F.substring(body, F.lit(1), F.length(body) - 1), comma, F.lit(f'"{MARKER}":'), text, F.lit("}")),
+        )
         kept = F.map_filter(F.from_json(v, "map<string,variant>"), lambda k, _: k != MARKER)
-        replaced = F.to_json(F.map_concat(kept, F.create_map(F.lit(MARKER), F.parse_json(verdict.cast("string")))))
+        replaced = F.to_json(F.map_concat(kept, F.create_map(F.lit(MARKER), F.parse_json(text))))
         return F.when(F.array_contains(keys, MARKER), replaced).when(keys.isNotNull(), put_in)
 
-    return F.when(verdict.isNotNull(), bind(value, marked))
+    whole = T.bind(value, lambda v: T.bind(F.json_object_keys(v), lambda keys: marked(v, keys)))
+    return F.when(verdict.isNotNull(), whole)
 
 
 def wrap(text: Column) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,9 @@ from wordsieve.operators.segment import STEP, find_all, segment_greedy, word_row
 # Up to this many words the verdict is a predicate on the text itself and needs no join.
 INLINE_WORDS = 5_000
 
+# Up to this many words are sought in a text one by one; more are looked up position by position.
+SOUGHT_WORDS = 64
+
 
 def lookup(terms: DataFrame, lexicon: DataFrame, term: str = "term") -> DataFrame:
     """Exact lookup: the id of the word equal to each term, else null."""
@@ -66,6 +71,8 @@ def verdict(text: Column, words: Sequence[str], mode: str = "words") -> Column:
         return F.exists(T.words(text), lambda t: _is_one_of(t, words))
     if not words:
         return F.when(text.isNotNull(), F.lit(False))
+    if len(words) <= SOUGHT_WORDS:
+        return T.bind(F.lower(text), lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in words]))
     by_length: dict[int, list[str]] = {}
     for w in words:
         by_length.setdefault(len(w), []).append(w)

@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from wordsieve.functions import tokens as T
 from wordsieve.operators.joins import attach, fits_broadcast
 
-# Code points per piece of a long text.
-STEP = 1024
+# Code points per piece when a text is cut into runs.
+RUN_STEP = 1024
 
-# Dictionary words are looked up by at most this many leading characters, then compared whole.
-HEAD = 4
+# Code points per piece when every position is looked up; short, as words are compared from the piece's start.
+STEP = 128
+
+# Dictionary words are looked up by this many leading characters, the most the word has, then compared whole.
+HEADS = (1, 2, 4, 8)
 
 # Stands for the missing left neighbours at the start of a text.
 PAD = "\u0000"
@@ -28,11 +31,19 @@ class DictionaryShape:
     broadcast: bool
 
 
+def _head_length(word: Column) -> Column:
+    length = F.length(word)
+    picked = F.lit(HEADS[0])
+    for n in HEADS[1:]:
+        picked = F.when(length >= n, n).otherwise(picked)
+    return picked
+
+
 def dictionary_shape(dictionary: DataFrame) -> DictionaryShape:
     """What the plan needs to know of a dictionary: a few numbers from one aggregate."""
-    length = F.length("word")
+    word = F.col("word")
     longest, heads = dictionary.agg(
-        F.max(length), F.sort_array(F.collect_set(F.least(length, F.lit(HEAD))))
+        F.max(F.length(word)), F.sort_array(F.collect_set(_head_length(word)))
     ).first()
     return DictionaryShape(longest or 0, tuple(heads), fits_broadcast(dictionary))
 
@@ -58,11 +69,11 @@ def _starts(pieces: Column) -> Column:
 def runs(df: DataFrame, ids: Sequence[str], text: Column, classes: Sequence[str]) -> DataFrame:
     """Maximal runs of characters of one class, with offsets: ids, start, run.
 
-    A text is first cut every ``STEP`` code points, moved on to the end of the run, so that no run is
+    A text is first cut every ``RUN_STEP`` code points, moved on to the end of the run, so that no run is
     cut; a long text becomes many short rows without leaving its task.
     """
     member = "".join(f"[{c}]" for c in classes)
-    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{STEP}}}[{member}]*+"), F.lit(0))
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{RUN_STEP}}}[{member}]*+"), F.lit(0))
     run = "|".join(f"(?<![{c}])[{c}]++" for c in classes)
     pieces = df.select(*ids, cut.alias("_cut")).select(
         *ids, F.explode(F.arrays_zip(_starts(F.col("_cut")).alias("base"), F.col("_cut").alias("piece"))).alias("_p")
@@ -87,8 +98,8 @@ def find_all(
 ) -> DataFrame:
     """Every dictionary word at every position, overlaps included: ids, start, n, word, other dictionary columns.
 
-    Each position is looked up by the first characters only (at most ``HEAD``, one lookup per length
-    the dictionary has) and compared whole on a hit, so the work does not grow with the longest word.
+    Each position is looked up by the first characters only (once per length of ``HEADS`` that the
+    dictionary needs) and compared whole on a hit, so the work does not grow with the longest word.
     ``context`` adds a column of that many characters before and after the word; missing ones on the
     left are ``PAD``.
     """
@@ -103,27 +114,30 @@ def find_all(
     inner = F.substring("_piece", context + 1, step + max(shape.head_lengths) - 1)
     heads = F.slice(T.windows(inner, max(shape.head_lengths)), 1, step)
     at = pieces.select(*ids, "_no", "_piece", F.posexplode(heads).alias("_at", "_window"))
-    if len(shape.head_lengths) == 1:
-        at = at.withColumnRenamed("_window", "_head")
+    if len(shape.head_lengths) > 1:
+        probes = F.array(*[F.substring("_window", 1, k) for k in shape.head_lengths])
+        at = at.select(*ids, "_no", "_piece", "_at", F.posexplode(probes).alias("_tier", "_head"))
     else:
-        probes = F.array_distinct(F.array(*[F.substring("_window", 1, k) for k in shape.head_lengths]))
-        at = at.withColumn("_head", F.explode(probes)).drop("_window")
+        at = at.select(*ids, "_no", "_piece", "_at", F.lit(0).alias("_tier"), F.col("_window").alias("_head"))
 
-    words = dictionary.withColumn("_n", F.length("word")).withColumn("_head", F.substring("word", 1, HEAD))
+    n = _head_length(F.col("word"))
+    tier = F.array_position(F.array(*[F.lit(k) for k in shape.head_lengths]), n) - 1
+    words = dictionary.select(
+        "*", F.length("word").alias("_n"), tier.cast("int").alias("_tier"), F.substring(F.col("word"), F.lit(1), n).alias("_head")
+    )
     start = (F.col("_no") * step + F.col("_at")).cast("bigint")
     begin = F.col("_at") + context + 1
     extra = [c for c in dictionary.columns if c != "word"]
     if shape.broadcast:
-        hit = (F.col("t._head") == F.col("d._head")) & (
-            F.substring(F.col("t._piece"), F.col("t._at") + context + 1, F.col("d._n")) == F.col("d.word")
-        )
-        joined = at.alias("t").join(F.broadcast(words.alias("d")), hit)
+        same_head = (F.col("t._tier") == F.col("d._tier")) & (F.col("t._head") == F.col("d._head"))
+        same_word = F.substring(F.col("t._piece"), F.col("t._at") + context + 1, F.col("d._n")) == F.col("d.word")
+        joined = at.alias("t").join(F.broadcast(words.alias("d")), same_head & same_word)
     else:
         # The shuffled form carries only the stretch a word can cover, and not the whole piece.
         narrow = at.withColumn("_piece", F.substring("_piece", F.col("_at") + 1, shape.longest + 2 * context))
         narrow = narrow.withColumn("_key", F.xxhash64(*ids, "_no", "_at"))
         begin = F.lit(context + 1)
-        matched = attach(narrow, words, ["_head"], "inner", ["_key"], broadcast=False)
+        matched = attach(narrow, words, ["_tier", "_head"], "inner", ["_key"], broadcast=False)
         joined = matched.where(F.substring("_piece", begin, F.col("_n")) == F.col("word"))
     columns = [*ids, start.alias("start"), F.col("_n").alias("n"), "word", *extra]
     if context:

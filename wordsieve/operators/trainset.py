@@ -38,10 +38,14 @@ def subtract(words: DataFrame, listed: DataFrame, row_key: Sequence[str]) -> Dat
 
 
 def label_words(lexicon: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Lexicon words as 1.0 and the other words of the corpus as 0.0, each once: word, label."""
-    positive = lexicon.select("word").distinct()
-    negative = vocabulary(corpus).join(positive, "word", "left_anti")
-    return positive.withColumn("label", F.lit(SENSITIVE)).unionByName(negative.withColumn("label", F.lit(ORDINARY)))
+    """Lexicon words as 1.0 and the other words of the corpus as 0.0, each once: word, label.
+
+    The union of the lexicon with the corpus less the lexicon, as one outer join of the two vocabularies.
+    """
+    positive = vocabulary(lexicon).withColumn("label", F.lit(SENSITIVE))
+    return positive.join(vocabulary(corpus), "word", "full_outer").select(
+        "word", F.coalesce("label", F.lit(ORDINARY)).alias("label")
+    )
 
 
 def as_terms(labelled: DataFrame) -> DataFrame:

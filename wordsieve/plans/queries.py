@@ -13,7 +13,7 @@ from wordsieve.functions import messages as J
 from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text
 from wordsieve.operators import classify, evaluate, features, lexicon, match, segment, trainset
-from wordsieve.session import scratch_dir
+from wordsieve.session import scratch_dir, stored
 from wordsieve.sources import messages as queue
 from wordsieve.sources import wordfiles
 from wordsieve.sources.tables import read_table, stream_table
@@ -72,7 +72,7 @@ def labelled_documents(spark: SparkSession, base: str) -> DataFrame:
     joined = documents(spark, base).join(labels, "doc_id")
     terms = T.words(clean_text(F.col("text"), "train")).alias("word")
     rows = joined.select("doc_id", terms, F.col("toxic").cast("double").alias("label"))
-    return trainset.hash_split(rows, F.col("doc_id").cast("string"))
+    return stored(trainset.hash_split(rows, F.col("doc_id").cast("string")), "training")
 
 
 def raw_messages(spark: SparkSession, base: str) -> DataFrame:
@@ -224,7 +224,7 @@ def flag_messages_cjk(spark: SparkSession, base: str) -> DataFrame:
 
 def flag_large_lexicon(spark: SparkSession, base: str) -> DataFrame:
     """Conversation turns against a lexicon that grows with the documents and is joined."""
-    listed = word_lexicon(spark, trainset.vocabulary(document_words(spark, base)))
+    listed = stored(word_lexicon(spark, trainset.vocabulary(document_words(spark, base))), "lexicon")
     flagged = match.flag_messages(conversations(spark, base), TURN, F.col("text"), listed, "train")
     return flagged.select(*TURN, "is_sensitive")
 
@@ -427,7 +427,7 @@ def tfidf_refit(spark: SparkSession, base: str) -> DataFrame:
 
 def _word_predictions(spark: SparkSession, base: str, fit: Callable, **options) -> DataFrame:
     rows = trainset.hash_split(labelled_words(spark, base), F.col("word")).withColumn("term", F.col("word"))
-    rows = trainset.as_terms(rows)
+    rows = stored(trainset.as_terms(rows), "training")
     model = fit(rows.where("part = 'train'").select("word", "label"), **options)
     scored = classify.predict(model, rows.where("part = 'test'"))
     return scored.select(F.col("term").alias("word"), "label", "prediction")
@@ -449,7 +449,7 @@ def mlp_words(spark: SparkSession, base: str) -> DataFrame:
 
 def word2vec_words(spark: SparkSession, base: str) -> DataFrame:
     rows = trainset.hash_split(labelled_words(spark, base), F.col("word")).withColumn("term", F.col("word"))
-    rows = trainset.as_terms(rows)
+    rows = stored(trainset.as_terms(rows), "training")
     model = classify.fit_word2vec(rows.where("part = 'train'").select("word", "label"))
     return classify.predict(model, rows.where("part = 'test'")).select(F.col("term").alias("word"), "label", "predictedLabel")
 
@@ -535,8 +535,8 @@ def stream_hot_update(spark: SparkSession, base: str) -> DataFrame:
 
 def _discover(spark: SparkSession, base: str, archive: str | None) -> str:
     """Learn from the words of the documents, then look for new ones in the conversations."""
-    vocabulary = trainset.vocabulary(document_words(spark, base))
-    listed = word_lexicon(spark, vocabulary)
+    vocabulary = stored(trainset.vocabulary(document_words(spark, base)), "vocabulary")
+    listed = stored(word_lexicon(spark, vocabulary), "lexicon")
     model = classify.fit_naive_bayes(trainset.as_terms(trainset.label_words(listed, vocabulary)), hashing="md5")
     arriving = stream_table(spark, base, "conversations").select(J.wrap(F.col("text")).alias("value"))
     candidates = scratch_dir(spark, "candidates")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, partitions: int | None = None, memory: str | None = None) -> SparkSession:
@@ -40,3 +40,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix=f"wordsieve-{purpose}-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table to the scratch folder and read it back, for a result that several jobs need.
+
+    Unlike a cache it outlives lost executors, and its size is known to the plans that read it.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

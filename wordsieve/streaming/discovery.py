@@ -13,6 +13,7 @@ from wordsieve.functions import messages as J
 from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text
 from wordsieve.operators import classify
+from wordsieve.streaming.flagging import present
 
 CANDIDATES = "word string, batch_id bigint"
 
@@ -67,7 +68,7 @@ def archive_batch(texts: DataFrame, path: str, topic: str, batch_id: int) -> Non
 def message_texts(messages: DataFrame, value: str, path: Sequence[str], profile: str | None) -> DataFrame:
     """Cleaned texts of the messages that have one: text."""
     text = clean_text(J.extract_strict(F.col(value), path), profile)
-    return messages.where(F.length(value) > 0).select(text.alias("text")).where(F.col("text").isNotNull())
+    return messages.where(F.length(value) > 0).select(present(text).alias("text"))
 
 
 def discovery_stream(

@@ -26,11 +26,15 @@ def mark_messages(
 ) -> DataFrame:
     """Usable JSON messages with the marker at their root: key, value, is_sensitive. Others are dropped."""
     text = J.extract_text(F.col(value), path, lenient)
-    usable = messages.select(F.col(key).alias("key"), F.col(value).alias("value"), text.alias("_text"))
-    usable = usable.where(F.col("_text").isNotNull())
+    usable = messages.select(F.col(key).alias("key"), F.col(value).alias("value"), present(text).alias("_text"))
     flagged = flag_messages(usable, ["key"], F.col("_text"), lexicon, profile, mode)
     marked = J.mark(F.col("value"), F.col("is_sensitive"))
-    return flagged.select("key", marked.alias("value"), "is_sensitive").where(F.col("value").isNotNull())
+    return flagged.select("key", marked.alias("value"), "is_sensitive")
+
+
+def present(value: Column) -> Column:
+    """Generate the value, or no row when it is null. A filter would be moved down and compute it a second time."""
+    return F.explode(F.filter(F.array(value), lambda v: v.isNotNull()))
 
 
 def reject_counts(messages: DataFrame, value: Column, path: Sequence[str] = J.DEFAULT_PATH) -> DataFrame:
