@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A word table is broadcast only when it is measured to be below both bounds.
@@ -15,11 +15,19 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
 
 
-def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Count the rows and bytes of a table in one distributed aggregate and compare them with the bounds."""
+def footprint(table: DataFrame) -> tuple[Column, Column]:
+    """Aggregates for the rows and the bytes of a table."""
     width = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in table.columns]))
-    n, total = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return n <= rows and total + 16 * n * len(table.columns) <= size
+    return F.count(F.lit(1)), F.coalesce(F.sum(width + 16 * len(table.columns)), F.lit(0))
+
+
+def within_bounds(rows: int, size: int) -> bool:
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
+def fits_broadcast(table: DataFrame) -> bool:
+    """Measure a table in one distributed aggregate and compare it with the bounds."""
+    return within_bounds(*table.agg(*footprint(table)).first())
 
 
 def attach(

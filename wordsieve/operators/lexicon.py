@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordsieve.functions.hashing import word_id
+from wordsieve.functions.text import normalise_word
 
 # The outcome of adding a word.
 EXISTS, CREATED, FAILED = 0, 1, 2
@@ -21,6 +22,15 @@ def as_lexicon(words: DataFrame, category: str, source: str) -> DataFrame:
     )
 
 
+def matchable(lexicon: DataFrame, profile: str | None = "train") -> DataFrame:
+    """The lexicon in the form texts take after cleaning: entry as written, word cleaned and in lower case.
+
+    Entries of which nothing is left are dropped; of several with one form the first by name is kept.
+    """
+    forms = lexicon.select(F.col("word").alias("entry"), normalise_word(F.col("word"), profile).alias("word"))
+    return forms.where(F.length("word") > 0).groupBy("word").agg(F.min("entry").alias("entry"))
+
+
 def new_words(incoming: DataFrame, lexicon: DataFrame, arrival: Sequence[str]) -> DataFrame:
     """Words not yet listed, with the first arrival of each: word, arrival columns."""
     first = incoming.where(F.length("word") > 0).groupBy("word").agg(F.min(F.struct(*arrival)).alias("_first"))
@@ -95,6 +105,14 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
+def stream_versions(spark: SparkSession, path: str, per_batch: int | None = None) -> DataFrame:
+    """Changes as they are appended: word, category, op, version."""
+    reader = spark.readStream.schema("word string, category string, op string, version bigint")
+    if per_batch:
+        reader = reader.option("maxFilesPerTrigger", per_batch)
+    return reader.parquet(path)
+
+
 def current(changes: DataFrame, version: int | None = None) -> DataFrame:
     """The lexicon as of a version (the latest by default): word_id, word, category, version."""
     known = changes if version is None else changes.where(F.col("version") <= version)

@@ -112,10 +112,7 @@ def flag_messages(
         hits = attach(terms, dictionary, ["word"], "left_semi", ids)
     else:
         hits = find_all(df, ids, F.lower(cleaned), dictionary)
-    flagged = hits.select(*ids).distinct().withColumn("_hit", F.lit(True))
-    joined = df.join(flagged, list(ids), "left")
-    found = F.when(text.isNotNull(), F.coalesce("_hit", F.lit(False)))
-    return joined.withColumn("is_sensitive", found).drop("_hit")
+    return _with_hits(df, ids, text, hits)
 
 
 def flag_segmented(
@@ -132,9 +129,15 @@ def flag_segmented(
     terms = segment_greedy(df, ids, clean_text(text, profile), every, latin_runs)
     listed = lexicon.select(F.col("word").alias("term")).distinct()
     hits = attach(terms.where("known"), listed, ["term"], "left_semi", [*ids, "start"])
+    return _with_hits(df, ids, text, hits).select(*ids, "is_sensitive")
+
+
+def _with_hits(df: DataFrame, ids: Sequence[str], text: Column, hits: DataFrame) -> DataFrame:
+    """Join the hit ids back. Whether there is a text is told before, so that the text itself need not be moved."""
     flagged = hits.select(*ids).distinct().withColumn("_hit", F.lit(True))
-    found = F.when(text.isNotNull(), F.coalesce("_hit", F.lit(False)))
-    return df.join(flagged, list(ids), "left").select(*ids, found.alias("is_sensitive"))
+    joined = df.withColumn("_has_text", text.isNotNull()).join(flagged, list(ids), "left")
+    found = F.when(F.col("_has_text"), F.coalesce("_hit", F.lit(False)))
+    return joined.withColumn("is_sensitive", found).drop("_hit", "_has_text")
 
 
 def word_hits(

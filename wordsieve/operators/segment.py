@@ -9,13 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordsieve.functions import tokens as T
-from wordsieve.operators.joins import attach, fits_broadcast
+from wordsieve.operators.joins import attach, footprint, within_bounds
 
 # Code points per piece when a text is cut into runs.
 RUN_STEP = 1024
 
-# Code points per piece when every position is looked up; short, as words are compared from the piece's start.
-STEP = 128
+# Code points per piece when every position is looked up.
+STEP = 256
+
+# Words up to this length are compared with the characters that follow a position, longer ones with its piece.
+WINDOW = 64
 
 # Dictionary words are looked up by this many leading characters, the most the word has, then compared whole.
 HEADS = (1, 2, 4, 8)
@@ -42,10 +45,10 @@ def _head_length(word: Column) -> Column:
 def dictionary_shape(dictionary: DataFrame) -> DictionaryShape:
     """What the plan needs to know of a dictionary: a few numbers from one aggregate."""
     word = F.col("word")
-    longest, heads = dictionary.agg(
-        F.max(F.length(word)), F.sort_array(F.collect_set(_head_length(word)))
+    longest, heads, rows, size = dictionary.agg(
+        F.max(F.length(word)), F.sort_array(F.collect_set(_head_length(word))), *footprint(dictionary)
     ).first()
-    return DictionaryShape(longest or 0, tuple(heads), fits_broadcast(dictionary))
+    return DictionaryShape(longest or 0, tuple(heads), within_bounds(rows, size))
 
 
 def word_rows(df: DataFrame, ids: Sequence[str], text: Column) -> DataFrame:
@@ -108,40 +111,46 @@ def find_all(
     if not shape.longest:
         shape = DictionaryShape(1, (1,), True)
     step = max(STEP, shape.longest)
-    overlap = shape.longest - 1 + 2 * context
+    reach = shape.longest + 2 * context
+    in_window = reach <= WINDOW
+    width = reach if in_window else context + max(shape.head_lengths)
     padded = F.concat(F.lit(PAD * context), text) if context else text
-    pieces = df.select(*ids, F.posexplode(T.chunks(padded, step, overlap)).alias("_no", "_piece"))
-    inner = F.substring("_piece", context + 1, step + max(shape.head_lengths) - 1)
-    heads = F.slice(T.windows(inner, max(shape.head_lengths)), 1, step)
-    at = pieces.select(*ids, "_no", "_piece", F.posexplode(heads).alias("_at", "_window"))
-    if len(shape.head_lengths) > 1:
-        probes = F.array(*[F.substring("_window", 1, k) for k in shape.head_lengths])
-        at = at.select(*ids, "_no", "_piece", "_at", F.posexplode(probes).alias("_tier", "_head"))
+    pieces = df.select(*ids, F.posexplode(T.chunks(padded, step, reach - 1)).alias("_no", "_piece"))
+    # The last positions of a piece, and of a padded text, hold no start of a word.
+    starts = F.least(F.lit(step), F.length("_piece") - context)
+    found = F.slice(T.windows(F.col("_piece"), width), F.lit(1), F.greatest(starts, F.lit(0)))
+    at = pieces.select(*ids, "_no", "_piece", F.posexplode(found).alias("_at", "_window"))
+    heads = [F.substring("_window", context + 1, k) for k in shape.head_lengths]
+    if len(heads) > 1:
+        at = at.select("*", F.posexplode(F.array(*heads)).alias("_tier", "_head"))
     else:
-        at = at.select(*ids, "_no", "_piece", "_at", F.lit(0).alias("_tier"), F.col("_window").alias("_head"))
+        at = at.select("*", F.lit(0).alias("_tier"), heads[0].alias("_head"))
+    around = F.col("_window") if in_window else F.substring("_piece", F.col("_at") + 1, reach)
 
     n = _head_length(F.col("word"))
     tier = F.array_position(F.array(*[F.lit(k) for k in shape.head_lengths]), n) - 1
     words = dictionary.select(
         "*", F.length("word").alias("_n"), tier.cast("int").alias("_tier"), F.substring(F.col("word"), F.lit(1), n).alias("_head")
     )
-    start = (F.col("_no") * step + F.col("_at")).cast("bigint")
-    begin = F.col("_at") + context + 1
-    extra = [c for c in dictionary.columns if c != "word"]
     if shape.broadcast:
-        same_head = (F.col("t._tier") == F.col("d._tier")) & (F.col("t._head") == F.col("d._head"))
-        same_word = F.substring(F.col("t._piece"), F.col("t._at") + context + 1, F.col("d._n")) == F.col("d.word")
-        joined = at.alias("t").join(F.broadcast(words.alias("d")), same_head & same_word)
+        # The window stays a column of the position, so that nothing is cut out again for each word compared.
+        joined = at.alias("t").join(
+            F.broadcast(words.alias("d")),
+            (F.col("t._tier") == F.col("d._tier"))
+            & (F.col("t._head") == F.col("d._head"))
+            & (F.substring(around, F.lit(context + 1), F.col("d._n")) == F.col("d.word")),
+        )
     else:
-        # The shuffled form carries only the stretch a word can cover, and not the whole piece.
-        narrow = at.withColumn("_piece", F.substring("_piece", F.col("_at") + 1, shape.longest + 2 * context))
+        narrow = at.select(*ids, "_no", "_at", "_tier", "_head", around.alias("_window"))
+        around = F.col("_window")
         narrow = narrow.withColumn("_key", F.xxhash64(*ids, "_no", "_at"))
-        begin = F.lit(context + 1)
         matched = attach(narrow, words, ["_tier", "_head"], "inner", ["_key"], broadcast=False)
-        joined = matched.where(F.substring("_piece", begin, F.col("_n")) == F.col("word"))
+        joined = matched.where(F.substring("_window", F.lit(context + 1), F.col("_n")) == F.col("word"))
+    start = (F.col("_no") * step + F.col("_at")).cast("bigint")
+    extra = [c for c in dictionary.columns if c != "word"]
     columns = [*ids, start.alias("start"), F.col("_n").alias("n"), "word", *extra]
     if context:
-        columns.append(F.substring("_piece", begin - context, F.col("_n") + 2 * context).alias("context"))
+        columns.append(F.substring(around, F.lit(1), F.col("_n") + 2 * context).alias("context"))
     return joined.select(*columns)
 
 
@@ -189,33 +198,36 @@ def segment_greedy(
     places = found.select(*ids, "_run_start", F.lit(None).cast("string").alias("run"), F.struct("start", "n").alias("_at"))
     every = places.unionByName(placed, allowMissingColumns=True)
     per_run = every.groupBy(*ids, "_run_start").agg(F.max("run").alias("run"), F.collect_list("_at").alias("_found"))
-    chosen = per_run.select(*ids, "_run_start", "run", _leftmost(F.col("_found")).alias("_w"))
-    tokens = chosen.select(*ids, "_run_start", "run", F.explode(_fill(F.col("_w"), F.length("run"))).alias("_t"))
-    start = F.col("_t.start")
+    chars = F.regexp_extract_all(F.col("run"), F.lit("(?s)."), F.lit(0))
+    chosen = per_run.select(*ids, "_run_start", chars.alias("_chars"), _leftmost(F.col("_found")).alias("_w"))
+    tokens = chosen.select(*ids, "_run_start", F.explode(_fill(F.col("_w"), F.col("_chars"))).alias("_t"))
+    start = (F.col("_run_start") + F.col("_t.start")).cast("int")
     segmented = tokens.select(
-        *ids,
-        (F.col("_run_start") + start).cast("int").alias("start"),
-        (F.col("_run_start") + start + F.col("_t.n")).cast("int").alias("end"),
-        F.substring("run", (start + 1).cast("int"), F.col("_t.n")).alias("term"),
-        F.col("_t.known").alias("known"),
+        *ids, start.alias("start"), (start + F.col("_t.n")).alias("end"),
+        F.col("_t.term").alias("term"), F.col("_t.known").alias("known"),
     )
     return segmented if whole is None else whole.unionByName(segmented)
 
 
-def _fill(chosen: Column, length: Column) -> Column:
+def _fill(chosen: Column, chars: Column) -> Column:
     """The chosen words with single characters for what lies between them."""
+    tokens = "array<struct<start:bigint,n:int,term:string,known:boolean>>"
 
     def singles(begin: Column, end: Column) -> Column:
-        one = lambda p: F.struct(p.alias("start"), F.lit(1).alias("n"), F.lit(False).alias("known"))
-        empty = F.array().cast("array<struct<start:bigint,n:int,known:boolean>>")
-        return F.when(end > begin, F.transform(F.sequence(begin, end - 1), one)).otherwise(empty)
+        def single(p: Column) -> Column:
+            at = F.get(chars, p.cast("int"))
+            return F.struct(p.alias("start"), F.lit(1).alias("n"), at.alias("term"), F.lit(False).alias("known"))
+
+        empty = F.array().cast(tokens)
+        return F.when(end > begin, F.transform(F.sequence(begin, end - 1), single)).otherwise(empty)
 
     def with_gap(w: Column, i: Column) -> Column:
         before = F.get(chosen, i - 1)
         begin = F.when(i == 0, F.lit(0).cast("bigint")).otherwise(before["start"] + before["n"])
-        here = F.struct(w["start"].alias("start"), w["n"].alias("n"), F.lit(True).alias("known"))
+        term = F.array_join(F.slice(chars, (w["start"] + 1).cast("int"), w["n"]), "")
+        here = F.struct(w["start"].alias("start"), w["n"].alias("n"), term.alias("term"), F.lit(True).alias("known"))
         return F.concat(singles(begin, w["start"]), F.array(here))
 
     last = F.get(chosen, F.size(chosen) - 1)
     tail = F.coalesce(last["start"] + last["n"], F.lit(0).cast("bigint"))
-    return F.concat(F.flatten(F.transform(chosen, with_gap)), singles(tail, length.cast("bigint")))
+    return F.concat(F.flatten(F.transform(chosen, with_gap)), singles(tail, F.size(chars).cast("bigint")))

@@ -293,6 +293,14 @@ ORACLES: dict[str, str] = {
         added AS (SELECT word, 'benchmark' AS category, 1::BIGINT AS version FROM bench
           UNION ALL SELECT word, 'conversation', 2 FROM conv WHERE word NOT IN (SELECT word FROM bench))
         SELECT md5(word) AS word_id, word, category, version FROM added WHERE word NOT LIKE 'a%'""",
+    "lexicon_feed": f"""WITH {BENCH}, {CONV},
+        added AS (SELECT word, 1::BIGINT AS version FROM bench
+          UNION ALL SELECT word, 2 FROM conv WHERE word NOT IN (SELECT word FROM bench))
+        SELECT word, 'add' AS op, version FROM added
+        UNION ALL SELECT word, 'delete', 3 FROM added WHERE word LIKE 'a%'""",
+    "lexicon_matchable": f"""WITH e AS (SELECT unnest(string_split_regex(html, '\\s')) AS entry FROM pages),
+        f AS (SELECT entry, lower({clean_train('entry')}) AS word FROM e)
+        SELECT word, min(entry COLLATE C) AS entry FROM f WHERE length(word) > 0 GROUP BY word""",
     "lexicon_size": f"WITH {DOCWORD} SELECT count(*) AS size FROM docword",
     "lexicon_review": f"""WITH {BENCH},
         cand AS (SELECT DISTINCT word FROM (
@@ -324,13 +332,13 @@ ORACLES: dict[str, str] = {
           FROM tf WHERE part = 'test' GROUP BY bucket)
         SELECT doc_id, bucket, round(tf * idf, 6) AS value FROM tf JOIN idf USING (bucket) WHERE part = 'test' AND tf * idf <> 0""",
     "nb_words": f"WITH {WORD_NB} SELECT id AS word, label, prediction FROM predicted WHERE part = 'test'",
-    "nb_docs": f"WITH {DOC_NB} SELECT id AS doc_id, label, prediction FROM predicted",
+    "nb_docs": f"WITH {DOC_NB} SELECT id AS doc_id, label, part, prediction FROM predicted",
     "nb_bernoulli": f"""WITH {DOC_ITEMS}, {naive_bayes('items', 4096, 'bernoulli')}
         SELECT id AS doc_id, label, prediction FROM predicted""",
     "model_roundtrip": f"WITH {DOC_NB} SELECT id AS doc_id, prediction FROM predicted",
     "confusion_words": f"WITH {WORD_NB} {CONFUSION} FROM predicted WHERE part = 'test'",
-    "confusion_docs": f"WITH {DOC_NB} {CONFUSION} FROM predicted",
-    "metrics_docs": f"""WITH {DOC_NB}, c AS ({CONFUSION} FROM predicted),
+    "confusion_docs": f"WITH {DOC_NB} {CONFUSION} FROM predicted WHERE part = 'test'",
+    "metrics_docs": f"""WITH {DOC_NB}, c AS ({CONFUSION} FROM predicted WHERE part = 'test'),
         m AS (SELECT (tp + tn) / nullif(tp + tn + fp + fn, 0) AS accuracy, tp / nullif(tp + fp, 0) AS precision,
           tp / nullif(tp + fn, 0) AS recall FROM c)
         SELECT round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,

@@ -319,7 +319,7 @@ def lexicon_delete_id(spark: SparkSession, base: str) -> DataFrame:
     return lexicon.delete_ids(listed, benchmark_lexicon(spark, base)).select("word_id", "word")
 
 
-def _versions(spark: SparkSession, base: str) -> DataFrame:
+def _write_versions(spark: SparkSession, base: str) -> str:
     """Version 1 adds the benchmark words, 2 the conversation words, 3 takes out those beginning with a."""
     path = scratch_dir(spark, "lexicon")
     first = benchmark_lexicon(spark, base)
@@ -328,15 +328,29 @@ def _versions(spark: SparkSession, base: str) -> DataFrame:
     lexicon.append_version(second.withColumn("op", F.lit("add")), path, 2)
     gone = lexicon.read_versions(spark, path).where(F.startswith("word", F.lit("a")))
     lexicon.append_version(gone.withColumn("op", F.lit("delete")), path, 3)
-    return lexicon.read_versions(spark, path)
+    return path
 
 
 def lexicon_delta(spark: SparkSession, base: str) -> DataFrame:
-    return lexicon.delta(_versions(spark, base), 1)
+    return lexicon.delta(lexicon.read_versions(spark, _write_versions(spark, base)), 1)
 
 
 def lexicon_current(spark: SparkSession, base: str) -> DataFrame:
-    return lexicon.current(_versions(spark, base))
+    return lexicon.current(lexicon.read_versions(spark, _write_versions(spark, base)))
+
+
+def lexicon_feed(spark: SparkSession, base: str) -> DataFrame:
+    """The changes read as a stream."""
+    out = scratch_dir(spark, "feed")
+    changes = lexicon.stream_versions(spark, _write_versions(spark, base))
+    queue.write_stream(changes, "parquet", {}, scratch_dir(spark, "progress"), out).start().awaitTermination()
+    return spark.read.parquet(out).select("word", "op", "version")
+
+
+def lexicon_matchable(spark: SparkSession, base: str) -> DataFrame:
+    """Entries cut from the pages at blanks, with all their marks."""
+    entries = pages(spark, base).select(F.explode(F.split("html", "\\s")).alias("word"))
+    return lexicon.matchable(entries)
 
 
 def lexicon_size(spark: SparkSession, base: str) -> DataFrame:
@@ -457,7 +471,7 @@ def word2vec_words(spark: SparkSession, base: str) -> DataFrame:
 def nb_docs(spark: SparkSession, base: str) -> DataFrame:
     rows = labelled_documents(spark, base)
     model = classify.fit_naive_bayes(rows.where("part = 'train'"), DOC_BUCKETS, "md5")
-    return classify.predict(model, rows).select("doc_id", "label", "prediction")
+    return classify.predict(model, rows).select("doc_id", "label", "part", "prediction")
 
 
 def model_roundtrip(spark: SparkSession, base: str) -> DataFrame:
@@ -480,7 +494,7 @@ def recall_lexicon(spark: SparkSession, base: str) -> DataFrame:
 
 
 def confusion_docs(spark: SparkSession, base: str) -> DataFrame:
-    return evaluate.confusion(nb_docs(spark, base))
+    return evaluate.confusion(nb_docs(spark, base).where("part = 'test'"))
 
 
 def metrics_docs(spark: SparkSession, base: str) -> DataFrame:
@@ -573,7 +587,7 @@ QUERIES: dict[str, Query] = {
         tokenize_words, tokens_minlen, word_spans, context_ngrams, segment_all, segment_greedy, segment_positives,
         first_match, widened_match, phrase_hits, match_counts, category_counts, route_counts,
         lexicon_load, lexicon_lookup, lexicon_phrase_search, lexicon_upsert_status, lexicon_delete,
-        lexicon_delete_id, lexicon_delta, lexicon_current, lexicon_size, lexicon_review,
+        lexicon_delete_id, lexicon_delta, lexicon_feed, lexicon_current, lexicon_matchable, lexicon_size, lexicon_review,
         corpus_lines, vocab_distinct, vocab_count, negatives, train_set, hash_split, parse_labeled_points,
         hashing_tf, tfidf_docs, tfidf_refit,
         nb_words, nb_docs, nb_bernoulli, mlp_words, word2vec_words, model_roundtrip,

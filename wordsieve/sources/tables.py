@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, base: str, name: str, columns: list[str], spread_by: list[str] | None = None) -> DataFrame:
-    """Read the named columns of a parquet table.
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Use all cores for work on text that arrives in few splits.
 
-    Text work is bound by the processor. When the files give fewer splits than there are cores, the
-    rows are spread by ``spread_by`` so that all cores work; with more splits nothing is moved.
+    Text work is bound by the processor. Rows are moved only when there are fewer splits than cores,
+    which is never so for a large table.
     """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+
+
+def read_table(spark: SparkSession, base: str, name: str, columns: list[str], spread_by: list[str] | None = None) -> DataFrame:
+    """Read the named columns of a parquet table, spread over the cores by ``spread_by``."""
     df = spark.read.parquet(f"{base}/{name}.parquet").select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, *spread_by)
-    return df
+    return spread(df, *spread_by) if spread_by else df
 
 
 def stream_table(spark: SparkSession, base: str, name: str, per_batch: int | None = None) -> DataFrame:

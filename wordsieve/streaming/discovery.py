@@ -13,6 +13,7 @@ from wordsieve.functions import messages as J
 from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text
 from wordsieve.operators import classify
+from wordsieve.sources.tables import spread
 from wordsieve.streaming.flagging import present
 
 CANDIDATES = "word string, batch_id bigint"
@@ -93,7 +94,7 @@ def discovery_stream(
     open_candidates(messages.sparkSession, candidates)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        texts = message_texts(batch, value, path, profile).persist()
+        texts = message_texts(spread(batch), value, path, profile).persist()
         try:
             if texts.isEmpty():
                 return

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from wordsieve.functions import messages as J
 from wordsieve.operators.match import flag_messages
+from wordsieve.sources.tables import spread
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -89,7 +90,7 @@ def flag_stream(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        sink(mark_messages(batch, load_lexicon(), **options), batch_id)
+        sink(mark_messages(spread(batch), load_lexicon(), **options), batch_id)
 
     writer = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
