@@ -16,6 +16,10 @@ CASES = [
     ('{"a":5,"b":"t"}', None, None, "bad_level"),
     ('{"a":{"c":"t"}}', None, None, "missing_key"),
     ('{"a":{"b":null}}', None, None, "null_text"),
+    ('{"a":"{\\"b\\":\\"t\\"}","b":"u"}', None, None, "bad_level"),
+    ('{"a":[{"b":"t"}],"b":"u"}', None, None, "bad_level"),
+    ('{"a":{},"b":"u"}', None, None, "missing_key"),
+    ('{"a":{"b":"t","c":{"d":[1]}},"z":{"a":1}}', "t", "t", None),
     ('{"a":{"b":7}}', "7", "7", None),
     ('{"a":{"b":{"c":1}}}', '{"c":1}', '{"c":1}', None),
     ('{"a":{"b":""}}', "", "", None),

@@ -79,7 +79,8 @@ def test_discovery_adds_each_word_once(spark, tmp_path, model):
     send(spark, inbox, "b", ["so bad & worse", "fine"])
 
     def go():
-        run(discovery.discovery_stream(arriving(spark, inbox), model, lambda: lexicon, candidates, progress, archive, "t"))
+        keep = discovery.to_candidates(spark, lambda: lexicon, candidates)
+        run(discovery.discovery_stream(arriving(spark, inbox), model, keep, progress, archive, "t"))
         return sorted(r.word for r in discovery.read_candidates(spark, candidates).collect())
 
     assert go() == ["bad", "worse"]
@@ -91,27 +92,37 @@ def test_discovery_adds_each_word_once(spark, tmp_path, model):
     assert {r.topic for r in lines.collect()} == {"t"}
 
 
-def test_a_retried_batch_leaves_no_copy(spark, tmp_path, model):
+def test_a_retried_batch_leaves_no_copy(spark, tmp_path):
     path = str(tmp_path / "cand")
-    words = spark.createDataFrame([("bad",), ("good",)], "word string")
-    none = spark.createDataFrame([], "word string")
-    discovery.open_candidates(spark, path)
+    found = spark.createDataFrame([("bad",)], "word string")
+    keep = discovery.to_candidates(spark, lambda: spark.createDataFrame([], "word string"), path)
     for _ in range(2):
-        discovery.discover_batch(words, model, none, path, 7)
+        keep(found, 7)
+    keep(found, 8)
     assert [(r.word, r.batch_id) for r in discovery.read_candidates(spark, path).collect()] == [("bad", 7)]
 
 
+def test_discovered_words_enter_the_lexicon(spark, tmp_path, model):
+    inbox, words = str(tmp_path / "in"), str(tmp_path / "words")
+    known = spark.createDataFrame([("worst", "c", "add")], "word string, category string, op string")
+    L.append_version(known, words, 1)
+    spark.createDataFrame([("bad worst",), ("good",)], "value string").coalesce(1).write.parquet(f"{inbox}/a")
+    stream = spark.readStream.schema("value string").parquet(f"{inbox}/*")
+    keep = discovery.to_lexicon(spark, words, 2)
+    run(discovery.discovery_stream(stream, model, keep, str(tmp_path / "p"), path=None, profile="ascii", ngrams=True))
+    keep(spark.createDataFrame([("bad",)], "word string"), 0)
+    changes = L.read_versions(spark, words)
+    assert sorted((r.word, r.version) for r in L.current(changes).collect()) == [("bad", 2), ("worst", 1)]
+
+
 def test_ngrams_and_empty_batches(spark, tmp_path, model):
     texts = spark.createDataFrame([("a b c",)], "text string")
     grams = discovery.batch_words(texts, F.col("text"), ngrams=True)
     assert {r.word for r in grams.collect()} == {"a", "b", "ab", "abc", "c", "bc"}
     inbox, candidates = str(tmp_path / "in"), str(tmp_path / "cand")
     spark.createDataFrame([("k", ""), ("l", None)], SCHEMA).coalesce(1).write.parquet(f"{inbox}/a")
-    run(
-        discovery.discovery_stream(
-            arriving(spark, inbox), model, lambda: spark.createDataFrame([], "word string"), candidates, str(tmp_path / "p")
-        )
-    )
+    keep = discovery.to_candidates(spark, lambda: spark.createDataFrame([], "word string"), candidates)
+    run(discovery.discovery_stream(arriving(spark, inbox), model, keep, str(tmp_path / "p")))
     assert discovery.read_candidates(spark, candidates).isEmpty()
     assert {p.name for p in (tmp_path / "cand").iterdir() if p.is_dir()} == {"batch_id=-1"}
 

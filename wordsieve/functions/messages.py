@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from wordsieve.functions import tokens as T
 
@@ -13,50 +14,47 @@ DEFAULT_PATH = ("content", "content")
 MARKER = "isSensitive"
 
 
-def _member(obj: Column, key: str) -> Column:
-    return F.get_json_object(obj, "$['" + key.replace("'", "\\'") + "']")
+def _at(obj: Column, *keys: str) -> Column:
+    path = "".join("['" + k.replace("'", "\\'") + "']" for k in keys)
+    return F.get_json_object(obj, f"${path}")
 
 
-def _has(obj: Column, key: str) -> Column:
-    return F.array_contains(F.json_object_keys(obj), key)
-
-
-def _is_object(value: Column) -> Column:
-    return F.json_object_keys(value).isNotNull()
-
-
-def _object(value: Column) -> Column:
-    return T.bind(value, lambda v: F.when(_is_object(v), v))
+def _object_at(obj: Column, key: str) -> Column:
+    """The member as JSON text when it is an object; a string that holds JSON is none."""
+    shape = StructType([StructField(key, MapType(StringType(), StringType()))])
+    return F.when(F.from_json(obj, shape).getField(key).isNotNull(), _at(obj, key))
 
 
 def extract_strict(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
     """Text at the path; broken JSON gives an empty text, a missing key gives null."""
-    text = value
-    for key in path:
-        text = _member(text, key)
-    return F.when(_is_object(value), text).when(
+    return F.when(F.json_object_keys(value).isNotNull(), _at(value, *path)).when(
         value.isNotNull() & F.get_json_object(value, "$").isNull(), F.lit("")
     )
 
 
-def _with_holder(value: Column, path: Sequence[str], use: Callable[[Column], Column]) -> Column:
-    """Hand on the object that should hold the last key.
+def _walk(value: Column, path: Sequence[str], use: Callable[[Column, Column], Column]) -> Column:
+    """Hand on the object that should hold the last key, and its keys.
 
-    A level whose key is absent is passed over; a level that is no object ends the walk with null.
+    A level whose key is absent is passed over; both are null after a level that is no object.
     """
 
-    def step(here: Column, keys: Sequence[str]) -> Column:
-        if not keys:
-            return use(here)
-        inner = F.when(_has(here, keys[0]), _object(_member(here, keys[0]))).otherwise(here)
-        return T.bind(inner, lambda deeper: step(deeper, keys[1:]))
+    def step(here: Column, keys: Column, rest: Sequence[str]) -> Column:
+        if not rest:
+            return use(here, keys)
+        inner = F.when(F.array_contains(keys, rest[0]), _object_at(here, rest[0])).when(keys.isNotNull(), here)
+        return _opened(inner, lambda deeper, its_keys: step(deeper, its_keys, rest[1:]))
+
+    return _opened(value, lambda root, keys: step(root, keys, path[:-1]))
 
-    return T.bind(_object(value), lambda root: step(root, path[:-1]))
+
+def _opened(value: Column, use: Callable[[Column, Column], Column]) -> Column:
+    """A JSON text and its keys; the keys are null unless it is an object."""
+    return T.bind(value, lambda v: T.bind(F.json_object_keys(v), lambda keys: use(v, keys)))
 
 
 def extract_lenient(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
     """Text at the path, passing over intermediate keys that are absent; null when unusable."""
-    return _with_holder(value, path, lambda holder: _member(holder, path[-1]))
+    return _walk(value, path, lambda holder, keys: F.when(keys.isNotNull(), _at(holder, path[-1])))
 
 
 def extract_text(value: Column, path: Sequence[str] = DEFAULT_PATH, lenient: bool = True) -> Column:
@@ -65,22 +63,23 @@ def extract_text(value: Column, path: Sequence[str] = DEFAULT_PATH, lenient: boo
 
 def reject_reason(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
     """Why the lenient walk cannot use a message; null for a usable one."""
-    last = path[-1]
 
-    def below_root(holder: Column) -> Column:
+    def below_root(holder: Column, keys: Column) -> Column:
         return (
-            F.when(holder.isNull(), "bad_level")
-            .when(~_has(holder, last), "missing_key")
-            .when(_member(holder, last).isNull(), "null_text")
+            F.when(keys.isNull(), "bad_level")
+            .when(~F.array_contains(keys, path[-1]), "missing_key")
+            .when(_at(holder, path[-1]).isNull(), "null_text")
         )
 
-    return T.bind(
-        value,
-        lambda v: F.when(v.isNull(), "null_message")
-        .when(_is_object(v), _with_holder(v, path, below_root))
-        .when(F.get_json_object(v, "$").isNull(), "malformed")
-        .otherwise("not_an_object"),
-    )
+    def reason(v: Column, keys: Column) -> Column:
+        return (
+            F.when(v.isNull(), "null_message")
+            .when(keys.isNotNull(), _walk(v, path, below_root))
+            .when(F.get_json_object(v, "$").isNull(), "malformed")
+            .otherwise("not_an_object")
+        )
+
+    return _opened(value, reason)
 
 
 def mark(value: Column, verdict: Column) -> Column:
@@ -102,8 +101,7 @@ def mark(value: Column, verdict: Column) -> Column:
         replaced = F.to_json(F.map_concat(kept, F.create_map(F.lit(MARKER), F.parse_json(text))))
         return F.when(F.array_contains(keys, MARKER), replaced).when(keys.isNotNull(), put_in)
 
-    whole = T.bind(value, lambda v: T.bind(F.json_object_keys(v), lambda keys: marked(v, keys)))
-    return F.when(verdict.isNotNull(), whole)
+    return F.when(verdict.isNotNull(), _opened(value, marked))
 
 
 def wrap(text: Column) -> Column:

@@ -166,6 +166,18 @@ flagged AS (
 
 POSITIONS = f"""positions AS (SELECT doc_id, line, base, unnest(range(length(line))) AS i FROM lines)"""
 
+# The n-grams of a list of tokens a.
+NGRAMS = """flatten(list_transform(range(1, len(a) + 1), lambda i:
+          CASE WHEN i = 1 THEN [a[1]] WHEN i = len(a) THEN [a[i], a[i - 1] || a[i]]
+          ELSE [a[i], a[i - 1] || a[i], a[i - 1] || a[i] || a[i + 1]] END))"""
+
+# The words of "arriving" that a classifier fitted on "labelled" takes for sensitive and that are not listed.
+DISCOVER = f"""items AS (SELECT 't' || word AS id, label, 'train' AS part, [word] AS terms FROM labelled
+          UNION ALL SELECT 'a' || word, NULL::DOUBLE, 'test', [word] FROM arriving),
+        {naive_bayes('items', 200)}
+        SELECT substr(id, 2) AS word FROM predicted
+        WHERE part = 'test' AND prediction = 1 AND substr(id, 2) NOT IN (SELECT word FROM wordlex)"""
+
 ORACLES: dict[str, str] = {
     "flag_messages": f"WITH {FLAGGED} SELECT doc_id, is_sensitive FROM flagged",
     "flag_messages_cjk": f"""WITH {INSULT}
@@ -214,9 +226,7 @@ ORACLES: dict[str, str] = {
           sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM n)
         SELECT doc_id, count(*) AS n, sum(stop - size)::BIGINT AS starts, sum(stop)::BIGINT AS ends FROM e GROUP BY doc_id""",
     "context_ngrams": f"""WITH t AS (SELECT conv_id, turn, {tokens('text')} AS a FROM conversations),
-        g AS (SELECT conv_id, turn, flatten(list_transform(range(1, len(a) + 1), lambda i:
-          CASE WHEN i = 1 THEN [a[1]] WHEN i = len(a) THEN [a[i], a[i - 1] || a[i]]
-          ELSE [a[i], a[i - 1] || a[i], a[i - 1] || a[i] || a[i + 1]] END)) AS g FROM t)
+        g AS (SELECT conv_id, turn, {NGRAMS} AS g FROM t)
         SELECT conv_id, turn, coalesce(len(g), 0)::BIGINT AS n, coalesce(array_to_string(g, ' '), '') AS tokens FROM g""",
     "segment_all": f"""WITH {BENCH}, {GLUED}, {POSITIONS},
         sizes AS (SELECT DISTINCT length(word) AS size FROM bench WHERE length(word) > 3),
@@ -363,11 +373,11 @@ ORACLES: dict[str, str] = {
         FROM conversations""",
     "stream_discover": f"""WITH {LABELLED},
         arriving AS (SELECT DISTINCT word FROM (SELECT unnest({tokens(clean_stream('text'))}) AS word FROM conversations) WHERE length(word) > 1),
-        items AS (SELECT 't' || word AS id, label, 'train' AS part, [word] AS terms FROM labelled
-          UNION ALL SELECT 'a' || word, NULL::DOUBLE, 'test', [word] FROM arriving),
-        {naive_bayes('items', 200)}
-        SELECT substr(id, 2) AS word FROM predicted
-        WHERE part = 'test' AND prediction = 1 AND substr(id, 2) NOT IN (SELECT word FROM wordlex)""",
+        {DISCOVER}""",
+    "stream_extend_lexicon": f"""WITH {LABELLED},
+        t AS (SELECT {tokens(clean_ascii('text'))} AS a FROM conversations),
+        arriving AS (SELECT DISTINCT unnest({NGRAMS}) AS word FROM t),
+        {DISCOVER}""",
     "stream_archive": f"""WITH l AS (SELECT unnest(regexp_split_to_array({clean_stream('text')}, '\\r\\n|\\r|\\n')) AS line FROM documents)
         SELECT 'documents' AS topic, line, count(*) AS n FROM l WHERE length(line) > 0 GROUP BY line""",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -547,21 +547,36 @@ def stream_hot_update(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(out).select("key", "is_sensitive")
 
 
-def _discover(spark: SparkSession, base: str, archive: str | None) -> str:
-    """Learn from the words of the documents, then look for new ones in the conversations."""
+def _word_model(spark: SparkSession, base: str) -> tuple[PipelineModel, DataFrame]:
+    """A classifier learned from the words of the documents, and the lexicon it learned from."""
     vocabulary = stored(trainset.vocabulary(document_words(spark, base)), "vocabulary")
     listed = stored(word_lexicon(spark, vocabulary), "lexicon")
-    model = classify.fit_naive_bayes(trainset.as_terms(trainset.label_words(listed, vocabulary)), hashing="md5")
+    train = stored(trainset.as_terms(trainset.label_words(listed, vocabulary)), "training")
+    return classify.fit_naive_bayes(train, hashing="md5"), listed
+
+
+def stream_discover(spark: SparkSession, base: str) -> DataFrame:
+    """New words in the conversations, as candidates for review."""
+    model, listed = _word_model(spark, base)
     arriving = stream_table(spark, base, "conversations").select(J.wrap(F.col("text")).alias("value"))
     candidates = scratch_dir(spark, "candidates")
+    keep = discovery.to_candidates(spark, lambda: listed, candidates)
+    discovery.discovery_stream(arriving, model, keep, scratch_dir(spark, "progress")).start().awaitTermination()
+    return discovery.read_candidates(spark, candidates).select("word")
+
+
+def stream_extend_lexicon(spark: SparkSession, base: str) -> DataFrame:
+    """New words and joins of neighbouring words in plain texts, taken into the lexicon at once."""
+    model, listed = _word_model(spark, base)
+    words = scratch_dir(spark, "lexicon")
+    first = listed.select("word", F.lit("known").alias("category"), F.lit("add").alias("op"))
+    lexicon.append_version(first, words, 1)
+    arriving = stream_table(spark, base, "conversations").select(F.col("text").alias("value"))
     discovery.discovery_stream(
-        arriving, model, lambda: listed, candidates, scratch_dir(spark, "progress"), archive, "conversations"
+        arriving, model, discovery.to_lexicon(spark, words, 2), scratch_dir(spark, "progress"),
+        path=None, profile="ascii", ngrams=True,
     ).start().awaitTermination()
-    return candidates
-
-
-def stream_discover(spark: SparkSession, base: str) -> DataFrame:
-    return discovery.read_candidates(spark, _discover(spark, base, None)).select("word")
+    return lexicon.delta(lexicon.read_versions(spark, words), 1).select("word")
 
 
 def stream_archive(spark: SparkSession, base: str) -> DataFrame:
@@ -592,6 +607,6 @@ QUERIES: dict[str, Query] = {
         hashing_tf, tfidf_docs, tfidf_refit,
         nb_words, nb_docs, nb_bernoulli, mlp_words, word2vec_words, model_roundtrip,
         confusion_words, confusion_docs, metrics_docs, recall_lexicon, onehot_argmax,
-        stream_flag, stream_hot_update, stream_discover, stream_archive,
+        stream_flag, stream_hot_update, stream_discover, stream_extend_lexicon, stream_archive,
     )
 }

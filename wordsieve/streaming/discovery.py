@@ -12,10 +12,12 @@ from pyspark.sql.streaming import DataStreamWriter
 from wordsieve.functions import messages as J
 from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text
-from wordsieve.operators import classify
+from wordsieve.operators import classify, lexicon
 from wordsieve.sources.tables import spread
 from wordsieve.streaming.flagging import present
 
+Keep = Callable[[DataFrame, int], None]
+
 CANDIDATES = "word string, batch_id bigint"
 
 # The batch intervals of the two discovery jobs.
@@ -36,29 +38,32 @@ def predicted_sensitive(words: DataFrame, model: PipelineModel, refit_idf: bool
     return scored.where("prediction = 1.0").select(F.col("_word").alias("word"))
 
 
-def open_candidates(spark: SparkSession, path: str) -> None:
-    """Make the candidate table exist, empty if it is new."""
-    empty = spark.createDataFrame([], "word string")
-    empty.write.mode("overwrite").parquet(f"{path}/batch_id=-1")
-
-
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CANDIDATES).option("basePath", path).parquet(path)
 
 
-def discover_batch(
-    words: DataFrame,
-    model: PipelineModel,
-    lexicon: DataFrame,
-    path: str,
-    batch_id: int,
-    refit_idf: bool = False,
-) -> None:
-    """Append the batch's predicted words that are neither listed nor candidates of another batch."""
-    known = read_candidates(words.sparkSession, path).where(F.col("batch_id") != batch_id)
-    found = predicted_sensitive(words, model, refit_idf)
-    new = found.join(lexicon.select("word"), "word", "left_anti").join(known.select("word"), "word", "left_anti")
-    new.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def to_candidates(spark: SparkSession, load_lexicon: Callable[[], DataFrame], path: str) -> Keep:
+    """Keep words for review: those neither listed nor candidates of another batch."""
+    spark.createDataFrame([], "word string").write.mode("overwrite").parquet(f"{path}/batch_id=-1")
+
+    def keep(found: DataFrame, batch_id: int) -> None:
+        known = read_candidates(spark, path).where(F.col("batch_id") != batch_id).select("word")
+        new = found.join(load_lexicon().select("word"), "word", "left_anti").join(known, "word", "left_anti")
+        new.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return keep
+
+
+def to_lexicon(spark: SparkSession, path: str, first_version: int, category: str = "discovered") -> Keep:
+    """Take new words into a versioned lexicon at once; batch n becomes version ``first_version`` + n."""
+
+    def keep(found: DataFrame, batch_id: int) -> None:
+        version = first_version + batch_id
+        others = lexicon.read_versions(spark, path).where(F.col("version") != version)
+        new = found.join(lexicon.current(others).select("word"), "word", "left_anti")
+        lexicon.append_version(new.select("word", F.lit(category).alias("category"), F.lit("add").alias("op")), path, version)
+
+    return keep
 
 
 def archive_batch(texts: DataFrame, path: str, topic: str, batch_id: int) -> None:
@@ -66,32 +71,31 @@ def archive_batch(texts: DataFrame, path: str, topic: str, batch_id: int) -> Non
     texts.select("text").write.mode("overwrite").text(f"{path}/topic={topic}/batch_id={batch_id}")
 
 
-def message_texts(messages: DataFrame, value: str, path: Sequence[str], profile: str | None) -> DataFrame:
-    """Cleaned texts of the messages that have one: text."""
-    text = clean_text(J.extract_strict(F.col(value), path), profile)
-    return messages.where(F.length(value) > 0).select(present(text).alias("text"))
+def message_texts(messages: DataFrame, value: str, path: Sequence[str] | None, profile: str | None) -> DataFrame:
+    """Cleaned texts of the messages that have one: text. Without a path the message is the text."""
+    text = F.col(value) if path is None else J.extract_strict(F.col(value), path)
+    return messages.where(F.length(value) > 0).select(present(clean_text(text, profile)).alias("text"))
 
 
 def discovery_stream(
     messages: DataFrame,
     model: PipelineModel,
-    load_lexicon: Callable[[], DataFrame],
-    candidates: str,
+    keep: Keep,
     checkpoint: str,
     archive: str | None = None,
     topic: str = "messages",
     value: str = "value",
-    path: Sequence[str] = J.DEFAULT_PATH,
+    path: Sequence[str] | None = J.DEFAULT_PATH,
     profile: str | None = "stream",
     ngrams: bool = False,
     refit_idf: bool = False,
     every: str | None = None,
 ) -> DataStreamWriter:
-    """A stream that scores the words of each batch, keeps new ones as candidates and archives the texts.
+    """A stream that scores the words of each batch, hands the sensitive ones to ``keep`` and archives the texts.
 
-    Each batch writes to folders of its own number, so one that is run again leaves no copy.
+    Each batch writes to folders of its own number, so one that is run again leaves no copy. Batches
+    without a text write nothing.
     """
-    open_candidates(messages.sparkSession, candidates)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         texts = message_texts(spread(batch), value, path, profile).persist()
@@ -101,7 +105,7 @@ def discovery_stream(
             if archive:
                 archive_batch(texts, archive, topic, batch_id)
             words = batch_words(texts, F.col("text"), ngrams)
-            discover_batch(words, model, load_lexicon(), candidates, batch_id, refit_idf)
+            keep(predicted_sensitive(words, model, refit_idf), batch_id)
         finally:
             texts.unpersist()
 
