@@ -19,7 +19,7 @@ def spark():
 @pytest.fixture
 def shuffled(monkeypatch):
     """Treat every word table as too large to broadcast or to inline."""
-    from wordsieve.operators import joins, match
+    from wordsieve.operators import joins
 
     monkeypatch.setattr(joins, "BROADCAST_ROWS", -1)
-    monkeypatch.setattr(match, "INLINE_WORDS", 0)
+    monkeypatch.setattr(joins, "INLINE_WORDS", 0)

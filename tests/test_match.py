@@ -92,7 +92,10 @@ def test_widening_order(spark, size, request):
     ]
 
 
-def test_segmented_verdict_lets_a_longer_word_cover(spark):
+@pytest.mark.parametrize("size", ["inline", "shuffled"])
+def test_segmented_verdict_lets_a_longer_word_cover(spark, size, request):
+    if size == "shuffled":
+        request.getfixturevalue("shuffled")
     rows = spark.createDataFrame([(0, "红苹果"), (1, "苹果"), (2, None), (3, "好")], "i int, t string")
     got = match.flag_segmented(rows, ["i"], F.col("t"), words(spark, "苹果"), words(spark, "红苹果"))
     assert {r.i: r.is_sensitive for r in got.collect()} == {0: False, 1: True, 2: None, 3: False}

@@ -61,7 +61,10 @@ def test_spans_equal_a_scan(spark):
 FRUIT = ["红苹果", "苹果", "苹果树"]
 
 
-def test_literal_segmentation(spark):
+@pytest.mark.parametrize("size", ["inline", "shuffled"])
+def test_literal_segmentation(spark, size, request):
+    if size == "shuffled":
+        request.getfixturevalue("shuffled")
     rows, words = frame(spark, ["红苹果树", "", None, "abc"]), spark.createDataFrame([(w,) for w in FRUIT], "word string")
     found = segment.find_all(rows, ["i"], F.col("t"), words).collect()
     assert sorted(r.word for r in found) == sorted(FRUIT)
@@ -96,8 +99,11 @@ def test_context_around_matches(spark, longest):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("size", ["inline", "shuffled"])
 @pytest.mark.parametrize("latin_runs", [True, False])
-def test_greedy_equals_brute_force(spark, latin_runs):
+def test_greedy_equals_brute_force(spark, latin_runs, size, request):
+    if size == "shuffled":
+        request.getfixturevalue("shuffled")
     rng = random.Random(9)
     alphabet = "ab好树果" if latin_runs else "abc好"
     words = sorted({w for w in texts_of(rng, alphabet, 40, 5) if len(w) > 1})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 # Letters and digits of the Latin alphabets, lower case. ``\w`` is ASCII only and would cut at accents.
 LATIN = "0-9a-zà-öø-ÿ"
 
+# All letters and digits, and those that are not Latin, as character classes.
+LETTERS = "\\p{L}\\p{M}\\p{N}"
+OTHER = f"{LETTERS}&&[^{LATIN}]"
+
+# Items per step of the outer fold of a choice from left to right.
+BLOCK = 32
+
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """Compute a value once for an expression that needs it in several places, as inside a lambda."""
@@ -59,3 +66,79 @@ def chunks(text: Column, step: int, overlap: int) -> Column:
     Position-wise work inside a piece stays linear in the text, and no array grows with it.
     """
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{step + overlap}}})).{{1,{step}}}"), F.lit(1))
+
+
+def run_classes(latin_runs: bool) -> list[str]:
+    """Character classes whose runs are segmented apart: Latin and other letters, or all letters as one."""
+    return [LATIN, OTHER] if latin_runs else [LETTERS]
+
+
+def letter_runs(text: Column, latin_runs: bool) -> Column:
+    """Lower-cased runs of letters and digits."""
+    pattern = "|".join(f"[{c}]+" for c in run_classes(latin_runs))
+    return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
+
+
+def is_latin(run: Column) -> Column:
+    return run.rlike(f"^[{LATIN}]")
+
+
+def is_one_of(value: Column, words: Sequence[str]) -> Column:
+    return value.isin(list(words)) if words else F.lit(False)
+
+
+def left_to_right(items: Column, begin: Callable[[Column], Column], end: Callable[[Column], Column]) -> Column:
+    """Take items in order, each if it begins at or after the end of the one taken before: their indexes.
+
+    A fold copies its state at every step, so a list that grew through all of them would cost the
+    square of its length. The inner fold therefore runs over a short block and the outer one over blocks.
+    """
+    no_index = F.array().cast("array<int>")
+
+    def block(first: Column, next_: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            item = F.get(items, i)
+            taken = F.struct(end(item).alias("next"), F.array_append(acc["out"], i).alias("out"))
+            return F.when(begin(item) >= acc["next"], taken).otherwise(acc)
+
+        last = F.least(F.size(items), first + BLOCK) - 1
+        return F.aggregate(F.sequence(first, last), F.struct(next_.alias("next"), no_index.alias("out")), step)
+
+    def over_blocks(acc: Column, first: Column) -> Column:
+        joined = lambda r: F.struct(r["next"].alias("next"), F.concat(acc["out"], r["out"]).alias("out"))
+        return bind(block(first, acc["next"]), joined)
+
+    firsts = F.sequence(F.lit(0), F.size(items) - 1, F.lit(BLOCK))
+    none = F.struct(F.lit(0).alias("next"), no_index.alias("out"))
+    return F.when(F.size(items) > 0, F.aggregate(firsts, none, over_blocks, lambda acc: acc["out"])).otherwise(no_index)
+
+
+def greedy(run: Column, words: Sequence[str]) -> Column:
+    """Segment a run by a few words given in the plan: from left to right, the longest word first.
+
+    Characters that no word covers are tokens of their own.
+    """
+    by_length: dict[int, list[str]] = {}
+    for w in words:
+        by_length.setdefault(len(w), []).append(w)
+    shortest, longest = min(by_length, default=1), max(by_length, default=1)
+    heads = sorted({w[:shortest] for w in words})
+
+    def best(window: Column) -> Column:
+        """The longest word the window begins with, else null."""
+        fits = [F.when(is_one_of(F.substring(window, 1, n), by_length[n]), F.substring(window, 1, n)) for n in sorted(by_length, reverse=True)]
+        return F.when(is_one_of(F.substring(window, 1, shortest), heads), F.coalesce(*fits)) if fits else F.lit(None).cast("string")
+
+    def place(window: Column, i: Column) -> Column:
+        return bind(
+            best(window),
+            lambda word: F.struct(
+                i.alias("start"), F.coalesce(word, F.substring(window, 1, 1)).alias("term"), word.isNotNull().alias("known")
+            ),
+        )
+
+    def chosen(places: Column) -> Column:
+        taken = left_to_right(places, lambda p: p["start"], lambda p: p["start"] + F.length(p["term"]))
+        return F.transform(taken, lambda i: F.get(places, i))
+
+    return bind(F.transform(windows(run, longest), place), chosen)

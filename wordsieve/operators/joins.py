@@ -14,6 +14,15 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Copies of the word table, and so tasks per hot key, in a shuffled join.
 SALTS = 16
 
+# Up to this many words are written into the plan as a set, so that texts are checked where they are read.
+INLINE_WORDS = 5_000
+
+
+def inline_words(table: DataFrame) -> list[str] | None:
+    """The words of a small table, or None when it has more than ``INLINE_WORDS``."""
+    rows = table.select("word").where(F.length("word") > 0).limit(INLINE_WORDS + 1).collect()
+    return None if len(rows) > INLINE_WORDS else sorted({r.word for r in rows})
+
 
 def footprint(table: DataFrame) -> tuple[Column, Column]:
     """Aggregates for the rows and the bytes of a table."""

@@ -11,11 +11,8 @@ from pyspark.sql import functions as F
 
 from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text
-from wordsieve.operators.joins import attach
-from wordsieve.operators.segment import STEP, find_all, segment_greedy, word_rows
-
-# Up to this many words the verdict is a predicate on the text itself and needs no join.
-INLINE_WORDS = 5_000
+from wordsieve.operators.joins import attach, inline_words
+from wordsieve.operators.segment import INSIDE_WORD, STEP, find_all, segment_greedy, word_rows
 
 # Up to this many words are sought in a text one by one; more are looked up position by position.
 SOUGHT_WORDS = 64
@@ -52,23 +49,13 @@ def phrase_search_many(queries: DataFrame, lexicon: DataFrame) -> DataFrame:
     return attach(listed, asked, ["query"], "inner", ["word"]).select("query", "word", "word_id")
 
 
-def inline_words(lexicon: DataFrame, limit: int = INLINE_WORDS) -> list[str] | None:
-    """The words of a small lexicon, or None when there are more than ``limit``."""
-    rows = lexicon.select("word").where(F.col("word").isNotNull()).limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted({r.word for r in rows})
-
-
-def _is_one_of(value: Column, words: Sequence[str]) -> Column:
-    return value.isin(list(words)) if words else F.lit(False)
-
-
 def verdict(text: Column, words: Sequence[str], mode: str = "words") -> Column:
     """Whether a text holds one of a few words; null for a null text.
 
     ``words`` compares whole Latin tokens, ``anywhere`` any stretch of the text.
     """
     if mode == "words":
-        return F.exists(T.words(text), lambda t: _is_one_of(t, words))
+        return F.exists(T.words(text), lambda t: T.is_one_of(t, words))
     if not words:
         return F.when(text.isNotNull(), F.lit(False))
     if len(words) <= SOUGHT_WORDS:
@@ -81,7 +68,7 @@ def verdict(text: Column, words: Sequence[str], mode: str = "words") -> Column:
     def starts_here(window: Column) -> Column:
         hit = F.lit(False)
         for n, group in sorted(by_length.items()):
-            hit = hit | _is_one_of(window.substr(F.lit(1), F.lit(n)), group)
+            hit = hit | T.is_one_of(window.substr(F.lit(1), F.lit(n)), group)
         return hit
 
     pieces = T.chunks(F.lower(text), max(STEP, longest), longest - 1)
@@ -125,8 +112,18 @@ def flag_segmented(
     latin_runs: bool = True,
 ) -> DataFrame:
     """Verdict over segmented tokens, where a longer harmless word can cover a listed one: ids, is_sensitive."""
+    cleaned = clean_text(text, profile)
     every = dictionary.select("word").unionByName(lexicon.select("word")).distinct()
-    terms = segment_greedy(df, ids, clean_text(text, profile), every, latin_runs)
+    words = inline_words(every)
+    if words is not None:
+        listed = inline_words(lexicon)
+
+        def holds(run: Column) -> Column:
+            segmented = F.exists(T.greedy(run, words), lambda t: t["known"] & T.is_one_of(t["term"], listed))
+            return F.when(T.is_latin(run), T.is_one_of(run, listed)).otherwise(segmented) if latin_runs else segmented
+
+        return df.select(*ids, F.exists(T.letter_runs(cleaned, latin_runs), holds).alias("is_sensitive"))
+    terms = segment_greedy(df, ids, cleaned, every, latin_runs)
     listed = lexicon.select(F.col("word").alias("term")).distinct()
     hits = attach(terms.where("known"), listed, ["term"], "left_semi", [*ids, "start"])
     return _with_hits(df, ids, text, hits).select(*ids, "is_sensitive")
@@ -158,10 +155,9 @@ def phrase_hits(
     letter or digit, the text must not go on with another one.
     """
     lowered = F.lower(clean_text(text, profile))
-    found = find_all(df, ids, lowered, lexicon.select("word", "category"), context=1)
-    left = F.substring("context", 1, 2).rlike(f"^[{T.LATIN}]{{2}}$")
-    right = F.col("context").substr(F.col("n") + 1, F.lit(2)).rlike(f"^[{T.LATIN}]{{2}}$")
-    return found.where(~left & ~right).select(
+    found = find_all(df, ids, lowered, lexicon.select("word", "category"), context=1, at_word_start=True)
+    goes_on = F.col("context").substr(F.col("n") + 1, F.lit(2)).rlike(INSIDE_WORD)
+    return found.where(~goes_on).select(
         *ids, "start", (F.col("start") + F.col("n")).alias("end"), "word", "category"
     )
 

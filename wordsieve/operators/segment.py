@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordsieve.functions import tokens as T
-from wordsieve.operators.joins import attach, footprint, within_bounds
+from wordsieve.operators.joins import attach, footprint, inline_words, within_bounds
 
 # Code points per piece when a text is cut into runs.
 RUN_STEP = 1024
@@ -23,6 +23,9 @@ WINDOW = 64
 # Dictionary words are looked up by this many leading characters, the most the word has, then compared whole.
 HEADS = (1, 2, 4, 8)
 
+# Two characters between which no Latin word begins or ends.
+INSIDE_WORD = f"^[{T.LATIN}]{{2}}$"
+
 # Stands for the missing left neighbours at the start of a text.
 PAD = "\u0000"
 
@@ -58,10 +61,10 @@ def word_rows(df: DataFrame, ids: Sequence[str], text: Column) -> DataFrame:
 
 def _starts(pieces: Column) -> Column:
     """Offset of each piece: the summed length of those before it."""
-    empty = F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("starts"))
+    none = F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("starts"))
     total = F.aggregate(
         pieces,
-        empty,
+        none,
         lambda acc, p: F.struct(
             (acc["next"] + F.length(p)).alias("next"), F.array_append(acc["starts"], acc["next"]).alias("starts")
         ),
@@ -98,13 +101,14 @@ def find_all(
     text: Column,
     dictionary: DataFrame,
     context: int = 0,
+    at_word_start: bool = False,
 ) -> DataFrame:
     """Every dictionary word at every position, overlaps included: ids, start, n, word, other dictionary columns.
 
     Each position is looked up by the first characters only (once per length of ``HEADS`` that the
     dictionary needs) and compared whole on a hit, so the work does not grow with the longest word.
     ``context`` adds a column of that many characters before and after the word; missing ones on the
-    left are ``PAD``.
+    left are ``PAD``. ``at_word_start`` passes over positions inside a Latin word, and needs a context.
     """
     dictionary = dictionary.where(F.length("word") > 0)
     shape = dictionary_shape(dictionary)
@@ -120,6 +124,8 @@ def find_all(
     starts = F.least(F.lit(step), F.length("_piece") - context)
     found = F.slice(T.windows(F.col("_piece"), width), F.lit(1), F.greatest(starts, F.lit(0)))
     at = pieces.select(*ids, "_no", "_piece", F.posexplode(found).alias("_at", "_window"))
+    if at_word_start:
+        at = at.where(~F.substring("_window", context, 2).rlike(INSIDE_WORD))
     heads = [F.substring("_window", context + 1, k) for k in shape.head_lengths]
     if len(heads) > 1:
         at = at.select("*", F.posexplode(F.array(*heads)).alias("_tier", "_head"))
@@ -155,18 +161,18 @@ def find_all(
 
 
 def _leftmost(found: Column) -> Column:
-    """Left to right, the longest word that starts at or after the end of the one before."""
-    ordered = F.array_sort(F.transform(found, lambda w: F.struct(w["start"].alias("start"), (-w["n"]).alias("n"))))
-    none = F.struct(F.lit(0).cast("bigint").alias("next"), F.array().cast("array<struct<start:bigint,n:int>>").alias("out"))
-
-    def take(acc: Column, w: Column) -> Column:
-        taken = F.struct(
-            (w["start"] - w["n"]).alias("next"),
-            F.array_append(acc["out"], F.struct(w["start"].alias("start"), (-w["n"]).alias("n"))).alias("out"),
-        )
-        return F.when(w["start"] >= acc["next"], taken).otherwise(acc)
+    """Left to right, the longest word that starts at or after the end of the one before: start, n."""
+    by_start = F.transform(found, lambda w: F.struct(w["start"].alias("start"), (-w["n"]).alias("minus_n")))
+
+    def chosen(words: Column) -> Column:
+        taken = T.left_to_right(words, lambda w: w["start"], lambda w: (w["start"] - w["minus_n"]).cast("int"))
+
+        def word(i: Column) -> Column:
+            return F.struct(F.get(words, i)["start"].alias("start"), (-F.get(words, i)["minus_n"]).alias("n"))
 
-    return F.aggregate(ordered, none, take, lambda acc: acc["out"])
+        return F.transform(taken, word)
+
+    return T.bind(F.array_sort(by_start), chosen)
 
 
 def segment_greedy(
@@ -178,21 +184,33 @@ def segment_greedy(
     and digits is always one token, and only the other letters are segmented; without it all letters
     and digits are, as in a text whose blanks were removed.
     """
-    lowered = F.lower(text)
+    pieces = runs(df, ids, F.lower(text), T.run_classes(latin_runs))
+    whole = None
     if latin_runs:
-        other = f"\\p{{L}}\\p{{M}}\\p{{N}}&&[^{T.LATIN}]"
-        pieces = runs(df, ids, lowered, [T.LATIN, other])
-        latin = pieces.where(F.col("run").rlike(f"^[{T.LATIN}]"))
-        known = dictionary.select(F.col("word").alias("term"), F.lit(True).alias("known"))
+        latin = pieces.where(T.is_latin(F.col("run")))
+        known = dictionary.select(F.col("word").alias("term"), F.lit(True).alias("known")).distinct()
         whole = attach(
             latin.select(*ids, "start", (F.col("start") + F.length("run")).alias("end"), F.col("run").alias("term")),
             known, ["term"], "left", [*ids, "start"],
         ).select(*ids, "start", "end", "term", F.coalesce("known", F.lit(False)).alias("known"))
-        pieces = pieces.where(~F.col("run").rlike(f"^[{T.LATIN}]"))
-    else:
-        pieces = runs(df, ids, lowered, ["\\p{L}\\p{M}\\p{N}"])
-        whole = None
+        pieces = pieces.where(~T.is_latin(F.col("run")))
 
+    words = inline_words(dictionary)
+    segmented = _joined_greedy(pieces, ids, dictionary) if words is None else _inline_greedy(pieces, ids, words)
+    return segmented if whole is None else whole.unionByName(segmented)
+
+
+def _inline_greedy(pieces: DataFrame, ids: Sequence[str], words: Sequence[str]) -> DataFrame:
+    """Each run is segmented where it is read: no shuffle."""
+    tokens = pieces.select(*ids, F.col("start").alias("_run_start"), F.explode(T.greedy(F.col("run"), words)).alias("_t"))
+    start, term = F.col("_run_start") + F.col("_t.start"), F.col("_t.term")
+    return tokens.select(
+        *ids, start.alias("start"), (start + F.length(term)).alias("end"), term.alias("term"), F.col("_t.known").alias("known")
+    )
+
+
+def _joined_greedy(pieces: DataFrame, ids: Sequence[str], dictionary: DataFrame) -> DataFrame:
+    """For any dictionary: the words found in each run are collected by run, then chosen from left to right."""
     placed = pieces.withColumnRenamed("start", "_run_start")
     found = find_all(placed, [*ids, "_run_start"], F.col("run"), dictionary.select("word"))
     places = found.select(*ids, "_run_start", F.lit(None).cast("string").alias("run"), F.struct("start", "n").alias("_at"))
@@ -202,11 +220,10 @@ def segment_greedy(
     chosen = per_run.select(*ids, "_run_start", chars.alias("_chars"), _leftmost(F.col("_found")).alias("_w"))
     tokens = chosen.select(*ids, "_run_start", F.explode(_fill(F.col("_w"), F.col("_chars"))).alias("_t"))
     start = (F.col("_run_start") + F.col("_t.start")).cast("int")
-    segmented = tokens.select(
+    return tokens.select(
         *ids, start.alias("start"), (start + F.col("_t.n")).alias("end"),
         F.col("_t.term").alias("term"), F.col("_t.known").alias("known"),
     )
-    return segmented if whole is None else whole.unionByName(segmented)
 
 
 def _fill(chosen: Column, chars: Column) -> Column:
