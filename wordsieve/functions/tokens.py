@@ -14,6 +14,9 @@ LATIN = "0-9a-zà-öø-ÿ"
 LETTERS = "\\p{L}\\p{M}\\p{N}"
 OTHER = f"{LETTERS}&&[^{LATIN}]"
 
+# Words are grouped by these lengths, and sought by their first characters within a group.
+HEADS = (1, 2, 4, 8)
+
 # Items per step of the outer fold of a choice from left to right.
 BLOCK = 32
 
@@ -87,7 +90,11 @@ def is_one_of(value: Column, words: Sequence[str]) -> Column:
     return value.isin(list(words)) if words else F.lit(False)
 
 
-def left_to_right(items: Column, begin: Callable[[Column], Column], end: Callable[[Column], Column]) -> Column:
+def left_to_right(
+    items: Column,
+    end: Callable[[Column, Column], Column],
+    begin: Callable[[Column, Column], Column] = lambda item, i: i,
+) -> Column:
     """Take items in order, each if it begins at or after the end of the one taken before: their indexes.
 
     A fold copies its state at every step, so a list that grew through all of them would cost the
@@ -98,8 +105,8 @@ def left_to_right(items: Column, begin: Callable[[Column], Column], end: Callabl
     def block(first: Column, next_: Column) -> Column:
         def step(acc: Column, i: Column) -> Column:
             item = F.get(items, i)
-            taken = F.struct(end(item).alias("next"), F.array_append(acc["out"], i).alias("out"))
-            return F.when(begin(item) >= acc["next"], taken).otherwise(acc)
+            taken = F.struct(end(item, i).alias("next"), F.array_append(acc["out"], i).alias("out"))
+            return F.when(begin(item, i) >= acc["next"], taken).otherwise(acc)
 
         last = F.least(F.size(items), first + BLOCK) - 1
         return F.aggregate(F.sequence(first, last), F.struct(next_.alias("next"), no_index.alias("out")), step)
@@ -121,24 +128,29 @@ def greedy(run: Column, words: Sequence[str]) -> Column:
     by_length: dict[int, list[str]] = {}
     for w in words:
         by_length.setdefault(len(w), []).append(w)
-    shortest, longest = min(by_length, default=1), max(by_length, default=1)
-    heads = sorted({w[:shortest] for w in words})
+    longest = max(by_length, default=1)
+
+    def of_lengths(window: Column, shortest: int, lengths: list[int]) -> Column:
+        """The length of the longest word, sought only where the first characters are those of one."""
+        heads = sorted({w[:shortest] for n in lengths for w in by_length[n]})
+        fits = [F.when(is_one_of(F.substring(window, 1, n), by_length[n]), n) for n in lengths]
+        return F.when(is_one_of(F.substring(window, 1, shortest), heads), F.coalesce(*fits))
 
     def best(window: Column) -> Column:
-        """The longest word the window begins with, else null."""
-        fits = [F.when(is_one_of(F.substring(window, 1, n), by_length[n]), F.substring(window, 1, n)) for n in sorted(by_length, reverse=True)]
-        return F.when(is_one_of(F.substring(window, 1, shortest), heads), F.coalesce(*fits)) if fits else F.lit(None).cast("string")
-
-    def place(window: Column, i: Column) -> Column:
-        return bind(
-            best(window),
-            lambda word: F.struct(
-                i.alias("start"), F.coalesce(word, F.substring(window, 1, 1)).alias("term"), word.isNotNull().alias("known")
-            ),
-        )
-
-    def chosen(places: Column) -> Column:
-        taken = left_to_right(places, lambda p: p["start"], lambda p: p["start"] + F.length(p["term"]))
-        return F.transform(taken, lambda i: F.get(places, i))
-
-    return bind(F.transform(windows(run, longest), place), chosen)
+        """The length of the longest word the window begins with, 0 for none."""
+        tiers = []
+        for low, high in zip(reversed(HEADS), [longest + 1, *reversed(HEADS)], strict=False):
+            lengths = sorted((n for n in by_length if low <= n < high), reverse=True)
+            if lengths:
+                tiers.append(of_lengths(window, lengths[-1], lengths))
+        return F.coalesce(*tiers, F.lit(0))
+
+    def tokens(at: Column, lengths: Column) -> Column:
+        def token(i: Column) -> Column:
+            n = F.get(lengths, i)
+            term = F.substring(F.get(at, i), F.lit(1), F.greatest(n, F.lit(1)))
+            return F.struct(i.alias("start"), term.alias("term"), (n > 0).alias("known"))
+
+        return F.transform(left_to_right(lengths, lambda n, i: i + F.greatest(n, F.lit(1))), token)
+
+    return bind(windows(run, longest), lambda at: bind(F.transform(at, best), lambda lengths: tokens(at, lengths)))

@@ -20,9 +20,6 @@ STEP = 256
 # Words up to this length are compared with the characters that follow a position, longer ones with its piece.
 WINDOW = 64
 
-# Dictionary words are looked up by this many leading characters, the most the word has, then compared whole.
-HEADS = (1, 2, 4, 8)
-
 # Two characters between which no Latin word begins or ends.
 INSIDE_WORD = f"^[{T.LATIN}]{{2}}$"
 
@@ -39,8 +36,8 @@ class DictionaryShape:
 
 def _head_length(word: Column) -> Column:
     length = F.length(word)
-    picked = F.lit(HEADS[0])
-    for n in HEADS[1:]:
+    picked = F.lit(T.HEADS[0])
+    for n in T.HEADS[1:]:
         picked = F.when(length >= n, n).otherwise(picked)
     return picked
 
@@ -105,7 +102,7 @@ def find_all(
 ) -> DataFrame:
     """Every dictionary word at every position, overlaps included: ids, start, n, word, other dictionary columns.
 
-    Each position is looked up by the first characters only (once per length of ``HEADS`` that the
+    Each position is looked up by the first characters only (once per length of ``tokens.HEADS`` that the
     dictionary needs) and compared whole on a hit, so the work does not grow with the longest word.
     ``context`` adds a column of that many characters before and after the word; missing ones on the
     left are ``PAD``. ``at_word_start`` passes over positions inside a Latin word, and needs a context.
@@ -165,7 +162,7 @@ def _leftmost(found: Column) -> Column:
     by_start = F.transform(found, lambda w: F.struct(w["start"].alias("start"), (-w["n"]).alias("minus_n")))
 
     def chosen(words: Column) -> Column:
-        taken = T.left_to_right(words, lambda w: w["start"], lambda w: (w["start"] - w["minus_n"]).cast("int"))
+        taken = T.left_to_right(words, lambda w, _: (w["start"] - w["minus_n"]).cast("int"), lambda w, _: w["start"])
 
         def word(i: Column) -> Column:
             return F.struct(F.get(words, i)["start"].alias("start"), (-F.get(words, i)["minus_n"]).alias("n"))
