@@ -54,7 +54,7 @@ def batch_files(path: str, partition_by: Sequence[str] = ()) -> BatchSink:
 
 
 def queue(fmt: str, options: Mapping[str, str]) -> BatchSink:
-    """Send key and value to a message queue."""
+    """Send key and value to a message queue. A batch that is run again is sent again."""
 
     def sink(rows: DataFrame, batch_id: int) -> None:
         rows.select("key", "value").write.format(fmt).options(**options).save()
