@@ -102,6 +102,19 @@ def test_a_retried_batch_leaves_no_copy(spark, tmp_path):
     assert [(r.word, r.batch_id) for r in discovery.read_candidates(spark, path).collect()] == [("bad", 7)]
 
 
+def test_compacted_candidates_stay_known(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    none = spark.createDataFrame([], "word string")
+    keep = discovery.to_candidates(spark, lambda: none, old)
+    keep(spark.createDataFrame([("bad",)], "word string"), 1)
+    keep(spark.createDataFrame([("worse",)], "word string"), 2)
+    discovery.compact_candidates(spark, old, new)
+    keep = discovery.to_candidates(spark, lambda: none, new)
+    keep(spark.createDataFrame([("bad",), ("worst",)], "word string"), 3)
+    got = sorted((r.word, r.batch_id) for r in discovery.read_candidates(spark, new).collect())
+    assert got == [("bad", -2), ("worse", -2), ("worst", 3)]
+
+
 def test_discovered_words_enter_the_lexicon(spark, tmp_path, model):
     inbox, words = str(tmp_path / "in"), str(tmp_path / "words")
     known = spark.createDataFrame([("worst", "c", "add")], "word string, category string, op string")

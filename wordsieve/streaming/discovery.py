@@ -54,6 +54,14 @@ def to_candidates(spark: SparkSession, load_lexicon: Callable[[], DataFrame], pa
     return keep
 
 
+def compact_candidates(spark: SparkSession, path: str, target: str) -> None:
+    """Write the candidates of all batches as one set of files below ``target``, which then replaces ``path``.
+
+    Each batch reads the candidates of the others, so a stream that has run long should not find a folder per batch.
+    """
+    read_candidates(spark, path).select("word").distinct().write.mode("overwrite").parquet(f"{target}/batch_id=-2")
+
+
 def to_lexicon(spark: SparkSession, path: str, first_version: int, category: str = "discovered") -> Keep:
     """Take new words into a versioned lexicon at once; batch n becomes version ``first_version`` + n."""
 
