@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +18,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_CHARS = 1 << 19
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it; a cluster gets it with --py-files."""
+    top = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if top not in paths.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{top}:{paths}".rstrip(":")
+
+
 def read(spark: SparkSession, base: str, table: str, *columns: str) -> DataFrame:
     """The named columns of a table of the given folder."""
+    ship(spark)
     return spark.read.parquet(f"{base}/{table}.parquet").select(*columns)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordsieve.llm import line_rules, mixing, sharding, token_counts
+from wordsieve.llm import line_rules, mixing, near_dup, sharding, token_counts
 from wordsieve.llm.common import read
 
 
@@ -32,10 +32,15 @@ def op6_line_rules(spark: SparkSession, base: str) -> DataFrame:
     return line_rules.rules(read(spark, base, "documents", "doc_id", "text", "source")).drop("source")
 
 
+def op8_near_duplicates(spark: SparkSession, base: str) -> DataFrame:
+    found = near_dup.groups(read(spark, base, "documents", "doc_id", "text"))
+    return found.drop("text", "first").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op9_mix_sources(spark: SparkSession, base: str) -> DataFrame:
     return mixing.mix(read(spark, base, "documents", "doc_id", "text", "source")).drop("text", "source")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_shuffle_shards, op6_line_rules, op9_mix_sources)
+    f.__name__: f for f in (op1_token_counts, op2_shuffle_shards, op6_line_rules, op8_near_duplicates, op9_mix_sources)
 }
