@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordsieve.llm import line_rules, mixing, near_dup, sharding, token_counts
-from wordsieve.llm.common import read
+from wordsieve.llm import decontaminate, html_text, langid, line_rules, mixing, near_dup, quality, sharding, token_counts, toxicity
+from wordsieve.llm.common import read, remainder
 
 
 def op1_token_counts(spark: SparkSession, base: str) -> DataFrame:
@@ -28,10 +28,39 @@ def op2_shuffle_shards(spark: SparkSession, base: str) -> DataFrame:
     return sharding.external_shuffle(digest).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op3_quality(spark: SparkSession, base: str) -> DataFrame:
+    docs = read(spark, base, "documents", "doc_id", "text")
+    labels = read(spark, base, "labels", "doc_id", "quality").where(remainder(F.col("doc_id"), 5) != 0)
+    scored = quality.quality(docs, labels.withColumnRenamed("quality", "label"))
+    return scored.withColumn("held_out", remainder(F.col("doc_id"), 5) == 0)
+
+
+def op4_main_text(spark: SparkSession, base: str) -> DataFrame:
+    return html_text.extract(read(spark, base, "pages", "page_id", "url", "html"))
+
+
+def op5_decontaminate(spark: SparkSession, base: str) -> DataFrame:
+    docs = read(spark, base, "documents", "doc_id", "text")
+    found = decontaminate.contaminated(docs, read(spark, base, "benchmark", "item_id", "text"))
+    return found.select(
+        "doc_id",
+        (F.size("matches") > 0).alias("contaminated"),
+        F.col("matches.item_id").alias("item_ids"),
+        F.coalesce(F.array_max("matches.similarity"), F.lit(0.0)).alias("similarity"),
+    )
+
+
 def op6_line_rules(spark: SparkSession, base: str) -> DataFrame:
     return line_rules.rules(read(spark, base, "documents", "doc_id", "text", "source")).drop("source")
 
 
+def op7_languages(spark: SparkSession, base: str) -> DataFrame:
+    docs = read(spark, base, "documents", "doc_id", "text")
+    labels = read(spark, base, "documents", "doc_id", "lang").where(remainder(F.col("doc_id"), 3) != 1)
+    found = langid.languages(docs, labels.withColumnRenamed("lang", "label"), reject=False)
+    return found.withColumn("held_out", remainder(F.col("doc_id"), 3) == 1)
+
+
 def op8_near_duplicates(spark: SparkSession, base: str) -> DataFrame:
     found = near_dup.groups(read(spark, base, "documents", "doc_id", "text"))
     return found.drop("text", "first").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -41,6 +70,17 @@ def op9_mix_sources(spark: SparkSession, base: str) -> DataFrame:
     return mixing.mix(read(spark, base, "documents", "doc_id", "text", "source")).drop("text", "source")
 
 
+def op10_toxicity(spark: SparkSession, base: str) -> DataFrame:
+    docs = read(spark, base, "documents", "doc_id", "text")
+    labels = read(spark, base, "labels", "doc_id", "toxic").where(remainder(F.col("doc_id"), 4) != 2)
+    scored = toxicity.toxicity(docs, labels.withColumnRenamed("toxic", "label"))
+    return scored.withColumn("held_out", remainder(F.col("doc_id"), 4) == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_shuffle_shards, op6_line_rules, op8_near_duplicates, op9_mix_sources)
-}
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_shuffle_shards, op3_quality, op4_main_text, op5_decontaminate,
+        op6_line_rules, op7_languages, op8_near_duplicates, op9_mix_sources, op10_toxicity,
+    )
+}

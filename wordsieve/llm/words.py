@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 from wordsieve.llm.common import SPACES, blocks
+from wordsieve.llm.ngrams import PLAIN
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[ord(c) for c in SPACES]] = True
@@ -40,7 +41,7 @@ def word_bounds(data: np.ndarray, spaces: np.ndarray = IS_SPACE) -> tuple[np.nda
     return edges[::2], edges[1::2]
 
 
-def hashes_of(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+def hashes_of(data: np.ndarray, first: np.ndarray, last: np.ndarray, spaces: np.ndarray = IS_SPACE) -> np.ndarray:
     """A 64-bit hash of the bytes of each word."""
     if not len(first):
         return np.zeros(0, np.uint64)
@@ -48,23 +49,25 @@ def hashes_of(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarr
     place = np.arange(len(data)) - np.repeat(np.concatenate([[0], first[1:]]), np.diff(np.concatenate([[0], first[1:], [len(data)]])))
     # Bytes that follow a word up to the next one count nothing.
     value = data.astype(np.uint64) + np.uint64(1)
-    value[IS_SPACE[data]] = 0
+    value[spaces[data]] = 0
     value *= powers(int(place.max()) + 1)[place]
     return mix(np.add.reduceat(value, first) + sizes.astype(np.uint64))
 
 
-def word_hashes(texts: Sequence[str | None], lower: bool = True) -> Iterator[tuple[int, np.ndarray]]:
-    """The row and the hashes of its words in order, for each text with a word; A-Z count as a-z if asked."""
+def word_hashes(texts: Sequence[str | None], plain: bool = False) -> Iterator[tuple[int, np.ndarray]]:
+    """The row and the hashes of its words in order, for each text with a word.
+
+    Words are what white space parts, with A-Z as a-z. ``plain`` words are lower-case in every script, and all
+    ASCII marks part them.
+    """
+    spaces = PLAIN if plain else IS_SPACE
     row, held = -1, []
     for rows, parts in blocks(texts):
-        encoded = [p.encode() for p in parts]
-        data = np.frombuffer(b"\n".join(encoded), np.uint8)
-        if lower:
-            data = LOWER[data]
-        first, last = word_bounds(data)
-        found = hashes_of(data, first, last)
-        ends = np.cumsum([len(e) + 1 for e in encoded])
-        cuts = np.searchsorted(first, ends)
+        encoded = [(p.lower() if plain else p).encode() for p in parts]
+        data = LOWER[np.frombuffer(b"\n".join(encoded), np.uint8)]
+        first, last = word_bounds(data, spaces)
+        found = hashes_of(data, first, last, spaces)
+        cuts = np.searchsorted(first, np.cumsum([len(e) + 1 for e in encoded]))
         begin = 0
         for r, cut in zip(rows, cuts):
             if r != row:
