@@ -24,7 +24,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies: that of the smallest id. Shingles are of five words."""
     ship(spark)
-    return near_dup.groups(packed(docs).drop("source"), shingle=5).where("first").select("record.*")
+    return near_dup.grouped(docs, shingle=5).where("first").select("record.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

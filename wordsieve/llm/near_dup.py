@@ -139,6 +139,37 @@ def links_of(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> list[tupl
 LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
+def hub_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Verified links of the nodes of large clusters with their hubs.
+
+    A node's hub is, of all members of its bands, the one whose bands have most members together.
+    """
+    inside = members.join(sets.select("node"), "node", "left_semi")
+    met = inside.groupBy("node").agg(F.sum("n").alias("met"))
+    best = inside.join(met, "node").groupBy("band").agg(F.max(F.struct("met", (-F.col("node")).alias("low"))).alias("hub"))
+    pairs = inside.join(best, "band").groupBy("node").agg((-F.max("hub")["low"]).alias("hub")).where("node <> hub")
+    facing = sets.select("node", "n", "hashes").join(pairs, "node").join(
+        sets.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("hashes").alias("hub_hashes")), "hub"
+    )
+    both = F.size(F.array_intersect("hashes", "hub_hashes"))
+    near = 100 * both >= percent * (F.col("n") + F.col("hub_n") - both)
+    return stored(facing.where(near).select(F.col("node").alias("a"), F.col("hub").alias("b")), "near-dup-hubs")
+
+
+def large_blocks(sets: DataFrame, joined: DataFrame) -> DataFrame:
+    """Pairs of blocks of the large clusters: nodes outside a cluster's largest group against all its nodes."""
+    rooted = sets.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    share = rooted.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("c"))
+    main = share.groupBy("cluster").agg(F.max(F.struct("c", "root"))["root"].alias("main"))
+    rooted = rooted.join(main, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int"))
+    outside = F.col("root") != F.col("main")
+    with_outside = rooted.where(outside).select("cluster", F.col("block").alias("i")).distinct()
+    every = rooted.select("cluster", F.col("block").alias("j")).distinct()
+    lefts = rooted.where(outside).withColumnRenamed("block", "i").join(every, "cluster").withColumn("side", F.lit(0))
+    rights = rooted.withColumnRenamed("block", "j").join(with_outside, "cluster").withColumn("side", F.lit(1))
+    return lefts.unionByName(rights).withColumn("key", F.col("cluster"))
+
+
 def groups(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -166,13 +197,21 @@ def groups(
     which one row is ``first``. An empty table gives an empty result.
     """
     added = ["n_shingles", "component_id", "first"]
-    kept = without(docs, *added)
-    source = docs.select(*[quoted(c) for c in kept]).withColumn("_id", quoted(doc_id).cast("long")).withColumn("_t", quoted(text))
-    sketched = map_text(source.withColumn("_row", F.monotonically_increasing_id()), "_t", SKETCH, lambda: sketches(shingle), True)
-    rows = stored(
-        sketched.select("_row", "_id", *SKETCH.fieldNames(), F.struct(*[quoted(c) for c in kept]).alias("record"), F.col("_t")),
-        "near-dup-rows",
+    found = grouped(docs, doc_id, text, shingle, percent)
+    kept = [F.col("record")[c].alias(c) for c in without(docs, *added)]
+    return found.select(*kept, *added)
+
+
+def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = SIMILARITY_PERCENT) -> DataFrame:
+    """As ``groups``, with each whole row of ``docs`` as ``record``."""
+    body = F.col("record")[text]
+    source = docs.select(
+        F.monotonically_increasing_id().alias("_row"),
+        quoted(doc_id).cast("long").alias("_id"),
+        F.struct(*[quoted(c) for c in docs.columns]).alias("record"),
+        quoted(text).alias("_t"),
     )
+    rows = stored(map_text(source, "_t", SKETCH, lambda: sketches(shingle)), "near-dup-rows")
     lowest = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_row")))
     nodes = stored(
         rows.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
@@ -187,7 +226,7 @@ def groups(
     clustered = clusters.join(sizes, "root").select("node", F.col("root").alias("cluster"), "size")
     # The sets of the nodes in clusters, from the whole texts.
     picked = nodes.drop("low").join(clustered, "node")
-    texts = rows.select(F.col("_row").alias("node"), F.col("_t")).join(picked.select("node", "cluster", "size", "n_shingles", "sketch"), "node")
+    texts = rows.select(F.col("_row").alias("node"), body.alias("_t")).join(picked.select("node", "cluster", "size", "n_shingles", "sketch"), "node")
 
     def full_sets() -> Iterator:
         def compute(batch: list[str | None]) -> list[pa.Array]:
@@ -202,38 +241,16 @@ def groups(
     sets = stored(map_text(texts, "_t", hashes, full_sets).withColumnRenamed("n_shingles", "n"), "near-dup-sets")
     large = F.col("size") > BLOCK
 
-    # Hubs of the large clusters.
-    inside = members.join(sets.where(large).select("node"), "node", "left_semi")
-    met = inside.groupBy("node").agg(F.sum("n").alias("met"))
-    best = inside.join(met, "node").groupBy("band").agg(F.max(F.struct("met", (-F.col("node")).alias("low"))).alias("hub"))
-    pairs = inside.join(best, "band").groupBy("node").agg((-F.max(F.col("hub"))["low"]).alias("hub")).where("node <> hub")
-    hubs = sets.join(pairs.select(F.col("hub").alias("node")).distinct(), "node", "left_semi")
-    facing = (
-        sets.where(large).select("node", "n", "hashes").join(pairs, "node")
-        .join(hubs.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("hashes").alias("hub_hashes")), "hub")
-    )
-    both = F.size(F.array_intersect("hashes", "hub_hashes"))
-    to_hub = stored(
-        facing.where(100 * both >= percent * (F.col("n") + F.col("hub_n") - both)).select(F.col("node").alias("a"), F.col("hub").alias("b")),
-        "near-dup-hubs",
-    )
-    joined = components(to_hub)
-
-    # Blocks. Small clusters go whole into packs of about BLOCK nodes.
-    body = ["node", "root", "n", "sketch", "hashes"]
+    body_columns = ["node", "root", "n", "sketch", "hashes"]
     packs = int(sets.where(~large).count() // BLOCK + 1)
-    small = sets.where(~large).withColumn("root", F.col("node")).select(
-        F.pmod(F.xxhash64("cluster"), F.lit(packs)).alias("key"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), "cluster", F.lit(0).alias("side"), *body
+    # Small clusters go whole into packs of about BLOCK nodes.
+    parts = sets.where(~large).withColumn("root", F.col("node")).select(
+        F.pmod(F.xxhash64("cluster"), F.lit(packs)).alias("key"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), "cluster", F.lit(0).alias("side"), *body_columns
     )
-    rooted = sets.where(large).join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    share = rooted.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("c"))
-    main = share.groupBy("cluster").agg(F.max(F.struct("c", "root"))["root"].alias("main"))
-    rooted = rooted.join(main, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int"))
-    outside = F.col("root") != F.col("main")
-    left_blocks = rooted.where(outside).select("cluster", F.col("block").alias("i")).distinct()
-    right_blocks = rooted.select("cluster", F.col("block").alias("j")).distinct()
-    lefts = rooted.where(outside).join(right_blocks, "cluster").select(F.col("cluster").alias("key"), F.col("block").alias("i"), "j", "cluster", F.lit(0).alias("side"), *body)
-    rights = rooted.join(left_blocks, "cluster").select(F.col("cluster").alias("key"), "i", F.col("block").alias("j"), "cluster", F.lit(1).alias("side"), *body)
+    to_hub = None
+    if not sets.where(large).isEmpty():
+        to_hub = hub_links(members, sets.where(large), percent)
+        parts = parts.unionByName(large_blocks(sets.where(large), components(to_hub)).select(parts.columns))
 
     def compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int]] = []
@@ -244,8 +261,8 @@ def groups(
             found += links_of(part[part["side"] == 0], part[part["side"] == 1], percent)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    by_blocks = small.unionByName(lefts).unionByName(rights).groupBy("key", "i", "j").applyInPandas(compare, LINK)
-    labels = components(to_hub.unionByName(by_blocks))
+    by_blocks = parts.groupBy("key", "i", "j").applyInPandas(compare, LINK)
+    labels = components(by_blocks if to_hub is None else by_blocks.unionByName(to_hub))
 
     ends = (
         nodes.select("set_a", "set_b", "n_shingles", "node", "low").join(labels, "node", "left")
@@ -254,7 +271,7 @@ def groups(
     owners = ends.groupBy("root").agg(F.min("low").alias("owner"))
     named = ends.join(owners, "root").select("set_a", "set_b", "n_shingles", "owner")
     return rows.select("_row", "_id", *SKETCH.fieldNames()[:3], "record").join(named, ["set_a", "set_b", "n_shingles"], "left").select(
-        "record.*",
+        "record",
         "n_shingles",
         F.when(F.col("owner").isNull(), F.col("_id")).otherwise(F.col("owner._id")).alias("component_id"),
         (F.col("owner").isNull() | (F.col("owner._row") == F.col("_row"))).alias("first"),
