@@ -76,24 +76,24 @@ def map_text(
 def blocks(texts: Sequence[str | None], limit: int = BLOCK_CHARS) -> Iterator[tuple[list[int], list[str]]]:
     """Group texts into blocks of about ``limit`` characters: the rows, and a piece of text for each.
 
-    Long texts are cut in front of white space that follows a word, so that no word is divided. A word longer
-    than a block stays whole.
+    Texts longer than ``limit`` are cut in front of white space that follows a word, so that no word is divided; where
+    they are cut depends on the text alone. A word longer than a block stays whole.
     """
     rows: list[int] = []
     parts: list[str] = []
-    room = limit
+    held = 0
     for row, text in enumerate(texts):
         begin, size = 0, len(text or "")
         while begin < size:
-            end = min(size, begin + max(room, limit // 4))
+            end = min(size, begin + limit)
             while end < size and not (text[end].isspace() and not text[end - 1].isspace()):
                 end += 1
+            if held and held + end - begin > limit:
+                yield rows, parts
+                rows, parts, held = [], [], 0
             rows.append(row)
             parts.append(text[begin:end])
-            room -= end - begin
+            held += end - begin
             begin = end
-            if room <= 0:
-                yield rows, parts
-                rows, parts, room = [], [], limit
     if rows:
         yield rows, parts

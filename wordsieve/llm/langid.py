@@ -35,8 +35,12 @@ def counts(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray
         piece = block.piece_of(np.arange(len(data)))
         rows, at = np.unique(block.rows, return_inverse=True)
         total = np.zeros(len(rows) << BITS, np.float32)
-        for _, hashes in windows(data, SIZES):
-            total += np.bincount((at[piece[: len(hashes)]] << BITS) + slots(hashes, BITS), minlength=len(total))
+        for size, hashes in windows(data, SIZES):
+            where = (at[piece[: len(hashes)]] << BITS) + slots(hashes, BITS)
+            total += np.bincount(where, minlength=len(total))
+            # Windows over the end of a piece count for none.
+            over = (block.begin[1:, None] - np.arange(1, size)).ravel()
+            total -= np.bincount(where[over[over < len(where)]], minlength=len(total))
         total = total.reshape(len(rows), -1)
         if carry_row == rows[0]:
             total[0] += carry
