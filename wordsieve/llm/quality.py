@@ -21,7 +21,8 @@ PER_LABEL = 1500
 BITS = 16
 DIMENSIONS = 8
 SIZES = (3, 4, 5)
-EPOCHS = 6
+# Steps of the descent, and the most passes over a small sample.
+STEPS, EPOCHS = 18_000, 60
 RATE = 0.3
 
 # Marks a pair of equal words.
@@ -29,11 +30,14 @@ SAME = np.uint32(0x51ED270B)
 
 
 def tokens(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of a block and the place of each: words, pairs of equal words, and character n-grams in their case."""
+    """Slots of a block and the place of each: words, character n-grams in their case, and the mark of equal words.
+
+    A word that equals the one before has the mark once for each of its bytes, about as often as it has n-grams.
+    """
     ids = word_ids(block)
-    again = np.flatnonzero(ids[1:] == ids[:-1]) + 1
-    found = [slots(ids, BITS), np.full(len(again), slots(np.array([SAME]), BITS)[0])]
-    places = [block.first, block.first[again]]
+    again = np.concatenate([[False], ids[1:] == ids[:-1]]) * (block.last - block.first) if len(ids) else np.zeros(0, np.int64)
+    found = [slots(ids, BITS), np.full(again.sum(), slots(np.array([SAME]), BITS)[0])]
+    places = [block.first, np.repeat(block.first, again)]
     for _, hashes in windows(block.data, SIZES):
         found.append(slots(hashes, BITS))
         places.append(np.arange(len(hashes)))
@@ -53,7 +57,7 @@ class Model:
         total, count = np.zeros(len(texts)), np.zeros(len(texts))
         for block in text_blocks(texts, WHITE, False):
             ids = word_ids(block)
-            again = np.concatenate([[False], ids[1:] == ids[:-1]]) if len(ids) else np.zeros(0, bool)
+            again = np.concatenate([[False], ids[1:] == ids[:-1]]) * (block.last - block.first) if len(ids) else np.zeros(0, np.int64)
             words = self.parts[slots(ids, BITS)] + again * self.parts[slots(np.array([SAME]), BITS)[0]]
             cuts = np.searchsorted(block.first, np.concatenate([block.begin[1:], [len(block.data)]]))
             sums = np.diff(np.concatenate([[0.0], np.cumsum(words, dtype=np.float64)])[np.concatenate([[0], cuts])])
@@ -93,8 +97,9 @@ def fit(texts: Sequence[str], labels: Sequence[int], rates: dict, seed: int = 5)
     weight = np.array([1 / rates.get(y, 1.0) for y in labels])
     weight /= weight.mean()
     seen, seen_output, seen_bias = np.full(1 << BITS, 1e-8, np.float32), np.full(output.shape, 1e-8), np.full(2, 1e-8)
-    for epoch in range(EPOCHS):
-        step = RATE * (1 - epoch / EPOCHS)
+    epochs = min(EPOCHS, -(-STEPS // len(bags)))
+    for epoch in range(epochs):
+        step = RATE * (1 - epoch / epochs)
         for k in rng.permutation(len(bags)):
             at, share = bags[k]
             hidden = share @ vectors[at]
