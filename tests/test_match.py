@@ -26,7 +26,7 @@ def words(spark, *entries):
 def test_flag(spark, rows, size, profile, mode, sensitive, request):
     if size == "shuffled":
         request.getfixturevalue("shuffled")
-    flagged = match.flag_messages(rows, ["i"], F.col("t"), insult_lexicon(spark), profile, mode)
+    flagged = match.flag_messages(rows, F.col("t"), insult_lexicon(spark), profile, mode)
     got = {r.i: r.is_sensitive for r in flagged.collect()}
     assert got == {i: None if t is None else i in sensitive for i, t in enumerate(TEXTS)}
 
@@ -34,21 +34,21 @@ def test_flag(spark, rows, size, profile, mode, sensitive, request):
 def test_flag_many_words_anywhere(spark, rows):
     """More words than are sought one by one, of several lengths."""
     many = words(spark, "clownis", *[f"q{i}" for i in range(100)], "好")
-    flagged = match.flag_messages(rows, ["i"], F.col("t"), many, None, "anywhere")
+    flagged = match.flag_messages(rows, F.col("t"), many, None, "anywhere")
     assert {r.i for r in flagged.where("is_sensitive").collect()} == {1}
     far = spark.createDataFrame([(0, "x" * 1020 + "clownish"), (1, "x" * 5000)], "i int, t string")
-    assert {r.i for r in match.flag_messages(far, ["i"], F.col("t"), many, None, "anywhere").where("is_sensitive").collect()} == {0}
+    assert {r.i for r in match.flag_messages(far, F.col("t"), many, None, "anywhere").where("is_sensitive").collect()} == {0}
 
 
 def test_empty_lexicon(spark, rows):
     for mode in ("words", "anywhere"):
-        flagged = match.flag_messages(rows, ["i"], F.col("t"), words(spark), None, mode)
+        flagged = match.flag_messages(rows, F.col("t"), words(spark), None, mode)
         assert {r.is_sensitive for r in flagged.where("t is not null").collect()} == {False}
 
 
 def test_words_with_quotes_are_safe(spark):
     rows = spark.createDataFrame([(0, "it's \\ 'x'")], "i int, t string")
-    flagged = match.flag_messages(rows, ["i"], F.col("t"), words(spark, "'x'", "\\"), None, "anywhere")
+    flagged = match.flag_messages(rows, F.col("t"), words(spark, "'x'", "\\"), None, "anywhere")
     assert flagged.first().is_sensitive
 
 
@@ -113,3 +113,41 @@ def test_lookup_and_phrase_search(spark, size, request):
     asked = spark.createDataFrame([("apple",), ("e",), ("",), ("e",)], "query string")
     got = sorted((r.query, r.word) for r in match.phrase_search_many(asked, lexicon).collect())
     assert got == sorted((q, w) for q in ("apple", "e") for w in ("red apple", "apple tree", "apple", "pear") if q in w)
+
+
+@pytest.mark.parametrize("size", ["inline", "shuffled"])
+@pytest.mark.parametrize("mode", ["words", "segmented", "anywhere"])
+def test_verdicts_need_no_key(spark, size, mode, request):
+    """Constant and null keys, and repeated texts: a verdict hangs on the text alone."""
+    if size == "shuffled":
+        request.getfixturevalue("shuffled")
+    rows = [("word", "you trash"), ("word", "have a nice day"), (None, "such an idiot"), (None, "good morning"), (None, None), ("word", "you trash")]
+    df = spark.createDataFrame(rows, "key string, t string")
+    got = match.flag_messages(df, F.col("t"), insult_lexicon(spark), mode=mode).collect()
+    want = [(k, t, None if t is None else "trash" in t or "idiot" in t) for k, t in rows]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("size", ["inline", "shuffled"])
+def test_defaults_for_all_scripts(spark, size, request):
+    if size == "shuffled":
+        request.getfixturevalue("shuffled")
+    texts = ["you Trash", "such an idiot!", "nice day", "tanie ŁÓDŹ x", "скажи привет", "大红苹果甜", "大红苹果树", "a  bad, word here", "badword", "bad"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    lexicon = words(spark, "Trash", "idiot", "Łódź", "привет", "苹果", "bad word")
+    got = match.flag_messages(rows, F.col("t"), lexicon, dictionary=words(spark, "苹果树")).where("is_sensitive").collect()
+    assert {r.i for r in got} == {0, 1, 3, 4, 5, 7}
+
+
+def test_words_without_blanks_are_refused(spark, rows):
+    with pytest.raises(ValueError, match="blanks"):
+        match.flag_messages(rows, F.col("t"), insult_lexicon(spark), "filter", "words")
+
+
+@pytest.mark.parametrize("size", ["inline", "shuffled"])
+def test_a_covered_word_is_not_widened(spark, size, request):
+    if size == "shuffled":
+        request.getfixturevalue("shuffled")
+    rows = spark.createDataFrame([(0, "the classroom"), (1, "an ass"), (2, None), (3, "")], "i int, t string")
+    got = match.widened_match(rows, ["i"], F.col("t"), words(spark, "ass"), words(spark, "classroom", "ass")).collect()
+    assert [(r.i, r.word, r.widened) for r in got] == [(1, "ass", "ass")]

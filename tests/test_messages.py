@@ -92,3 +92,20 @@ def test_envelope_and_outgoing(spark):
     assert [tuple(r) for r in outgoing(non_empty(pairs), F.col("id"), F.col("value")).collect()] == [("1", "x")]
     assert {r.key for r in outgoing(pairs, F.col("id"), F.col("value"), constant_key=True).collect()} == {"word"}
     assert kafka_options("h:1", ["a", "b"], 5)["subscribe"] == "a,b"
+
+
+def test_repeated_keys_are_rejected_and_stop_nothing(spark):
+    values = [
+        '{"x":1,"x":2,"isSensitive":0}', '{"x":{"b":1,"b":2},"isSensitive":0}', '{"isSensitive":0,"isSensitive":1}',
+        '{"x":1,"x":2,"content":"idiot"}', '{"isSensitive":0,"content":"idiot"}',
+    ]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    marked = {r.i: r.m for r in rows.select("i", J.mark(F.col("v"), F.lit(True)).alias("m")).collect()}
+    assert marked[0] is marked[1] is marked[2] is None
+    assert marked[3] == '{"x":1,"x":2,"content":"idiot","isSensitive":true}'
+    assert json.loads(marked[4]) == {"content": "idiot", "isSensitive": True}
+    sent = rows.select(F.col("i").alias("key"), F.replace("v", F.lit('"x":1'), F.lit('"content":"scum","x":1')).alias("value"))
+    out = mark_messages(sent, insult_lexicon(spark), path=("content",)).collect()
+    assert {r.key for r in out} == {3, 4} and all(r.is_sensitive for r in out)
+    counts = {r.reason: r.n for r in reject_counts(sent, F.col("value"), ("content",)).collect()}
+    assert counts == {"repeated_key": 1, "missing_key": 2}

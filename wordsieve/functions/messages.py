@@ -71,10 +71,13 @@ def reject_reason(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
             .when(_at(holder, path[-1]).isNull(), "null_text")
         )
 
+    def whole(v: Column, keys: Column) -> Column:
+        return F.when(F.array_contains(keys, MARKER) & ~takes_apart(v), "repeated_key")
+
     def reason(v: Column, keys: Column) -> Column:
         return (
             F.when(v.isNull(), "null_message")
-            .when(keys.isNotNull(), _walk(v, path, below_root))
+            .when(keys.isNotNull(), F.coalesce(_walk(v, path, below_root), whole(v, keys)))
             .when(F.get_json_object(v, "$").isNull(), "malformed")
             .otherwise("not_an_object")
         )
@@ -82,11 +85,17 @@ def reject_reason(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
     return _opened(value, reason)
 
 
+def takes_apart(value: Column) -> Column:
+    """Whether an object can be taken apart: no object in it repeats a key."""
+    return F.try_parse_json(value).isNotNull()
+
+
 def mark(value: Column, verdict: Column) -> Column:
     """The same JSON object with the boolean marker at its root; anything but an object gives null.
 
     The marker is put before the closing brace and the rest stays as it was written. Only an
-    object that has a marker already is taken apart.
+    object that has a marker already is taken apart; where it repeats a key at any depth that can't be done, and
+    the result is null, as ``reject_reason`` tells.
     """
 
     text = verdict.cast("string")
@@ -99,7 +108,7 @@ def mark(value: Column, verdict: Column) -> Column:
         )
         kept = F.map_filter(F.from_json(v, "map<string,variant>"), lambda k, _: k != MARKER)
         replaced = F.to_json(F.map_concat(kept, F.create_map(F.lit(MARKER), F.parse_json(text))))
-        return F.when(F.array_contains(keys, MARKER), replaced).when(keys.isNotNull(), put_in)
+        return F.when(F.array_contains(keys, MARKER), F.when(takes_apart(v), replaced)).when(keys.isNotNull(), put_in)
 
     return F.when(verdict.isNotNull(), _opened(value, marked))
 

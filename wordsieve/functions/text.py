@@ -45,6 +45,11 @@ def clean_text(text: Column, profile: str | None) -> Column:
     return trim_controls(reduce(lambda c, step: F.replace(c, F.lit(step[0]), F.lit(step[1])), steps, text))
 
 
+def removes_blanks(profile: str | None) -> bool:
+    """Whether a cleaning profile joins the words of a text."""
+    return profile is not None and (" ", "") in PROFILES[profile]
+
+
 def normalise_word(word: Column, profile: str | None = "train") -> Column:
     """The form in which a lexicon entry can meet a token: cleaned and in lower case."""
     return F.lower(clean_text(word, profile))

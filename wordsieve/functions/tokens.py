@@ -7,12 +7,15 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters and digits of the Latin alphabets, lower case. ``\w`` is ASCII only and would cut at accents.
-LATIN = "0-9a-zà-öø-ÿ"
-
-# All letters and digits, and those that are not Latin, as character classes.
+# Letters, marks and digits of all scripts, as a character class. ``\w`` is ASCII only and would cut at accents.
 LETTERS = "\\p{L}\\p{M}\\p{N}"
-OTHER = f"{LETTERS}&&[^{LATIN}]"
+
+# Scripts that put no blanks between words: their runs are no words but need a dictionary.
+SPACELESS = "".join(f"\\p{{Is{name}}}" for name in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+
+# Letters of alphabets, of which a run is a word, and the others.
+ALPHABET = f"{LETTERS}&&[^{SPACELESS}]"
+OTHER = f"{LETTERS}&&[{SPACELESS}]"
 
 # Words are grouped by these lengths, and sought by their first characters within a group.
 HEADS = (1, 2, 4, 8)
@@ -27,8 +30,35 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Lower-cased runs of Latin letters and digits, in text order."""
-    return F.regexp_extract_all(F.lower(text), F.lit(f"[{LATIN}]+"), F.lit(0))
+    """Lower-cased runs of letters and digits of any alphabet, in text order.
+
+    A run of a script without blanks is one token here; ``segmented`` cuts it by a dictionary.
+    """
+    return F.regexp_extract_all(F.lower(text), F.lit(f"[{ALPHABET}]+|[{OTHER}]+"), F.lit(0))
+
+
+def segmented(text: Column, dictionary: Sequence[str]) -> Column:
+    """As ``words``, with runs of scripts without blanks cut by a few words, from left to right, the longest first.
+
+    Characters that no word covers are tokens of their own.
+    """
+    cut = [w for w in dictionary if w]
+    pattern = f"[{ALPHABET}]+|{alternation(cut)}|[{OTHER}]" if cut else f"[{ALPHABET}]+|[{OTHER}]"
+    # Words of the dictionary are sought where no alphabet run begins, so only those of other scripts matter.
+    return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
+
+
+def ngrams(tokens: Column, size: int) -> Column:
+    """All runs of ``size`` neighbouring tokens, joined by a blank."""
+    if size == 1:
+        return tokens
+
+    def grams(a: Column) -> Column:
+        last = F.size(a) - size
+        joined = lambda i: F.array_join(F.slice(a, i + 1, F.lit(size)), " ")
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), joined)).otherwise(F.array().cast("array<string>"))
+
+    return bind(tokens, grams)
 
 
 def blank_words(text: Column) -> Column:
@@ -72,8 +102,8 @@ def chunks(text: Column, step: int, overlap: int) -> Column:
 
 
 def run_classes(latin_runs: bool) -> list[str]:
-    """Character classes whose runs are segmented apart: Latin and other letters, or all letters as one."""
-    return [LATIN, OTHER] if latin_runs else [LETTERS]
+    """Character classes whose runs are segmented apart: alphabets and other scripts, or all letters as one."""
+    return [ALPHABET, OTHER] if latin_runs else [LETTERS]
 
 
 def letter_runs(text: Column, latin_runs: bool) -> Column:
@@ -83,7 +113,8 @@ def letter_runs(text: Column, latin_runs: bool) -> Column:
 
 
 def is_latin(run: Column) -> Column:
-    return run.rlike(f"^[{LATIN}]")
+    """Whether a run is of an alphabet, and so a word."""
+    return run.rlike(f"^[{ALPHABET}]")
 
 
 def is_one_of(value: Column, words: Sequence[str]) -> Column:
@@ -120,37 +151,61 @@ def left_to_right(
     return F.when(F.size(items) > 0, F.aggregate(firsts, none, over_blocks, lambda acc: acc["out"])).otherwise(no_index)
 
 
+def alternation(words: Sequence[str]) -> str:
+    """A pattern for the longest of some words, their common beginnings factored out.
+
+    At a position it goes down the tree of their characters, so the work hangs on the text and not on how many
+    words there are or how long they may be.
+    """
+    tree: dict = {}
+    for w in words:
+        node = tree
+        for c in w:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        inner = "|".join(literal(c) + pattern(deeper) for c, deeper in sorted(node.items()) if c)
+        if not inner:
+            return ""
+        return f"(?:{inner})" + ("?" if "" in node else "")
+
+    return pattern(tree)
+
+
+def literal(char: str) -> str:
+    """A character as a pattern."""
+    return char if char.isalnum() else f"\\x{{{ord(char):x}}}"
+
+
 def greedy(run: Column, words: Sequence[str]) -> Column:
-    """Segment a run by a few words given in the plan: from left to right, the longest word first.
+    """Segment a run by a few words given in the plan: from left to right, the longest word first: term, known.
 
     Characters that no word covers are tokens of their own.
     """
-    by_length: dict[int, list[str]] = {}
-    for w in words:
-        by_length.setdefault(len(w), []).append(w)
-    longest = max(by_length, default=1)
-
-    def of_lengths(window: Column, shortest: int, lengths: list[int]) -> Column:
-        """The length of the longest word, sought only where the first characters are those of one."""
-        heads = sorted({w[:shortest] for n in lengths for w in by_length[n]})
-        fits = [F.when(is_one_of(F.substring(window, 1, n), by_length[n]), n) for n in lengths]
-        return F.when(is_one_of(F.substring(window, 1, shortest), heads), F.coalesce(*fits))
-
-    def best(window: Column) -> Column:
-        """The length of the longest word the window begins with, 0 for none."""
-        tiers = []
-        for low, high in zip(reversed(HEADS), [longest + 1, *reversed(HEADS)], strict=False):
-            lengths = sorted((n for n in by_length if low <= n < high), reverse=True)
-            if lengths:
-                tiers.append(of_lengths(window, lengths[-1], lengths))
-        return F.coalesce(*tiers, F.lit(0))
-
-    def tokens(at: Column, lengths: Column) -> Column:
-        def token(i: Column) -> Column:
-            n = F.get(lengths, i)
-            term = F.substring(F.get(at, i), F.lit(1), F.greatest(n, F.lit(1)))
-            return F.struct(i.alias("start"), term.alias("term"), (n > 0).alias("known"))
-
-        return F.transform(left_to_right(lengths, lambda n, i: i + F.greatest(n, F.lit(1))), token)
-
-    return bind(windows(run, longest), lambda at: bind(F.transform(at, best), lambda lengths: tokens(at, lengths)))
+    listed = [w for w in words if w]
+    pattern = f"(?s){alternation(listed)}|." if listed else "(?s)."
+    terms = F.regexp_extract_all(run, F.lit(pattern), F.lit(0))
+    return F.transform(terms, lambda t: F.struct(t.alias("term"), is_one_of(t, listed).alias("known")))
+
+
+def starts(tokens: Column) -> Column:
+    """Offset of each token in the run that the tokens make up, by sums over blocks and inside them."""
+    no_index = F.array().cast("array<int>")
+
+    def sums(lengths: Column, base: Column) -> Column:
+        first = F.struct(base.alias("next"), no_index.alias("out"))
+        return F.aggregate(
+            lengths, first, lambda acc, n: F.struct((acc["next"] + n).alias("next"), F.array_append(acc["out"], acc["next"]).alias("out"))
+        )
+
+    def over_blocks(lengths: Column) -> Column:
+        step = lambda acc, at: bind(
+            sums(F.slice(lengths, at + 1, F.lit(BLOCK)), acc["next"]),
+            lambda r: F.struct(r["next"].alias("next"), F.concat(acc["out"], r["out"]).alias("out")),
+        )
+        firsts = F.sequence(F.lit(0), F.size(lengths) - 1, F.lit(BLOCK))
+        none = F.struct(F.lit(0).alias("next"), no_index.alias("out"))
+        return F.when(F.size(lengths) > 0, F.aggregate(firsts, none, step, lambda acc: acc["out"])).otherwise(no_index)
+
+    return bind(F.transform(tokens, lambda t: F.length(t)), over_blocks)

@@ -58,10 +58,15 @@ def fit_perceptron(
     return _fit(train, buckets, hashing, classifier)
 
 
-def fit_word2vec(train: DataFrame, size: int = 1, min_count: int = 1, layers: list[int] | None = None) -> PipelineModel:
-    """Word vectors instead of hashed counts, with the labels indexed before and restored after."""
+def fit_word2vec(
+    train: DataFrame, size: int = 1, min_count: int = 1, layers: list[int] | None = None, partitions: int = 1
+) -> PipelineModel:
+    """Word vectors instead of hashed counts, with the labels indexed before and restored after.
+
+    Words below ``min_count`` are left out of the vocabulary, which the driver holds; training runs in ``partitions`` tasks.
+    """
     labels = StringIndexer(inputCol="label", outputCol="indexedLabel", stringOrderType="alphabetAsc").fit(train)
-    vectors = Word2Vec(inputCol=X.TERMS, outputCol=X.FEATURES, vectorSize=size, minCount=min_count, seed=MLP_SEED)
+    vectors = Word2Vec(inputCol=X.TERMS, outputCol=X.FEATURES, vectorSize=size, minCount=min_count, numPartitions=partitions, seed=MLP_SEED)
     classifier = MultilayerPerceptronClassifier(
         featuresCol=X.FEATURES, labelCol="indexedLabel", layers=layers or [size, 4, 2], seed=MLP_SEED, maxIter=MLP_ITERATIONS
     )

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, IDFModel, SQLTransformer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,8 +50,13 @@ def refit_idf(model: PipelineModel, scored: DataFrame) -> PipelineModel:
 
 def vector_rows(df: DataFrame, ids: Sequence[str], vector: str = FEATURES) -> DataFrame:
     """The non-zero entries of a vector column as rows: ids, bucket, value."""
-    entries = df.select(*ids, F.posexplode(vector_to_array(vector)).alias("bucket", "value"))
-    return entries.where(F.col("value") != 0).withColumn("bucket", F.col("bucket").cast("bigint"))
+    stored_as = F.unwrap_udt(vector)
+    entry = lambda i, v: F.struct(i.alias("bucket"), v.alias("value"))
+    # A sparse vector lists its entries; it is not spread over all buckets.
+    sparse = F.transform(F.arrays_zip(stored_as["indices"].alias("i"), stored_as["values"].alias("v")), lambda e: entry(e["i"], e["v"]))
+    dense = F.transform(stored_as["values"], lambda v, i: entry(i, v))
+    entries = df.select(*ids, F.explode(F.when(stored_as["type"] == 0, sparse).otherwise(dense)).alias("e"))
+    return entries.where("e.value != 0").select(*ids, F.col("e.bucket").cast("bigint").alias("bucket"), F.col("e.value").alias("value"))
 
 
 def hashed_counts(df: DataFrame, ids: Sequence[str], terms: Column, buckets: int) -> DataFrame:

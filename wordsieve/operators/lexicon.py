@@ -91,26 +91,30 @@ def review(lexicon: DataFrame, candidates: DataFrame, decisions: DataFrame) -> D
     return delete_words(insert(lexicon, wanted, "reviewed", "review"), decisions.where("action = 'delete'"))
 
 
-def append_version(changes: DataFrame, path: str, version: int) -> None:
-    """Write a set of changes (word, category, op) as one version; writing it again replaces it.
+CHANGES = "word string, category string, op string, version bigint, writer string"
 
-    ``op`` is ``add`` or ``delete``. Older versions are never touched, so readers are not disturbed.
+
+def append_version(changes: DataFrame, path: str, version: int, writer: str = "main") -> None:
+    """Write a set of changes (word, category, op) as one version of a writer; writing it again replaces it.
+
+    ``op`` is ``add`` or ``delete``. Each writer has folders of its own, so none replaces what another wrote under
+    the same number, and older versions are never touched.
     """
-    changes.select("word", "category", "op").write.mode("overwrite").parquet(f"{path}/version={version}")
+    changes.select("word", "category", "op").write.mode("overwrite").parquet(f"{path}/version={version}/writer={writer}")
 
 
-def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    """All changes: word, category, op, version."""
-    schema = "word string, category string, op string, version bigint"
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+def read_versions(spark: SparkSession, path: str, with_writer: bool = False) -> DataFrame:
+    """All changes: word, category, op, version, and the writer if asked."""
+    changes = spark.read.schema(CHANGES).option("basePath", path).parquet(path)
+    return changes if with_writer else changes.drop("writer")
 
 
 def stream_versions(spark: SparkSession, path: str, per_batch: int | None = None) -> DataFrame:
     """Changes as they are appended: word, category, op, version."""
-    reader = spark.readStream.schema("word string, category string, op string, version bigint")
+    reader = spark.readStream.schema(CHANGES)
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
-    return reader.parquet(path)
+    return reader.parquet(path).drop("writer")
 
 
 def current(changes: DataFrame, version: int | None = None) -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordsieve.functions import tokens as T
-from wordsieve.functions.text import clean_text
+from wordsieve.functions.text import clean_text, removes_blanks
 from wordsieve.operators.joins import attach, inline_words
-from wordsieve.operators.segment import INSIDE_WORD, STEP, find_all, segment_greedy, word_rows
+from wordsieve.operators.lexicon import matchable
+from wordsieve.operators.segment import INSIDE_WORD, PAD, find_all, greedy_terms, segment_greedy, word_rows
 
 # Up to this many words are sought in a text one by one; more are looked up position by position.
 SOUGHT_WORDS = 64
@@ -49,57 +50,89 @@ def phrase_search_many(queries: DataFrame, lexicon: DataFrame) -> DataFrame:
     return attach(listed, asked, ["query"], "inner", ["word"]).select("query", "word", "word_id")
 
 
-def verdict(text: Column, words: Sequence[str], mode: str = "words") -> Column:
+def entries(lexicon: DataFrame, profile: str | None) -> DataFrame:
+    """The lexicon as texts can hold it: word, cleaned like the texts and in lower case."""
+    return matchable(lexicon, profile).select("word")
+
+
+def phrases(lexicon: DataFrame, profile: str | None) -> DataFrame:
+    """Entries as tokens joined by blanks, and their number: word, n. A phrase is met by as many neighbouring tokens."""
+    tokens = entries(lexicon, profile).select(T.words(F.col("word")).alias("_t"))
+    return tokens.where(F.size("_t") > 0).select(F.array_join("_t", " ").alias("word"), F.size("_t").alias("n")).distinct()
+
+
+def verdict(text: Column, words: Sequence[str], mode: str = "words", dictionary: Sequence[str] = ()) -> Column:
     """Whether a text holds one of a few words; null for a null text.
 
-    ``words`` compares whole Latin tokens, ``anywhere`` any stretch of the text.
+    ``words`` compares runs of letters, and phrases with neighbouring ones; ``segmented`` besides cuts scripts without
+    blanks by the words and the dictionary, so that a longer harmless word covers a listed one; ``anywhere`` takes any
+    stretch of the text. Phrases are joined by one blank, as ``phrases`` gives them.
     """
-    if mode == "words":
-        return F.exists(T.words(text), lambda t: T.is_one_of(t, words))
+    if mode in ("words", "segmented"):
+        by_size: dict[int, list[str]] = {}
+        for w in words:
+            by_size.setdefault(w.count(" ") + 1, []).append(w)
+
+        def holds(n: int) -> Column:
+            return F.exists(T.ngrams(T.words(text), n), lambda t: T.is_one_of(t, by_size[n]))
+
+        held = [holds(n) for n in sorted(by_size) if n > 1 or mode == "words"]
+        if mode == "segmented":
+            single = by_size.get(1, [])
+            held.append(F.exists(T.segmented(text, sorted({*dictionary, *single})), lambda t: T.is_one_of(t, single)))
+        return reduce(or_, held) if held else F.when(text.isNotNull(), F.lit(False))
     if not words:
         return F.when(text.isNotNull(), F.lit(False))
+    lowered = F.lower(text)
     if len(words) <= SOUGHT_WORDS:
-        return T.bind(F.lower(text), lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in words]))
-    by_length: dict[int, list[str]] = {}
-    for w in words:
-        by_length.setdefault(len(w), []).append(w)
-    longest = max(by_length)
-
-    def starts_here(window: Column) -> Column:
-        hit = F.lit(False)
-        for n, group in sorted(by_length.items()):
-            hit = hit | T.is_one_of(window.substr(F.lit(1), F.lit(n)), group)
-        return hit
-
-    pieces = T.chunks(F.lower(text), max(STEP, longest), longest - 1)
-    return F.exists(pieces, lambda p: F.exists(T.windows(p, longest), starts_here))
+        return T.bind(lowered, lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in words]))
+    return lowered.rlike(T.alternation(words))
 
 
 def flag_messages(
     df: DataFrame,
-    ids: Sequence[str],
     text: Column,
     lexicon: DataFrame,
     profile: str | None = "train",
-    mode: str = "words",
+    mode: str = "segmented",
+    dictionary: DataFrame | None = None,
 ) -> DataFrame:
-    """``df`` with ``is_sensitive``: true when a lexicon word occurs in the cleaned text.
+    """``df`` with ``is_sensitive``: true when a lexicon entry occurs in the cleaned text.
 
-    A small lexicon becomes a predicate, and messages are marked where they are read. A larger one
-    is joined to the tokens (broadcast or salted, by its size), reduced to the hit ids, and these
-    are joined back; ``ids`` must then identify the row.
+    The verdict hangs on the text alone: rows need no key, and may repeat. A small lexicon becomes a predicate, and
+    messages are marked where they are read. A larger one is joined to the tokens (broadcast or salted, by
+    its size), reduced to the digests of the texts that have a hit, and these are joined back. Whole words can't be met
+    in a text whose blanks the profile removes, so that pair is refused.
     """
+    if mode == "words" and removes_blanks(profile):
+        raise ValueError(f"profile {profile!r} removes the blanks that mode 'words' needs; use mode 'segmented' or 'anywhere'")
     cleaned = clean_text(text, profile)
-    words = inline_words(lexicon)
-    if words is not None:
-        return df.withColumn("is_sensitive", verdict(cleaned, words, mode))
-    dictionary = lexicon.select("word").distinct()
-    if mode == "words":
-        terms = word_rows(df, ids, cleaned).select(*ids, F.col("term").alias("word"))
-        hits = attach(terms, dictionary, ["word"], "left_semi", ids)
+    listed = entries(lexicon, profile) if mode == "anywhere" else phrases(lexicon, profile)
+    words = inline_words(listed)
+    others = [] if dictionary is None else inline_words(dictionary.select(F.lower("word").alias("word")))
+    if words is not None and others is not None:
+        return df.withColumn("is_sensitive", verdict(cleaned, words, mode, others))
+    rows = df.select(digest(text).alias("_digest"), cleaned.alias("_cleaned")).where(F.col("_cleaned").isNotNull())
+    body = F.col("_cleaned")
+    if mode == "anywhere":
+        hits = find_all(rows, ["_digest"], F.lower(body), listed).select("_digest")
     else:
-        hits = find_all(df, ids, F.lower(cleaned), dictionary)
-    return _with_hits(df, ids, text, hits)
+        sizes = [r.n for r in listed.select("n").distinct().collect()]
+        if mode == "segmented":
+            sizes = [n for n in sizes if n > 1]
+        grams = F.flatten(F.array(*[T.ngrams(T.words(body), n) for n in sizes])) if sizes else F.array().cast("array<string>")
+        terms = rows.select("_digest", F.posexplode(grams).alias("_pos", "word"))
+        hits = attach(terms, listed.select("word"), ["word"], "left_semi", ["_digest", "_pos"]).select("_digest")
+        if mode == "segmented":
+            single = listed.where("n = 1").select("word")
+            every = single if dictionary is None else single.unionByName(dictionary.select(F.lower("word").alias("word"))).distinct()
+            tokens = segment_greedy(rows, ["_digest"], body, every, True).select("_digest", "start", F.col("term").alias("word"))
+            hits = hits.unionByName(attach(tokens, single, ["word"], "left_semi", ["_digest", "start"]).select("_digest"))
+    return _with_hits(df, text, hits)
+
+
+def digest(text: Column) -> Column:
+    return F.sha2(text, 256)
 
 
 def flag_segmented(
@@ -111,30 +144,30 @@ def flag_segmented(
     profile: str | None = "filter",
     latin_runs: bool = True,
 ) -> DataFrame:
-    """Verdict over segmented tokens, where a longer harmless word can cover a listed one: ids, is_sensitive."""
+    """Verdict over segmented tokens, where a longer harmless word can cover a listed one: ids, is_sensitive.
+
+    Without ``latin_runs`` words of alphabets are segmented too, as in a text whose blanks were removed.
+    """
     cleaned = clean_text(text, profile)
     every = dictionary.select("word").unionByName(lexicon.select("word")).distinct()
     words = inline_words(every)
     if words is not None:
         listed = inline_words(lexicon)
-
-        def holds(run: Column) -> Column:
-            segmented = F.exists(T.greedy(run, words), lambda t: t["known"] & T.is_one_of(t["term"], listed))
-            return F.when(T.is_latin(run), T.is_one_of(run, listed)).otherwise(segmented) if latin_runs else segmented
-
-        return df.select(*ids, F.exists(T.letter_runs(cleaned, latin_runs), holds).alias("is_sensitive"))
-    terms = segment_greedy(df, ids, cleaned, every, latin_runs)
+        tokens = greedy_terms(cleaned, words, latin_runs)
+        return df.select(*ids, F.exists(tokens, lambda t: T.is_one_of(t["term"], listed)).alias("is_sensitive"))
+    rows = df.select(digest(text).alias("_digest"), cleaned.alias("_cleaned")).where(F.col("_cleaned").isNotNull())
+    terms = segment_greedy(rows, ["_digest"], F.col("_cleaned"), every, latin_runs)
     listed = lexicon.select(F.col("word").alias("term")).distinct()
-    hits = attach(terms.where("known"), listed, ["term"], "left_semi", [*ids, "start"])
-    return _with_hits(df, ids, text, hits).select(*ids, "is_sensitive")
+    hits = attach(terms.where("known"), listed, ["term"], "left_semi", ["_digest", "start"])
+    return _with_hits(df, text, hits).select(*ids, "is_sensitive")
 
 
-def _with_hits(df: DataFrame, ids: Sequence[str], text: Column, hits: DataFrame) -> DataFrame:
-    """Join the hit ids back. Whether there is a text is told before, so that the text itself need not be moved."""
-    flagged = hits.select(*ids).distinct().withColumn("_hit", F.lit(True))
-    joined = df.withColumn("_has_text", text.isNotNull()).join(flagged, list(ids), "left")
-    found = F.when(F.col("_has_text"), F.coalesce("_hit", F.lit(False)))
-    return joined.withColumn("is_sensitive", found).drop("_hit", "_has_text")
+def _with_hits(df: DataFrame, text: Column, hits: DataFrame) -> DataFrame:
+    """Join the digests of texts that have a hit back to the rows; a row without a text has no verdict."""
+    flagged = hits.select("_digest").distinct().withColumn("_hit", F.lit(True))
+    joined = df.withColumn("_digest", digest(text)).join(flagged, "_digest", "left")
+    found = F.when(F.col("_digest").isNotNull(), F.coalesce("_hit", F.lit(False)))
+    return joined.withColumn("is_sensitive", found).drop("_hit", "_digest")
 
 
 def word_hits(
@@ -181,15 +214,29 @@ def widened_match(
 ) -> DataFrame:
     """The first token in the lexicon, widened where the lexicon has a longer entry around it: ids, word, widened.
 
-    Tokens come from ``dictionary``. Tried in this order: the same start, then one and two
-    characters earlier, each with one and then two characters more at the end, clamped to the text.
+    Tokens come from segmenting the text, all letters as one run, by the dictionary, so that a longer harmless word
+    covers a listed one. Tried in this order: the same start, then one and two characters earlier, each with
+    one and then two characters more at the end, clamped to the text.
     """
     listed = lexicon.select("word").distinct()
-    known = dictionary.select("word").join(listed, "word", "left_semi").distinct()
-    hits = find_all(df, ids, F.lower(clean_text(text, profile)), known, context=2)
-    place = F.struct("start", (-F.col("n")).alias("minus_n"), "word", "context")
-    first = hits.groupBy(*ids).agg(F.min(place).alias("_f")).select(*ids, "_f.*")
-    return widen(first.withColumn("n", -F.col("minus_n")).drop("minus_n"), ids, listed)
+    cleaned = F.lower(clean_text(text, profile))
+    words, known = inline_words(dictionary), inline_words(listed)
+    if words is not None and known is not None:
+        # The characters between the runs are tokens as well, so that places in the text are sums of lengths.
+        pattern = f"(?s){T.alternation(words)}|." if words else "(?s)."
+        first = df.select(*ids, cleaned.alias("_text")).withColumn("_terms", F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)))
+        first = first.withColumn("_at", F.array_position(F.transform("_terms", lambda t: T.is_one_of(t, known)), True)).where("_at > 0")
+        before = F.array_join(F.slice("_terms", 1, (F.col("_at") - 1).cast("int")), "")
+        hits = first.select(*ids, "_text", F.length(before).cast("bigint").alias("start"), F.get("_terms", F.col("_at").cast("int") - 1).alias("word"))
+        around = F.substring(F.concat(F.lit(PAD * 2), F.col("_text")), (F.col("start") + 1).cast("int"), F.length("word") + 4)
+        return widen(hits.withColumn("n", F.length("word")).withColumn("context", around).drop("_text"), ids, listed)
+    tokens = segment_greedy(df, ids, cleaned, dictionary, False)
+    found = attach(tokens.where("known").select(*ids, "start", F.col("term").alias("word")), listed, ["word"], "left_semi", [*ids, "start"])
+    first = found.groupBy(*ids).agg(F.min(F.struct("start", "word")).alias("_f")).select(*ids, "_f.start", "_f.word")
+    texts = df.select(*ids, F.concat(F.lit(PAD * 2), cleaned).alias("_text"))
+    placed = first.join(texts, list(ids)).withColumn("n", F.length("word"))
+    around = F.substring("_text", (F.col("start") + 1).cast("int"), F.col("n") + 4)
+    return widen(placed.withColumn("context", around).drop("_text"), ids, listed)
 
 
 def widen(first: DataFrame, ids: Sequence[str], lexicon: DataFrame) -> DataFrame:

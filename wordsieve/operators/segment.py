@@ -20,8 +20,8 @@ STEP = 256
 # Words up to this length are compared with the characters that follow a position, longer ones with its piece.
 WINDOW = 64
 
-# Two characters between which no Latin word begins or ends.
-INSIDE_WORD = f"^[{T.LATIN}]{{2}}$"
+# Two characters between which no word of an alphabet begins or ends.
+INSIDE_WORD = f"^[{T.ALPHABET}]{{2}}$"
 
 # Stands for the missing left neighbours at the start of a text.
 PAD = "\u0000"
@@ -88,7 +88,7 @@ def runs(df: DataFrame, ids: Sequence[str], text: Column, classes: Sequence[str]
 
 def word_spans(df: DataFrame, ids: Sequence[str], text: Column) -> DataFrame:
     """Latin tokens with their offsets in the text: ids, start, end, term."""
-    rows = runs(df, ids, F.lower(text), [T.LATIN])
+    rows = runs(df, ids, F.lower(text), [T.ALPHABET])
     return rows.select(*ids, "start", (F.col("start") + F.length("run")).alias("end"), F.col("run").alias("term"))
 
 
@@ -197,9 +197,23 @@ def segment_greedy(
     return segmented if whole is None else whole.unionByName(segmented)
 
 
+def greedy_terms(text: Column, words: Sequence[str], latin_runs: bool = True) -> Column:
+    """The tokens of ``segment_greedy`` by a few words, as an array in text order: term, known. No row is exploded."""
+
+    def tokens(run: Column) -> Column:
+        segmented = T.greedy(run, words)
+        if not latin_runs:
+            return segmented
+        return F.when(T.is_latin(run), F.array(F.struct(run.alias("term"), T.is_one_of(run, words).alias("known")))).otherwise(segmented)
+
+    return F.flatten(F.transform(T.letter_runs(text, latin_runs), tokens))
+
+
 def _inline_greedy(pieces: DataFrame, ids: Sequence[str], words: Sequence[str]) -> DataFrame:
     """Each run is segmented where it is read: no shuffle."""
-    tokens = pieces.select(*ids, F.col("start").alias("_run_start"), F.explode(T.greedy(F.col("run"), words)).alias("_t"))
+    cut = pieces.select(*ids, F.col("start").alias("_run_start"), T.greedy(F.col("run"), words).alias("_ts"))
+    placed = F.arrays_zip(T.starts(F.col("_ts.term")).alias("start"), F.col("_ts.term").alias("term"), F.col("_ts.known").alias("known"))
+    tokens = cut.select(*ids, "_run_start", F.explode(placed).alias("_t"))
     start, term = F.col("_run_start") + F.col("_t.start"), F.col("_t.term")
     return tokens.select(
         *ids, start.alias("start"), (start + F.length(term)).alias("end"), term.alias("term"), F.col("_t.known").alias("known")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-TOKEN = "[0-9a-zà-öø-ÿ]+"
+SPACELESS = "".join(f"\\p{{{name}}}" for name in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+# A run of letters of alphabets, or one of the scripts without blanks.
+LETTER = rf"(?:[^\P{{L}}{SPACELESS}]|[\p{{M}}\p{{N}}])"
+TOKEN = f"(?:{LETTER}+|[{SPACELESS}]+)"
 EDGES = r"'^[\x00-\x20]+|[\x00-\x20]+$'"
 INSULTS = (
     "('trash'), ('idiot'), ('clown'), ('scum'), ('worthless'), ('moron'), ('pathetic'), ('loser'), ('stupid'), ('disgusting')"
@@ -79,11 +82,9 @@ lines AS (
   FROM numbered)"""
 
 
-def alternation(words: str) -> str:
+def alternation(words: str, other: str = r"[\p{L}\p{M}\p{N}]") -> str:
     """Segmentation by one pattern: the words, longest first, then any other letter or digit."""
-    return (
-        f"(SELECT string_agg(word, '|' ORDER BY length(word) DESC, word) || '|[\\p{{L}}\\p{{M}}\\p{{N}}]' FROM {words})"
-    )
+    return f"(SELECT string_agg(word, '|' ORDER BY length(word) DESC, word) || '|{other}' FROM {words})"
 
 
 MESSAGES = """messages AS (
@@ -101,6 +102,12 @@ raw AS (
     ELSE '{"data":{"text":null}}' END AS value
   FROM messages)"""
 
+# The JSON value of each message, and the object that should hold the text: the member "data" where there is one.
+HELD = """parsed AS (SELECT *, CASE WHEN json_valid(value) THEN value::JSON END AS json FROM raw),
+held AS (
+  SELECT *, CASE WHEN json_type(json) = 'OBJECT' AND list_contains(json_keys(json), 'data') THEN json_extract(json, '$.data') ELSE json END AS holder
+  FROM parsed)"""
+
 
 def naive_bayes(items: str, buckets: int, kind: str = "multinomial") -> str:
     """CTEs that fit on the train part of ``items`` (id, label, part, terms) and predict every item."""
@@ -188,8 +195,27 @@ ORACLES: dict[str, str] = {
         hit AS (SELECT DISTINCT conv_id, turn FROM terms JOIN wordlex USING (word))
         SELECT c.conv_id, c.turn, hit.conv_id IS NOT NULL AS is_sensitive
         FROM conversations c LEFT JOIN hit ON hit.conv_id = c.conv_id AND hit.turn = c.turn""",
+    "flag_keyless": f"""WITH {DOCWORD}, {INSULT},
+        lex AS (SELECT word FROM docword WHERE md5(word) LIKE '0%' UNION SELECT word FROM insult)
+        SELECT CASE WHEN turn % 2 = 0 THEN 'word' END AS key, text,
+          list_has_any({TRAIN_TOKENS}, (SELECT list(word) FROM lex)) AS is_sensitive FROM conversations""",
+    "stream_flag_large": f"""WITH {DOCWORD}, {INSULT},
+        lex AS (SELECT word FROM docword WHERE md5(word) LIKE '0%' UNION SELECT word FROM insult)
+        SELECT 'word' AS key, CASE WHEN list_has_any({TRAIN_TOKENS}, (SELECT list(word) FROM lex)) THEN 'flagged' ELSE 'clean' END AS route,
+          text, count(*) AS n FROM conversations GROUP BY ALL""",
+    "flag_mixed_scripts": """SELECT doc_id, list_contains(regexp_extract_all(
+          CASE WHEN doc_id % 2 = 0 THEN '大红苹果树' ELSE '大红苹果甜' END, '苹果树|苹果|红|.'), '苹果') AS is_sensitive FROM documents""",
+    "vocab_mixed_scripts": f"""SELECT DISTINCT unnest({tokens(clean_train("'Łódź šedá œuvre привет 红苹果 ' || text || '好'"))}) AS word
+        FROM conversations""",
+    "lexicon_writers": f"""WITH {BENCH}, {CONV}
+        SELECT word, 'benchmark' AS category, 1::BIGINT AS version FROM bench WHERE word NOT LIKE 'a%'
+        UNION ALL SELECT word, 'discovered', 2 FROM conv WHERE word NOT LIKE 'a%' AND word NOT IN (SELECT word FROM bench)""",
+    "mlp_docs": f"""SELECT doc_id, (lang = 'en')::DOUBLE AS label, true AS valid, true AS better FROM documents
+        WHERE lang IS NOT NULL AND {part('doc_id::VARCHAR')} = 'test'""",
+    "word2vec_docs": f"""SELECT doc_id, (lang = 'en')::DOUBLE AS label, true AS valid, true AS better FROM documents
+        WHERE lang IS NOT NULL AND {part('doc_id::VARCHAR')} = 'test'""",
     "flag_segmented": f"""WITH {INSULT}, {BENCH},
-        dict AS (SELECT word FROM bench WHERE length(word) > 3 UNION SELECT word FROM insult)
+        dict AS (SELECT word FROM bench UNION SELECT word FROM insult)
         SELECT doc_id, list_has_any(
           regexp_extract_all(lower({clean_filter('text')}), {alternation('dict')}), (SELECT list(word) FROM insult)) AS is_sensitive
         FROM documents""",
@@ -205,22 +231,23 @@ ORACLES: dict[str, str] = {
         SELECT conv_id, turn, CASE WHEN NOT json_valid(value) THEN '' ELSE json_extract_string(
           CASE WHEN json_valid(value) THEN value END, '$.data.text') END AS text
         FROM raw""",
-    "json_extract_lenient": f"""WITH {MESSAGES}
-        SELECT conv_id, turn, CASE WHEN shape IN (0, 1) THEN text END AS text FROM raw""",
+    "json_extract_lenient": f"""WITH {MESSAGES}, {HELD}
+        SELECT conv_id, turn, CASE WHEN json_type(holder) = 'OBJECT' THEN json_extract_string(holder, '$.text') END AS text FROM held""",
     "json_mark": f"""WITH {FLAGGED}
         SELECT doc_id AS key, '{{"content":' || to_json({{'content': text}})::VARCHAR
           || ',"isSensitive":' || is_sensitive::VARCHAR || '}}' AS value
         FROM flagged""",
-    "json_reject_counts": f"""WITH {MESSAGES},
-        r AS (SELECT CASE shape WHEN 2 THEN 'bad_level' WHEN 3 THEN 'missing_key' WHEN 4 THEN 'malformed'
-          WHEN 5 THEN 'not_an_object' WHEN 6 THEN 'null_text' END AS reason FROM raw)
+    "json_reject_counts": f"""WITH {MESSAGES}, {HELD},
+        r AS (SELECT CASE WHEN json IS NULL THEN 'malformed' WHEN json_type(json) <> 'OBJECT' THEN 'not_an_object'
+          WHEN json_type(holder) <> 'OBJECT' THEN 'bad_level' WHEN NOT list_contains(json_keys(holder), 'text') THEN 'missing_key'
+          WHEN json_type(holder, '$.text') = 'NULL' THEN 'null_text' END AS reason FROM held)
         SELECT reason, count(*) AS n FROM r WHERE reason IS NOT NULL GROUP BY reason""",
     "message_envelope": "SELECT conv_id, turn, text AS payload, 36::BIGINT AS id_length, true AS in_range FROM conversations",
     "tokenize_words": f"""SELECT doc_id, len(t)::BIGINT AS n, array_to_string(t, ' ') AS tokens
         FROM (SELECT doc_id, {tokens('text')} AS t FROM documents)""",
     "tokens_minlen": f"""SELECT doc_id, len(t)::BIGINT AS n, array_to_string(t, ' ') AS tokens
         FROM (SELECT doc_id, list_filter({tokens('text')}, lambda x: length(x) > 1) AS t FROM documents)""",
-    "word_spans": f"""WITH p AS (SELECT doc_id, regexp_extract_all(lower(text), '[^0-9a-zà-öø-ÿ]*{TOKEN}') AS parts FROM documents),
+    "word_spans": f"""WITH p AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}]*{TOKEN}') AS parts FROM documents),
         n AS (SELECT doc_id, unnest(parts) AS part, unnest(range(len(parts))) AS i FROM p),
         e AS (SELECT doc_id, length(regexp_extract(part, '{TOKEN}')) AS size,
           sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM n)
@@ -229,29 +256,31 @@ ORACLES: dict[str, str] = {
         g AS (SELECT conv_id, turn, {NGRAMS} AS g FROM t)
         SELECT conv_id, turn, coalesce(len(g), 0)::BIGINT AS n, coalesce(array_to_string(g, ' '), '') AS tokens FROM g""",
     "segment_all": f"""WITH {BENCH}, {GLUED}, {POSITIONS},
-        sizes AS (SELECT DISTINCT length(word) AS size FROM bench WHERE length(word) > 3),
+        sizes AS (SELECT DISTINCT length(word) AS size FROM bench),
         cut AS (SELECT doc_id, base + i AS start, substr(line, i + 1, size) AS word FROM positions, sizes WHERE i + size <= length(line))
         SELECT doc_id, count(*) AS n, sum(start)::BIGINT AS starts, sum(length(word))::BIGINT AS chars
-        FROM cut JOIN (SELECT word FROM bench WHERE length(word) > 3) USING (word) GROUP BY doc_id""",
-    "segment_greedy": f"""WITH {BENCH}, dict AS (SELECT word FROM bench WHERE length(word) > 3),
+        FROM cut JOIN bench USING (word) GROUP BY doc_id""",
+    "segment_greedy": f"""WITH {BENCH}, dict AS (SELECT word FROM bench),
         t AS (SELECT doc_id, regexp_extract_all(lower({clean_filter('text')}), {alternation('dict')}) AS t FROM documents)
-        SELECT doc_id, len(t)::BIGINT AS n, len(list_filter(t, lambda x: length(x) > 3))::BIGINT AS n_known,
-          array_to_string(t, ' ') AS tokens FROM t WHERE len(t) > 0""",
+        SELECT doc_id, len(t)::BIGINT AS n, len(list_filter(t, lambda x: list_contains(ws, x)))::BIGINT AS n_known,
+          array_to_string(t, ' ') AS tokens FROM t, (SELECT list(word) AS ws FROM dict) WHERE len(t) > 0""",
     "segment_positives": f"""WITH {BENCH}, {CONV},
         parts AS (SELECT c.word AS entry, substr(c.word, s.i, n.size) AS part
-          FROM conv c, (SELECT range AS i FROM range(1, (SELECT max(length(word)) + 1 FROM conv))) s, (SELECT DISTINCT length(word) AS size FROM bench WHERE length(word) > 1) n
+          FROM conv c, (SELECT range AS i FROM range(1, (SELECT max(length(word)) + 1 FROM conv))) s, (SELECT DISTINCT length(word) AS size FROM bench) n
           WHERE s.i + n.size - 1 <= length(c.word)),
         found AS (SELECT entry, string_agg(part, ' ' ORDER BY part COLLATE C) AS parts
-          FROM parts JOIN (SELECT word AS part FROM bench WHERE length(word) > 1) USING (part) GROUP BY entry)
+          FROM parts JOIN (SELECT word AS part FROM bench) USING (part) GROUP BY entry)
         SELECT coalesce(parts, word) AS parts, 1.0::DOUBLE AS label FROM conv LEFT JOIN found ON entry = word""",
     "first_match": f"""WITH {INSULT}, t AS (SELECT doc_id, {TRAIN_TOKENS} AS a FROM documents),
         p AS (SELECT doc_id, unnest(a) AS word, unnest(range(len(a))) AS pos FROM t)
         SELECT doc_id, min(pos) AS pos, arg_min(word, pos) AS word FROM p JOIN insult USING (word) GROUP BY doc_id""",
-    "widened_match": f"""WITH {BENCH}, {GLUED}, {POSITIONS},
-        lex AS (SELECT word FROM bench WHERE length(word) > 2), dict AS (SELECT word FROM lex WHERE length(word) <= 4),
-        cut AS (SELECT doc_id, base + i AS start, size, substr(line, i + 1, size) AS word
-          FROM positions, (SELECT DISTINCT length(word) AS size FROM dict) WHERE i + size <= length(line)),
-        hit AS (SELECT doc_id, arg_min(struct_pack(start, size, word), start * 10 - size) AS h FROM cut JOIN dict USING (word) GROUP BY doc_id),
+    "widened_match": f"""WITH {BENCH},
+        lex AS (SELECT word FROM bench WHERE contains('02468ace', substr(md5(word), 1, 1))),
+        cleaned AS (SELECT doc_id, lower({clean_filter('text')}) AS text FROM documents),
+        t AS (SELECT doc_id, regexp_extract_all(text, {alternation('bench', '(?s:.)')}) AS a FROM cleaned),
+        tok AS (SELECT doc_id, unnest(a) AS word, unnest(range(len(a))) AS i FROM t),
+        placed AS (SELECT *, coalesce(sum(length(word)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM tok),
+        hit AS (SELECT doc_id, arg_min(struct_pack(start, size := length(word), word), start) AS h FROM placed JOIN lex USING (word) GROUP BY doc_id),
         tries AS (SELECT doc_id, h.word AS word, l.l * 10 + r.r AS rank,
           substr(text, (greatest(h.start - l.l, 0) + 1)::BIGINT,
             (least(h.start + h.size + r.r, length(text)) - greatest(h.start - l.l, 0))::BIGINT) AS wide
@@ -286,7 +315,7 @@ ORACLES: dict[str, str] = {
         SELECT c.word AS term, CASE WHEN b.word IS NOT NULL THEN md5(b.word) END AS word_id FROM conv c LEFT JOIN bench b USING (word)""",
     "lexicon_phrase_search": f"""WITH {BENCH}, {CONV}
         SELECT b.word AS query, c.word AS word, md5(c.word) AS word_id
-        FROM bench b JOIN conv c ON contains(c.word, b.word) WHERE length(b.word) > 2""",
+        FROM bench b JOIN conv c ON contains(c.word, b.word)""",
     "lexicon_upsert_status": f"""WITH {BENCH}, s AS (SELECT conv_id, turn, string_split_regex(lower(text), '\\s') AS a FROM conversations),
         i AS (SELECT conv_id, turn, unnest(range(len(a))) AS pos, unnest(a) AS word FROM s),
         r AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY conv_id, turn, pos) AS copy FROM i)
@@ -366,7 +395,7 @@ ORACLES: dict[str, str] = {
         SELECT doc_id::VARCHAR AS key, '{{"content":' || to_json({{'content': text}})::VARCHAR
           || ',"isSensitive":' || is_sensitive::VARCHAR || '}}' AS value, is_sensitive
         FROM flagged""",
-    "stream_hot_update": f"""WITH {INSULT}, {BENCH}, later AS (SELECT word FROM insult UNION SELECT word FROM bench WHERE length(word) > 5)
+    "stream_hot_update": f"""WITH {INSULT}, {BENCH}, later AS (SELECT word FROM insult UNION SELECT word FROM bench)
         SELECT conv_id || '-' || turn AS key, CASE conv_id % 2 WHEN 0
           THEN list_has_any({TRAIN_TOKENS}, (SELECT list(word) FROM insult))
           ELSE list_has_any({TRAIN_TOKENS}, (SELECT list(word) FROM later)) END AS is_sensitive

@@ -13,6 +13,7 @@ from wordsieve.functions import messages as J
 from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text
 from wordsieve.operators import classify, evaluate, features, lexicon, match, segment, trainset
+from wordsieve.operators.joins import inline_words
 from wordsieve.session import scratch_dir, stored
 from wordsieve.sources import messages as queue
 from wordsieve.sources import wordfiles
@@ -31,15 +32,15 @@ DOC_BUCKETS = 4096
 
 
 def documents(spark: SparkSession, base: str, *more: str) -> DataFrame:
-    return read_table(spark, base, "documents", ["doc_id", "text", *more], DOC)
+    return read_table(spark, base, "documents", ["doc_id", "text", *more], True)
 
 
 def conversations(spark: SparkSession, base: str) -> DataFrame:
-    return read_table(spark, base, "conversations", ["conv_id", "turn", "text"], TURN)
+    return read_table(spark, base, "conversations", ["conv_id", "turn", "text"], True)
 
 
 def pages(spark: SparkSession, base: str) -> DataFrame:
-    return read_table(spark, base, "pages", ["page_id", "html"], ["page_id"])
+    return read_table(spark, base, "pages", ["page_id", "html"], True)
 
 
 def conversation_words(spark: SparkSession, base: str) -> DataFrame:
@@ -183,7 +184,7 @@ def context_ngrams(spark: SparkSession, base: str) -> DataFrame:
 
 def segment_all(spark: SparkSession, base: str) -> DataFrame:
     text = F.lower(clean_text(F.col("text"), "filter"))
-    found = segment.find_all(documents(spark, base), DOC, text, benchmark_lexicon(spark, base, 3).select("word"))
+    found = segment.find_all(documents(spark, base), DOC, text, benchmark_lexicon(spark, base).select("word"))
     return found.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("start").alias("starts"), F.sum(F.length("word")).alias("chars")
     )
@@ -191,19 +192,24 @@ def segment_all(spark: SparkSession, base: str) -> DataFrame:
 
 def segment_greedy(spark: SparkSession, base: str) -> DataFrame:
     text = clean_text(F.col("text"), "filter")
-    dictionary = benchmark_lexicon(spark, base, 3).select("word")
-    tokens = segment.segment_greedy(documents(spark, base), DOC, text, dictionary, latin_runs=False)
-    ordered = F.array_sort(F.collect_list(F.struct("start", "term")))
-    return tokens.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if("known").alias("n_known"),
-        F.array_join(F.transform(ordered, lambda t: t["term"]), " ").alias("tokens"),
+    words = inline_words(benchmark_lexicon(spark, base))
+    if words is None:
+        tokens = segment.segment_greedy(documents(spark, base), DOC, text, benchmark_lexicon(spark, base), latin_runs=False)
+        ordered = F.array_sort(F.collect_list(F.struct("start", "term", "known")))
+        terms = tokens.groupBy("doc_id").agg(ordered.alias("t"))
+    else:
+        terms = documents(spark, base).select("doc_id", segment.greedy_terms(text, words, latin_runs=False).alias("t")).where(F.size("t") > 0)
+    return terms.select(
+        "doc_id",
+        F.size("t").cast("bigint").alias("n"),
+        F.size(F.filter("t", lambda t: t["known"])).cast("bigint").alias("n_known"),
+        F.array_join("t.term", " ").alias("tokens"),
     )
 
 
 def segment_positives(spark: SparkSession, base: str) -> DataFrame:
     words = lexicon.as_lexicon(conversation_words(spark, base), "conversation", "table")
-    rows = trainset.segment_positives(words, benchmark_lexicon(spark, base, 1))
+    rows = trainset.segment_positives(words, benchmark_lexicon(spark, base))
     return rows.select(F.array_join("word", " ").alias("parts"), "label")
 
 
@@ -211,13 +217,13 @@ def segment_positives(spark: SparkSession, base: str) -> DataFrame:
 
 
 def flag_messages(spark: SparkSession, base: str) -> DataFrame:
-    flagged = match.flag_messages(documents(spark, base), DOC, F.col("text"), insult_lexicon(spark), "train")
+    flagged = match.flag_messages(documents(spark, base), F.col("text"), insult_lexicon(spark), "train")
     return flagged.select("doc_id", "is_sensitive")
 
 
 def flag_messages_cjk(spark: SparkSession, base: str) -> DataFrame:
     flagged = match.flag_messages(
-        documents(spark, base), DOC, F.col("text"), insult_lexicon(spark), "filter_cjk", "anywhere"
+        documents(spark, base), F.col("text"), insult_lexicon(spark), "filter_cjk", "anywhere"
     )
     return flagged.select("doc_id", "is_sensitive")
 
@@ -225,13 +231,43 @@ def flag_messages_cjk(spark: SparkSession, base: str) -> DataFrame:
 def flag_large_lexicon(spark: SparkSession, base: str) -> DataFrame:
     """Conversation turns against a lexicon that grows with the documents and is joined."""
     listed = stored(word_lexicon(spark, trainset.vocabulary(document_words(spark, base))), "lexicon")
-    flagged = match.flag_messages(conversations(spark, base), TURN, F.col("text"), listed, "train")
+    flagged = match.flag_messages(conversations(spark, base), F.col("text"), listed, "train")
     return flagged.select(*TURN, "is_sensitive")
 
 
+def _all_document_words(spark: SparkSession, base: str) -> DataFrame:
+    """The words of the documents whose md5 begins with 0, and the insults: more than a plan should hold."""
+    vocabulary = trainset.vocabulary(document_words(spark, base))
+    chosen = vocabulary.where(F.startswith(F.md5("word"), F.lit("0")))
+    return stored(chosen.unionByName(insult_lexicon(spark).select("word")).distinct(), "lexicon")
+
+
+def flag_keyless(spark: SparkSession, base: str) -> DataFrame:
+    """Turns as JSON messages that all have one key or none, against a large lexicon."""
+    key = F.when(F.col("turn") % 2 == 0, "word")
+    rows = conversations(spark, base).select(key.alias("key"), J.wrap(F.col("text")).alias("value"))
+    marked = flagging.mark_messages(rows, _all_document_words(spark, base), mode="words")
+    return marked.select("key", J.extract_strict(F.col("value")).alias("text"), "is_sensitive")
+
+
+def flag_mixed_scripts(spark: SparkSession, base: str) -> DataFrame:
+    """Documents with Chinese text put in, of which a dictionary covers a listed word in every second one."""
+    text = F.concat(F.col("text"), F.lit(" "), F.when(F.col("doc_id") % 2 == 0, "大红苹果树").otherwise("大红苹果甜"))
+    listed = spark.createDataFrame([("苹果",)], "word string")
+    dictionary = spark.createDataFrame([("苹果树",), ("红",)], "word string")
+    flagged = match.flag_messages(documents(spark, base), text, listed, dictionary=dictionary)
+    return flagged.select("doc_id", "is_sensitive")
+
+
+def vocab_mixed_scripts(spark: SparkSession, base: str) -> DataFrame:
+    """Words of turns in Latin, Polish, Cyrillic and Chinese letters."""
+    text = F.concat(F.lit("Łódź šedá œuvre привет 红苹果 "), F.col("text"), F.lit("好"))
+    return trainset.vocabulary(trainset.corpus_words(conversations(spark, base), TURN, text, "train", 0))
+
+
 def flag_segmented(spark: SparkSession, base: str) -> DataFrame:
     return match.flag_segmented(
-        documents(spark, base), DOC, F.col("text"), insult_lexicon(spark), benchmark_lexicon(spark, base, 3),
+        documents(spark, base), DOC, F.col("text"), insult_lexicon(spark), benchmark_lexicon(spark, base),
         "filter", latin_runs=False,
     )
 
@@ -242,8 +278,9 @@ def first_match(spark: SparkSession, base: str) -> DataFrame:
 
 
 def widened_match(spark: SparkSession, base: str) -> DataFrame:
-    listed = benchmark_lexicon(spark, base, 2)
-    dictionary = listed.where(F.length("word") <= 4)
+    """The lexicon is the benchmark's words whose md5 is even, the dictionary all of them."""
+    dictionary = benchmark_lexicon(spark, base)
+    listed = dictionary.where(F.substring(F.md5("word"), 1, 1).isin(*"02468ace"))
     return match.widened_match(documents(spark, base), DOC, F.col("text"), listed, dictionary)
 
 
@@ -275,7 +312,7 @@ def category_counts(spark: SparkSession, base: str) -> DataFrame:
 
 
 def route_counts(spark: SparkSession, base: str) -> DataFrame:
-    flagged = match.flag_messages(documents(spark, base, "source"), DOC, F.col("text"), insult_lexicon(spark))
+    flagged = match.flag_messages(documents(spark, base, "source"), F.col("text"), insult_lexicon(spark))
     return flagged.groupBy("source", "is_sensitive").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -298,7 +335,7 @@ def lexicon_lookup(spark: SparkSession, base: str) -> DataFrame:
 
 
 def lexicon_phrase_search(spark: SparkSession, base: str) -> DataFrame:
-    asked = benchmark_lexicon(spark, base, 2).select(F.col("word").alias("query"))
+    asked = benchmark_lexicon(spark, base).select(F.col("word").alias("query"))
     listed = lexicon.as_lexicon(conversation_words(spark, base), "conversation", "table")
     return match.phrase_search_many(asked, listed)
 
@@ -457,15 +494,33 @@ def nb_bernoulli(spark: SparkSession, base: str) -> DataFrame:
     return classify.predict(model, rows).select("doc_id", "label", "prediction")
 
 
-def mlp_words(spark: SparkSession, base: str) -> DataFrame:
-    return _word_predictions(spark, base, classify.fit_perceptron)
+def _english_documents(spark: SparkSession, base: str) -> DataFrame:
+    rows = documents(spark, base, "lang").where(F.col("lang").isNotNull())
+    labelled = rows.select("doc_id", T.words(F.col("text")).alias("word"), (F.col("lang") == "en").cast("double").alias("label"))
+    return stored(trainset.hash_split(labelled, F.col("doc_id").cast("string")), "training")
 
 
-def word2vec_words(spark: SparkSession, base: str) -> DataFrame:
-    rows = trainset.hash_split(labelled_words(spark, base), F.col("word")).withColumn("term", F.col("word"))
-    rows = stored(trainset.as_terms(rows), "training")
-    model = classify.fit_word2vec(rows.where("part = 'train'").select("word", "label"))
-    return classify.predict(model, rows.where("part = 'test'")).select(F.col("term").alias("word"), "label", "predictedLabel")
+def _checked(scored: DataFrame) -> DataFrame:
+    """Test rows with whether the prediction is a class, and whether the model beats the larger class on all of them."""
+    scored = stored(scored.select("doc_id", "label", "prediction"), "scored")
+    share = scored.agg(F.avg("label")).first()[0] or 0.0
+    better = classify.accuracy(scored) > max(share, 1 - share)
+    return scored.select("doc_id", "label", F.col("prediction").isin(0.0, 1.0).alias("valid"), F.lit(better).alias("better"))
+
+
+def mlp_docs(spark: SparkSession, base: str) -> DataFrame:
+    """A perceptron that tells English documents from others."""
+    rows = _english_documents(spark, base)
+    model = classify.fit_perceptron(rows.where("part = 'train'").select("word", "label"))
+    return _checked(classify.predict(model, rows.where("part = 'test'")))
+
+
+def word2vec_docs(spark: SparkSession, base: str) -> DataFrame:
+    """The same by vectors of the words of whole documents."""
+    rows = _english_documents(spark, base)
+    model = classify.fit_word2vec(rows.where("part = 'train'").select("word", "label"), 8, 5, [8, 6, 2], 4)
+    scored = classify.predict(model, rows.where("part = 'test'"))
+    return _checked(scored.withColumn("prediction", F.col("predictedLabel").cast("double")))
 
 
 def nb_docs(spark: SparkSession, base: str) -> DataFrame:
@@ -503,7 +558,7 @@ def metrics_docs(spark: SparkSession, base: str) -> DataFrame:
 
 
 def onehot_argmax(spark: SparkSession, base: str) -> DataFrame:
-    rows = read_table(spark, base, "embeddings", ["vec_id", "embedding", "label"], ["vec_id"])
+    rows = read_table(spark, base, "embeddings", ["vec_id", "embedding", "label"], True)
     hot = classify.one_hot(F.col("label"), 10)
     return rows.select(
         "vec_id",
@@ -525,6 +580,32 @@ def stream_flag(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(out).select("key", "value", "is_sensitive")
 
 
+def stream_flag_large(spark: SparkSession, base: str) -> DataFrame:
+    """Files of messages under one key, several batches of them, marked by a large lexicon, routed and sent on."""
+    arriving, clean, flagged, progress = (scratch_dir(spark, p) for p in ("arriving", "clean", "flagged", "progress"))
+    sent = queue.outgoing(conversations(spark, base), F.col("conv_id"), J.wrap(F.col("text")), constant_key=True)
+    sent.repartition(4).write.parquet(arriving)
+    listed = _all_document_words(spark, base)
+    stream = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 2).parquet(arriving)
+    routes = flagging.route(flagging.batch_files(clean), flagging.batch_files(flagged))
+    flagging.flag_stream(stream, lambda: listed, routes, progress).start().awaitTermination()
+    both = [spark.read.parquet(path).select("key", "value", F.lit(route).alias("route")) for path, route in ((clean, "clean"), (flagged, "flagged"))]
+    rows = both[0].unionByName(both[1])
+    return rows.groupBy("key", "route", J.extract_strict(F.col("value")).alias("text")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def lexicon_writers(spark: SparkSession, base: str) -> DataFrame:
+    """A reviewer and a discovery job write versions of the same numbers; both stay."""
+    path = scratch_dir(spark, "lexicon")
+    lexicon.append_version(benchmark_lexicon(spark, base).withColumn("op", F.lit("add")), path, 1)
+    reviewed = benchmark_lexicon(spark, base).where(F.startswith("word", F.lit("a")))
+    lexicon.append_version(reviewed.withColumn("op", F.lit("delete")), path, 2, "review")
+    keep = discovery.to_lexicon(spark, path, 2)
+    found = conversation_words(spark, base).select("word").distinct()
+    keep(found.where(~F.startswith("word", F.lit("a"))), 0)
+    return lexicon.current(lexicon.read_versions(spark, path)).select("word", "category", "version")
+
+
 def stream_hot_update(spark: SparkSession, base: str) -> DataFrame:
     """Two waves of messages through one stream; between them the lexicon gains words."""
     arriving, words, out, progress = (scratch_dir(spark, p) for p in ("arriving", "lexicon", "marked", "progress"))
@@ -542,7 +623,7 @@ def stream_hot_update(spark: SparkSession, base: str) -> DataFrame:
 
     lexicon.append_version(insult_lexicon(spark).withColumn("op", F.lit("add")), words, 1)
     run(0)
-    lexicon.append_version(benchmark_lexicon(spark, base, 5).withColumn("op", F.lit("add")), words, 2)
+    lexicon.append_version(benchmark_lexicon(spark, base).withColumn("op", F.lit("add")), words, 2)
     run(1)
     return spark.read.parquet(out).select("key", "is_sensitive")
 
@@ -596,7 +677,7 @@ def stream_archive(spark: SparkSession, base: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        flag_messages, flag_messages_cjk, flag_large_lexicon, flag_segmented,
+        flag_messages, flag_messages_cjk, flag_large_lexicon, flag_keyless, flag_mixed_scripts, vocab_mixed_scripts, flag_segmented,
         clean_filter, clean_filter_cjk, clean_train, clean_stream, clean_ascii,
         json_extract, json_extract_lenient, json_mark, json_reject_counts, message_envelope,
         tokenize_words, tokens_minlen, word_spans, context_ngrams, segment_all, segment_greedy, segment_positives,
@@ -605,8 +686,8 @@ QUERIES: dict[str, Query] = {
         lexicon_delete_id, lexicon_delta, lexicon_feed, lexicon_current, lexicon_matchable, lexicon_size, lexicon_review,
         corpus_lines, vocab_distinct, vocab_count, negatives, train_set, hash_split, parse_labeled_points,
         hashing_tf, tfidf_docs, tfidf_refit,
-        nb_words, nb_docs, nb_bernoulli, mlp_words, word2vec_words, model_roundtrip,
+        nb_words, nb_docs, nb_bernoulli, mlp_docs, word2vec_docs, model_roundtrip,
         confusion_words, confusion_docs, metrics_docs, recall_lexicon, onehot_argmax,
-        stream_flag, stream_hot_update, stream_discover, stream_extend_lexicon, stream_archive,
+        stream_flag, stream_flag_large, lexicon_writers, stream_hot_update, stream_discover, stream_extend_lexicon, stream_archive,
     )
 }

@@ -5,20 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Use all cores for work on text that arrives in few splits.
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a table that is one small file over the cores.
 
-    Text work is bound by the processor. Rows are moved only when there are fewer splits than cores,
-    which is never so for a large table.
+    Rows are dealt round and by no key, so that what follows is planned as for a large table. Text work is bound by
+    the processor; a table of many splits is read as it is by not asking for this.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
-def read_table(spark: SparkSession, base: str, name: str, columns: list[str], spread_by: list[str] | None = None) -> DataFrame:
-    """Read the named columns of a parquet table, spread over the cores by ``spread_by``."""
+def read_table(spark: SparkSession, base: str, name: str, columns: list[str], dealt: bool = False) -> DataFrame:
+    """Read the named columns of a parquet table, dealt over the cores if asked."""
     df = spark.read.parquet(f"{base}/{name}.parquet").select(*columns)
-    return spread(df, *spread_by) if spread_by else df
+    return spread(df) if dealt and len(df.inputFiles()) == 1 else df
 
 
 def stream_table(spark: SparkSession, base: str, name: str, per_batch: int | None = None) -> DataFrame:

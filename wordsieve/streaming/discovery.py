@@ -13,7 +13,6 @@ from wordsieve.functions import messages as J
 from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text
 from wordsieve.operators import classify, lexicon
-from wordsieve.sources.tables import spread
 from wordsieve.streaming.flagging import present
 
 Keep = Callable[[DataFrame, int], None]
@@ -62,14 +61,18 @@ def compact_candidates(spark: SparkSession, path: str, target: str) -> None:
     read_candidates(spark, path).select("word").distinct().write.mode("overwrite").parquet(f"{target}/batch_id=-2")
 
 
-def to_lexicon(spark: SparkSession, path: str, first_version: int, category: str = "discovered") -> Keep:
-    """Take new words into a versioned lexicon at once; batch n becomes version ``first_version`` + n."""
+def to_lexicon(spark: SparkSession, path: str, first_version: int, category: str = "discovered", writer: str = "discovery") -> Keep:
+    """Take new words into a versioned lexicon at once; batch n becomes version ``first_version`` + n of this writer.
+
+    Versions of the same number by other writers, such as a reviewer, stay.
+    """
 
     def keep(found: DataFrame, batch_id: int) -> None:
         version = first_version + batch_id
-        others = lexicon.read_versions(spark, path).where(F.col("version") != version)
+        own = (F.col("version") == version) & (F.col("writer") == writer)
+        others = lexicon.read_versions(spark, path, with_writer=True).where(~own)
         new = found.join(lexicon.current(others).select("word"), "word", "left_anti")
-        lexicon.append_version(new.select("word", F.lit(category).alias("category"), F.lit("add").alias("op")), path, version)
+        lexicon.append_version(new.select("word", F.lit(category).alias("category"), F.lit("add").alias("op")), path, version, writer)
 
     return keep
 
@@ -106,7 +109,7 @@ def discovery_stream(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        texts = message_texts(spread(batch), value, path, profile).persist()
+        texts = message_texts(batch, value, path, profile).persist()
         try:
             if texts.isEmpty():
                 return

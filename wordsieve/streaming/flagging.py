@@ -10,7 +10,6 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from wordsieve.functions import messages as J
 from wordsieve.operators.match import flag_messages
-from wordsieve.sources.tables import spread
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -22,15 +21,19 @@ def mark_messages(
     value: str = "value",
     path: Sequence[str] = J.DEFAULT_PATH,
     lenient: bool = True,
-    profile: str | None = "filter",
-    mode: str = "words",
+    profile: str | None = "train",
+    mode: str = "segmented",
+    dictionary: DataFrame | None = None,
 ) -> DataFrame:
-    """Usable JSON messages with the marker at their root: key, value, is_sensitive. Others are dropped."""
+    """Usable JSON messages with the marker at their root: key, value, is_sensitive. Others are dropped.
+
+    Keys may be null or all the same.
+    """
     text = J.extract_text(F.col(value), path, lenient)
     usable = messages.select(F.col(key).alias("key"), F.col(value).alias("value"), present(text).alias("_text"))
-    flagged = flag_messages(usable, ["key"], F.col("_text"), lexicon, profile, mode)
+    flagged = flag_messages(usable, F.col("_text"), lexicon, profile, mode, dictionary)
     marked = J.mark(F.col("value"), F.col("is_sensitive"))
-    return flagged.select("key", marked.alias("value"), "is_sensitive")
+    return flagged.select("key", present(marked).alias("value"), "is_sensitive")
 
 
 def present(value: Column) -> Column:
@@ -90,7 +93,7 @@ def flag_stream(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        sink(mark_messages(spread(batch), load_lexicon(), **options), batch_id)
+        sink(mark_messages(batch, load_lexicon(), **options), batch_id)
 
     writer = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
