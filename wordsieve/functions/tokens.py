@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -37,15 +38,22 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"[{ALPHABET}]+|[{OTHER}]+"), F.lit(0))
 
 
-def segmented(text: Column, dictionary: Sequence[str]) -> Column:
-    """As ``words``, with runs of scripts without blanks cut by a few words, from left to right, the longest first.
+def segmented(text: Column, dictionary: Sequence[str], latin_runs: bool = True) -> Column:
+    """Lower-cased tokens by a few words, from left to right, the longest first.
 
-    Characters that no word covers are tokens of their own.
+    With ``latin_runs`` a run of letters of an alphabet is one token, as in ``words``, and only runs of scripts without
+    blanks are cut; without it all letters are. Characters that no word covers are tokens of their own.
     """
-    cut = [w for w in dictionary if w]
-    pattern = f"[{ALPHABET}]+|{alternation(cut)}|[{OTHER}]" if cut else f"[{ALPHABET}]+|[{OTHER}]"
-    # Words of the dictionary are sought where no alphabet run begins, so only those of other scripts matter.
-    return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
+    sought = [w for w in dictionary if w and all(unicodedata.category(c)[0] in "LMN" and not (latin_runs and in_alphabet(c)) for c in w)]
+    parts = [f"[{ALPHABET}]+"] if latin_runs else []
+    parts += [alternation(sought)] if sought else []
+    parts.append(f"[{OTHER if latin_runs else LETTERS}]")
+    return F.regexp_extract_all(F.lower(text), F.lit("|".join(parts)), F.lit(0))
+
+
+def in_alphabet(char: str) -> bool:
+    """Whether a letter belongs to a script that puts blanks between words."""
+    return unicodedata.name(char, "").split(" ")[0] not in ("CJK", "IDEOGRAPHIC", "HIRAGANA", "KATAKANA", "HALFWIDTH", "THAI", "LAO", "KHMER", "MYANMAR")
 
 
 def ngrams(tokens: Column, size: int) -> Column:

@@ -13,7 +13,7 @@ from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text, removes_blanks
 from wordsieve.operators.joins import attach, inline_words
 from wordsieve.operators.lexicon import matchable
-from wordsieve.operators.segment import INSIDE_WORD, PAD, find_all, greedy_terms, segment_greedy, word_rows
+from wordsieve.operators.segment import INSIDE_WORD, PAD, find_all, segment_greedy, word_rows
 
 # Up to this many words are sought in a text one by one; more are looked up position by position.
 SOUGHT_WORDS = 64
@@ -153,8 +153,8 @@ def flag_segmented(
     words = inline_words(every)
     if words is not None:
         listed = inline_words(lexicon)
-        tokens = greedy_terms(cleaned, words, latin_runs)
-        return df.select(*ids, F.exists(tokens, lambda t: T.is_one_of(t["term"], listed)).alias("is_sensitive"))
+        tokens = T.segmented(cleaned, words, latin_runs)
+        return df.select(*ids, F.exists(tokens, lambda t: T.is_one_of(t, listed)).alias("is_sensitive"))
     rows = df.select(digest(text).alias("_digest"), cleaned.alias("_cleaned")).where(F.col("_cleaned").isNotNull())
     terms = segment_greedy(rows, ["_digest"], F.col("_cleaned"), every, latin_runs)
     listed = lexicon.select(F.col("word").alias("term")).distinct()

@@ -200,13 +200,7 @@ def segment_greedy(
 def greedy_terms(text: Column, words: Sequence[str], latin_runs: bool = True) -> Column:
     """The tokens of ``segment_greedy`` by a few words, as an array in text order: term, known. No row is exploded."""
 
-    def tokens(run: Column) -> Column:
-        segmented = T.greedy(run, words)
-        if not latin_runs:
-            return segmented
-        return F.when(T.is_latin(run), F.array(F.struct(run.alias("term"), T.is_one_of(run, words).alias("known")))).otherwise(segmented)
-
-    return F.flatten(F.transform(T.letter_runs(text, latin_runs), tokens))
+    return F.transform(T.segmented(text, words, latin_runs), lambda t: F.struct(t.alias("term"), T.is_one_of(t, words).alias("known")))
 
 
 def _inline_greedy(pieces: DataFrame, ids: Sequence[str], words: Sequence[str]) -> DataFrame:

@@ -198,7 +198,10 @@ def segment_greedy(spark: SparkSession, base: str) -> DataFrame:
         ordered = F.array_sort(F.collect_list(F.struct("start", "term", "known")))
         terms = tokens.groupBy("doc_id").agg(ordered.alias("t"))
     else:
-        terms = documents(spark, base).select("doc_id", segment.greedy_terms(text, words, latin_runs=False).alias("t")).where(F.size("t") > 0)
+        found = segment.greedy_terms(text, words, latin_runs=False)
+        # Generated, as a filter on the array would compute it a second time.
+        some = F.explode(F.filter(F.array(found), lambda t: F.size(t) > 0))
+        terms = documents(spark, base).select("doc_id", some.alias("t"))
     return terms.select(
         "doc_id",
         F.size("t").cast("bigint").alias("n"),
