@@ -146,7 +146,7 @@ def hub_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     inside = members.join(sets.select("node"), "node", "left_semi")
     met = inside.groupBy("node").agg(F.sum("n").alias("met"))
-    best = inside.join(met, "node").groupBy("band").agg(F.max(F.struct("met", (-F.col("node")).alias("low"))).alias("hub"))
+    best = stored(inside.join(met, "node").groupBy("band").agg(F.max(F.struct("met", (-F.col("node")).alias("low"))).alias("hub")), "near-dup-best")
     pairs = inside.join(best, "band").groupBy("node").agg((-F.max("hub")["low"]).alias("hub")).where("node <> hub")
     facing = sets.select("node", "n", "hashes").join(pairs, "node").join(
         sets.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("hashes").alias("hub_hashes")), "hub"
@@ -160,11 +160,12 @@ def large_blocks(sets: DataFrame, joined: DataFrame) -> DataFrame:
     """Pairs of blocks of the large clusters: nodes outside a cluster's largest group against all its nodes."""
     rooted = sets.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     share = rooted.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("c"))
-    main = share.groupBy("cluster").agg(F.max(F.struct("c", "root"))["root"].alias("main"))
+    # Tables of a row or a block per cluster are written, so that Spark knows their size and needn't gather a cluster.
+    main = stored(share.groupBy("cluster").agg(F.max(F.struct("c", "root"))["root"].alias("main")), "near-dup-main")
     rooted = rooted.join(main, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int"))
     outside = F.col("root") != F.col("main")
-    with_outside = rooted.where(outside).select("cluster", F.col("block").alias("i")).distinct()
-    every = rooted.select("cluster", F.col("block").alias("j")).distinct()
+    with_outside = stored(rooted.where(outside).select("cluster", F.col("block").alias("i")).distinct(), "near-dup-outside")
+    every = stored(rooted.select("cluster", F.col("block").alias("j")).distinct(), "near-dup-every")
     lefts = rooted.where(outside).withColumnRenamed("block", "i").join(every, "cluster").withColumn("side", F.lit(0))
     rights = rooted.withColumnRenamed("block", "j").join(with_outside, "cluster").withColumn("side", F.lit(1))
     return lefts.unionByName(rights).withColumn("key", F.col("cluster"))
@@ -219,7 +220,8 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
         "near-dup-nodes",
     )
     bands = nodes.select("node", F.posexplode("sketch")).select("node", F.xxhash64("pos", "col").alias("band"))
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("centre")).where("n > 1")
+    # Written before it is joined, so that adaptive execution can split a band that many nodes have.
+    shared = stored(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("centre")).where("n > 1"), "near-dup-bands")
     members = stored(bands.join(shared, "band"), "near-dup-members")
     clusters = components(members.where("node <> centre"), "node", "centre")
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
