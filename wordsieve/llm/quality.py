@@ -7,7 +7,6 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordsieve.llm.common import map_text, quoted
