@@ -610,24 +610,28 @@ def lexicon_writers(spark: SparkSession, base: str) -> DataFrame:
 
 
 def stream_hot_update(spark: SparkSession, base: str) -> DataFrame:
-    """Two waves of messages through one stream; between them the lexicon gains words."""
+    """Two waves of messages through one running stream; between them the lexicon gains words."""
     arriving, words, out, progress = (scratch_dir(spark, p) for p in ("arriving", "lexicon", "marked", "progress"))
     all_messages = conversations(spark, base).select(
         F.concat_ws("-", *TURN).alias("key"), J.wrap(F.col("text")).alias("value"), (F.col("conv_id") % 2).alias("wave")
     )
 
-    def run(wave: int) -> None:
+    def arrive(wave: int) -> None:
         all_messages.where(F.col("wave") == wave).select("key", "value").write.parquet(f"{arriving}/wave{wave}")
-        stream = spark.readStream.schema("key string, value string").parquet(f"{arriving}/wave*")
-        flagging.flag_stream(
-            stream, lambda: lexicon.current(lexicon.read_versions(spark, words)), flagging.batch_files(out), progress,
-            profile="train",
-        ).start().awaitTermination()
 
     lexicon.append_version(insult_lexicon(spark).withColumn("op", F.lit("add")), words, 1)
-    run(0)
-    lexicon.append_version(benchmark_lexicon(spark, base).withColumn("op", F.lit("add")), words, 2)
-    run(1)
+    arrive(0)
+    stream = spark.readStream.schema("key string, value string").parquet(f"{arriving}/wave*")
+    running = flagging.flag_stream(
+        stream, lambda: lexicon.current(lexicon.read_versions(spark, words)), flagging.batch_files(out), progress, every="1 second"
+    ).start()
+    try:
+        running.processAllAvailable()
+        lexicon.append_version(benchmark_lexicon(spark, base).withColumn("op", F.lit("add")), words, 2)
+        arrive(1)
+        running.processAllAvailable()
+    finally:
+        running.stop()
     return spark.read.parquet(out).select("key", "is_sensitive")
 
 
