@@ -15,7 +15,7 @@ import corpus_pipeline
 from tests.llm.test_models import auc
 from tests.llm.test_near_dup import sets
 from tests.llm.test_tables import shares
-from tests.llm.test_texts import plain
+from tests.llm.test_texts import brute_matches, plain
 from wordsieve.llm.html_text import main_text
 from wordsieve.llm.oracles import ORACLES
 from wordsieve.llm.queries import QUERIES
@@ -94,14 +94,13 @@ def test_pages(spark):
 
 def test_contamination(spark, documents):
     items = {r["item_id"]: " ".join(plain(r["text"])) for r in table("benchmark")}
-    got = rows(spark, "op5_decontaminate")
-    held = 0
-    for i, r in documents.items():
-        text = f" {' '.join(plain(r['text']))} "
-        whole = {k for k, item in items.items() if f" {item} " in text}
-        assert whole <= set(got[i].item_ids) and got[i].contaminated == bool(got[i].item_ids)
-        held += len(whole)
-    assert held
+    found = QUERIES["op5_decontaminate"](spark, BASE).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert len(got) == len(found) and all(r.similarity >= 0.8 and r.begin < r.end for r in found)
+    held = {(i, k) for i, r in documents.items() for k, item in items.items() if f" {item} " in f" {' '.join(plain(r['text']))} "}
+    assert held and held <= got
+    for i, k in got - held:
+        assert k in brute_matches(documents[i]["text"], [(x, " ".join(plain(t))) for x, t in items.items()])
 
 
 def test_languages(spark, documents):
