@@ -16,6 +16,7 @@ from tests.llm.test_models import auc
 from tests.llm.test_near_dup import sets
 from tests.llm.test_tables import shares
 from tests.llm.test_texts import brute_matches, plain
+from wordsieve.llm import sharding
 from wordsieve.llm.html_text import main_text
 from wordsieve.llm.oracles import ORACLES
 from wordsieve.llm.queries import QUERIES
@@ -70,6 +71,18 @@ def test_shards(spark, documents):
         assert sorted(r.slot for r in got.values() if r.shard == shard) == list(range(n))
 
 
+def test_shards_are_written_with_whole_rows(spark, documents, monkeypatch):
+    written, write = [], sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda df, path, *a: (write(df, path, *a), written.append(path)))
+    got = rows(spark, "op2_shuffle_shards")
+    (path,) = written
+    held = {r.doc_id: r for r in spark.read.parquet(path).collect()}
+    assert held.keys() == documents.keys()
+    for i, r in documents.items():
+        assert {c: held[i][c] for c in r} == r
+        assert (held[i].shard, held[i].slot) == (got[i].shard, got[i].slot)
+
+
 @pytest.mark.parametrize(("name", "label", "parts", "held", "least"), [("op3_quality", "quality", 5, 0, 0.9), ("op10_toxicity", "toxic", 4, 2, 0.0)])
 def test_scores(spark, documents, name, label, parts, held, least):
     """The smallest table holds some tens of labels; its held-out ranking is checked where both labels are there."""

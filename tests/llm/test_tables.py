@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,6 +89,19 @@ def test_shuffle_repeats_itself_and_writes_shards(spark, docs, rng, tmp_path):
     assert sharding.external_shuffle(docs([])).collect() == []
 
 
+def test_shards_are_written_in_slot_order_by_whole_rows(spark, docs, rng, tmp_path):
+    rows = [(k, prose(rng, 5), "s") for k in range(300)] + [(None, None, None)] * 20
+    out = sharding.external_shuffle(docs(rows), shards=4, bucket_rows=50)
+    sharding.write_shards(out, str(tmp_path / "shards"), 4)
+    found = []
+    for shard in range(4):
+        files = sorted((tmp_path / "shards" / f"shard={shard}").glob("*.parquet"))
+        held = [r for f in files for r in pq.ParquetFile(f).read().to_pylist()]
+        assert [r["slot"] for r in held] == list(range(80))
+        found += held
+    assert Counter((r["doc_id"], r["text"], r["source"]) for r in found) == Counter(rows)
+
+
 def brute_features(text):
     text = text or ""
     words = WORD.findall(text)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wordsieve.llm import decontaminate, html_text, langid, line_rules, mixing, near_dup, quality, sharding, token_counts, toxicity
 from wordsieve.llm.common import read, remainder
+from wordsieve.session import scratch_dir
 
 
 def op1_token_counts(spark: SparkSession, base: str) -> DataFrame:
@@ -18,14 +19,20 @@ def op1_token_counts(spark: SparkSession, base: str) -> DataFrame:
 
 
 def op2_shuffle_shards(spark: SparkSession, base: str) -> DataFrame:
+    """Shuffles the whole rows and writes the shards; size and digest are of the rows read again."""
+    shuffled = sharding.external_shuffle(read(spark, base, "documents", "*"))
+    path = f"{scratch_dir(spark, 'shards')}/rows"
+    sharding.write_shards(shuffled, path)
     text = F.coalesce(F.col("text"), F.lit(""))
-    digest = read(spark, base, "documents", "doc_id", "text").select(
+    return spark.read.schema(shuffled.schema).parquet(path).select(
         "doc_id",
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
     )
-    return sharding.external_shuffle(digest).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
 def op3_quality(spark: SparkSession, base: str) -> DataFrame:

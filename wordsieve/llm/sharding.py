@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,8 @@ SEED = 29
 # Bytes and rows of records that a bucket is meant to hold; a bucket is shuffled in the memory of one task.
 BUCKET_BYTES = 32 << 20
 BUCKET_ROWS = 1 << 18
+# Rows that a bucket hands on at once.
+BATCH_ROWS = 1 << 12
 
 
 def record_bytes(df: DataFrame) -> Column:
@@ -61,18 +65,32 @@ def external_shuffle(
     offsets = df.sparkSession.sparkContext.broadcast(before)
     schema = T.StructType([rows.schema["record"], T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
 
-    def shuffled(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("row", ignore_index=True)
-        # numpy's permutation is a Fisher-Yates shuffle.
-        order = np.random.Generator(np.random.PCG64([seed, int(key[0])])).permutation(len(part))
-        place = offsets.value[int(key[0])] + np.arange(len(part))
-        out = part[["record"]].iloc[order].reset_index(drop=True)
-        return out.assign(shard=(place % shards).astype("int32"), slot=place // shards)
+    def shuffled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        part = pa.Table.from_batches(held).combine_chunks()
+        of, row = part["bucket"].to_numpy(), part["row"].to_numpy()
+        order = np.lexsort([row, of])
+        for b in np.unique(of):
+            own = order[of[order] == b]
+            # numpy's permutation is a Fisher-Yates shuffle.
+            own = own[np.random.Generator(np.random.PCG64([seed, int(b)])).permutation(len(own))]
+            place = offsets.value[b] + np.arange(len(own))
+            for k in range(0, len(own), BATCH_ROWS):
+                at = place[k : k + BATCH_ROWS]
+                record = part["record"].take(pa.array(own[k : k + BATCH_ROWS])).combine_chunks()
+                columns = [record, pa.array((at % shards).astype("int32")), pa.array(at // shards)]
+                yield from pa.Table.from_arrays(columns, names=schema.fieldNames()).to_batches()
 
-    placed = rows.select("row", "record", bucket.alias("bucket")).groupBy("bucket").applyInPandas(shuffled, schema)
+    # One bucket to a partition, in order: places rise from partition to partition.
+    placed = rows.select("row", "record", bucket.alias("bucket")).repartitionById(buckets, F.col("bucket")).mapInArrow(shuffled, schema)
     return placed.select("record.*", "shard", "slot")
 
 
 def write_shards(shuffled: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """One folder per shard, its rows in the order of their slots."""
-    shuffled.repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """One folder per shard, its rows in the order of their slots: a file from each bucket, by name in their order.
+
+    ``shuffled`` is what external_shuffle gave for so many ``shards``. Each bucket is written where it was shuffled, so no row moves again.
+    """
+    shuffled.sortWithinPartitions("shard", "slot").write.partitionBy("shard").option("compression", "zstd").parquet(path)
