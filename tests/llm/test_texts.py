@@ -169,3 +169,54 @@ def test_contaminated_table_in_one_or_more_blocks(spark, docs, rng, monkeypatch)
         assert sorted((-1 if r.doc_id is None else r.doc_id, [m.item_id for m in r.matches]) for r in got) == want
     assert decontaminate.contaminated(docs([]), table).collect() == []
     assert [r.matches for r in decontaminate.contaminated(docs(rows[2:3]), table.limit(0)).collect()] == [[]]
+
+
+def jaccard(a, b):
+    a, b = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (plain(a), plain(b)))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize(("copies", "size", "edits"), [(2, 50, 1), (2, 60, 1), (10, 100, 2)])
+def test_edited_copies_of_equal_items_match_in_one_or_more_blocks(spark, docs, rng, monkeypatch, copies, size, edits):
+    passage = [f"w{k}" for k in range(size)]
+    items = [(k, " ".join(passage)) for k in range(copies)] + [(90 + k, prose(rng, 40)) for k in range(8)]
+    for k in range(edits):
+        passage[(k + 1) * size // (edits + 1)] = f"changed{k}"
+    edited = " ".join(passage)
+    assert 0.8 <= jaccard(edited, items[0][1]) < 0.9
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = []
+    for most in (1 << 22, 600):
+        monkeypatch.setattr(decontaminate, "ITEM_BYTES", most)
+        got = decontaminate.contaminated(docs([(1, edited, "s"), (2, prose(rng, 60), "s")]), table).collect()
+        found.append({r.doc_id: [tuple(m) for m in r.matches] for r in got})
+    assert [m[0] for m in found[0][1]] == list(range(copies)) and found[0][2] == []
+    assert found[0] == found[1]
+
+
+def test_shared_passages_give_one_similarity_in_any_blocks(spark, docs, rng, monkeypatch):
+    common = prose(rng, 20)
+    items = [(k, f"{common} {prose(rng, 40)}") for k in range(10)]
+    rows = [(k, " ".join(["another", "beginning"] + t.split()[2:]), "s") for k, t in items]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = []
+    for most in (1 << 22, 600):
+        monkeypatch.setattr(decontaminate, "ITEM_BYTES", most)
+        got = decontaminate.contaminated(docs(rows), table).collect()
+        found.append({r.doc_id: [tuple(m) for m in r.matches] for r in got})
+    assert found[0] == found[1]
+    assert all(any(m[0] == k for m in found[0][k]) for k, _ in items)
+
+
+def test_no_plain_near_copy_is_rejected(rng):
+    common = [prose(rng, 20) for _ in range(3)]
+    items = [(k, " ".join([rng.choice(common), prose(rng, rng.randint(5, 50)), rng.choice(common)])) for k in range(30)]
+    items += [(100 + k, t) for k, t in items[:10]]
+    index = decontaminate.Index(items, 0.8)
+    for k, (_, text) in enumerate(items):
+        for edits in range(4):
+            words = plain(text)
+            for _ in range(edits):
+                words[rng.randrange(len(words))] = "changed"
+            (_, hashes), = decontaminate.word_hashes([" ".join(words)], plain=True)
+            assert index.similar(k, hashes) >= jaccard(" ".join(words), text)

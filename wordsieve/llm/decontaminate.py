@@ -39,6 +39,9 @@ MATCH = T.StructType(
 )
 
 
+GRAMS = T.StructType([T.StructField("grams", T.ArrayType(T.LongType()))])
+
+
 def window_size(words: int) -> int:
     """The window for an item of so many words, on a grid that keeps the number of sizes low."""
     size = SHINGLE
@@ -60,22 +63,51 @@ def fingerprints(words: np.ndarray, sizes: Sequence[int]) -> Iterator[tuple[int,
             yield size, np.packbits(running[size - 1 :] - running[: 1 - size] > 0, axis=1).view(np.uint64).ravel()
 
 
+def item_shingles(texts: Sequence[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Row, words and sorted distinct shingles of each item that is looked for: shorter ones hold no shingle."""
+    for row, words in word_hashes(texts, plain=True):
+        if len(words) >= SHINGLE:
+            yield row, words, np.unique(shingles(words, SHINGLE))
+
+
+def shared_shingles(items: DataFrame) -> DataFrame:
+    """The shingles (block, gram) of the items (block, text) that items of different shingles share, with the number of their
+    holders among the items of all blocks."""
+
+    def grams(texts: Sequence[str | None]) -> list[pa.Array]:
+        found: list = [[] for _ in texts]
+        for row, _, own in item_shingles(texts):
+            found[row] = own.view(np.int64)
+        return [pa.array(found, pa.list_(pa.int64()))]
+
+    held = map_text(items.select("block", "text").distinct(), "text", GRAMS, lambda: grams)
+    holders = held.select("grams").distinct().select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("holders"))
+    return held.select("block", F.explode("grams").alias("gram")).distinct().join(holders.where("holders > 1"), "gram")
+
+
 class Index:
-    """Fingerprints of the items by window size, looked up by parts."""
+    """Fingerprints of the items by window size, looked up by parts.
 
-    def __init__(self, items: Sequence[tuple[int, str]], similarity: float):
+    ``holders`` has the shingles (sorted) that several items hold, and how many; without it they are counted among ``items``.
+    """
+
+    def __init__(self, items: Sequence[tuple[int, str]], similarity: float, holders: tuple[np.ndarray, np.ndarray] | None = None):
         self.similarity = similarity
         self.ids, self.words, self.shingles = [], [], []
-        for row, words in word_hashes([t for _, t in items], plain=True):
-            # Shorter items hold no shingle and are not looked for.
-            if len(words) >= SHINGLE:
-                self.ids.append(items[row][0])
-                self.words.append(words)
-                self.shingles.append(np.unique(shingles(words, SHINGLE)))
-        values, holders = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.shingles]), return_counts=True)
-        # A shingle weighs less the more items share it; one that no item holds weighs 1.
-        self.values, self.weights = values, 1.0 / holders
-        self.totals = [self.weights[np.searchsorted(values, own)].sum() for own in self.shingles]
+        for row, words, own in item_shingles([t for _, t in items]):
+            self.ids.append(items[row][0])
+            self.words.append(words)
+            self.shingles.append(own)
+        if holders is None:
+            # Items of the same shingles are one holder.
+            distinct = {own.tobytes(): own for own in self.shingles}
+            holders = np.unique(np.concatenate([np.zeros(0, np.uint64), *distinct.values()]), return_counts=True)
+        # A shingle weighs less the more items share it.
+        values, many = np.append(holders[0], np.uint64(0)), np.append(holders[1], 1)
+        self.weights = []
+        for own in self.shingles:
+            place = np.searchsorted(values[:-1], own)
+            self.weights.append(1.0 / np.where(values[place] == own, many[place], 1))
         groups: dict[int, list[tuple[int, int]]] = {}
         for k, words in enumerate(self.words):
             size = window_size(len(words))
@@ -115,15 +147,21 @@ class Index:
         return tuple(np.unique(np.concatenate(found, 1), axis=1))
 
     def similar(self, item: int, words: np.ndarray) -> float:
-        """Weighted Jaccard similarity of the five-word shingles of an item and of a window."""
+        """Jaccard similarity of the five-word shingles of an item and of a window, weighted or plain: the larger one.
+
+        Shingles that the item lacks weigh what those do, on average, whose place they take, so the other items count
+        only by the weights of the item's own shingles.
+        """
         if len(words) < SHINGLE:
             return 0.0
-        own, other = self.shingles[item], np.unique(shingles(words, SHINGLE))
-        place = np.minimum(np.searchsorted(self.values, other), len(self.values) - 1)
-        weight = np.where(self.values[place] == other, self.weights[place], 1.0)
-        shared = weight[own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other].sum()
-        whole = self.totals[item] + weight.sum() - shared
-        return float(shared / whole)
+        own, weight, other = self.shingles[item], self.weights[item], np.unique(shingles(words, SHINGLE))
+        place = np.minimum(np.searchsorted(own, other), len(own) - 1)
+        place = place[own[place] == other]
+        lost, new = len(own) - len(place), len(other) - len(place)
+        shared = weight[place].sum()
+        gone = weight.sum() - shared if lost else 0.0
+        whole = shared + gone + new * (gone / lost if lost else weight.mean())
+        return float(max(shared / whole, len(place) / (len(own) + new)))
 
     def search(self, texts: Sequence[str | None]) -> list[list[dict]]:
         """For each text the items it holds: item, first word and word past the end, similarity; by item."""
@@ -164,9 +202,10 @@ class Index:
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", similarity: float = SIMILARITY, keep_text: bool = False) -> DataFrame:
     """The columns of ``docs`` with ``matches``, the items (item_id, text) that each whole text holds.
 
-    A match is a run of words, as many as the item has, whose weighted five-word shingles reach ``similarity``. Words are
-    lower-case and parted by white space and ASCII marks. The items are measured and go to the tasks in
-    blocks of ITEM_BYTES; each block is one pass over the documents, without a shuffle while there is one block.
+    A match is a run of words, as many as the item has, whose five-word shingles, plain or weighted, reach ``similarity``.
+    Words are lower-case and parted by white space and ASCII marks. The items are measured and go to the tasks in
+    blocks of ITEM_BYTES; each block is one pass over the documents, without a shuffle of them while there is one block. A
+    shingle's holders are counted over all items, so the matches don't depend on the blocks.
 
     Null and empty texts hold nothing. Items of null or fewer than five words are not looked for; equal items are
     all reported. Repeated rows are judged alike; empty tables give no rows and no matches.
@@ -175,11 +214,16 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", similari
     known = items.select(F.col("item_id").cast("long"), F.col("text")).where(F.col("text").isNotNull())
     held = known.agg(F.coalesce(F.sum(F.octet_length("text") + 8), F.lit(0))).first()[0]
     blocks = max(1, -(-held // ITEM_BYTES))
+    known = known.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    shared = stored(shared_shingles(known), "decontaminate-shingles")
     out = T.StructType([T.StructField("matches", T.ArrayType(MATCH))])
 
     def search(rows: DataFrame, block: int) -> DataFrame:
-        own = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        index = spark.sparkContext.broadcast(Index([tuple(r) for r in own.orderBy("item_id", "text").collect()], similarity))
+        own = [tuple(r) for r in known.where(F.col("block") == block).select("item_id", "text").orderBy("item_id", "text").collect()]
+        held = shared.where(F.col("block") == block).select("gram", "holders").toArrow()
+        values, many = held["gram"].to_numpy().view(np.uint64), held["holders"].to_numpy()
+        order = np.argsort(values)
+        index = spark.sparkContext.broadcast(Index(own, similarity, (values[order], many[order])))
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("begin", pa.int64()), ("end", pa.int64()), ("similarity", pa.float64())]))
         return map_text(rows, "_t", out, lambda: lambda texts: [pa.array(index.value.search(texts), kind)], True)
 
