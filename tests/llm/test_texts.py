@@ -87,6 +87,39 @@ def test_article_without_marks_is_found_by_its_blocks():
     assert "Topic" not in html_text.main_text(page)
 
 
+STORY = "".join(f"<p>Sentence number {k} of the article, which is long enough to weigh.</p>" for k in range(3))
+TOLD = html_text.main_text(f"<article>{STORY}</article>")
+
+
+@pytest.mark.parametrize(
+    ("before", "after"),
+    [
+        ('<body class="no-sidebar"><article>', "</article></body>"),
+        ('<body class="sidebar ads"><main id="nav">', "</main></body>"),
+        ('<body><article class="post comments-open tag-news tags">', "</article></body>"),
+        ('<body><div class="site menu-closed"><div class="content with-sidebar">', "</div></div></body>"),
+        ('<body><div class="has-sidebar">', "</div></body>"),
+        ('<body><form id="aspnetForm"><nav>Home</nav><div>', "</div></form></body>"),
+        ('<body><form><article>', "</article></form></body>"),
+        ('<body><div class="widget"><article>', "</article></div></body>"),
+        ('<body><div class="widget">', "</div></body>"),
+        ('<body><div class="ad"><main>', "</main>"),
+    ],
+)
+def test_wrappers_of_the_page_are_no_frames(before, after):
+    assert html_text.main_text(before + STORY + after) == TOLD
+
+
+def test_frames_beside_the_article_stay_out():
+    remark = "<p>Reader: I do not agree with any word of this long article, not with one.</p>"
+    for frame in ('<section id="comments">', '<div class="comments-area">', '<div class="box sidebar">', '<div class="related-posts">', '<div class="cookie-notice">'):
+        name = frame[1:].split()[0]
+        for held in (remark, f"<article>{remark}</article>"):
+            assert html_text.main_text(f"<body><article>{STORY}</article>{frame}{held}</{name}></body>") == TOLD
+        assert html_text.main_text(f"<body>{STORY}{frame}{remark}</{name}></body>") == TOLD
+    assert html_text.main_text(f"<body>{STORY}<form>{remark}</form></body>") == TOLD
+
+
 def test_odd_pages():
     assert [html_text.main_text(x) for x in (None, "", "   ", "<p></p>", "<nav>menu</nav>", "<script>x")] == [""] * 6
     assert html_text.main_text("plain text only") == "plain text only"

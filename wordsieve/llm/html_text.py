@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +30,17 @@ BREAKS = {
     "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "title",
 }
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
-# Words in a class, id or role that mark a part of the page which is no article.
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|popup|modal|newsletter|subscribe|signup|"
-    r"comment\w*|disqus\w*|replies|reply|respond|sidebar|side-bar|widget\w*|related|recommend\w*|share|sharing|social|nav\w*|menu\w*|"
-    r"breadcrumb\w*|pagination|pager|footer|copyright|masthead|site-header|page-header|navigation|complementary|contentinfo|search|toolbar|tag-list|tags)(?:$|[\s_-])"
+# Elements that hold a page or an article, whatever their classes say.
+WHOLE = {"html", "body"} | ARTICLE
+# Names in a class, id or role that mark a part of the page which is no article. A name counts as a whole: it is made up of
+# such words and of plain words for parts of a page, so that "has-sidebar", "tag-news" or "menu-closed" on a wrapper mark nothing.
+MARK = (
+    r"ad|ads|advert[a-z]*|sponsor[a-z]*|promo[a-z]*|banner|cookies?|cookie(?:bar|consent|law|notice)|consent|gdpr|notice|popup|modal|newsletter|subscribe|signup|"
+    r"comments?|commentlist|disqus[a-z]*|replies|reply|respond|sidebar|side-bar|widgets?|related|recommend[a-z]*|share|sharing|social|nav|navbar|menus?|"
+    r"breadcrumbs?|pagination|pager|footer|copyright|masthead|site-header|page-header|navigation|complementary|contentinfo|search|toolbar|tag-list|tags"
 )
+PART = r"site|page|main|top|bottom|primary|secondary|global|area|list|box|block|bar|section|container|wrapper|wrap|inner|form|posts?|articles?|links?|items?|buttons?|text|title|message|thread|slot|unit|\d+"
+MARKS = re.compile(rf"(?:(?:{PART})[_-]+)*(?:{MARK})(?:[_-]+(?:{MARK}|{PART}))*", re.A)
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)",
@@ -46,33 +51,65 @@ ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|aria-hidden|hidden)(?:\s*=\s*(?:
 ENDS_P = BREAKS - {"br"}
 
 
+def hidden(name: str, attributes: str) -> bool:
+    """Whether an element is never seen."""
+    if name in HIDDEN:
+        return True
+    found = ATTRIBUTE.findall(attributes) if name not in WHOLE else []
+    return any(k.lower() == "hidden" or k.lower() == "aria-hidden" and "".join(v).lower() == "true" for k, *v in found)
+
+
 def aside(name: str, attributes: str, in_article: bool) -> bool:
     """Whether an element holds no part of the article."""
-    if name in FRAME or name in HIDDEN or name == "header" and not in_article:
+    if name in WHOLE:
+        return False
+    if name in FRAME or name == "header" and not in_article or hidden(name, attributes):
         return True
-    for key, *values in ATTRIBUTE.findall(attributes):
-        value = "".join(values).lower()
-        if key.lower() == "hidden" or key.lower() == "aria-hidden" and value == "true":
-            return True
-        if key.lower() in ("class", "id", "role") and MARKS.search(value):
-            return True
-    return False
+    return any(
+        MARKS.fullmatch(word) for key, *values in ATTRIBUTE.findall(attributes) if key.lower() in ("class", "id", "role") for word in "".join(values).lower().split()
+    )
+
+
+class Frames:
+    """The frames of a page by the place of their tag: what they hold, to tell which are wrappers of the page instead."""
+
+    def __init__(self) -> None:
+        self.names: dict[int, str] = {}
+        self.chars: dict[int, int] = {}
+        self.with_article: set[int] = set()
+        self.total = 0
+        # An article stands outside all frames.
+        self.article_outside = False
+
+    def wrappers(self) -> set[int]:
+        """Forms that hold an article or half of the page's text; any frames that hold the articles, if none is elsewhere."""
+        forms = {at for at, name in self.names.items() if name == "form"}
+        wide = {at for at in forms if 2 * self.chars.get(at, 0) >= self.total}
+        return wide | (self.with_article & forms if self.article_outside else self.with_article)
 
 
 def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Lines of a page with their text, its length outside menus and other frames, and whether an article holds it.
 
     Markup goes, and every block element and line break ends a line. Text in frames counts nothing and is
-    left out; a line that is mostly links counts nothing.
+    left out; a line that is mostly links counts nothing. A frame that wraps the page is none.
     """
+    frames = Frames()
+    found = parsed(page, frames)
+    wrappers = frames.wrappers()
+    return parsed(page, Frames(), wrappers) if wrappers else found
+
+
+def parsed(page: str, seen: Frames, spared: Collection[int] = (), unframed: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The lines of a page; the ``spared`` elements are no frames, nor any but hidden ones if ``unframed``."""
     texts: list[str] = []
     weights: list[int] = []
     inside: list[bool] = []
     held: list[str] = []
     linked = 0
-    # Open elements: name, whether it is a frame; and how many of the open ones are frames, articles, links.
-    opened: list[tuple[str, bool]] = []
-    frames = articles = links = 0
+    # Open elements: name, whether it is a frame, place; and how many of the open ones are frames, hidden, articles, links.
+    opened: list[tuple[str, bool, bool, int, int]] = []
+    frames = unseen = articles = links = 0
 
     def end_line() -> None:
         nonlocal linked
@@ -86,15 +123,20 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
         linked = 0
 
     def close(upto: int) -> None:
-        nonlocal frames, articles, links
+        nonlocal frames, unseen, articles, links
         while len(opened) > upto:
-            name, framed = opened.pop()
+            name, framed, out_of_sight, place, before = opened.pop()
             frames -= framed
+            unseen -= out_of_sight
+            if framed:
+                seen.chars[place] = seen.total - before
             articles -= name in ARTICLE
             links -= name == "a"
 
     at = 0
     for token in TOKEN.finditer(page):
+        if not unseen and token.start() > at:
+            seen.total += len(page[at : token.start()].strip())
         if not frames and token.start() > at:
             held.append(page[at : token.start()])
             linked += (token.start() - at) * (links > 0)
@@ -121,34 +163,33 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
                         break
                     if opened[k][0] in BREAKS:
                         break
-            framed = aside(name, token[4] or "", articles > 0)
-            opened.append((name, framed))
+            out_of_sight = hidden(name, token[4] or "") and token.start() not in spared
+            framed = out_of_sight if unframed else aside(name, token[4] or "", articles > 0) and token.start() not in spared
+            if name in ARTICLE:
+                seen.article_outside |= not frames
+                seen.with_article.update(place for _, f, _, place, _ in opened if f)
+            if framed:
+                seen.names[token.start()] = name
+            opened.append((name, framed, out_of_sight, token.start(), seen.total))
             frames += framed
+            unseen += out_of_sight
             articles += name in ARTICLE
             links += name == "a"
+    if not unseen:
+        seen.total += len(page[at:].strip())
     if not frames and at < len(page):
         held.append(page[at:])
     end_line()
+    close(0)
     return texts, np.array(weights, np.int64), np.array(inside, bool)
 
 
-def main_text(page: str | None) -> str:
-    """The text between the surge and the dive of the line blocks, its lines joined by a newline.
-
-    Where a page marks an article, only lines in it weigh, and every such line is text; elsewhere a surge needs
-    a window of SURGE characters and ends where a window falls to nothing. Of the spans, all are kept: an article may
-    be broken by an advert.
-    """
-    texts, weights, inside = lines(page or "")
-    if not texts:
-        return ""
-    marked = inside.any() and weights[inside].sum() > 0
-    weights = np.where(inside, weights, 0) if marked else weights
+def spans(texts: list[str], weights: np.ndarray, least: int) -> list[str]:
+    """The lines that weigh, between the surges to ``least`` and the dives to nothing."""
     total = np.concatenate([[0], np.cumsum(weights)])
     n = len(texts)
     # blocks[k]: text of the window of lines that starts at k.
     blocks = total[np.minimum(np.arange(n) + WINDOW, n)] - total[:-1]
-    least = 1 if marked else SURGE
     kept, open_span = [], False
     for k in range(n):
         if not open_span and weights[k] and blocks[k] >= least:
@@ -157,9 +198,26 @@ def main_text(page: str | None) -> str:
             open_span = False
         if open_span and weights[k]:
             kept.append(texts[k])
+    return kept
+
+
+def main_text(page: str | None) -> str:
+    """The text between the surge and the dive of the line blocks, its lines joined by a newline.
+
+    Where a page marks an article, only lines in it weigh, and every such line is text; elsewhere a surge needs
+    a window of SURGE characters and ends where a window falls to nothing. Of the spans, all are kept: an article may
+    be broken by an advert. Where the frames leave nothing, the spans are those of all lines that are not hidden.
+    """
+    texts, weights, inside = lines(page or "")
+    marked = inside.any() and weights[inside].sum() > 0
+    weights = np.where(inside, weights, 0) if marked else weights
+    kept = spans(texts, weights, 1 if marked else SURGE)
     if not kept:
         # A page of less text than any surge: what weighs is its text.
         kept = [t for t, w in zip(texts, weights) if w]
+    if not kept:
+        texts, weights, _ = parsed(page or "", Frames(), unframed=True)
+        kept = spans(texts, weights, SURGE)
     return "\n".join(kept)
 
 
