@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import edited, prose
 from wordsieve.llm import near_dup
+from wordsieve.llm.common import BLOCK_CHARS
+from wordsieve.llm.words import word_hashes
 
 
 def sets(text, size):
@@ -89,3 +91,15 @@ def test_estimate_follows_the_similarity(rng):
             equal = (registers(a) == registers(b)).mean()
             errors.append(jaccard(equal, np.float64(len(a)), np.float64(len(b))) - len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
         assert abs(np.mean(errors)) < 0.02
+
+
+@pytest.mark.parametrize("mark", ["\u00a0", "\u3000", "\u2028", "\u0085", "\x1c", "\x1f"])
+def test_long_texts_are_cut_at_ascii_white_space_only(mark):
+    word = f"left{mark}right"
+    head = "abc " * ((BLOCK_CHARS - 4) // 4)
+    text = f"{head}{word} end"
+    assert text[BLOCK_CHARS] == mark
+    (_, found), = word_hashes([text])
+    assert len(found) == len(head) // 4 + 2
+    (_, own), = word_hashes([word])
+    assert found[-2] == own[0]

@@ -73,12 +73,14 @@ def map_text(
     return rows.mapInArrow(run, schema)
 
 
-def blocks(texts: Sequence[str | None], limit: int = BLOCK_CHARS) -> Iterator[tuple[list[int], list[str]]]:
+def blocks(texts: Sequence[str | None], limit: int = BLOCK_CHARS, spaces: str | None = None) -> Iterator[tuple[list[int], list[str]]]:
     """Group texts into blocks of about ``limit`` characters: the rows, and a piece of text for each.
 
     Texts longer than ``limit`` are cut in front of white space that follows a word, so that no word is divided; where
-    they are cut depends on the text alone. A word longer than a block stays whole.
+    they are cut depends on the text alone. A word longer than a block stays whole. White space is that of Unicode, or
+    the characters of ``spaces``.
     """
+    is_space = str.isspace if spaces is None else spaces.__contains__
     rows: list[int] = []
     parts: list[str] = []
     held = 0
@@ -86,7 +88,7 @@ def blocks(texts: Sequence[str | None], limit: int = BLOCK_CHARS) -> Iterator[tu
         begin, size = 0, len(text or "")
         while begin < size:
             end = min(size, begin + limit)
-            while end < size and not (text[end].isspace() and not text[end - 1].isspace()):
+            while end < size and not (is_space(text[end]) and not is_space(text[end - 1])):
                 end += 1
             if held and held + end - begin > limit:
                 yield rows, parts

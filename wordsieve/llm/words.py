@@ -62,7 +62,7 @@ def word_hashes(texts: Sequence[str | None], plain: bool = False) -> Iterator[tu
     """
     spaces = PLAIN if plain else IS_SPACE
     row, held = -1, []
-    for rows, parts in blocks(texts):
+    for rows, parts in blocks(texts, spaces=SPACES):
         encoded = [(p.lower() if plain else p).encode() for p in parts]
         data = LOWER[np.frombuffer(b"\n".join(encoded), np.uint8)]
         first, last = word_bounds(data, spaces)
