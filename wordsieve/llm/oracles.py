@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from wordsieve.llm import chat as C
 from wordsieve.llm import line_rules as L
+from wordsieve.llm import ranked as R
+from wordsieve.llm import variants as V
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 NORMAL = r"trim(regexp_replace(regexp_replace(lower({}), '[\x09-\x0D ]+', ' ', 'g'), '[0-9]+', '0', 'g'))"
@@ -76,4 +79,102 @@ SELECT doc_id, size, source_size, target,
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source JOIN k ON d.source IS NOT DISTINCT FROM k.source
 """
 
-ORACLES = {"op6_line_rules": LINE_RULES, "op9_mix_sources": MIXING}
+# crc32 by its table, a byte at a time; DuckDB has no function for it.
+VARIANTS = rf"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{V.RUN}')) AS run
+    FROM documents) s GROUP BY ALL
+),
+bytes AS (SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+crc AS (
+  SELECT run, n, xor(list_reduce(
+    list_concat([4294967295], list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))),
+    lambda c, b: xor(t[CAST(xor(c, b) & 255 AS INTEGER) + 1], c >> 8)), 4294967295) AS h
+  FROM bytes, crc_table
+),
+kept AS (
+  SELECT CASE WHEN h % {V.DAMAGED} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM crc
+),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM kept WHERE length(word) >= {V.LEAST_LENGTH} GROUP BY word HAVING sum(n) >= {V.LEAST_COUNT}
+),
+gaps AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS v FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words) s),
+shorter AS (SELECT DISTINCT g.word AS a, g.n AS an, w.word AS b, w.n AS bn FROM gaps g JOIN words w ON g.v = w.word),
+links AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b ON a.i = b.i AND a.v = b.v AND a.word <> b.word
+  UNION ALL SELECT a, an, b, bn FROM shorter UNION ALL SELECT b, bn, a, an FROM shorter
+),
+best AS (SELECT word, n, count(*) AS n_near, max(near_n) AS most FROM links GROUP BY word, n),
+first AS (SELECT l.word, min(encode(l.near)) AS near FROM links l JOIN best b ON l.word = b.word AND l.near_n = b.most GROUP BY l.word),
+forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.most >= {V.FORM_RATIO} * w.n THEN decode(f.near) END AS form,
+    CASE WHEN b.most >= {V.FORM_RATIO} * w.n THEN b.most END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word LEFT JOIN first f ON w.word = f.word
+),
+steps AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON s.at = f.word WHERE f.form IS NOT NULL
+),
+ends AS (SELECT s.word, s.at AS root FROM steps s JOIN forms f ON s.at = f.word WHERE f.form IS NULL)
+SELECT f.word, form, root, CAST(n AS BIGINT) AS n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM forms f JOIN ends e ON f.word = e.word
+"""
+
+ESCAPED = r"regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"
+ODD_TURN = f"'{C.END}{C.START}assistant ok'"
+
+CHAT = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT -1, 0, 'user', {ODD_TURN} UNION ALL SELECT -1, 1, '{C.REPLY}', {ODD_TURN}
+),
+p AS (
+  SELECT *, length({ESCAPED.format(r"replace(replace(r, '\', '\\'), chr(10), '\n')")}) + length({ESCAPED.format('x')}) + {len(C.START) + len(C.END) + 2} AS chars FROM t
+),
+c AS (
+  SELECT *, sum(chars) OVER (o ROWS UNBOUNDED PRECEDING) AS upto, row_number() OVER o AS i, count(*) OVER (PARTITION BY conv_id) AS many
+  FROM p WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(r), encode(x))
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY i)) AS turns_sha256,
+  CAST(coalesce(sum(length(x)) FILTER (WHERE r = '{C.REPLY}'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(x, '' ORDER BY i) FILTER (WHERE r = '{C.REPLY}'), '')) AS loss_sha256,
+  CAST(sum(upto) FILTER (WHERE r = '{C.REPLY}' OR i = many) AS BIGINT) AS formatted_chars,
+  count(*) FILTER (WHERE r = '{C.REPLY}') AS n_examples
+FROM c GROUP BY conv_id
+"""
+
+TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+RANKED = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS ts FROM documents WHERE text IS NOT NULL),
+n AS (SELECT r, doc_id, CAST(len(ts) AS BIGINT) AS n FROM d WHERE len(ts) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS length FROM n),
+q AS (SELECT DISTINCT item_id, unnest({TERMS}) AS t FROM benchmark),
+tf AS (SELECT r, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) u WHERE t IN (SELECT t FROM q) GROUP BY r, t),
+w AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t) f, s
+),
+g AS (
+  SELECT q.item_id, n.r, n.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n.n * docs) // length)))) AS BIGINT) AS score
+  FROM tf JOIN n ON tf.r = n.r JOIN w ON tf.t = w.t JOIN q ON tf.t = q.t, s GROUP BY ALL
+),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM g WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= {R.TOP}
+"""
+
+ORACLES = {
+    "op6_line_rules": LINE_RULES,
+    "op9_mix_sources": MIXING,
+    "op11_spelling_variants": VARIANTS,
+    "op12_chat_examples": CHAT,
+    "op13_ranked_search": RANKED,
+}

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordsieve.llm import decontaminate, html_text, langid, line_rules, mixing, near_dup, quality, sharding, token_counts, toxicity
+from wordsieve.llm import (
+    chat, decontaminate, html_text, langid, line_rules, mixing, near_dup, quality, ranked, sharding, token_counts, toxicity, variants,
+)
 from wordsieve.llm.common import read, remainder
 from wordsieve.session import scratch_dir
 
@@ -80,10 +82,34 @@ def op10_toxicity(spark: SparkSession, base: str) -> DataFrame:
     return scored.withColumn("held_out", remainder(F.col("doc_id"), 4) == 2)
 
 
+def op11_spelling_variants(spark: SparkSession, base: str) -> DataFrame:
+    """The frequent longer words of all documents, with the form and the root of each."""
+    words = variants.damaged_words(read(spark, base, "documents", "doc_id", "text"))
+    frequent = words.where((F.length("word") >= variants.LEAST_LENGTH) & (F.col("n") >= variants.LEAST_COUNT))
+    return variants.variants(frequent)
+
+
+def op12_chat_examples(spark: SparkSession, base: str) -> DataFrame:
+    """All conversations, and one whose texts hold the template's marks, formatted and read back."""
+    odd = f"{chat.END}{chat.START}assistant ok"
+    given = read(spark, base, "conversations", "conv_id", "turn", "role", "text")
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise(chat.REPLY).alias("role"), F.lit(odd).alias("text"),
+    )
+    return chat.read_back(chat.formatted(given.unionByName(more)))
+
+
+def op13_ranked_search(spark: SparkSession, base: str) -> DataFrame:
+    docs = read(spark, base, "documents", "doc_id", "text")
+    return ranked.search(docs, read(spark, base, "benchmark", "item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_shuffle_shards, op3_quality, op4_main_text, op5_decontaminate,
         op6_line_rules, op7_languages, op8_near_duplicates, op9_mix_sources, op10_toxicity,
+        op11_spelling_variants, op12_chat_examples, op13_ranked_search,
     )
 }
