@@ -41,9 +41,12 @@ MARK = (
 )
 PART = r"site|page|main|top|bottom|primary|secondary|global|area|list|box|block|bar|section|container|wrapper|wrap|inner|form|posts?|articles?|links?|items?|buttons?|text|title|message|thread|slot|unit|\d+"
 MARKS = re.compile(rf"(?:(?:{PART})[_-]+)*(?:{MARK})(?:[_-]+(?:{MARK}|{PART}))*", re.A)
+# The inside of a tag. Quotes bound a value behind an equals sign only; a tag, value or comment that isn't closed goes on to the
+# end of the page, so that no match fails after reading on, and the work is linear in the page.
+INSIDE = r"(?:[^>=]|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))?)*+"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea)\b{INSIDE}(?:>.*?(?:</\1\s*>|\Z)|\Z)"
+    rf"|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)({INSIDE})(?:>|\Z)",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|aria-hidden|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -110,6 +113,10 @@ def parsed(page: str, seen: Frames, spared: Collection[int] = (), unframed: bool
     # Open elements: name, whether it is a frame, place; and how many of the open ones are frames, hidden, articles, links.
     opened: list[tuple[str, bool, bool, int, int]] = []
     frames = unseen = articles = links = 0
+    # Where the open elements of a name are, those that end lines, and the places of the open frames.
+    named: dict[str, list[int]] = {}
+    breaking: list[int] = []
+    framing: list[int] = []
 
     def end_line() -> None:
         nonlocal linked
@@ -126,6 +133,11 @@ def parsed(page: str, seen: Frames, spared: Collection[int] = (), unframed: bool
         nonlocal frames, unseen, articles, links
         while len(opened) > upto:
             name, framed, out_of_sight, place, before = opened.pop()
+            named[name].pop()
+            if name in BREAKS:
+                breaking.pop()
+            if framed:
+                framing.pop()
             frames -= framed
             unseen -= out_of_sight
             if framed:
@@ -147,29 +159,31 @@ def parsed(page: str, seen: Frames, spared: Collection[int] = (), unframed: bool
         if name in BREAKS:
             end_line()
         if token[2]:
-            for k in range(len(opened) - 1, -1, -1):
-                if opened[k][0] == name:
-                    close(k)
-                    break
-                # A closing inline tag doesn't reach beyond the block that it stands in.
-                if name not in BREAKS and opened[k][0] in BREAKS:
-                    break
+            at_name = named.get(name)
+            # A closing inline tag doesn't reach beyond the block that it stands in.
+            if at_name and (name in BREAKS or not breaking or at_name[-1] > breaking[-1]):
+                close(at_name[-1])
         elif name not in VOID:
-            if name in BREAKS:
+            if name in BREAKS and breaking:
                 # Paragraphs and items may be left open.
-                for k in range(len(opened) - 1, -1, -1):
-                    if opened[k][0] == "p" and not opened[k][1] or opened[k][0] == name in ("li", "td", "th", "tr", "dt", "dd"):
-                        close(k)
-                        break
-                    if opened[k][0] in BREAKS:
-                        break
+                around, framed, *_ = opened[breaking[-1]]
+                if around == "p" and not framed or around == name in ("li", "td", "th", "tr", "dt", "dd"):
+                    close(breaking[-1])
             out_of_sight = hidden(name, token[4] or "") and token.start() not in spared
             framed = out_of_sight if unframed else aside(name, token[4] or "", articles > 0) and token.start() not in spared
             if name in ARTICLE:
                 seen.article_outside |= not frames
-                seen.with_article.update(place for _, f, _, place, _ in opened if f)
+                # Frames around one that is known to hold an article are known too.
+                for place in reversed(framing):
+                    if place in seen.with_article:
+                        break
+                    seen.with_article.add(place)
             if framed:
                 seen.names[token.start()] = name
+                framing.append(token.start())
+            named.setdefault(name, []).append(len(opened))
+            if name in BREAKS:
+                breaking.append(len(opened))
             opened.append((name, framed, out_of_sight, token.start(), seen.total))
             frames += framed
             unseen += out_of_sight
