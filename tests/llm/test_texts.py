@@ -195,8 +195,8 @@ def test_contaminated_table_in_one_or_more_blocks(spark, docs, rng, monkeypatch)
     rows = [(1, long, "s"), (2, passage.upper(), "s"), (3, prose(rng, 200), "s"), (4, None, "s"), (4, "", "s"), (None, passage, "s"), (None, passage, "s")]
     table = spark.createDataFrame([*items, (4, passage), (50, None)], "item_id long, text string")
     want = [(-1, [4, 4]), (-1, [4, 4]), (1, [4, 4]), (2, [4, 4]), (3, []), (4, []), (4, [])]
-    for size in (1 << 22, 600):
-        monkeypatch.setattr(decontaminate, "ITEM_BYTES", size)
+    for size in (1 << 26, 20_000):
+        monkeypatch.setattr(decontaminate, "INDEX_BYTES", size)
         df = docs(rows).withColumns({"matches": F.lit("old"), "m": F.lit("m")})
         got = decontaminate.contaminated(df, table).collect()
         assert sorted((-1 if r.doc_id is None else r.doc_id, [m.item_id for m in r.matches]) for r in got) == want
@@ -219,8 +219,8 @@ def test_edited_copies_of_equal_items_match_in_one_or_more_blocks(spark, docs, r
     assert 0.8 <= jaccard(edited, items[0][1]) < 0.9
     table = spark.createDataFrame(items, "item_id long, text string")
     found = []
-    for most in (1 << 22, 600):
-        monkeypatch.setattr(decontaminate, "ITEM_BYTES", most)
+    for most in (1 << 26, 20_000):
+        monkeypatch.setattr(decontaminate, "INDEX_BYTES", most)
         got = decontaminate.contaminated(docs([(1, edited, "s"), (2, prose(rng, 60), "s")]), table).collect()
         found.append({r.doc_id: [tuple(m) for m in r.matches] for r in got})
     assert [m[0] for m in found[0][1]] == list(range(copies)) and found[0][2] == []
@@ -233,8 +233,8 @@ def test_shared_passages_give_one_similarity_in_any_blocks(spark, docs, rng, mon
     rows = [(k, " ".join(["another", "beginning"] + t.split()[2:]), "s") for k, t in items]
     table = spark.createDataFrame(items, "item_id long, text string")
     found = []
-    for most in (1 << 22, 600):
-        monkeypatch.setattr(decontaminate, "ITEM_BYTES", most)
+    for most in (1 << 26, 20_000):
+        monkeypatch.setattr(decontaminate, "INDEX_BYTES", most)
         got = decontaminate.contaminated(docs(rows), table).collect()
         found.append({r.doc_id: [tuple(m) for m in r.matches] for r in got})
     assert found[0] == found[1]

@@ -25,9 +25,13 @@ RADIUS = BLOCKS * (FLIPS + 1) - 1
 # Windows take this share of an item, from its head and from its tail, rounded down to sizes that grow by STEP.
 SHARE, STEP = 0.85, 1.3
 
-# Words that are fingerprinted at once, and bytes of items that one pass over the documents compares.
+# Words that are fingerprinted at once, and bytes of index that one pass over the documents compares.
 SLICE = 1 << 15
-ITEM_BYTES = 4 << 20
+INDEX_BYTES = 64 << 20
+
+# What an item of any length takes in the index: two windows, each under every part with every flip, and its arrays.
+FLIPPED = 1 + BLOCK_BITS + BLOCK_BITS * (BLOCK_BITS - 1) // 2
+ENTRY_BYTES = 2 * BLOCKS * FLIPPED * 4 + 512
 
 MATCH = T.StructType(
     [
@@ -122,8 +126,9 @@ class Index:
             for b in range(BLOCKS):
                 keys = (parts[:, b, None] ^ np.array(masks, np.uint16)).ravel()
                 order = np.argsort(keys, kind="stable")
-                first = np.searchsorted(keys[order], np.arange((1 << BLOCK_BITS) + 1))
-                lookups.append((np.diff(first) > 0, first, np.repeat(np.arange(len(members)), len(masks))[order]))
+                first = np.searchsorted(keys[order], np.arange((1 << BLOCK_BITS) + 1)).astype(np.int32)
+                # The member of an entry, of which each has one for every mask.
+                lookups.append((np.diff(first) > 0, first, (order // len(masks)).astype(np.int32)))
             item, offset = np.array(members).T
             self.tables[size] = (prints, item, offset, lookups)
         self.longest = max((len(w) for w in self.words), default=0)
@@ -137,7 +142,7 @@ class Index:
             for b, (filled, first, entries) in enumerate(lookups):
                 at = np.flatnonzero(filled[parts[:, b]])
                 key = parts[at, b].astype(np.int64)
-                begin = first[key]
+                begin = first[key].astype(np.int64)
                 many = first[key + 1] - begin
                 place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 entry = entries[np.repeat(begin, many) + place]
@@ -203,8 +208,8 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", similari
     """The columns of ``docs`` with ``matches``, the items (item_id, text) that each whole text holds.
 
     A match is a run of words, as many as the item has, whose five-word shingles, plain or weighted, reach ``similarity``.
-    Words are lower-case and parted by white space and ASCII marks. The items are measured and go to the tasks in
-    blocks of ITEM_BYTES; each block is one pass over the documents, without a shuffle of them while there is one block. A
+    Words are lower-case and parted by white space and ASCII marks. The items are measured by what they take in the index
+    (their bytes eight times over for words and shingles, and ENTRY_BYTES each) and go to the tasks in blocks of about INDEX_BYTES; each block is one pass over the documents, without a shuffle of them while there is one block. A
     shingle's holders are counted over all items, so the matches don't depend on the blocks.
 
     Null and empty texts hold nothing. Items of null or fewer than five words are not looked for; equal items are
@@ -212,8 +217,8 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", similari
     """
     spark = docs.sparkSession
     known = items.select(F.col("item_id").cast("long"), F.col("text")).where(F.col("text").isNotNull())
-    held = known.agg(F.coalesce(F.sum(F.octet_length("text") + 8), F.lit(0))).first()[0]
-    blocks = max(1, -(-held // ITEM_BYTES))
+    held = known.agg(F.coalesce(F.sum(8 * F.octet_length("text") + ENTRY_BYTES), F.lit(0))).first()[0]
+    blocks = max(1, -(-held // INDEX_BYTES))
     known = known.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     shared = stored(shared_shingles(known), "decontaminate-shingles")
     out = T.StructType([T.StructField("matches", T.ArrayType(MATCH))])
