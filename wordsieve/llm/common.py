@@ -73,8 +73,10 @@ def map_text(
     return rows.mapInArrow(run, schema)
 
 
-def blocks(texts: Sequence[str | None], limit: int = BLOCK_CHARS, spaces: str | None = None) -> Iterator[tuple[list[int], list[str]]]:
-    """Group texts into blocks of about ``limit`` characters: the rows, and a piece of text for each.
+def blocks(
+    texts: Sequence[str | None], limit: int = BLOCK_CHARS, spaces: str | None = None, most_rows: int | None = None
+) -> Iterator[tuple[list[int], list[str]]]:
+    """Group texts into blocks of about ``limit`` characters and at most ``most_rows`` pieces: the rows, and a piece of text for each.
 
     Texts longer than ``limit`` are cut in front of white space that follows a word, so that no word is divided; where
     they are cut depends on the text alone. A word longer than a block stays whole. White space is that of Unicode, or
@@ -90,7 +92,7 @@ def blocks(texts: Sequence[str | None], limit: int = BLOCK_CHARS, spaces: str |
             end = min(size, begin + limit)
             while end < size and not (is_space(text[end]) and not is_space(text[end - 1])):
                 end += 1
-            if held and held + end - begin > limit:
+            if held and held + end - begin > limit or len(rows) == most_rows:
                 yield rows, parts
                 rows, parts, held = [], [], 0
             rows.append(row)

@@ -17,6 +17,9 @@ from wordsieve.llm.ngrams import PLAIN, slots, text_blocks, windows
 UNKNOWN = "und"
 # Texts of each language that the centroids are fitted on, and centroids to a language.
 PER_LANGUAGE = 1000
+# Texts that they are fitted on at most, in all languages, and that are counted at a time: a text takes 16 KB of counts.
+FIT_ROWS = 8192
+BLOCK_ROWS = 512
 CENTROIDS = 4
 ROUNDS = 10
 
@@ -29,7 +32,7 @@ REJECT = 0.5
 def counts(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows and their n-gram counts, complete for each row that is given; rows without text are not."""
     carry_row, carry = -1, None
-    for block in text_blocks(texts, PLAIN, True):
+    for block in text_blocks(texts, PLAIN, True, BLOCK_ROWS):
         # Letters of any script stay; other ASCII counts as a blank.
         data = np.where(PLAIN[block.data], 32, block.data).astype(np.uint8)
         piece = block.piece_of(np.arange(len(data)))
@@ -86,7 +89,11 @@ def fit(texts: Sequence[str], labels: Sequence[str], seed: int = 5) -> Model:
     for rows, found in counts(texts):
         dense[rows] = found
     idf = (np.log((1 + len(texts)) / (1 + (dense > 0).sum(0))) + 1).astype(np.float32)
-    x = unit(np.log1p(dense) * idf)
+    x = np.log1p(dense, out=dense)
+    x *= idf
+    # By blocks, so that no second table is held.
+    for k in range(0, len(x), BLOCK_ROWS):
+        x[k : k + BLOCK_ROWS] = unit(x[k : k + BLOCK_ROWS])
     rng = np.random.default_rng(seed)
     centroids, names, floors = [], [], []
     for name in sorted(set(labels)):
@@ -108,12 +115,12 @@ def fit(texts: Sequence[str], labels: Sequence[str], seed: int = 5) -> Model:
 def languages(docs: DataFrame, labels: DataFrame, text: str = "text", per_language: int = PER_LANGUAGE, reject: bool = True) -> DataFrame:
     """The columns of ``docs`` but the text, with lang_pred, score and rejected for each whole text.
 
-    Centroids are fitted on the driver to about ``per_language`` texts of each language in ``labels`` (doc_id, label)
-    and sent to the tasks. Texts that lie too far from their nearest centroid are rejected: their language is
+    Centroids are fitted on the driver to about ``per_language`` texts of each language in ``labels`` (doc_id, label), fewer
+    where there are so many languages that these were more than FIT_ROWS, and sent to the tasks. Texts that lie too far from their nearest centroid are rejected: their language is
     unknown with ``reject``, and else they are only marked. Null texts and those without a letter are unknown, with
     score 0 and rejected. Repeated rows are judged alike; an empty table gives an empty result.
     """
-    found, _ = sample(docs, labels, per_language, text)
+    found, _ = sample(docs, labels, per_language, text, most_rows=FIT_ROWS)
     model = docs.sparkSession.sparkContext.broadcast(fit(found["text"].tolist(), found["label"].tolist()))
     out = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
 

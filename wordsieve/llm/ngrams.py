@@ -56,8 +56,8 @@ class Block:
         return np.searchsorted(self.begin, place, "right") - 1
 
 
-def text_blocks(texts: Sequence[str | None], ends: np.ndarray, lower: bool) -> Iterator[Block]:
-    for rows, parts in blocks(texts):
+def text_blocks(texts: Sequence[str | None], ends: np.ndarray, lower: bool, most_rows: int | None = None) -> Iterator[Block]:
+    for rows, parts in blocks(texts, most_rows=most_rows):
         yield Block(rows, parts, ends, lower)
 
 
