@@ -116,7 +116,7 @@ def rules(
         "line-rules",
     )
     in_docs = features.select(F.explode(F.array_distinct(F.col("_lines.key"))).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("docs"))
-    frequent = in_docs.where(F.col("docs") > docs_per_line).select("key")
+    frequent = stored(in_docs.where(F.col("docs") > docs_per_line).select("key"), "line-rules-frequent")
     hits = features.select("_row", F.explode("_lines").alias("line")).select("_row", "line.key", "line.words").join(frequent, "key")
     removed = hits.groupBy("_row").agg(
         F.sum("words").alias("_removed"), *([F.collect_set("key").alias("_keys")] if keep_text else [])
