@@ -13,8 +13,8 @@ def bag(spark, *words):
 
 @pytest.mark.parametrize("size", ["broadcast", "shuffled"])
 def test_train_set(spark, size, request):
-    if size == "shuffled":
-        request.getfixturevalue("shuffled")
+    if size != "inline":
+        request.getfixturevalue(size)
     corpus, listed = bag(spark, "a", "b", "b", "c"), bag(spark, "c", "d", "d")
     assert sorted(r.word for r in trainset.subtract(corpus, listed, ["i"]).collect()) == ["a", "b", "b"]
     got = {r.word: r.label for r in trainset.label_words(listed, corpus).collect()}

@@ -86,7 +86,7 @@ def test_versions(spark, tmp_path):
 
 @pytest.mark.parametrize("size", ["broadcast", "shuffled"])
 def test_new_words_take_the_first_arrival(spark, size, request):
-    if size == "shuffled":
-        request.getfixturevalue("shuffled")
+    if size != "inline":
+        request.getfixturevalue(size)
     new = L.new_words(bag(spark, "x", "y", "x", ""), lex(spark, "y"), ["i"])
     assert [(r.word, r.i) for r in new.collect()] == [("x", 0)]

@@ -18,14 +18,14 @@ def words(spark, *entries):
     )
 
 
-@pytest.mark.parametrize("size", ["inline", "shuffled"])
+@pytest.mark.parametrize("size", ["inline", "compiled", "split", "shuffled"])
 @pytest.mark.parametrize(
     ("profile", "mode", "sensitive"),
     [("train", "words", {0, 4, 5}), ("filter", "anywhere", {0, 1, 4, 5, 6}), (None, "words", {0, 4})],
 )
 def test_flag(spark, rows, size, profile, mode, sensitive, request):
-    if size == "shuffled":
-        request.getfixturevalue("shuffled")
+    if size != "inline":
+        request.getfixturevalue(size)
     flagged = match.flag_messages(rows, F.col("t"), insult_lexicon(spark), profile, mode)
     got = {r.i: r.is_sensitive for r in flagged.collect()}
     assert got == {i: None if t is None else i in sensitive for i, t in enumerate(TEXTS)}
@@ -52,10 +52,10 @@ def test_words_with_quotes_are_safe(spark):
     assert flagged.first().is_sensitive
 
 
-@pytest.mark.parametrize("size", ["broadcast", "shuffled"])
+@pytest.mark.parametrize("size", ["compiled", "split", "broadcast", "shuffled"])
 def test_hits_first_and_counts(spark, rows, size, request):
-    if size == "shuffled":
-        request.getfixturevalue("shuffled")
+    if size != "inline":
+        request.getfixturevalue(size)
     hits = match.word_hits(rows, ["i"], F.col("t"), insult_lexicon(spark))
     assert sorted((r.i, r.pos, r.word) for r in hits.collect()) == [
         (0, 1, "clown"), (4, 0, "scum"), (4, 1, "idiot"), (4, 2, "scum"), (5, 0, "trash")
@@ -77,10 +77,10 @@ def test_phrase_hits_respect_word_edges(spark):
     ]
 
 
-@pytest.mark.parametrize("size", ["broadcast", "shuffled"])
+@pytest.mark.parametrize("size", ["compiled", "split", "broadcast", "shuffled"])
 def test_widening_order(spark, size, request):
-    if size == "shuffled":
-        request.getfixturevalue("shuffled")
+    if size != "inline":
+        request.getfixturevalue(size)
     texts = ["红苹果树上", "苹果", "吃苹果", "大红苹果甜", "苹果树上", "无", "吃苹果树"]
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     lexicon = words(spark, "苹果", "苹果树", "红苹果树", "红苹果树上", "吃苹果", "苹果树上", "红苹果甜")
@@ -92,19 +92,19 @@ def test_widening_order(spark, size, request):
     ]
 
 
-@pytest.mark.parametrize("size", ["inline", "shuffled"])
+@pytest.mark.parametrize("size", ["inline", "compiled", "split", "shuffled"])
 def test_segmented_verdict_lets_a_longer_word_cover(spark, size, request):
-    if size == "shuffled":
-        request.getfixturevalue("shuffled")
+    if size != "inline":
+        request.getfixturevalue(size)
     rows = spark.createDataFrame([(0, "红苹果"), (1, "苹果"), (2, None), (3, "好")], "i int, t string")
     got = match.flag_segmented(rows, ["i"], F.col("t"), words(spark, "苹果"), words(spark, "红苹果"))
     assert {r.i: r.is_sensitive for r in got.collect()} == {0: False, 1: True, 2: None, 3: False}
 
 
-@pytest.mark.parametrize("size", ["broadcast", "shuffled"])
+@pytest.mark.parametrize("size", ["compiled", "split", "broadcast", "shuffled"])
 def test_lookup_and_phrase_search(spark, size, request):
-    if size == "shuffled":
-        request.getfixturevalue("shuffled")
+    if size != "inline":
+        request.getfixturevalue(size)
     lexicon = words(spark, "red apple", "apple tree", "apple", "pear")
     terms = spark.createDataFrame([("apple",), (" apple",), ("plum",)], "term string")
     found = {r.term: r.word_id is not None for r in match.lookup(terms, lexicon).collect()}
@@ -115,12 +115,12 @@ def test_lookup_and_phrase_search(spark, size, request):
     assert got == sorted((q, w) for q in ("apple", "e") for w in ("red apple", "apple tree", "apple", "pear") if q in w)
 
 
-@pytest.mark.parametrize("size", ["inline", "shuffled"])
+@pytest.mark.parametrize("size", ["inline", "compiled", "split", "shuffled"])
 @pytest.mark.parametrize("mode", ["words", "segmented", "anywhere"])
 def test_verdicts_need_no_key(spark, size, mode, request):
     """Constant and null keys, and repeated texts: a verdict hangs on the text alone."""
-    if size == "shuffled":
-        request.getfixturevalue("shuffled")
+    if size != "inline":
+        request.getfixturevalue(size)
     rows = [("word", "you trash"), ("word", "have a nice day"), (None, "such an idiot"), (None, "good morning"), (None, None), ("word", "you trash")]
     df = spark.createDataFrame(rows, "key string, t string")
     got = match.flag_messages(df, F.col("t"), insult_lexicon(spark), mode=mode).collect()
@@ -128,10 +128,10 @@ def test_verdicts_need_no_key(spark, size, mode, request):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
-@pytest.mark.parametrize("size", ["inline", "shuffled"])
+@pytest.mark.parametrize("size", ["inline", "compiled", "split", "shuffled"])
 def test_defaults_for_all_scripts(spark, size, request):
-    if size == "shuffled":
-        request.getfixturevalue("shuffled")
+    if size != "inline":
+        request.getfixturevalue(size)
     texts = ["you Trash", "such an idiot!", "nice day", "tanie ŁÓDŹ x", "скажи привет", "大红苹果甜", "大红苹果树", "a  bad, word here", "badword", "bad"]
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     lexicon = words(spark, "Trash", "idiot", "Łódź", "привет", "苹果", "bad word")
@@ -144,10 +144,10 @@ def test_words_without_blanks_are_refused(spark, rows):
         match.flag_messages(rows, F.col("t"), insult_lexicon(spark), "filter", "words")
 
 
-@pytest.mark.parametrize("size", ["inline", "shuffled"])
+@pytest.mark.parametrize("size", ["inline", "compiled", "split", "shuffled"])
 def test_a_covered_word_is_not_widened(spark, size, request):
-    if size == "shuffled":
-        request.getfixturevalue("shuffled")
+    if size != "inline":
+        request.getfixturevalue(size)
     rows = spark.createDataFrame([(0, "the classroom"), (1, "an ass"), (2, None), (3, "")], "i int, t string")
     got = match.widened_match(rows, ["i"], F.col("t"), words(spark, "ass"), words(spark, "classroom", "ass")).collect()
     assert [(r.i, r.word, r.widened) for r in got] == [(1, "ass", "ass")]

@@ -61,10 +61,10 @@ def test_spans_equal_a_scan(spark):
 FRUIT = ["红苹果", "苹果", "苹果树"]
 
 
-@pytest.mark.parametrize("size", ["inline", "shuffled"])
+@pytest.mark.parametrize("size", ["inline", "compiled", "split", "shuffled"])
 def test_literal_segmentation(spark, size, request):
-    if size == "shuffled":
-        request.getfixturevalue("shuffled")
+    if size != "inline":
+        request.getfixturevalue(size)
     rows, words = frame(spark, ["红苹果树", "", None, "abc"]), spark.createDataFrame([(w,) for w in FRUIT], "word string")
     found = segment.find_all(rows, ["i"], F.col("t"), words).collect()
     assert sorted(r.word for r in found) == sorted(FRUIT)
@@ -72,10 +72,10 @@ def test_literal_segmentation(spark, size, request):
     assert [(r.i, r.term, r.known) for r in tokens] == [(0, "红苹果", True), (0, "树", False), (3, "abc", False)]
 
 
-@pytest.mark.parametrize("mode", ["broadcast", "shuffled"])
+@pytest.mark.parametrize("mode", ["compiled", "split", "broadcast", "shuffled"])
 def test_find_all_equals_brute_force(spark, mode, request):
-    if mode == "shuffled":
-        request.getfixturevalue("shuffled")
+    if mode != "inline":
+        request.getfixturevalue(mode)
     rng = random.Random(5)
     words = sorted({w for w in texts_of(rng, "ab好😀", 40, 7) if w} | {"ab" * 40, "a", "好好好好好好好好好好好"})
     texts = texts_of(rng, "ab好😀 ", 40, 40) + ["ab" * 700 + "好" * 300, "", "a"]
@@ -99,11 +99,11 @@ def test_context_around_matches(spark, longest):
     assert got == sorted(want)
 
 
-@pytest.mark.parametrize("size", ["inline", "shuffled"])
+@pytest.mark.parametrize("size", ["inline", "compiled", "split", "shuffled"])
 @pytest.mark.parametrize("latin_runs", [True, False])
 def test_greedy_equals_brute_force(spark, latin_runs, size, request):
-    if size == "shuffled":
-        request.getfixturevalue("shuffled")
+    if size != "inline":
+        request.getfixturevalue(size)
     rng = random.Random(9)
     alphabet = "ab好树果" if latin_runs else "abc好"
     words = sorted({w for w in texts_of(rng, alphabet, 40, 5) if len(w) > 1})

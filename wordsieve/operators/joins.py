@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Copies of the word table, and so tasks per hot key, in a shuffled join.
-SALTS = 16
+# Copies of the word table, and so tasks per hot key, in a shuffled join: at least and at most. In between they are an eighth of
+# the shuffle's tasks, so that a key of a third of all rows gives a task less than three times the mean.
+SALTS, MOST_SALTS = 16, 256
 
 # Up to this many words are written into the plan as a set, so that texts are checked where they are read.
 INLINE_WORDS = 5_000
 
+# Larger dictionaries become automata, each of up to so many characters (some 20 bytes a character in every Python worker),
+# and so many of them. What is larger still is joined.
+AUTOMATON_CHARS = 4_000_000
+AUTOMATON_PARTS = 4
+
 
 def inline_words(table: DataFrame) -> list[str] | None:
     """The words of a small table, or None when it has more than ``INLINE_WORDS``."""
@@ -50,12 +56,14 @@ def attach(
     """Join the large ``left`` with ``table``: broadcast when it fits, else shuffled with salt.
 
     Text follows Zipf's law, so a few words hold much of ``left``. In the shuffled form each key is
-    spread over ``SALTS`` tasks by a hash of ``salt_by`` (the row's own key), and ``table`` is copied once per salt.
+    spread over several tasks by a hash of ``salt_by`` (the row's own key), and ``table`` is copied once per salt.
     """
     if broadcast is None:
         broadcast = fits_broadcast(table)
     if broadcast:
         return left.join(F.broadcast(table), list(on), how)
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = min(MOST_SALTS, max(SALTS, tasks // 8))
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text, removes_blanks
-from wordsieve.operators.joins import attach, inline_words
+from wordsieve.operators import automaton
+from wordsieve.operators.joins import attach, fits_broadcast, inline_words
 from wordsieve.operators.lexicon import matchable
 from wordsieve.operators.segment import INSIDE_WORD, PAD, find_all, segment_greedy, word_rows
+from wordsieve.session import stored
 
 # Up to this many words are sought in a text one by one; more are looked up position by position.
 SOUGHT_WORDS = 64
@@ -66,21 +68,15 @@ def verdict(text: Column, words: Sequence[str], mode: str = "words", dictionary:
 
     ``words`` compares runs of letters, and phrases with neighbouring ones; ``segmented`` besides cuts scripts without
     blanks by the words and the dictionary, so that a longer harmless word covers a listed one; ``anywhere`` takes any
-    stretch of the text. Phrases are joined by one blank, as ``phrases`` gives them.
+    stretch of the text. Phrases are joined by one blank, as ``phrases`` gives them. Of few words each is sought in the
+    text first, and only texts that hold its letters are cut into tokens.
     """
-    if mode in ("words", "segmented"):
-        by_size: dict[int, list[str]] = {}
-        for w in words:
-            by_size.setdefault(w.count(" ") + 1, []).append(w)
-
-        def holds(n: int) -> Column:
-            return F.exists(T.ngrams(T.words(text), n), lambda t: T.is_one_of(t, by_size[n]))
-
-        held = [holds(n) for n in sorted(by_size) if n > 1 or mode == "words"]
-        if mode == "segmented":
-            single = by_size.get(1, [])
-            held.append(F.exists(T.segmented(text, sorted({*dictionary, *single})), lambda t: T.is_one_of(t, single)))
-        return reduce(or_, held) if held else F.when(text.isNotNull(), F.lit(False))
+    if mode != "anywhere" and 0 < len(words) <= SOUGHT_WORDS:
+        parts = sorted({w.split(" ")[0] for w in words})
+        may_hold = T.bind(F.lower(text), lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in parts]))
+        return F.when(text.isNotNull(), F.when(may_hold, _holds_tokens(text, words, mode, dictionary)).otherwise(F.lit(False)))
+    if mode != "anywhere":
+        return _holds_tokens(text, words, mode, dictionary)
     if not words:
         return F.when(text.isNotNull(), F.lit(False))
     lowered = F.lower(text)
@@ -89,6 +85,21 @@ def verdict(text: Column, words: Sequence[str], mode: str = "words", dictionary:
     return lowered.rlike(T.alternation(words))
 
 
+def _holds_tokens(text: Column, words: Sequence[str], mode: str, dictionary: Sequence[str]) -> Column:
+    by_size: dict[int, list[str]] = {}
+    for w in words:
+        by_size.setdefault(w.count(" ") + 1, []).append(w)
+
+    def holds(n: int) -> Column:
+        return F.exists(T.ngrams(T.words(text), n), lambda t: T.is_one_of(t, by_size[n]))
+
+    held = [holds(n) for n in sorted(by_size) if n > 1 or mode == "words"]
+    if mode == "segmented":
+        single = by_size.get(1, [])
+        held.append(F.exists(T.segmented(text, sorted({*dictionary, *single})), lambda t: T.is_one_of(t, single)))
+    return reduce(or_, held) if held else F.when(text.isNotNull(), F.lit(False))
+
+
 def flag_messages(
     df: DataFrame,
     text: Column,
@@ -99,10 +110,11 @@ def flag_messages(
 ) -> DataFrame:
     """``df`` with ``is_sensitive``: true when a lexicon entry occurs in the cleaned text.
 
-    The verdict hangs on the text alone: rows need no key, and may repeat. A small lexicon becomes a predicate, and
-    messages are marked where they are read. A larger one is joined to the tokens (broadcast or salted, by
-    its size), reduced to the digests of the texts that have a hit, and these are joined back. Whole words can't be met
-    in a text whose blanks the profile removes, so that pair is refused.
+    The verdict hangs on the text alone: rows need no key, and may repeat. A small lexicon becomes a predicate, a larger one
+    automata that every task holds; either way messages are marked where they are read, without a shuffle. One that is too
+    large for that is joined to the tokens (broadcast or salted, by its size), reduced to the numbers of the texts that
+    have a hit, and these are joined back. Whole words can't be met in a text whose blanks the profile removes, so that
+    pair is refused.
     """
     if mode == "words" and removes_blanks(profile):
         raise ValueError(f"profile {profile!r} removes the blanks that mode 'words' needs; use mode 'segmented' or 'anywhere'")
@@ -112,27 +124,60 @@ def flag_messages(
     others = [] if dictionary is None else inline_words(dictionary.select(F.lower("word").alias("word")))
     if words is not None and others is not None:
         return df.withColumn("is_sensitive", verdict(cleaned, words, mode, others))
-    rows = df.select(digest(text).alias("_digest"), cleaned.alias("_cleaned")).where(F.col("_cleaned").isNotNull())
+    listed = stored(listed, "entries")
+    automata = automaton.compiled(listed)
+    if automata is not None and mode != "segmented":
+        held = automaton.holds_anywhere(F.lower(cleaned), automata) if mode == "anywhere" else automaton.holds_words(F.array_join(T.words(cleaned), " "), automata)
+        return df.withColumn("is_sensitive", held)
+    if automata is not None and (found := _segmented_automata(listed, dictionary)) is not None:
+        return df.withColumn("is_sensitive", automaton.holds_words(F.array_join(T.words(cleaned), " "), *found))
     body = F.col("_cleaned")
+    rows = _numbered(df, text, cleaned)
     if mode == "anywhere":
-        hits = find_all(rows, ["_digest"], F.lower(body), listed).select("_digest")
+        hits = find_all(rows, NUMBER, F.lower(body), listed).select(*NUMBER)
     else:
         sizes = [r.n for r in listed.select("n").distinct().collect()]
         if mode == "segmented":
             sizes = [n for n in sizes if n > 1]
         grams = F.flatten(F.array(*[T.ngrams(T.words(body), n) for n in sizes])) if sizes else F.array().cast("array<string>")
-        terms = rows.select("_digest", F.posexplode(grams).alias("_pos", "word"))
-        hits = attach(terms, listed.select("word"), ["word"], "left_semi", ["_digest", "_pos"]).select("_digest")
+        terms = rows.select(*NUMBER, F.posexplode(grams).alias("_pos", "word"))
+        hits = attach(terms, listed.select("word"), ["word"], "left_semi", [*NUMBER, "_pos"]).select(*NUMBER)
         if mode == "segmented":
             single = listed.where("n = 1").select("word")
             every = single if dictionary is None else single.unionByName(dictionary.select(F.lower("word").alias("word"))).distinct()
-            tokens = segment_greedy(rows, ["_digest"], body, every, True).select("_digest", "start", F.col("term").alias("word"))
-            hits = hits.unionByName(attach(tokens, single, ["word"], "left_semi", ["_digest", "start"]).select("_digest"))
+            tokens = segment_greedy(rows, NUMBER, body, every, True).select(*NUMBER, "start", F.col("term").alias("word"))
+            hits = hits.unionByName(attach(tokens, single, ["word"], "left_semi", [*NUMBER, "start"]).select(*NUMBER))
     return _with_hits(df, text, hits)
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(text, 256)
+def _segmented_automata(listed: DataFrame, dictionary: DataFrame | None) -> tuple | None:
+    """Automata for whole tokens; and if an entry is of a script without blanks, those that cut such scripts, and the entries."""
+    other = listed.where(F.col("word").rlike(f"^[{T.OTHER}]+$") & (F.col("n") == 1))
+    whole = automaton.compiled(listed.join(other.select("word"), "word", "left_anti"))
+    few = other.limit(automaton.SPACELESS_ENTRIES + 1).select("word").collect()
+    if whole is None or len(few) > automaton.SPACELESS_ENTRIES:
+        return None
+    own = frozenset(automaton.spaceless([r.word for r in few]))
+    if not own:
+        return (whole,)
+    every = other.select("word")
+    if dictionary is not None:
+        every = every.unionByName(dictionary.select(F.lower("word").alias("word")).where(F.col("word").rlike(f"^[{T.OTHER}]+$")))
+    cut = automaton.compiled(every)
+    return None if cut is None else (whole, cut, own)
+
+
+# A text as two numbers, which stand for it in joins.
+NUMBER = ["_a", "_b"]
+
+
+def _number(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("_a"), F.xxhash64(F.lit(1), text).alias("_b")]
+
+
+def _numbered(df: DataFrame, text: Column, cleaned: Column) -> DataFrame:
+    """Texts that are not null by their numbers: _a, _b, _cleaned."""
+    return df.where(text.isNotNull()).select(*_number(text), cleaned.alias("_cleaned"))
 
 
 def flag_segmented(
@@ -155,19 +200,29 @@ def flag_segmented(
         listed = inline_words(lexicon)
         tokens = T.segmented(cleaned, words, latin_runs)
         return df.select(*ids, F.exists(tokens, lambda t: T.is_one_of(t, listed)).alias("is_sensitive"))
-    rows = df.select(digest(text).alias("_digest"), cleaned.alias("_cleaned")).where(F.col("_cleaned").isNotNull())
-    terms = segment_greedy(rows, ["_digest"], F.col("_cleaned"), every, latin_runs)
+    rows = _numbered(df, text, cleaned)
+    terms = segment_greedy(rows, NUMBER, F.col("_cleaned"), every, latin_runs)
     listed = lexicon.select(F.col("word").alias("term")).distinct()
-    hits = attach(terms.where("known"), listed, ["term"], "left_semi", ["_digest", "start"])
+    hits = attach(terms.where("known"), listed, ["term"], "left_semi", [*NUMBER, "start"])
     return _with_hits(df, text, hits).select(*ids, "is_sensitive")
 
 
 def _with_hits(df: DataFrame, text: Column, hits: DataFrame) -> DataFrame:
-    """Join the digests of texts that have a hit back to the rows; a row without a text has no verdict."""
-    flagged = hits.select("_digest").distinct().withColumn("_hit", F.lit(True))
-    joined = df.withColumn("_digest", digest(text)).join(flagged, "_digest", "left")
-    found = F.when(F.col("_digest").isNotNull(), F.coalesce("_hit", F.lit(False)))
-    return joined.withColumn("is_sensitive", found).drop("_hit", "_digest")
+    """Mark the rows whose text has a hit, told by its numbers; a row without a text has no verdict.
+
+    The numbers of texts with a hit are written once. Where they are measured to be few they are broadcast; else the rows
+    are joined by them with the rows of one text dealt over several tasks, those without a text over all.
+    """
+    flagged = stored(hits.select(*NUMBER).distinct().withColumn("_hit", F.lit(True)), "hits")
+    a, b = _number(text)
+    spread = F.monotonically_increasing_id()
+    rows = df.withColumns({"_a": F.when(text.isNotNull(), a).otherwise(spread), "_b": b, "_none": text.isNull()})
+    if fits_broadcast(flagged):
+        joined = rows.join(F.broadcast(flagged), NUMBER, "left")
+    else:
+        joined = attach(rows.withColumn("_spread", spread), flagged, NUMBER, "left", ["_spread"], False).drop("_spread")
+    found = F.when(~F.col("_none"), F.coalesce("_hit", F.lit(False)))
+    return joined.withColumn("is_sensitive", found).drop("_hit", "_none", *NUMBER)
 
 
 def word_hits(

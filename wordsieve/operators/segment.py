@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordsieve.functions import tokens as T
+from wordsieve.operators import automaton
 from wordsieve.operators.joins import attach, footprint, inline_words, within_bounds
 
 # Code points per piece when a text is cut into runs.
@@ -102,12 +103,24 @@ def find_all(
 ) -> DataFrame:
     """Every dictionary word at every position, overlaps included: ids, start, n, word, other dictionary columns.
 
-    Each position is looked up by the first characters only (once per length of ``tokens.HEADS`` that the
+    A dictionary that tasks can hold is compiled to automata, which find its words in one pass over each text. Of a
+    larger one each position is looked up by the first characters only (once per length of ``tokens.HEADS`` that the
     dictionary needs) and compared whole on a hit, so the work does not grow with the longest word.
     ``context`` adds a column of that many characters before and after the word; missing ones on the
     left are ``PAD``. ``at_word_start`` passes over positions inside a Latin word, and needs a context.
     """
     dictionary = dictionary.where(F.length("word") > 0)
+    automata = automaton.compiled(dictionary)
+    if automata is not None:
+        # Which places are inside a word is decided below, as on the other path; the automaton leaves out the plainest ones.
+        around_word = max(context, 1) if at_word_start else context
+        found = automaton.find_all(df, ids, text, automata, around_word, not at_word_start, PAD)
+        if at_word_start:
+            found = found.where(~F.substring("context", around_word, 2).rlike(INSIDE_WORD))
+        extra = [c for c in dictionary.columns if c != "word"]
+        if extra:
+            found = attach(found, dictionary, ["word"], "inner", [*ids, "start"])
+        return found.select(*ids, "start", "n", "word", *extra, *(["context"] if context else []))
     shape = dictionary_shape(dictionary)
     if not shape.longest:
         shape = DictionaryShape(1, (1,), True)
@@ -193,7 +206,13 @@ def segment_greedy(
         pieces = pieces.where(~T.is_latin(F.col("run")))
 
     words = inline_words(dictionary)
-    segmented = _joined_greedy(pieces, ids, dictionary) if words is None else _inline_greedy(pieces, ids, words)
+    automata = automaton.compiled(dictionary) if words is None else None
+    if words is not None:
+        segmented = _inline_greedy(pieces, ids, words)
+    elif automata is not None:
+        segmented = automaton.segment_runs(pieces, ids, automata)
+    else:
+        segmented = _joined_greedy(pieces, ids, dictionary)
     return segmented if whole is None else whole.unionByName(segmented)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,14 @@ def build_session(master: str | None = None, partitions: int | None = None, memo
     return builder.getOrCreate()
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it; a cluster gets it with --py-files."""
+    top = str(Path(__file__).resolve().parents[1])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if top not in paths.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{top}:{paths}".rstrip(":")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for stream checkpoints and intermediate tables.
 
