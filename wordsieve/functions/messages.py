@@ -61,6 +61,11 @@ def extract_text(value: Column, path: Sequence[str] = DEFAULT_PATH, lenient: boo
     return extract_lenient(value, path) if lenient else extract_strict(value, path)
 
 
+# Why a message can't be used; the last where the marker can't be put in for another reason.
+UNMARKABLE = "unmarkable"
+REASONS = ("null_message", "malformed", "not_an_object", "bad_level", "missing_key", "null_text", "repeated_key", UNMARKABLE)
+
+
 def reject_reason(value: Column, path: Sequence[str] = DEFAULT_PATH) -> Column:
     """Why the lenient walk cannot use a message; null for a usable one."""
 

@@ -196,11 +196,11 @@ ORACLES: dict[str, str] = {
         SELECT c.conv_id, c.turn, hit.conv_id IS NOT NULL AS is_sensitive
         FROM conversations c LEFT JOIN hit ON hit.conv_id = c.conv_id AND hit.turn = c.turn""",
     "flag_keyless": f"""WITH {DOCWORD}, {INSULT},
-        lex AS (SELECT word FROM docword WHERE md5(word) LIKE '0%' UNION SELECT word FROM insult)
+        lex AS (SELECT word FROM docword UNION SELECT word FROM insult)
         SELECT CASE WHEN turn % 2 = 0 THEN 'word' END AS key, text,
           list_has_any({TRAIN_TOKENS}, (SELECT list(word) FROM lex)) AS is_sensitive FROM conversations""",
     "stream_flag_large": f"""WITH {DOCWORD}, {INSULT},
-        lex AS (SELECT word FROM docword WHERE md5(word) LIKE '0%' UNION SELECT word FROM insult)
+        lex AS (SELECT word FROM docword WHERE length(word) > 8 UNION SELECT word FROM insult)
         SELECT 'word' AS key, CASE WHEN list_has_any({TRAIN_TOKENS}, (SELECT list(word) FROM lex)) THEN 'flagged' ELSE 'clean' END AS route,
           text, count(*) AS n FROM conversations GROUP BY ALL""",
     "flag_mixed_scripts": """SELECT doc_id, list_contains(regexp_extract_all(
@@ -260,6 +260,13 @@ ORACLES: dict[str, str] = {
         cut AS (SELECT doc_id, base + i AS start, substr(line, i + 1, size) AS word FROM positions, sizes WHERE i + size <= length(line))
         SELECT doc_id, count(*) AS n, sum(start)::BIGINT AS starts, sum(length(word))::BIGINT AS chars
         FROM cut JOIN bench USING (word) GROUP BY doc_id""",
+    "segment_all_large": f"""WITH {INSULT}, {DOCWORD}, lex AS (SELECT word FROM docword UNION SELECT word FROM insult),
+        {GLUED.replace('doc_id', 'conv_id, turn').replace('documents', 'conversations')},
+        {POSITIONS.replace('doc_id', 'conv_id, turn')},
+        sizes AS (SELECT DISTINCT length(word) AS size FROM lex),
+        cut AS (SELECT conv_id, turn, base + i AS start, substr(line, i + 1, size) AS word FROM positions, sizes WHERE i + size <= length(line))
+        SELECT conv_id, turn, count(*) AS n, sum(start)::BIGINT AS starts, sum(length(word))::BIGINT AS chars
+        FROM cut JOIN lex USING (word) GROUP BY conv_id, turn""",
     "segment_greedy": f"""WITH {BENCH}, dict AS (SELECT word FROM bench),
         t AS (SELECT doc_id, regexp_extract_all(lower({clean_filter('text')}), {alternation('dict')}) AS t FROM documents)
         SELECT doc_id, len(t)::BIGINT AS n, len(list_filter(t, lambda x: list_contains(ws, x)))::BIGINT AS n_known,
@@ -302,6 +309,21 @@ ORACLES: dict[str, str] = {
           WHERE i + size <= length(line) AND NOT regexp_matches(substr(line, i + 1 + size, 1), '{TOKEN}'))
         SELECT doc_id, word, category, count(*) AS n, min(start) AS first_start, sum(start + size)::BIGINT AS ends
         FROM cut JOIN lex USING (word) GROUP BY doc_id, word, category""",
+    "phrase_hits_large": f"""WITH {CONV}, toks AS (SELECT {tokens('text')} AS a FROM benchmark),
+        lex AS (SELECT DISTINCT unnest(list_transform(range(1, len(a)), lambda i: a[i] || ' ' || a[i + 1])) AS word, 'phrase' AS category FROM toks
+          UNION ALL SELECT word, 'conversation' FROM conv),
+        split AS (SELECT doc_id, string_split(lower(text), chr(10)) AS parts FROM documents),
+        numbered AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM split),
+        lines AS (SELECT doc_id, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_no
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base FROM numbered),
+        {POSITIONS},
+        starts AS (SELECT * FROM positions WHERE regexp_matches(substr(line, i + 1, 1), '{TOKEN}')
+          AND (i = 0 OR NOT regexp_matches(substr(line, i, 1), '{TOKEN}'))),
+        cut AS (SELECT doc_id, base + i AS start, size, substr(line, i + 1, size) AS word
+          FROM starts, (SELECT DISTINCT length(word) AS size FROM lex)
+          WHERE i + size <= length(line) AND NOT regexp_matches(substr(line, i + 1 + size, 1), '{TOKEN}'))
+        SELECT doc_id, category, count(*) AS n, min(start) AS first_start, sum(start + size)::BIGINT AS ends
+        FROM cut JOIN lex USING (word) GROUP BY doc_id, category""",
     "match_counts": f"""WITH {INSULT}, t AS (SELECT doc_id, unnest({TRAIN_TOKENS}) AS word FROM documents)
         SELECT doc_id, word, 'insult' AS category, count(*) AS n FROM t JOIN insult USING (word) GROUP BY doc_id, word""",
     "category_counts": f"""WITH {INSULT}, {BENCH},
@@ -337,6 +359,11 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT word, 2 FROM conv WHERE word NOT IN (SELECT word FROM bench))
         SELECT word, 'add' AS op, version FROM added
         UNION ALL SELECT word, 'delete', 3 FROM added WHERE word LIKE 'a%'""",
+    "lexicon_snapshots": f"""WITH {BENCH}, {CONV}, fresh AS (SELECT word FROM conv WHERE word NOT IN (SELECT word FROM bench))
+        SELECT 'current' AS part, word, 'benchmark' AS category, 2::BIGINT AS version FROM bench WHERE word NOT LIKE 'a%'
+        UNION ALL SELECT 'current', word, 'conversation', 3 FROM fresh WHERE word NOT LIKE 'a%'
+        UNION ALL SELECT 'current', word, 'again', 6 FROM bench WHERE word LIKE 'an%'
+        UNION ALL SELECT 'added', word, NULL, 3 FROM fresh UNION ALL SELECT 'added', word, NULL, 6 FROM bench WHERE word LIKE 'an%'""",
     "lexicon_matchable": f"""WITH e AS (SELECT unnest(string_split_regex(html, '\\s')) AS entry FROM pages),
         f AS (SELECT entry, lower({clean_train('entry')}) AS word FROM e)
         SELECT word, min(entry COLLATE C) AS entry FROM f WHERE length(word) > 0 GROUP BY word""",
@@ -403,6 +430,26 @@ ORACLES: dict[str, str] = {
     "stream_discover": f"""WITH {LABELLED},
         arriving AS (SELECT DISTINCT word FROM (SELECT unnest({tokens(clean_stream('text'))}) AS word FROM conversations) WHERE length(word) > 1),
         {DISCOVER}""",
+    "stream_outbox": f"""WITH {INSULT}
+        SELECT conv_id::VARCHAR || '-' || turn::VARCHAR AS key,
+          '{{"content":' || to_json({{'content': text}})::VARCHAR || ',"isSensitive":'
+          || list_has_any({TRAIN_TOKENS}, (SELECT list(word) FROM insult))::VARCHAR || '}}' AS value FROM conversations""",
+    "stream_spool": f"""WITH {INSULT}, {MESSAGES}, {HELD},
+        r AS (SELECT *, CASE WHEN json IS NULL THEN 'malformed' WHEN json_type(json) <> 'OBJECT' THEN 'not_an_object'
+          WHEN json_type(holder) <> 'OBJECT' THEN 'bad_level' WHEN NOT list_contains(json_keys(holder), 'text') THEN 'missing_key'
+          WHEN json_type(holder, '$.text') = 'NULL' THEN 'null_text' END AS reason FROM held)
+        SELECT conv_id::VARCHAR || '-' || turn::VARCHAR AS key, substr(value, 1, length(value) - 1) || ',"isSensitive":'
+          || list_has_any({TRAIN_TOKENS}, (SELECT list(word) FROM insult))::VARCHAR || '}}' AS value, NULL::BIGINT AS n FROM r WHERE reason IS NULL
+        UNION ALL SELECT reason, NULL, count(*) FROM r WHERE reason IS NOT NULL GROUP BY reason""",
+    "stream_novelty": f"WITH {BENCH}, {CONV} SELECT word FROM conv WHERE word NOT IN (SELECT word FROM bench)",
+    "stream_hot_model": f"""WITH {LABELLED},
+        wave AS (SELECT DISTINCT conv_id % 2 AS wave, word FROM (SELECT conv_id, unnest({tokens(clean_stream('text'))}) AS word FROM conversations) WHERE length(word) > 1),
+        arriving AS (SELECT DISTINCT word FROM wave),
+        items AS (SELECT 't' || word AS id, label, 'train' AS part, [word] AS terms FROM labelled
+          UNION ALL SELECT 'a' || word, NULL::DOUBLE, 'test', [word] FROM arriving),
+        {naive_bayes('items', 200)}
+        SELECT DISTINCT word FROM wave JOIN (SELECT substr(id, 2) AS word, prediction FROM predicted WHERE part = 'test') USING (word)
+        WHERE prediction = 1 - wave AND word NOT IN (SELECT word FROM wordlex)""",
     "stream_extend_lexicon": f"""WITH {LABELLED},
         t AS (SELECT {tokens(clean_ascii('text'))} AS a FROM conversations),
         arriving AS (SELECT DISTINCT unnest({NGRAMS}) AS word FROM t),

@@ -12,13 +12,14 @@ from wordsieve.fixtures import insult_lexicon
 from wordsieve.functions import messages as J
 from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text
-from wordsieve.operators import classify, evaluate, features, lexicon, match, segment, trainset
+from wordsieve.operators import classify, evaluate, features, lexicon, match, models, segment, snapshots, trainset
 from wordsieve.operators.joins import inline_words
 from wordsieve.session import scratch_dir, stored
 from wordsieve.sources import messages as queue
 from wordsieve.sources import wordfiles
+from wordsieve.sources.spool import use_spool
 from wordsieve.sources.tables import read_table, stream_table
-from wordsieve.streaming import discovery, flagging
+from wordsieve.streaming import discovery, flagging, novelty, outbox
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -190,6 +191,15 @@ def segment_all(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def segment_all_large(spark: SparkSession, base: str) -> DataFrame:
+    """Turns against the words of all documents, more than a plan should hold."""
+    text = F.lower(clean_text(F.col("text"), "filter"))
+    found = segment.find_all(conversations(spark, base), TURN, text, _all_document_words(spark, base))
+    return found.groupBy(*TURN).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("start").alias("starts"), F.sum(F.length("word")).alias("chars")
+    )
+
+
 def segment_greedy(spark: SparkSession, base: str) -> DataFrame:
     text = clean_text(F.col("text"), "filter")
     words = inline_words(benchmark_lexicon(spark, base))
@@ -238,11 +248,10 @@ def flag_large_lexicon(spark: SparkSession, base: str) -> DataFrame:
     return flagged.select(*TURN, "is_sensitive")
 
 
-def _all_document_words(spark: SparkSession, base: str) -> DataFrame:
-    """The words of the documents whose md5 begins with 0, and the insults: more than a plan should hold."""
-    vocabulary = trainset.vocabulary(document_words(spark, base))
-    chosen = vocabulary.where(F.startswith(F.md5("word"), F.lit("0")))
-    return stored(chosen.unionByName(insult_lexicon(spark).select("word")).distinct(), "lexicon")
+def _all_document_words(spark: SparkSession, base: str, longer_than: int = 1) -> DataFrame:
+    """The words of the documents and the insults: more than a plan should hold."""
+    vocabulary = trainset.vocabulary(document_words(spark, base)).where(F.length("word") > longer_than)
+    return stored(vocabulary.unionByName(insult_lexicon(spark).select("word")).distinct(), "lexicon")
 
 
 def flag_keyless(spark: SparkSession, base: str) -> DataFrame:
@@ -287,22 +296,35 @@ def widened_match(spark: SparkSession, base: str) -> DataFrame:
     return match.widened_match(documents(spark, base), DOC, F.col("text"), listed, dictionary)
 
 
-def phrase_hits(spark: SparkSession, base: str) -> DataFrame:
-    """Hits of words and of two-word phrases, the phrases being those of the benchmark items."""
+def _benchmark_phrases(spark: SparkSession, base: str) -> DataFrame:
     items = read_table(spark, base, "benchmark", ["text"])
     tokens = T.words(F.col("text"))
     pairs = F.transform(
         F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))),
         lambda t, i: F.concat(t, F.lit(" "), F.get(tokens, i + 1)),
     )
-    phrases = items.select(F.explode(pairs).alias("word")).distinct().withColumn("category", F.lit("phrase"))
-    listed = phrases.unionByName(insult_lexicon(spark).select("word", "category"))
+    return items.select(F.explode(pairs).alias("word")).distinct().withColumn("category", F.lit("phrase"))
+
+
+def phrase_hits(spark: SparkSession, base: str) -> DataFrame:
+    """Hits of words and of two-word phrases, the phrases being those of the benchmark items."""
+    listed = _benchmark_phrases(spark, base).unionByName(insult_lexicon(spark).select("word", "category"))
     hits = match.phrase_hits(documents(spark, base), DOC, F.col("text"), listed, None)
     return hits.groupBy("doc_id", "word", "category").agg(
         F.count(F.lit(1)).alias("n"), F.min("start").alias("first_start"), F.sum("end").alias("ends")
     )
 
 
+def phrase_hits_large(spark: SparkSession, base: str) -> DataFrame:
+    """Documents against the words of all turns and the two-word phrases of the benchmark items."""
+    words = conversation_words(spark, base).select("word").distinct().withColumn("category", F.lit("conversation"))
+    listed = stored(words.unionByName(_benchmark_phrases(spark, base)), "lexicon")
+    hits = match.phrase_hits(documents(spark, base), DOC, F.col("text"), listed, None)
+    return hits.groupBy("doc_id", "category").agg(
+        F.count(F.lit(1)).alias("n"), F.min("start").alias("first_start"), F.sum("end").alias("ends")
+    )
+
+
 def match_counts(spark: SparkSession, base: str) -> DataFrame:
     hits = match.word_hits(documents(spark, base), DOC, F.col("text"), insult_lexicon(spark))
     return match.match_counts(hits, DOC)
@@ -387,6 +409,23 @@ def lexicon_feed(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(out).select("word", "op", "version")
 
 
+def lexicon_snapshots(spark: SparkSession, base: str) -> DataFrame:
+    """Two writers, a compaction between them, deletions, and the words added after the first version."""
+    path = scratch_dir(spark, "lexicon")
+    first = benchmark_lexicon(spark, base)
+    snapshots.clear(spark, path)
+    snapshots.commit(spark, path, first.withColumn("op", F.lit("add")))
+    snapshots.keep_new(spark, path, "conversation")(conversation_words(spark, base).select("word").distinct(), 0)
+    snapshots.compact(spark, path)
+    gone = snapshots.current(spark, path).where(F.startswith("word", F.lit("a")))
+    snapshots.commit(spark, path, gone.withColumn("op", F.lit("delete")), "review")
+    again = first.where(F.startswith("word", F.lit("an")))
+    snapshots.commit(spark, path, again.withColumns({"op": F.lit("add"), "category": F.lit("again")}), "review")
+    now = snapshots.current(spark, path).select(F.lit("current").alias("part"), "word", "category", "version")
+    added = snapshots.delta(spark, path, 2).select(F.lit("added").alias("part"), "word", F.lit(None).cast("string").alias("category"), "version")
+    return now.unionByName(added)
+
+
 def lexicon_matchable(spark: SparkSession, base: str) -> DataFrame:
     """Entries cut from the pages at blanks, with all their marks."""
     entries = pages(spark, base).select(F.explode(F.split("html", "\\s")).alias("word"))
@@ -578,17 +617,17 @@ def stream_flag(spark: SparkSession, base: str) -> DataFrame:
     arriving = document_messages(stream_table(spark, base, "documents"))
     out = scratch_dir(spark, "marked")
     flagging.flag_stream(
-        arriving, lambda: insult_lexicon(spark), flagging.batch_files(out), scratch_dir(spark, "progress"), profile="train"
+        arriving, lambda: insult_lexicon(spark), flagging.batch_files(out), scratch_dir(spark, "progress"), deal=True, profile="train"
     ).start().awaitTermination()
     return spark.read.parquet(out).select("key", "value", "is_sensitive")
 
 
 def stream_flag_large(spark: SparkSession, base: str) -> DataFrame:
-    """Files of messages under one key, several batches of them, marked by a large lexicon, routed and sent on."""
+    """Files of messages under one key, several batches of them, marked by the long words of all documents, routed and sent on."""
     arriving, clean, flagged, progress = (scratch_dir(spark, p) for p in ("arriving", "clean", "flagged", "progress"))
     sent = queue.outgoing(conversations(spark, base), F.col("conv_id"), J.wrap(F.col("text")), constant_key=True)
     sent.repartition(4).write.parquet(arriving)
-    listed = _all_document_words(spark, base)
+    listed = _all_document_words(spark, base, 8)
     stream = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 2).parquet(arriving)
     routes = flagging.route(flagging.batch_files(clean), flagging.batch_files(flagged))
     flagging.flag_stream(stream, lambda: listed, routes, progress).start().awaitTermination()
@@ -597,6 +636,46 @@ def stream_flag_large(spark: SparkSession, base: str) -> DataFrame:
     return rows.groupBy("key", "route", J.extract_strict(F.col("value")).alias("text")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _turn_messages(spark: SparkSession, base: str) -> DataFrame:
+    return conversations(spark, base).select(F.concat_ws("-", *TURN).alias("key"), J.wrap(F.col("text")).alias("value"))
+
+
+def stream_outbox(spark: SparkSession, base: str) -> DataFrame:
+    """Marked turns handed to a queue through an outbox, several batches of them, and read from the queue through an inbox."""
+    arriving, box, sent, came, got = (scratch_dir(spark, p) for p in ("arriving", "outbox", "queue", "inbox", "received"))
+    _turn_messages(spark, base).repartition(4).write.parquet(arriving)
+    stream = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 2).parquet(arriving)
+    send = outbox.outbox(box, flagging.queue("parquet", {"path": sent}, outbox.MESSAGE))
+    flagging.flag_stream(stream, lambda: insult_lexicon(spark), send, scratch_dir(spark, "progress")).start().awaitTermination()
+    read = queue.read_stream(spark, "parquet", {"maxFilesPerTrigger": "4"}, sent, "sent_batch bigint, sent_seq bigint, key string, value string")
+    take = outbox.inbox(came, flagging.batch_files(got))
+    read.writeStream.foreachBatch(take).option("checkpointLocation", scratch_dir(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(got).select("key", "value")
+
+
+def stream_spool(spark: SparkSession, base: str) -> DataFrame:
+    """Messages of seven shapes in a spool, read up to 500 at a time, marked, and written to another; and how many were rejected and why."""
+    use_spool(spark)
+    arriving, marked, refused = (scratch_dir(spark, p) for p in ("arriving", "marked", "refused"))
+    rows = raw_messages(spark, base).select(F.concat_ws("-", *TURN).alias("key"), "value")
+    rows.write.format("spool").mode("append").save(arriving)
+    read = queue.read_stream(spark, "spool", {"prefetch": "500"}, arriving)
+    counted: dict[str, int] = {}
+
+    def count(batch_id: int, reasons: dict[str, int]) -> None:
+        for reason, n in reasons.items():
+            counted[reason] = counted.get(reason, 0) + n
+
+    marking = flagging.flag_stream(
+        read, lambda: insult_lexicon(spark), flagging.queue("spool", {"path": marked}), scratch_dir(spark, "progress"),
+        rejects=flagging.batch_files(refused), on_counts=count, path=PATH,
+    )
+    queue.drain(marking)
+    used = spark.read.format("spool").load(marked).select("key", "value", F.lit(None).cast("long").alias("n"))
+    reasons = spark.createDataFrame([(k, None, n) for k, n in counted.items() if n and k != "used"], "key string, value string, n long")
+    return used.unionByName(reasons)
+
+
 def lexicon_writers(spark: SparkSession, base: str) -> DataFrame:
     """A reviewer and a discovery job write versions of the same numbers; both stay."""
     path = scratch_dir(spark, "lexicon")
@@ -653,6 +732,51 @@ def stream_discover(spark: SparkSession, base: str) -> DataFrame:
     return discovery.read_candidates(spark, candidates).select("word")
 
 
+def stream_novelty(spark: SparkSession, base: str) -> DataFrame:
+    """Words of the conversations when they first come, those of the benchmark being known; with a restart between the files."""
+    arriving, out, progress = (scratch_dir(spark, p) for p in ("arriving", "new", "progress"))
+    rows = conversations(spark, base).withColumn("part", F.col("conv_id") % 4)
+    known = stored(benchmark_lexicon(spark, base).select("word"), "lexicon")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", novelty.STORE)
+    try:
+        for parts in ((0, 1), (2, 3)):
+            for part in parts:
+                rows.where(F.col("part") == part).select("text").coalesce(1).write.mode("append").parquet(arriving)
+            stream = spark.readStream.schema("text string").option("maxFilesPerTrigger", 1).parquet(arriving)
+            words = stream.select(F.explode(T.words(F.col("text"))).alias("word"))
+            queue.write_stream(novelty.new_words(words, known), "parquet", {}, progress, out).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    return spark.read.parquet(out).select("word")
+
+
+def stream_hot_model(spark: SparkSession, base: str) -> DataFrame:
+    """Two waves of turns through one running discovery; between them a model is published that says the opposite of the first."""
+    vocabulary = stored(trainset.vocabulary(document_words(spark, base)), "vocabulary")
+    listed = stored(word_lexicon(spark, vocabulary), "lexicon")
+    train = stored(trainset.as_terms(trainset.label_words(listed, vocabulary)), "training")
+    path, arriving, candidates = (scratch_dir(spark, p) for p in ("models", "arriving", "candidates"))
+    rows = conversations(spark, base)
+
+    def arrive(wave: int) -> None:
+        rows.where(F.col("conv_id") % 2 == wave).select(J.wrap(F.col("text")).alias("value")).write.parquet(f"{arriving}/wave{wave}")
+
+    models.publish(spark, path, classify.fit_naive_bayes(train, hashing="md5"))
+    arrive(0)
+    stream = spark.readStream.schema("value string").parquet(f"{arriving}/wave*")
+    keep = discovery.to_candidates(spark, lambda: listed, candidates)
+    running = discovery.discovery_stream(stream, models.Newest(spark, path), keep, scratch_dir(spark, "progress"), every="1 second").start()
+    try:
+        running.processAllAvailable()
+        models.publish(spark, path, classify.fit_naive_bayes(train.withColumn("label", 1 - F.col("label")), hashing="md5"))
+        arrive(1)
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return discovery.read_candidates(spark, candidates).select("word").distinct()
+
+
 def stream_extend_lexicon(spark: SparkSession, base: str) -> DataFrame:
     """New words and joins of neighbouring words in plain texts, taken into the lexicon at once."""
     model, listed = _word_model(spark, base)
@@ -687,14 +811,15 @@ QUERIES: dict[str, Query] = {
         flag_messages, flag_messages_cjk, flag_large_lexicon, flag_keyless, flag_mixed_scripts, vocab_mixed_scripts, flag_segmented,
         clean_filter, clean_filter_cjk, clean_train, clean_stream, clean_ascii,
         json_extract, json_extract_lenient, json_mark, json_reject_counts, message_envelope,
-        tokenize_words, tokens_minlen, word_spans, context_ngrams, segment_all, segment_greedy, segment_positives,
-        first_match, widened_match, phrase_hits, match_counts, category_counts, route_counts,
+        tokenize_words, tokens_minlen, word_spans, context_ngrams, segment_all, segment_all_large, segment_greedy, segment_positives,
+        first_match, widened_match, phrase_hits, phrase_hits_large, match_counts, category_counts, route_counts,
         lexicon_load, lexicon_lookup, lexicon_phrase_search, lexicon_upsert_status, lexicon_delete,
-        lexicon_delete_id, lexicon_delta, lexicon_feed, lexicon_current, lexicon_matchable, lexicon_size, lexicon_review,
+        lexicon_delete_id, lexicon_delta, lexicon_feed, lexicon_current, lexicon_snapshots, lexicon_matchable, lexicon_size, lexicon_review,
         corpus_lines, vocab_distinct, vocab_count, negatives, train_set, hash_split, parse_labeled_points,
         hashing_tf, tfidf_docs, tfidf_refit,
         nb_words, nb_docs, nb_bernoulli, mlp_docs, word2vec_docs, model_roundtrip,
         confusion_words, confusion_docs, metrics_docs, recall_lexicon, onehot_argmax,
         stream_flag, stream_flag_large, lexicon_writers, stream_hot_update, stream_discover, stream_extend_lexicon, stream_archive,
+        stream_outbox, stream_spool, stream_novelty, stream_hot_model,
     )
 }

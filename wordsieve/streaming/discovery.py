@@ -90,7 +90,7 @@ def message_texts(messages: DataFrame, value: str, path: Sequence[str] | None, p
 
 def discovery_stream(
     messages: DataFrame,
-    model: PipelineModel,
+    model: PipelineModel | Callable[[], PipelineModel],
     keep: Keep,
     checkpoint: str,
     archive: str | None = None,
@@ -105,7 +105,8 @@ def discovery_stream(
     """A stream that scores the words of each batch, hands the sensitive ones to ``keep`` and archives the texts.
 
     Each batch writes to folders of its own number, so one that is run again leaves no copy. Batches
-    without a text write nothing.
+    without a text write nothing. Instead of a model a function may be given that is asked for it at each batch, such as
+    ``models.Newest``.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -116,7 +117,7 @@ def discovery_stream(
             if archive:
                 archive_batch(texts, archive, topic, batch_id)
             words = batch_words(texts, F.col("text"), ngrams)
-            keep(predicted_sensitive(words, model, refit_idf), batch_id)
+            keep(predicted_sensitive(words, model if isinstance(model, PipelineModel) else model(), refit_idf), batch_id)
         finally:
             texts.unpersist()
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from wordsieve.functions import messages as J
 from wordsieve.operators.match import flag_messages
+from wordsieve.sources.tables import spread
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -36,6 +37,30 @@ def mark_messages(
     return flagged.select("key", present(marked).alias("value"), "is_sensitive")
 
 
+def judged(
+    messages: DataFrame,
+    lexicon: DataFrame,
+    key: str = "key",
+    value: str = "value",
+    path: Sequence[str] = J.DEFAULT_PATH,
+    lenient: bool = True,
+    profile: str | None = "train",
+    mode: str = "segmented",
+    dictionary: DataFrame | None = None,
+) -> DataFrame:
+    """Every message once: key, raw, value (marked), is_sensitive, and the reason why it can't be used, null if it can.
+
+    Of a message that can't be used value and is_sensitive are null.
+    """
+    text = J.extract_text(F.col(value), path, lenient)
+    rows = messages.select(F.col(key).alias("key"), F.col(value).alias("raw"), text.alias("_text"), J.reject_reason(F.col(value), path).alias("reason"))
+    flagged = flag_messages(rows, F.col("_text"), lexicon, profile, mode, dictionary)
+    usable = F.col("reason").isNull() & F.col("_text").isNotNull()
+    marked = flagged.withColumn("value", F.when(usable, J.mark(F.col("raw"), F.col("is_sensitive"))))
+    reason = F.when(F.col("value").isNull(), F.coalesce("reason", F.lit(J.UNMARKABLE)))
+    return marked.select("key", "raw", "value", F.when(F.col("value").isNotNull(), F.col("is_sensitive")).alias("is_sensitive"), reason.alias("reason"))
+
+
 def present(value: Column) -> Column:
     """Generate the value, or no row when it is null. A filter would be moved down and compute it a second time."""
     return F.explode(F.filter(F.array(value), lambda v: v.isNotNull()))
@@ -56,11 +81,12 @@ def batch_files(path: str, partition_by: Sequence[str] = ()) -> BatchSink:
     return sink
 
 
-def queue(fmt: str, options: Mapping[str, str]) -> BatchSink:
-    """Send key and value to a message queue. A batch that is run again is sent again."""
+def queue(fmt: str, options: Mapping[str, str], columns: Sequence[str] = ("key", "value")) -> BatchSink:
+    """Append key and value, or other columns, to a message queue. A batch that is run again is sent again; ``outbox`` numbers
+    the messages so that a reader can tell."""
 
     def sink(rows: DataFrame, batch_id: int) -> None:
-        rows.select("key", "value").write.format(fmt).options(**options).save()
+        rows.select(*columns).write.format(fmt).options(**options).mode("append").save()
 
     return sink
 
@@ -85,15 +111,35 @@ def flag_stream(
     sink: BatchSink,
     checkpoint: str,
     every: str | None = None,
+    deal: bool = False,
+    rejects: BatchSink | None = None,
+    on_counts: Callable[[int, dict[str, int]], None] | None = None,
     **options,
 ) -> DataStreamWriter:
     """A stream that marks messages. The lexicon is loaded anew for each batch, so changes take effect while it runs.
 
-    Without ``every`` it takes what is there and stops. ``options`` are those of ``mark_messages``.
+    Without ``every`` it takes what is there and stops. ``deal`` deals the messages of a batch over the cores, for a
+    source of fewer splits than cores. ``rejects`` gets the messages that can't be used, with the reason; ``on_counts`` the
+    number of the batch and how many of its messages were used and rejected, by reason. Both take part in the one pass over
+    the batch, which is not read again for them. ``options`` are those of ``mark_messages``.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        sink(mark_messages(batch, load_lexicon(), **options), batch_id)
+        rows = spread(batch) if deal else batch
+        if rejects is None and on_counts is None:
+            sink(mark_messages(rows, load_lexicon(), **options), batch_id)
+            return
+        seen = Observation()
+        per_reason = [F.count_if(F.col("reason") == r).alias(r) for r in J.REASONS]
+        told = judged(rows, load_lexicon(), **options).observe(seen, F.count_if(F.col("reason").isNull()).alias("used"), *per_reason).persist()
+        try:
+            sink(told.where("reason IS NULL").select("key", "value", "is_sensitive"), batch_id)
+            if rejects is not None:
+                rejects(told.where("reason IS NOT NULL").select("key", F.col("raw").alias("value"), "reason"), batch_id)
+            if on_counts is not None:
+                on_counts(batch_id, seen.get)
+        finally:
+            told.unpersist()
 
     writer = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
