@@ -1,6 +1,7 @@
 """Token counts, page text and decontamination."""
 
 import random
+import time
 from collections import Counter
 
 import public_tokenizers
@@ -253,3 +254,33 @@ def test_no_plain_near_copy_is_rejected(rng):
                 words[rng.randrange(len(words))] = "changed"
             (_, hashes), = decontaminate.word_hashes([" ".join(words)], plain=True)
             assert index.similar(k, hashes) >= jaccard(" ".join(words), text)
+
+
+def test_index_of_short_items_is_bounded(rng):
+    """4 MB of items of six words are cut into blocks, whose indexes stay under 200 MB."""
+    item = " ".join(["syllab"] * 6)
+    n = (4 << 20) // len(item)
+    blocks = -(-n * (8 * len(item) + decontaminate.ENTRY_BYTES) // decontaminate.INDEX_BYTES)
+    index = decontaminate.Index([(k, f"a{k} b{k * 7} c{k * 3} d{k} e{k * 11} f{k}") for k in range(-(-n // blocks))], 0.8)
+    size = sum(a.nbytes for prints, item_, offset, lookups in index.tables.values() for a in (prints, item_, offset, *(x for look in lookups for x in look)))
+    size += sum(x.nbytes for own in (index.words, index.shingles, index.weights) for x in own)
+    assert size < 200 << 20
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * (1 << 18) + '"', "<b>" * (1 << 17) + "</i>" * (1 << 17), "<i><div>" + "<b>" * (1 << 17) + "</i>" * (1 << 17), '<a href="' * (1 << 16), "<nav>" * (1 << 15) + "<article>" * (1 << 15)],
+)
+def test_broken_pages_take_linear_time(page):
+    started = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - started < 20
+
+
+@pytest.mark.parametrize("notice", ["© 2024 Example Press", "All rights reserved.", "Imprint", "Printed on 12 May"])
+@pytest.mark.parametrize("tag", ["div", "span", "section", "td"])
+def test_short_notices_in_plain_blocks_after_an_unmarked_article_go(notice, tag):
+    assert html_text.main_text(f"<body><div>{STORY}</div><{tag}>{notice}</{tag}></body>") == TOLD
+    # Within the article, or as prose, a short line is text.
+    assert html_text.main_text(f"<body><div>{STORY}</div><p>{notice}</p></body>") == f"{TOLD}\n{notice}"
+    assert html_text.main_text(f"<body><article>{STORY}<{tag}>{notice}</{tag}></article></body>") == f"{TOLD}\n{notice}"

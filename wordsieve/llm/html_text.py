@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from wordsieve.llm.common import map_text
 
-# Lines to a window, and the text length of a window at which a surge begins.
+# Lines to a window, and the weight of a window at which a surge begins; below it is a dive.
 WINDOW = 3
 SURGE = 40
 # A line of which links hold this share or more is a menu.
@@ -29,6 +29,8 @@ BREAKS = {
     "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre",
     "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "title",
 }
+# Elements of prose: their lines weigh SURGE more, so that a short one is text too.
+PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "blockquote", "pre", "figcaption", "caption", "summary"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 # Elements that hold a page or an article, whatever their classes say.
 WHOLE = {"html", "body"} | ARTICLE
@@ -92,10 +94,11 @@ class Frames:
 
 
 def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Lines of a page with their text, its length outside menus and other frames, and whether an article holds it.
+    """Lines of a page with their text, their weight, and whether an article holds them.
 
-    Markup goes, and every block element and line break ends a line. Text in frames counts nothing and is
-    left out; a line that is mostly links counts nothing. A frame that wraps the page is none.
+    Markup goes, and every block element and line break ends a line. A line weighs its length, and SURGE more in an element
+    of prose; one that is mostly links weighs nothing. What is in a frame has no text and, where it is a line by itself, no
+    weight. A frame that wraps the page is none.
     """
     frames = Frames()
     found = parsed(page, frames)
@@ -109,7 +112,7 @@ def parsed(page: str, seen: Frames, spared: Collection[int] = (), unframed: bool
     weights: list[int] = []
     inside: list[bool] = []
     held: list[str] = []
-    linked = 0
+    linked = dropped = 0
     # Open elements: name, whether it is a frame, place; and how many of the open ones are frames, hidden, articles, links.
     opened: list[tuple[str, bool, bool, int, int]] = []
     frames = unseen = articles = links = 0
@@ -119,15 +122,21 @@ def parsed(page: str, seen: Frames, spared: Collection[int] = (), unframed: bool
     framing: list[int] = []
 
     def end_line() -> None:
-        nonlocal linked
-        if held:
-            text = " ".join(html.unescape("".join(held)).split())
-            if text:
-                texts.append(text)
-                weights.append(0 if not articles and linked >= LINKED * len(text) else len(text))
-                inside.append(articles > 0)
-            held.clear()
-        linked = 0
+        nonlocal linked, dropped
+        text = " ".join(html.unescape("".join(held)).split()) if held else ""
+        if text:
+            menu = not articles and linked >= LINKED * len(text)
+            prose = bool(breaking) and opened[breaking[-1]][0] in PROSE
+            texts.append(text)
+            weights.append(0 if menu else len(text) + prose * SURGE)
+            inside.append(articles > 0)
+        elif dropped:
+            # A line of a frame.
+            texts.append("")
+            weights.append(0)
+            inside.append(False)
+        held.clear()
+        linked = dropped = 0
 
     def close(upto: int) -> None:
         nonlocal frames, unseen, articles, links
@@ -148,7 +157,9 @@ def parsed(page: str, seen: Frames, spared: Collection[int] = (), unframed: bool
     at = 0
     for token in TOKEN.finditer(page):
         if not unseen and token.start() > at:
-            seen.total += len(page[at : token.start()].strip())
+            there = len(page[at : token.start()].strip())
+            seen.total += there
+            dropped += there * (frames > 0)
         if not frames and token.start() > at:
             held.append(page[at : token.start()])
             linked += (token.start() - at) * (links > 0)
@@ -198,40 +209,40 @@ def parsed(page: str, seen: Frames, spared: Collection[int] = (), unframed: bool
     return texts, np.array(weights, np.int64), np.array(inside, bool)
 
 
-def spans(texts: list[str], weights: np.ndarray, least: int) -> list[str]:
-    """The lines that weigh, between the surges to ``least`` and the dives to nothing."""
+def spans(texts: list[str], weights: np.ndarray) -> list[str]:
+    """The lines that weigh, from where a window of lines surges to SURGE to where one dives below it."""
     total = np.concatenate([[0], np.cumsum(weights)])
     n = len(texts)
-    # blocks[k]: text of the window of lines that starts at k.
+    # blocks[k]: weight of the window of lines that starts at k.
     blocks = total[np.minimum(np.arange(n) + WINDOW, n)] - total[:-1]
     kept, open_span = [], False
     for k in range(n):
-        if not open_span and weights[k] and blocks[k] >= least:
-            open_span = True
-        elif open_span and blocks[k] == 0:
-            open_span = False
+        # A window that begins with an empty line surges for the lines after it.
+        open_span = blocks[k] >= SURGE and (open_span or weights[k] > 0)
         if open_span and weights[k]:
             kept.append(texts[k])
     return kept
 
 
 def main_text(page: str | None) -> str:
-    """The text between the surge and the dive of the line blocks, its lines joined by a newline.
+    """The text between the surges and the dives of the line blocks, its lines joined by a newline.
 
-    Where a page marks an article, only lines in it weigh, and every such line is text; elsewhere a surge needs
-    a window of SURGE characters and ends where a window falls to nothing. Of the spans, all are kept: an article may
-    be broken by an advert. Where the frames leave nothing, the spans are those of all lines that are not hidden.
+    Line blocks are the weights of windows of WINDOW lines. Tags and classes only change what a line weighs: where a page marks
+    an article, lines in it weigh SURGE more, so that they surge by themselves, and the others nothing. Of the spans, all are
+    kept: an article may be broken by an advert. Without a mark the end of an article is where its windows dive, so that
+    a short notice in a plain block after it is no text. Where nothing surges, all lines that weigh are the text; where frames leave nothing, the
+    spans are those of all lines that are not hidden.
     """
     texts, weights, inside = lines(page or "")
-    marked = inside.any() and weights[inside].sum() > 0
-    weights = np.where(inside, weights, 0) if marked else weights
-    kept = spans(texts, weights, 1 if marked else SURGE)
+    if (weights[inside] > 0).any():
+        weights = np.where(inside & (weights > 0), weights + SURGE, 0)
+    kept = spans(texts, weights)
     if not kept:
         # A page of less text than any surge: what weighs is its text.
         kept = [t for t, w in zip(texts, weights) if w]
     if not kept:
         texts, weights, _ = parsed(page or "", Frames(), unframed=True)
-        kept = spans(texts, weights, SURGE)
+        kept = spans(texts, weights)
     return "\n".join(kept)
 
 
