@@ -62,18 +62,18 @@ def test_toxicity_finds_one_word_in_a_long_text(rng):
     assert np.mean((score >= 0.3) == np.array(labels[350:])) > 0.95
 
 
-def test_counterfactuals_keep_the_score_of_neutral_mentions(rng):
-    """In these labels toxic texts name one group; without the penalty its name alone raises the score."""
-    term = "muslim"
+@pytest.mark.parametrize("term", ["muslim", "juden", "musulmans", "judíos"])
+def test_counterfactuals_keep_the_score_of_neutral_mentions(rng, term):
+    """In these labels toxic texts name one group; without the penalty its name alone raises the score. Marks may stand beside it."""
     texts, labels = [], []
     for k in range(400):
         words = toxic_text(rng, k % 2).split()
         if k % 2 and rng.random() < 0.7 or not k % 2 and rng.random() < 0.02:
-            words.insert(rng.randrange(len(words)), term)
+            words.insert(rng.randrange(len(words)), rng.choice([term, term.title() + ",", f"({term})", f"{term}."]))
         texts.append(" ".join(words))
         labels.append(k % 2)
     neutral = [prose(rng, 30) for _ in range(40)]
-    named = [t.replace(" ", f" {term} ", 1) for t in neutral]
+    named = [t.replace(" ", f" {term}, ", 1) for t in neutral]
 
     def rise(fairness):
         model = toxicity.fit(texts, labels, {}, fairness=fairness)
@@ -83,6 +83,35 @@ def test_counterfactuals_keep_the_score_of_neutral_mentions(rng):
     assert rise(2.0) < 0.6 * rise(0.0)
 
 
+def test_terms_are_words_of_the_text():
+    for own in toxicity.IDENTITY_TERMS:
+        for term in own:
+            names = toxicity.bag(term)[2]
+            assert len(names) == 1 and np.isin(names, toxicity.bag(f"one ({term.upper()}), two")[2]).all()
+
+
+def test_ordinary_words_that_threaten_together(rng):
+    """Each word is in texts of both labels; only one after the other are they toxic."""
+    texts, labels = [], []
+    for k in range(600):
+        words = prose(rng, 40).split()
+        at = rng.randrange(1, len(words) - 4)
+        words[at:at] = ["hurt", "you"] if k % 2 else ["you", "quietly", "hurt"]
+        texts.append(" ".join(words))
+        labels.append(k % 2)
+    model = toxicity.fit(texts[:500], labels[:500], {})
+    assert auc(model.score(texts[500:]), labels[500:]) > 0.9
+
+
+def test_labels_other_than_two_are_left_out(spark, docs, rng):
+    texts, labels = labelled(rng, 60, lambda k: toxic_text(rng, k % 2))
+    df = docs([(k, t, "s") for k, t in enumerate(texts)])
+    marks = spark.createDataFrame([(k, y) for k, y in enumerate(labels)], "doc_id long, label int")
+    odd = spark.createDataFrame([(0, 2), (1, -1), (2, None)], "doc_id long, label int")
+    want = sorted((r.doc_id, r.score) for r in toxicity.toxicity(df, marks).collect())
+    assert sorted((r.doc_id, r.score) for r in toxicity.toxicity(df, marks.unionByName(odd)).collect()) == want
+
+
 def language_texts(rng, n):
     words = {"en": "the of and thing with ing".split(), "de": "der und ung schön keit ein".split(), "fr": "le la été que oui eau".split()}
     names = [rng.choice(sorted(words)) for _ in range(n)]
@@ -130,3 +159,32 @@ def test_samples_are_bounded_and_repeat(spark, docs, rng):
     assert found.equals(again)
     few, _ = sample(docs(rows), marks, 50, most_bytes=2000)
     assert 0 < few.text.str.len().sum() < 5000
+
+
+def test_repeated_ids_and_texts_count_once(spark, docs, rng):
+    from wordsieve.llm.labelled import sample
+
+    texts = [prose(rng, 20) for _ in range(40)]
+    rows = [(k, t, "s") for k, t in enumerate(texts)] + [(0, texts[0], "s")] * 500
+    marks = spark.createDataFrame([(k, k % 2) for k in range(40)] + [(0, 0)] * 300, "doc_id long, label int")
+    found, _ = sample(docs(rows), marks, 1000)
+    assert len(found) == 40
+    # One id with many texts: no more than fits is fetched.
+    many = [(0, prose(rng, 20), "s") for _ in range(400)]
+    few, rates = sample(docs(many), marks, 1000, most_bytes=9000)
+    assert 0 < few.text.str.len().sum() <= 9000 and rates[0] < 1
+    assert len(sample(docs(many), marks, 1000, most_rows=50)[0]) <= 50
+
+
+def test_counts_of_many_short_texts_are_bounded(monkeypatch):
+    texts = [f"word {k}" for k in range(3000)]
+    sizes = []
+    for rows, found in langid.counts(texts):
+        sizes.append(len(rows))
+        assert found.nbytes <= (langid.BLOCK_ROWS << langid.BITS) * 4
+    assert sum(sizes) == 3000
+    with monkeypatch.context() as m:
+        m.setattr(langid, "BLOCK_ROWS", 10**9)
+        whole = {int(r): c for rows, found in langid.counts(texts[:700]) for r, c in zip(rows, found)}
+    for rows, found in langid.counts(texts[:700]):
+        assert all((whole[int(r)] == c).all() for r, c in zip(rows, found))
