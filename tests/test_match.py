@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,3 +153,64 @@ def test_a_covered_word_is_not_widened(spark, size, request):
     rows = spark.createDataFrame([(0, "the classroom"), (1, "an ass"), (2, None), (3, "")], "i int, t string")
     got = match.widened_match(rows, ["i"], F.col("t"), words(spark, "ass"), words(spark, "classroom", "ass")).collect()
     assert [(r.i, r.word, r.widened) for r in got] == [(1, "ass", "ass")]
+
+
+# --- automata ---------------------------------------------------------------------------------
+
+
+def plain_hits(entries, text):
+    return sorted((i, w) for w in entries for i in range(len(text)) if w and text.startswith(w, i))
+
+
+@pytest.mark.parametrize("limit", [8, 4_000_000])
+def test_automaton_finds_all_entries_at_all_places(spark, monkeypatch, limit):
+    from wordsieve.operators import automaton, joins
+
+    monkeypatch.setattr(joins, "AUTOMATON_CHARS", limit)
+    monkeypatch.setattr(joins, "AUTOMATON_PARTS", 1000)
+    monkeypatch.setattr(automaton, "BLOCK_CHARS", 20)
+    rng = random.Random(4)
+    for _ in range(10):
+        letters = rng.choice(["ab", "abcdefgh", "aé苹🙂￿\U0010ffff "])
+        entries = {"".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(rng.randint(0, 40))} | {""}
+        texts = ["".join(rng.choices(letters + "x", k=rng.randint(0, 40))) for _ in range(15)] + [None, ""]
+        automata = [type("Held", (), {"value": a}) for a in ([automaton.Automaton(sorted(entries))] if limit > 8 else [automaton.Automaton([e]) for e in entries])]
+        row, start, n = automaton.found_at(automata, texts)
+        for k, text in enumerate(texts):
+            got = sorted((int(s), text[s : s + m]) for r, s, m in zip(row, start, n) if r == k)
+            assert got == plain_hits(entries, text or "")
+
+
+def test_large_dictionaries_are_split_or_joined(spark, monkeypatch):
+    from wordsieve.operators import automaton, joins
+
+    words = spark.createDataFrame([(f"word{k}",) for k in range(100)] + [("",), (None,)], "word string")
+    assert len(automaton.compiled(words)) == 1
+    monkeypatch.setattr(joins, "AUTOMATON_CHARS", 300)
+    parts = automaton.compiled(words)
+    assert len(parts) == 3 and sum(len(p.value.words) for p in parts) == 100
+    monkeypatch.setattr(joins, "AUTOMATON_PARTS", 2)
+    assert automaton.compiled(words) is None
+
+
+@pytest.mark.parametrize("size", ["compiled", "split", "shuffled"])
+@pytest.mark.parametrize("mode", ["words", "segmented", "anywhere"])
+def test_verdicts_agree_with_the_set_in_the_plan(spark, request, monkeypatch, size, mode):
+    rng = random.Random(8)
+    pieces = ["sour", "milk", "sour milk", "milksour", "苹果", "红苹果树", "苹果树", "红", "a", "ß", "naïve", "3苹果", "İ", "x"]
+    texts = [rng.choice([" ", "", ", "]).join(rng.choices(pieces, k=rng.randint(0, 5))) for _ in range(60)] + [None, "", " "]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id int, text string")
+    lex = spark.createDataFrame([("sour milk",), ("苹果",), ("naïve",), ("ß",), ("红苹果",), ("3苹果",), ("",), ("!!",)], "word string")
+    dictionary = spark.createDataFrame([("苹果树",), ("milksour",)], "word string")
+    judge = lambda: {r.id: r.is_sensitive for r in match.flag_messages(df, F.col("text"), lex, None, mode, dictionary).collect()}
+    want = judge()
+    assert {True, False, None} <= set(want.values())
+    request.getfixturevalue(size)
+    assert judge() == want
+
+
+def test_automaton_verdict_needs_no_shuffle(spark, compiled):
+    df = spark.createDataFrame([(1, "sour milk")], "id int, text string")
+    lex = spark.createDataFrame([("milk",)], "word string")
+    plan = match.flag_messages(df, F.col("text"), lex)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
