@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, IDFModel, SQLTransformer
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, HashingTF, IDFModel, SQLTransformer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,17 @@ def refit_idf(model: PipelineModel, scored: DataFrame) -> PipelineModel:
     return model
 
 
+def with_idf(model: PipelineModel, weights: Sequence[float]) -> PipelineModel:
+    """The same pipeline with given weights of the buckets in place of those it was fitted to."""
+    stages = [
+        ElementwiseProduct(inputCol=RAW, outputCol=FEATURES, scalingVec=Vectors.dense(weights))
+        if isinstance(stage, IDFModel) or isinstance(stage, ElementwiseProduct) and stage.getInputCol() == RAW
+        else stage
+        for stage in model.stages
+    ]
+    return PipelineModel(stages)
+
+
 def vector_rows(df: DataFrame, ids: Sequence[str], vector: str = FEATURES) -> DataFrame:
     """The non-zero entries of a vector column as rows: ids, bucket, value."""
     stored_as = F.unwrap_udt(vector)

@@ -338,6 +338,11 @@ ORACLES: dict[str, str] = {
     "lexicon_phrase_search": f"""WITH {BENCH}, {CONV}
         SELECT b.word AS query, c.word AS word, md5(c.word) AS word_id
         FROM bench b JOIN conv c ON contains(c.word, b.word)""",
+    "lexicon_phrase_index": f"""WITH {BENCH}, {CONV},
+        q AS (SELECT word AS query FROM bench UNION SELECT substr(word, 1, 1) FROM bench UNION SELECT substr(word, 1, 2) FROM bench
+          UNION SELECT substr(word, 1, 3) FROM bench),
+        listed AS (SELECT word FROM conv WHERE word NOT LIKE 'a%' OR word LIKE 'an%')
+        SELECT query, count(*) AS n, min(word COLLATE C) AS first, max(md5(word)) AS last_id FROM q JOIN listed ON contains(word, query) GROUP BY query""",
     "lexicon_upsert_status": f"""WITH {BENCH}, s AS (SELECT conv_id, turn, string_split_regex(lower(text), '\\s') AS a FROM conversations),
         i AS (SELECT conv_id, turn, unnest(range(len(a))) AS pos, unnest(a) AS word FROM s),
         r AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY conv_id, turn, pos) AS copy FROM i)
@@ -393,6 +398,9 @@ ORACLES: dict[str, str] = {
     "tfidf_docs": f"""WITH {TFIDF},
         idf AS (SELECT bucket, ln(((SELECT count(*) FROM docs) + 1.0) / (count(*) + 1.0)) AS idf FROM tf GROUP BY bucket)
         SELECT doc_id, bucket, round(tf * idf, 6) AS value FROM tf JOIN idf USING (bucket) WHERE tf * idf <> 0""",
+    "tfidf_stream": f"""WITH {TFIDF},
+        idf AS (SELECT bucket, ln(((SELECT count(*) FROM docs) + 1.0) / (count(*) + 1.0)) AS idf FROM tf GROUP BY bucket)
+        SELECT doc_id, bucket, round(tf * idf, 6) AS value FROM tf JOIN idf USING (bucket) WHERE tf * idf <> 0""",
     "tfidf_refit": f"""WITH {TFIDF},
         idf AS (SELECT bucket, ln(((SELECT count(*) FROM docs WHERE part = 'test') + 1.0) / (count(*) + 1.0)) AS idf
           FROM tf WHERE part = 'test' GROUP BY bucket)

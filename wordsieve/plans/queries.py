@@ -12,14 +12,14 @@ from wordsieve.fixtures import insult_lexicon
 from wordsieve.functions import messages as J
 from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text
-from wordsieve.operators import classify, evaluate, features, lexicon, match, models, segment, snapshots, trainset
+from wordsieve.operators import classify, evaluate, features, grams, lexicon, match, models, segment, snapshots, trainset
 from wordsieve.operators.joins import inline_words
 from wordsieve.session import scratch_dir, stored
 from wordsieve.sources import messages as queue
 from wordsieve.sources import wordfiles
 from wordsieve.sources.spool import use_spool
 from wordsieve.sources.tables import read_table, stream_table
-from wordsieve.streaming import discovery, flagging, novelty, outbox
+from wordsieve.streaming import discovery, flagging, frequencies, novelty, outbox
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -365,6 +365,22 @@ def lexicon_phrase_search(spark: SparkSession, base: str) -> DataFrame:
     return match.phrase_search_many(asked, listed)
 
 
+def lexicon_phrase_index(spark: SparkSession, base: str) -> DataFrame:
+    """Words and their beginnings of one to three letters, sought in an index that has followed additions and deletions."""
+    words, index = scratch_dir(spark, "lexicon"), scratch_dir(spark, "grams")
+    listed = lexicon.as_lexicon(conversation_words(spark, base), "conversation", "table")
+    snapshots.commit(spark, words, listed.withColumn("op", F.lit("add")))
+    grams.follow(spark, words, index)
+    gone = listed.where(F.startswith("word", F.lit("a")))
+    snapshots.commit(spark, words, gone.withColumn("op", F.lit("delete")))
+    snapshots.commit(spark, words, gone.where(F.startswith("word", F.lit("an"))).withColumn("op", F.lit("add")))
+    grams.follow(spark, words, index)
+    asked = benchmark_lexicon(spark, base).select("word")
+    short = [asked.select(F.substring("word", 1, n).alias("query")) for n in (1, 2, 3)]
+    found = grams.search(spark, index, short[0].union(short[1]).union(short[2]).union(asked).distinct())
+    return found.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("word").alias("first"), F.max("word_id").alias("last_id"))
+
+
 def lexicon_upsert_status(spark: SparkSession, base: str) -> DataFrame:
     incoming = conversations(spark, base).select(*TURN, F.posexplode(T.blank_words(F.col("text"))).alias("pos", "word"))
     incoming = incoming.withColumn("pos", F.col("pos").cast("bigint"))
@@ -515,6 +531,20 @@ def tfidf_refit(spark: SparkSession, base: str) -> DataFrame:
     return features.vector_rows(refitted.transform(test), DOC).withColumn("value", F.round("value", 6))
 
 
+def tfidf_stream(spark: SparkSession, base: str) -> DataFrame:
+    """Weights of documents by frequencies that were counted batch by batch, one of them twice, and in part summed up."""
+    counts = scratch_dir(spark, "frequencies")
+    rows = stored(documents(spark, base).select("doc_id", T.words(F.col("text")).alias("word")), "documents")
+    for batch in (1, 0, 1, 2):
+        frequencies.count_batch(rows.where(F.col("doc_id") % 3 == batch), F.col("word"), counts, batch, classify.NB_BUCKETS)
+        if batch == 0:
+            frequencies.compact(spark, counts, 0)
+    stages = [*features.tf_stages(spark, classify.NB_BUCKETS, "md5"), features.idf_stage()]
+    model = Pipeline(stages=stages).fit(rows.limit(1))
+    told = frequencies.refreshed(spark, model, counts, classify.NB_BUCKETS).transform(rows)
+    return features.vector_rows(told, DOC).withColumn("value", F.round("value", 6))
+
+
 # --- classifiers and scores -------------------------------------------------------------------
 
 
@@ -813,10 +843,10 @@ QUERIES: dict[str, Query] = {
         json_extract, json_extract_lenient, json_mark, json_reject_counts, message_envelope,
         tokenize_words, tokens_minlen, word_spans, context_ngrams, segment_all, segment_all_large, segment_greedy, segment_positives,
         first_match, widened_match, phrase_hits, phrase_hits_large, match_counts, category_counts, route_counts,
-        lexicon_load, lexicon_lookup, lexicon_phrase_search, lexicon_upsert_status, lexicon_delete,
+        lexicon_load, lexicon_lookup, lexicon_phrase_search, lexicon_phrase_index, lexicon_upsert_status, lexicon_delete,
         lexicon_delete_id, lexicon_delta, lexicon_feed, lexicon_current, lexicon_snapshots, lexicon_matchable, lexicon_size, lexicon_review,
         corpus_lines, vocab_distinct, vocab_count, negatives, train_set, hash_split, parse_labeled_points,
-        hashing_tf, tfidf_docs, tfidf_refit,
+        hashing_tf, tfidf_docs, tfidf_refit, tfidf_stream,
         nb_words, nb_docs, nb_bernoulli, mlp_docs, word2vec_docs, model_roundtrip,
         confusion_words, confusion_docs, metrics_docs, recall_lexicon, onehot_argmax,
         stream_flag, stream_flag_large, lexicon_writers, stream_hot_update, stream_discover, stream_extend_lexicon, stream_archive,
