@@ -108,8 +108,9 @@ def test_labels_other_than_two_are_left_out(spark, docs, rng):
     df = docs([(k, t, "s") for k, t in enumerate(texts)])
     marks = spark.createDataFrame([(k, y) for k, y in enumerate(labels)], "doc_id long, label int")
     odd = spark.createDataFrame([(0, 2), (1, -1), (2, None)], "doc_id long, label int")
-    want = sorted((r.doc_id, r.score) for r in toxicity.toxicity(df, marks).collect())
-    assert sorted((r.doc_id, r.score) for r in toxicity.toxicity(df, marks.unionByName(odd)).collect()) == want
+    for scored in (toxicity.toxicity, quality.quality):
+        want = sorted((r.doc_id, r.score) for r in scored(df, marks).collect())
+        assert sorted((r.doc_id, r.score) for r in scored(df, marks.unionByName(odd)).collect()) == want
 
 
 def language_texts(rng, n):

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordsieve.llm.common import map_text, quoted
@@ -120,10 +121,10 @@ def quality(docs: DataFrame, labels: DataFrame, text: str = "text", per_label: i
     """The columns of ``docs`` but the text, with score and predicted for each whole text.
 
     The model is fitted on the driver to about ``per_label`` texts of each of the labels 0 and 1 given in ``labels`` (doc_id,
-    label); its table, of fixed size, is sent to the tasks, which score where the text is read. Null and empty
+    label), other labels being left out; its table, of fixed size, is sent to the tasks, which score where the text is read. Null and empty
     texts get the score of no tokens. Repeated rows score alike; an empty table gives an empty result.
     """
-    found, rates = sample(docs, labels, per_label, text)
+    found, rates = sample(docs, labels.where(F.col("label").isin(0, 1)), per_label, text)
     model = docs.sparkSession.sparkContext.broadcast(fit(found["text"].tolist(), found["label"].astype(int).tolist(), rates))
     out = T.StructType([T.StructField("score", T.DoubleType())])
     scored = map_text(docs, text, out, lambda: lambda texts: [pa.array(model.value.score(texts))])
