@@ -307,6 +307,31 @@ def _greedy(text: str, longest: np.ndarray) -> Iterator[str]:
             yield text[start:at]
 
 
+def first_listed(text: Column, automata: Sequence, listed: Sequence) -> Column:
+    """Of the words that a dictionary cuts out of a text from left to right, the first that is among the ``listed`` ones (automata
+    too): start, word; null where there is none."""
+    shape = S.StructType([S.StructField("start", S.LongType()), S.StructField("word", S.StringType())])
+
+    def run(texts: pd.Series) -> pd.DataFrame:
+        given = [t if isinstance(t, str) else None for t in texts]
+        wanted = set().union(*(one.value.words for one in listed))
+        found: list[tuple] = [(None, None)] * len(given)
+        for block in blocks(given):
+            longest = longest_at(block, automata)
+            for k, row in enumerate(block.rows):
+                body, at = given[row], 0
+                own = longest[block.first[k] : block.first[k] + len(body)]
+                for start in np.flatnonzero(own).tolist():
+                    if start >= at:
+                        at = start + int(own[start])
+                        if body[start:at] in wanted:
+                            found[row] = (start, body[start:at])
+                            break
+        return pd.DataFrame({"start": pd.array([s for s, _ in found], dtype="Int64"), "word": pd.Series([w for _, w in found], dtype=object)})
+
+    return F.pandas_udf(run, shape)(text)
+
+
 def spaceless(words: Sequence[str]) -> list[str]:
     """The words of scripts without blanks, as segmentation takes them."""
     return [w for w in words if w and all(unicodedata.category(c)[0] in "LMN" and not T.in_alphabet(c) for c in w)]

@@ -283,8 +283,13 @@ def widened_match(
         first = first.withColumn("_at", F.array_position(F.transform("_terms", lambda t: T.is_one_of(t, known)), True)).where("_at > 0")
         before = F.array_join(F.slice("_terms", 1, (F.col("_at") - 1).cast("int")), "")
         hits = first.select(*ids, "_text", F.length(before).cast("bigint").alias("start"), F.get("_terms", F.col("_at").cast("int") - 1).alias("word"))
-        around = F.substring(F.concat(F.lit(PAD * 2), F.col("_text")), (F.col("start") + 1).cast("int"), F.length("word") + 4)
-        return widen(hits.withColumn("n", F.length("word")).withColumn("context", around).drop("_text"), ids, listed)
+        return widen(_with_context(hits), ids, listed)
+    automata, own = automaton.compiled(dictionary), automaton.compiled(listed)
+    if automata is not None and own is not None:
+        told = df.select(*ids, cleaned.alias("_text")).withColumn("_first", automaton.first_listed(F.col("_text"), automata, own))
+        hits = told.where(F.col("_first.start").isNotNull()).select(*ids, "_text", "_first.start", "_first.word")
+        # Written, so that the texts are cut once however often the hits are read.
+        return widen(stored(_with_context(hits), "first-hits"), ids, listed)
     tokens = segment_greedy(df, ids, cleaned, dictionary, False)
     found = attach(tokens.where("known").select(*ids, "start", F.col("term").alias("word")), listed, ["word"], "left_semi", [*ids, "start"])
     first = found.groupBy(*ids).agg(F.min(F.struct("start", "word")).alias("_f")).select(*ids, "_f.start", "_f.word")
@@ -294,6 +299,12 @@ def widened_match(
     return widen(placed.withColumn("context", around).drop("_text"), ids, listed)
 
 
+def _with_context(hits: DataFrame) -> DataFrame:
+    """Hits with the length of the word and the text around it in place of the whole text."""
+    around = F.substring(F.concat(F.lit(PAD * 2), F.col("_text")), (F.col("start") + 1).cast("int"), F.length("word") + 4)
+    return hits.withColumn("n", F.length("word")).withColumn("context", around).drop("_text")
+
+
 def widen(first: DataFrame, ids: Sequence[str], lexicon: DataFrame) -> DataFrame:
     """Replace each hit by the first widening of it that the lexicon holds."""
 
