@@ -224,7 +224,8 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
     shared = stored(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("centre")).where("n > 1"), "near-dup-bands")
     members = stored(bands.join(shared, "band"), "near-dup-members")
     clusters = components(members.where("node <> centre"), "node", "centre")
-    sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    # Sizes and owners are written too: a large cluster, or group, must not gather its nodes in one task.
+    sizes = stored(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "near-dup-sizes")
     clustered = clusters.join(sizes, "root").select("node", F.col("root").alias("cluster"), "size")
     # The sets of the nodes in clusters, from the whole texts.
     picked = nodes.drop("low").join(clustered, "node")
@@ -270,7 +271,7 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
         nodes.select("set_a", "set_b", "n_shingles", "node", "low").join(labels, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
-    owners = ends.groupBy("root").agg(F.min("low").alias("owner"))
+    owners = stored(ends.groupBy("root").agg(F.min("low").alias("owner")), "near-dup-owners")
     named = ends.join(owners, "root").select("set_a", "set_b", "n_shingles", "owner")
     return rows.select("_row", "_id", *SKETCH.fieldNames()[:3], "record").join(named, ["set_a", "set_b", "n_shingles"], "left").select(
         "record",
