@@ -175,9 +175,9 @@ def test_automaton_finds_all_entries_at_all_places(spark, monkeypatch, limit):
         entries = {"".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(rng.randint(0, 40))} | {""}
         texts = ["".join(rng.choices(letters + "x", k=rng.randint(0, 40))) for _ in range(15)] + [None, ""]
         automata = [type("Held", (), {"value": a}) for a in ([automaton.Automaton(sorted(entries))] if limit > 8 else [automaton.Automaton([e]) for e in entries])]
-        row, start, n = automaton.found_at(automata, texts)
+        found = [hit for block in automaton.found_at(automata, texts) for hit in zip(*block)]
         for k, text in enumerate(texts):
-            got = sorted((int(s), text[s : s + m]) for r, s, m in zip(row, start, n) if r == k)
+            got = sorted((int(s), text[s : s + m]) for r, s, m in found if r == k)
             assert got == plain_hits(entries, text or "")
 
 

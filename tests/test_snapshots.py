@@ -139,3 +139,26 @@ def test_a_discovery_stream_extends_it(spark, path, tmp_path):
     for _ in range(2):
         stream.writeStream.foreachBatch(run).option("checkpointLocation", f"{tmp_path}/progress").trigger(availableNow=True).start().awaitTermination()
     assert words(snapshots.current(spark, path)) == ["again", "new", "old", "words"]
+
+
+def test_a_stream_gets_the_same_frame_until_there_is_a_newer_version(spark, path):
+    newest = snapshots.Newest(spark, path)
+    assert words(newest()) == []
+    snapshots.commit(spark, path, adds(spark, "a"))
+    first = newest()
+    assert words(first) == ["a"] and newest() is first
+    snapshots.commit(spark, path, adds(spark, "b"))
+    assert newest() is not first and words(newest()) == ["a", "b"]
+
+
+def test_candidates_are_summed_up_as_a_stream_goes_on(spark, tmp_path):
+    path = f"{tmp_path}/candidates"
+    listed = spark.createDataFrame([("listed",)], "word string")
+    keep = discovery.to_candidates(spark, lambda: listed, path, 3)
+    found = lambda *w: spark.createDataFrame([(x,) for x in w], "word string")
+    for batch in range(8):
+        for _ in range(1 + batch % 2):
+            keep(found("listed", "always", f"w{batch}", f"w{batch - 1}"), batch)
+    rows = discovery.read_candidates(spark, path).collect()
+    assert sorted(r.word for r in rows) == sorted(["always", "w-1", *(f"w{k}" for k in range(8))])
+    assert {r.batch_id for r in rows} == {-2, 6, 7} and commits.latest(spark, f"{path}/_commits")[1]["upto"] == 5

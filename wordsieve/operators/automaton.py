@@ -184,23 +184,23 @@ def compiled(dictionary: DataFrame) -> list | None:
 # --- all places ---------------------------------------------------------------------------------
 
 
-def found_at(automata: Sequence, texts: Sequence[str | None], inside: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, start and length of every entry in every text. Without ``inside``, none that begins between two ASCII letters."""
-    found: list[tuple] = []
+def found_at(automata: Sequence, texts: Sequence[str | None], inside: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, start and length of every entry in every text, a block of texts at a time. Without ``inside``, none that begins between
+    two ASCII letters."""
     for block in blocks(texts):
         places = np.arange(len(block.codes))
         if not inside:
             plain = (block.codes - 48 < 10) | (block.codes - 97 < 26)
             places = places[~(plain & np.concatenate([[False], plain[:-1]]))]
+        rows, found = np.array(block.rows), []
         for one in automata:
             kinds = one.value.kinds_of(block.codes)
             kinds[block.gaps] = 0
             for at, _, n in one.value.walk(kinds, places):
                 row = block.row_of(at)
-                found.append((np.array(block.rows)[row], at - block.first[row], np.full(len(at), n)))
-    if not found:
-        return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate(c) for c in zip(*found))
+                found.append((rows[row], at - block.first[row], np.full(len(at), n)))
+        if found:
+            yield tuple(np.concatenate(c) for c in zip(*found))
 
 
 def find_all(df: DataFrame, ids: Sequence[str], text: Column, automata: Sequence, context: int, inside: bool, pad: str) -> DataFrame:
@@ -214,14 +214,14 @@ def find_all(df: DataFrame, ids: Sequence[str], text: Column, automata: Sequence
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            row, start, n = found_at(automata, texts, inside)
-            words = [texts[r][s : s + k] for r, s, k in zip(row, start, n)]
-            columns = [c.take(pa.array(row)) for c in batch.columns[:-1]]
-            columns += [pa.array(start, pa.int64()), pa.array(n, pa.int32()), pa.array(words, pa.string())]
-            if context:
-                padded = {r: pad * context + texts[r] for r in set(row.tolist())}
-                columns.append(pa.array([padded[r][s : s + k + 2 * context] for r, s, k in zip(row.tolist(), start, n)], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+            for row, start, n in found_at(automata, texts, inside):
+                places = list(zip(row.tolist(), start.tolist(), n.tolist()))
+                columns = [c.take(pa.array(row)) for c in batch.columns[:-1]]
+                columns += [pa.array(start, pa.int64()), pa.array(n, pa.int32()), pa.array([texts[r][s : s + k] for r, s, k in places], pa.string())]
+                if context:
+                    padded = {r: pad * context + texts[r] for r in set(row.tolist())}
+                    columns.append(pa.array([padded[r][s : s + k + 2 * context] for r, s, k in places], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     return rows.mapInArrow(run, schema)
 
@@ -350,8 +350,8 @@ def segment_runs(runs: DataFrame, ids: Sequence[str], automata: Sequence) -> Dat
         for batch in batches:
             base = batch.column(batch.num_columns - 2).to_pylist()
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            owner, start, term, known = [], [], [], []
             for block in blocks(texts):
+                owner, start, term, known = [], [], [], []
                 longest = longest_at(block, automata).tolist()
                 for k, row in enumerate(block.rows):
                     text, first, at = texts[row], int(block.first[k]), 0
@@ -362,9 +362,9 @@ def segment_runs(runs: DataFrame, ids: Sequence[str], automata: Sequence) -> Dat
                         term.append(text[at : at + (n or 1)])
                         known.append(n > 0)
                         at += n or 1
-            columns = [c.take(pa.array(owner, pa.int64())) for c in batch.columns[:-2]]
-            ends = [s + len(t) for s, t in zip(start, term)]
-            columns += [pa.array(start, pa.int64()), pa.array(ends, pa.int64()), pa.array(term, pa.string()), pa.array(known, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+                columns = [c.take(pa.array(owner, pa.int64())) for c in batch.columns[:-2]]
+                ends = [s + len(t) for s, t in zip(start, term)]
+                columns += [pa.array(start, pa.int64()), pa.array(ends, pa.int64()), pa.array(term, pa.string()), pa.array(known, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     return rows.mapInArrow(run, schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
@@ -17,6 +17,8 @@ from wordsieve.operators.lexicon import matchable
 from wordsieve.operators.segment import INSIDE_WORD, PAD, find_all, segment_greedy, word_rows
 from wordsieve.session import stored
 
+Judge = Callable[[DataFrame, Column], DataFrame]
+
 # Up to this many words are sought in a text one by one; more are looked up position by position.
 SOUGHT_WORDS = 64
 
@@ -116,37 +118,47 @@ def flag_messages(
     have a hit, and these are joined back. Whole words can't be met in a text whose blanks the profile removes, so that
     pair is refused.
     """
+    return prepared(lexicon, profile, mode, dictionary)(df, text)
+
+
+def prepared(lexicon: DataFrame, profile: str | None = "train", mode: str = "segmented", dictionary: DataFrame | None = None) -> Judge:
+    """``flag_messages`` for one lexicon, which is read, measured and compiled once: a function of a frame and its text."""
     if mode == "words" and removes_blanks(profile):
         raise ValueError(f"profile {profile!r} removes the blanks that mode 'words' needs; use mode 'segmented' or 'anywhere'")
-    cleaned = clean_text(text, profile)
     listed = entries(lexicon, profile) if mode == "anywhere" else phrases(lexicon, profile)
     words = inline_words(listed)
     others = [] if dictionary is None else inline_words(dictionary.select(F.lower("word").alias("word")))
     if words is not None and others is not None:
-        return df.withColumn("is_sensitive", verdict(cleaned, words, mode, others))
+        return lambda df, text: df.withColumn("is_sensitive", verdict(clean_text(text, profile), words, mode, others))
     listed = stored(listed, "entries")
-    automata = automaton.compiled(listed)
-    if automata is not None and mode != "segmented":
-        held = automaton.holds_anywhere(F.lower(cleaned), automata) if mode == "anywhere" else automaton.holds_words(F.array_join(T.words(cleaned), " "), automata)
-        return df.withColumn("is_sensitive", held)
-    if automata is not None and (found := _segmented_automata(listed, dictionary)) is not None:
-        return df.withColumn("is_sensitive", automaton.holds_words(F.array_join(T.words(cleaned), " "), *found))
+    if mode == "segmented":
+        found = _segmented_automata(listed, dictionary)
+    else:
+        automata = automaton.compiled(listed)
+        found = None if automata is None else (automata,)
+    if found is None:
+        return lambda df, text: _joined_verdict(df, text, listed, profile, mode, dictionary)
+    if mode == "anywhere":
+        return lambda df, text: df.withColumn("is_sensitive", automaton.holds_anywhere(F.lower(clean_text(text, profile)), *found))
+    return lambda df, text: df.withColumn("is_sensitive", automaton.holds_words(F.array_join(T.words(clean_text(text, profile)), " "), *found))
+
+
+def _joined_verdict(df: DataFrame, text: Column, listed: DataFrame, profile: str | None, mode: str, dictionary: DataFrame | None) -> DataFrame:
     body = F.col("_cleaned")
-    rows = _numbered(df, text, cleaned)
+    rows = _numbered(df, text, clean_text(text, profile))
     if mode == "anywhere":
-        hits = find_all(rows, NUMBER, F.lower(body), listed).select(*NUMBER)
-    else:
-        sizes = [r.n for r in listed.select("n").distinct().collect()]
-        if mode == "segmented":
-            sizes = [n for n in sizes if n > 1]
-        grams = F.flatten(F.array(*[T.ngrams(T.words(body), n) for n in sizes])) if sizes else F.array().cast("array<string>")
-        terms = rows.select(*NUMBER, F.posexplode(grams).alias("_pos", "word"))
-        hits = attach(terms, listed.select("word"), ["word"], "left_semi", [*NUMBER, "_pos"]).select(*NUMBER)
-        if mode == "segmented":
-            single = listed.where("n = 1").select("word")
-            every = single if dictionary is None else single.unionByName(dictionary.select(F.lower("word").alias("word"))).distinct()
-            tokens = segment_greedy(rows, NUMBER, body, every, True).select(*NUMBER, "start", F.col("term").alias("word"))
-            hits = hits.unionByName(attach(tokens, single, ["word"], "left_semi", [*NUMBER, "start"]).select(*NUMBER))
+        return _with_hits(df, text, find_all(rows, NUMBER, F.lower(body), listed).select(*NUMBER))
+    sizes = [r.n for r in listed.select("n").distinct().collect()]
+    if mode == "segmented":
+        sizes = [n for n in sizes if n > 1]
+    grams = F.flatten(F.array(*[T.ngrams(T.words(body), n) for n in sizes])) if sizes else F.array().cast("array<string>")
+    terms = rows.select(*NUMBER, F.posexplode(grams).alias("_pos", "word"))
+    hits = attach(terms, listed.select("word"), ["word"], "left_semi", [*NUMBER, "_pos"]).select(*NUMBER)
+    if mode == "segmented":
+        single = listed.where("n = 1").select("word")
+        every = single if dictionary is None else single.unionByName(dictionary.select(F.lower("word").alias("word"))).distinct()
+        tokens = segment_greedy(rows, NUMBER, body, every, True).select(*NUMBER, "start", F.col("term").alias("word"))
+        hits = hits.unionByName(attach(tokens, single, ["word"], "left_semi", [*NUMBER, "start"]).select(*NUMBER))
     return _with_hits(df, text, hits)
 
 

@@ -136,6 +136,20 @@ def current(spark: SparkSession, path: str, version: int | None = None) -> DataF
     return _words(spark, asked).select(word_id(F.col("word")).alias("word_id"), "word", "category", "version")
 
 
+class Newest:
+    """The newest version of a lexicon for a stream: the same frame until there is a newer one."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.number, self.words = -1, None
+
+    def __call__(self) -> DataFrame:
+        now = head(self.spark, self.path)
+        if now.number != self.number:
+            self.number, self.words = now.number, current(self.spark, self.path, now.number)
+        return self.words
+
+
 def changes(spark: SparkSession, path: str, since: int, upto: int | None = None) -> DataFrame:
     """The changes after a version: word, category, op, version, in one row per change; a drop of all words has op ``clear``.
 

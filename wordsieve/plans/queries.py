@@ -243,8 +243,9 @@ def flag_messages_cjk(spark: SparkSession, base: str) -> DataFrame:
 
 def flag_large_lexicon(spark: SparkSession, base: str) -> DataFrame:
     """Conversation turns against a lexicon that grows with the documents and is joined."""
-    listed = stored(word_lexicon(spark, trainset.vocabulary(document_words(spark, base))), "lexicon")
-    flagged = match.flag_messages(conversations(spark, base), F.col("text"), listed, "train")
+    path = scratch_dir(spark, "lexicon")
+    word_lexicon(spark, trainset.vocabulary(document_words(spark, base))).write.parquet(path)
+    flagged = match.flag_messages(conversations(spark, base), F.col("text"), wordfiles.read_lexicon(spark, path), "train")
     return flagged.select(*TURN, "is_sensitive")
 
 
@@ -728,15 +729,15 @@ def stream_hot_update(spark: SparkSession, base: str) -> DataFrame:
     def arrive(wave: int) -> None:
         all_messages.where(F.col("wave") == wave).select("key", "value").write.parquet(f"{arriving}/wave{wave}")
 
-    lexicon.append_version(insult_lexicon(spark).withColumn("op", F.lit("add")), words, 1)
+    snapshots.commit(spark, words, insult_lexicon(spark).withColumn("op", F.lit("add")))
     arrive(0)
     stream = spark.readStream.schema("key string, value string").parquet(f"{arriving}/wave*")
     running = flagging.flag_stream(
-        stream, lambda: lexicon.current(lexicon.read_versions(spark, words)), flagging.batch_files(out), progress, every="1 second"
+        stream, snapshots.Newest(spark, words), flagging.batch_files(out), progress, every="1 second"
     ).start()
     try:
         running.processAllAvailable()
-        lexicon.append_version(benchmark_lexicon(spark, base).withColumn("op", F.lit("add")), words, 2)
+        snapshots.commit(spark, words, benchmark_lexicon(spark, base).withColumn("op", F.lit("add")))
         arrive(1)
         running.processAllAvailable()
     finally:

@@ -13,6 +13,7 @@ from wordsieve.functions import messages as J
 from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text
 from wordsieve.operators import classify, lexicon
+from wordsieve.sources import commits
 from wordsieve.streaming.flagging import present
 
 Keep = Callable[[DataFrame, int], None]
@@ -38,14 +39,26 @@ def predicted_sensitive(words: DataFrame, model: PipelineModel, refit_idf: bool
 
 
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CANDIDATES).option("basePath", path).parquet(path)
+    """All candidates: word, batch_id. Batches that were summed up are read as one, of number -2."""
+    rows = spark.read.schema(CANDIDATES).option("basePath", path).parquet(path)
+    summed = commits.latest(spark, f"{path}/_commits")
+    if summed is None:
+        return rows
+    base = spark.read.schema("word string").parquet(summed[1]["base"]).withColumn("batch_id", F.lit(-2).cast("bigint"))
+    return rows.where(F.col("batch_id") > summed[1]["upto"]).unionByName(base)
 
 
-def to_candidates(spark: SparkSession, load_lexicon: Callable[[], DataFrame], path: str) -> Keep:
-    """Keep words for review: those neither listed nor candidates of another batch."""
+def to_candidates(spark: SparkSession, load_lexicon: Callable[[], DataFrame], path: str, sum_every: int = 50) -> Keep:
+    """Keep words for review: those neither listed nor candidates of another batch.
+
+    Every ``sum_every`` batches the candidates of those before are written as one table, so that a batch meets no more
+    folders than that, however long the stream runs. ``novelty`` tells new words without reading earlier ones at all.
+    """
     spark.createDataFrame([], "word string").write.mode("overwrite").parquet(f"{path}/batch_id=-1")
 
     def keep(found: DataFrame, batch_id: int) -> None:
+        if batch_id > 0 and batch_id % sum_every == 0:
+            _sum_up(spark, path, batch_id - 1)
         known = read_candidates(spark, path).where(F.col("batch_id") != batch_id).select("word")
         new = found.join(load_lexicon().select("word"), "word", "left_anti").join(known, "word", "left_anti")
         new.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -53,6 +66,15 @@ def to_candidates(spark: SparkSession, load_lexicon: Callable[[], DataFrame], pa
     return keep
 
 
+def _sum_up(spark: SparkSession, path: str, upto: int) -> None:
+    """Write the candidates of the finished batches up to a number as one table, which readers find by a commit."""
+    base = f"{path}/_base/upto={upto}"
+    read_candidates(spark, path).where(F.col("batch_id") <= upto).select("word").distinct().write.mode("overwrite").parquet(base)
+    known = commits.latest(spark, f"{path}/_commits")
+    if known is None or known[1]["upto"] < upto:
+        commits.put(spark, f"{path}/_commits", (known[0] if known else 0) + 1, {"base": base, "upto": upto})
+
+
 def compact_candidates(spark: SparkSession, path: str, target: str) -> None:
     """Write the candidates of all batches as one set of files below ``target``, which then replaces ``path``.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from wordsieve.functions import messages as J
-from wordsieve.operators.match import flag_messages
+from wordsieve.operators.match import Judge, prepared
 from wordsieve.sources.tables import spread
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -25,14 +25,15 @@ def mark_messages(
     profile: str | None = "train",
     mode: str = "segmented",
     dictionary: DataFrame | None = None,
+    judge: Judge | None = None,
 ) -> DataFrame:
     """Usable JSON messages with the marker at their root: key, value, is_sensitive. Others are dropped.
 
-    Keys may be null or all the same.
+    Keys may be null or all the same. ``judge`` is the lexicon as ``match.prepared`` gives it, if it is at hand.
     """
     text = J.extract_text(F.col(value), path, lenient)
     usable = messages.select(F.col(key).alias("key"), F.col(value).alias("value"), present(text).alias("_text"))
-    flagged = flag_messages(usable, F.col("_text"), lexicon, profile, mode, dictionary)
+    flagged = (judge or prepared(lexicon, profile, mode, dictionary))(usable, F.col("_text"))
     marked = J.mark(F.col("value"), F.col("is_sensitive"))
     return flagged.select("key", present(marked).alias("value"), "is_sensitive")
 
@@ -47,6 +48,7 @@ def judged(
     profile: str | None = "train",
     mode: str = "segmented",
     dictionary: DataFrame | None = None,
+    judge: Judge | None = None,
 ) -> DataFrame:
     """Every message once: key, raw, value (marked), is_sensitive, and the reason why it can't be used, null if it can.
 
@@ -54,7 +56,7 @@ def judged(
     """
     text = J.extract_text(F.col(value), path, lenient)
     rows = messages.select(F.col(key).alias("key"), F.col(value).alias("raw"), text.alias("_text"), J.reject_reason(F.col(value), path).alias("reason"))
-    flagged = flag_messages(rows, F.col("_text"), lexicon, profile, mode, dictionary)
+    flagged = (judge or prepared(lexicon, profile, mode, dictionary))(rows, F.col("_text"))
     usable = F.col("reason").isNull() & F.col("_text").isNotNull()
     marked = flagged.withColumn("value", F.when(usable, J.mark(F.col("raw"), F.col("is_sensitive"))))
     reason = F.when(F.col("value").isNull(), F.coalesce("reason", F.lit(J.UNMARKABLE)))
@@ -116,7 +118,9 @@ def flag_stream(
     on_counts: Callable[[int, dict[str, int]], None] | None = None,
     **options,
 ) -> DataStreamWriter:
-    """A stream that marks messages. The lexicon is loaded anew for each batch, so changes take effect while it runs.
+    """A stream that marks messages. The lexicon is asked for anew at each batch, so changes take effect while it runs; it is
+    read and compiled again only when ``load_lexicon`` gives another frame than before (as ``snapshots.Newest`` does
+    when there is a newer version).
 
     Without ``every`` it takes what is there and stops. ``deal`` deals the messages of a batch over the cores, for a
     source of fewer splits than cores. ``rejects`` gets the messages that can't be used, with the reason; ``on_counts`` the
@@ -124,14 +128,20 @@ def flag_stream(
     the batch, which is not read again for them. ``options`` are those of ``mark_messages``.
     """
 
+    known: list = [None, None]
+    how = {k: options[k] for k in ("profile", "mode", "dictionary") if k in options}
+
     def run(batch: DataFrame, batch_id: int) -> None:
         rows = spread(batch) if deal else batch
+        lexicon = load_lexicon()
+        if lexicon is not known[0]:
+            known[:] = lexicon, prepared(lexicon, **how)
         if rejects is None and on_counts is None:
-            sink(mark_messages(rows, load_lexicon(), **options), batch_id)
+            sink(mark_messages(rows, lexicon, judge=known[1], **options), batch_id)
             return
         seen = Observation()
         per_reason = [F.count_if(F.col("reason") == r).alias(r) for r in J.REASONS]
-        told = judged(rows, load_lexicon(), **options).observe(seen, F.count_if(F.col("reason").isNull()).alias("used"), *per_reason).persist()
+        told = judged(rows, lexicon, judge=known[1], **options).observe(seen, F.count_if(F.col("reason").isNull()).alias("used"), *per_reason).persist()
         try:
             sink(told.where("reason IS NULL").select("key", "value", "is_sensitive"), batch_id)
             if rejects is not None:
