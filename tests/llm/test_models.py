@@ -80,14 +80,15 @@ def test_counterfactuals_keep_the_score_of_neutral_mentions(rng, term):
         assert auc(model.score(texts), labels) > 0.97
         return float(np.mean(model.score(named) - model.score(neutral)))
 
-    assert rise(2.0) < 0.6 * rise(0.0)
+    # Where the name raises nothing anyway, nothing is left to penalise.
+    assert rise(2.0) < max(0.6 * rise(0.0), 0.01)
 
 
 def test_terms_are_words_of_the_text():
     for own in toxicity.IDENTITY_TERMS:
         for term in own:
             names = toxicity.bag(term)[2]
-            assert len(names) == 1 and np.isin(names, toxicity.bag(f"one ({term.upper()}), two")[2]).all()
+            assert len(names) == 1 and np.isin(names, toxicity.bag(f"one ({term.capitalize()}), two")[2]).all()
 
 
 def test_ordinary_words_that_threaten_together(rng):

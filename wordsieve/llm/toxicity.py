@@ -26,6 +26,8 @@ SIZES = (3, 4, 5, 6)
 EPOCHS = 6
 RATE = 0.1
 DECAY = 1e-4
+# Texts of each label that are added to the counts of a pair of words, of which most are rare.
+RARE = 10
 # Odd number that tells the order of the words of a pair.
 PAIR = np.uint32(0x2545F491)
 # Weight of the squared change of the logit when an identity term is swapped.
@@ -153,8 +155,9 @@ def fit(texts: Sequence[str], labels: Sequence[int], rates: dict, terms: Sequenc
     odds = np.log((held[1] + 1) / (n[1] + 2)) - np.log((held[0] + 1) / (n[0] + 2))
     # A word has some twenty slots that say much the same.
     weights = np.where(held.sum(0) > 0, np.clip(odds, -3, 3), 0) / 8
-    # A pair that is met in one text says nothing yet.
-    weights[1 << BITS :][held[:, 1 << BITS :].sum(0) < 2] = 0
+    # A pair has one slot; what it says needs many texts, and then weighs as much as a word's slots together.
+    pairs = held[:, 1 << BITS :]
+    weights[1 << BITS :] = np.clip(np.log((pairs[1] + RARE) / (n[1] + 2 * RARE)) - np.log((pairs[0] + RARE) / (n[0] + 2 * RARE)), -3, 3)
     named = [[bag(t) for t in own] for own in terms if own]
     language_of = {int(t[2][0]): k for k, own in enumerate(named) for t in own if len(t[2])}
     known = np.array(sorted(language_of), np.uint32)
