@@ -60,6 +60,7 @@ def test_round_trip(spark, section):
 @pytest.mark.parametrize("section", [1, 40, C.SECTION_CHARS])
 def test_read_back(spark, section):
     found = {r.conv_id: r for r in C.read_back(C.formatted(frame(spark, ROWS), section)).collect()}
+    assert found == {r.conv_id: r for r in C.checked(frame(spark, ROWS), section).collect()}
     one = {r.conv_id: r for r in C.read_back(C.formatted(frame(spark, ROWS))).collect()}
     assert found == one and set(found) == {r[0] for r in ROWS}
     for conv, r in found.items():
@@ -92,6 +93,7 @@ def test_hot_conversation_is_dealt(spark, monkeypatch):
     assert len(parts) > 1 and len({r.section >> 32 for r in out.where("conv_id = 8").collect()}) == 1
     assert max(len(r.text) for r in out.collect()) < 2200
     got = {r.conv_id: r for r in C.read_back(out).collect()}
+    assert got == {r.conv_id: r for r in C.checked(frame(spark, rows), 2000).collect()}
     turns = expected(rows, 7)
     sizes = [len(f"{C.START}{r}\n{x}{C.END}\n") for r, x in turns]
     assert got[7].turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
@@ -100,4 +102,4 @@ def test_hot_conversation_is_dealt(spark, monkeypatch):
 
 
 def test_empty(spark):
-    assert C.read_back(C.formatted(frame(spark, ROWS).where("false"))).collect() == []
+    assert C.read_back(C.formatted(frame(spark, ROWS).where("false"))).collect() == C.checked(frame(spark, ROWS).where("false")).collect() == []

@@ -56,7 +56,7 @@ def turns_of(text: str) -> list[tuple[str, str]]:
 
 def formatted(conversations: DataFrame, section_chars: int = SECTION_CHARS) -> DataFrame:
     """Every assistant turn of the conversations (conv_id, turn, role, text) as an example: conv_id, section, reply, text,
-    loss_begin, loss_end, whole.
+    loss_begin, loss_end, whole, dealt.
 
     ``text`` holds the turns before the reply and the reply, each as ``<|im_start|>role``, its text and ``<|im_end|>``;
     control strings inside texts and roles are escaped, reversibly. loss_begin and loss_end bound the code points of the
@@ -69,11 +69,17 @@ def formatted(conversations: DataFrame, section_chars: int = SECTION_CHARS) -> D
     does not end with a reply that row has no loss bounds (null) and is no example.
 
     Whole conversations go to one task each, which holds no more than a section of text. Conversations of a large share of
-    all turns, at most HEAVY_SHARE of them, are dealt over several tasks by turn, and a section ends where a task does.
+    all turns, at most HEAVY_SHARE of them, are dealt over several tasks by turn, and a section ends where a task does; their
+    rows are marked ``dealt``.
 
     Null texts and roles are empty; rows without a conversation are one conversation; repeated turns are kept. Other
     columns are left out. Empty tables give no rows.
     """
+    return _formatted(conversations, section_chars)[0]
+
+
+def _formatted(conversations: DataFrame, section_chars: int) -> tuple[DataFrame, bool]:
+    """The examples, and whether any conversation is dealt over several tasks."""
     kind = conversations.schema["conv_id"].dataType
     counts = conversations.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
     least = max(HEAVY_TURNS, conversations.count() // HEAVY_SHARE)
@@ -83,13 +89,14 @@ def formatted(conversations: DataFrame, section_chars: int = SECTION_CHARS) -> D
     none = F.lit("")
     turns = conversations.select(
         quoted("conv_id").alias("conv_id"),
-        F.when(dealt, quoted("turn")).alias("_dealt"),
+        dealt.alias("dealt"),
+        F.when(dealt, quoted("turn")).alias("_place"),
         quoted("turn").alias("_turn"),
         F.coalesce(quoted("role"), none).alias("role"),
         F.coalesce(quoted("text"), none).alias("text"),
     )
-    ordered = turns.repartitionByRange("conv_id", "_dealt").sortWithinPartitions("conv_id", "_turn", "role", "text")
-    rows = ordered.select("conv_id", escaped_role(F.col("role")).alias("role"), escaped(F.col("text")).alias("text"), (F.col("role") == REPLY).alias("is_reply"))
+    ordered = turns.repartitionByRange("conv_id", "_place").sortWithinPartitions("conv_id", "_turn", "role", "text")
+    rows = ordered.select("conv_id", escaped_role(F.col("role")).alias("role"), escaped(F.col("text")).alias("text"), (F.col("role") == REPLY).alias("is_reply"), "dealt")
     schema = T.StructType(
         [
             T.StructField("conv_id", kind),
@@ -99,6 +106,7 @@ def formatted(conversations: DataFrame, section_chars: int = SECTION_CHARS) -> D
             T.StructField("loss_begin", T.LongType()),
             T.StructField("loss_end", T.LongType()),
             T.StructField("whole", T.BooleanType()),
+            T.StructField("dealt", T.BooleanType()),
         ]
     )
 
@@ -110,10 +118,10 @@ def formatted(conversations: DataFrame, section_chars: int = SECTION_CHARS) -> D
         ids = None
 
         def flush() -> pa.RecordBatch:
-            columns = [pa.array([row[i] for row in out], t) for i, t in enumerate((ids, pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_()))]
+            columns = [pa.array([row[i] for row in out], t) for i, t in enumerate((ids, pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))]
             return pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-        conv, begun, held, size, reply, open_row = None, False, [], 0, 0, None
+        conv, begun, held, size, reply, open_row, spread = None, False, [], 0, 0, None, False
 
         def close() -> list | None:
             """Marks the last row of the section as its whole one, or gives a row of its own."""
@@ -123,26 +131,26 @@ def formatted(conversations: DataFrame, section_chars: int = SECTION_CHARS) -> D
                 if open_row is not None:
                     open_row[6] = True
                 else:
-                    rest = [conv, section, reply, "".join(held), None, None, True]
+                    rest = [conv, section, reply, "".join(held), None, None, True, spread]
                 section += 1
             held, size, open_row = [], 0, None
             return rest
 
         for batch in batches:
             ids = batch.schema.field(0).type
-            for now, role, text, is_reply in zip(*(c.to_pylist() for c in batch.columns)):
+            for now, role, text, is_reply, dealt in zip(*(c.to_pylist() for c in batch.columns)):
                 if not begun or now != conv:
                     if (rest := close()) is not None:
                         out.append(rest)
                         chars += len(rest[3])
-                    conv, begun, reply = now, True, 0
+                    conv, begun, reply, spread = now, True, 0, dealt
                 head = f"{START}{role}\n"
                 piece = f"{head}{text}{END}\n"
                 open_row = None
                 if is_reply:
                     context = "".join(held)
                     first = len(context) + len(head)
-                    open_row = [conv, section, reply, context + piece, first, first + len(text), False]
+                    open_row = [conv, section, reply, context + piece, first, first + len(text), False, dealt]
                     held = [open_row[3]]
                     out.append(open_row)
                     chars += len(open_row[3])
@@ -165,16 +173,25 @@ def formatted(conversations: DataFrame, section_chars: int = SECTION_CHARS) -> D
         if out:
             yield flush()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema), bool(heavy)
+
+
+def checked(conversations: DataFrame, section_chars: int = SECTION_CHARS) -> DataFrame:
+    """``read_back`` of the examples of conversations, each where it was formatted; only dealt ones are brought together."""
+    examples, any_dealt = _formatted(conversations, section_chars)
+    if not any_dealt:
+        return read_back(examples, True)
+    return read_back(examples.where(~F.col("dealt")), True).unionByName(read_back(examples.where("dealt")))
 
 
-def read_back(examples: DataFrame) -> DataFrame:
+def read_back(examples: DataFrame, in_order: bool = False) -> DataFrame:
     """What the examples of ``formatted`` hold, by conversation: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
     formatted_chars, n_examples.
 
     Turns are parsed from the rows that hold whole sections, trainable texts cut out by their bounds, both without their
     escapes. formatted_chars are the code points of all examples with the sections before them; turns that follow the last
-    reply count as one more. A digest needs a conversation in order, so it meets one task, which reads it as a stream.
+    reply count as one more. A digest needs a conversation in order, so it meets one task, which reads it as a stream. Rows that
+    come ``in_order``, as ``formatted`` gives those of conversations that aren't dealt, stay in their tasks.
     """
     kind = examples.schema["conv_id"].dataType
     parts = T.StructType(
@@ -254,4 +271,5 @@ def read_back(examples: DataFrame) -> DataFrame:
             yield rows([own], ids)
 
     parsed = examples.select("conv_id", "section", "reply", "text", "loss_begin", "loss_end", "whole").mapInArrow(parse, parts)
-    return parsed.repartition("conv_id").sortWithinPartitions("conv_id", "section", "reply").mapInArrow(digest, result)
+    ordered = parsed if in_order else parsed.repartition("conv_id").sortWithinPartitions("conv_id", "section", "reply")
+    return ordered.mapInArrow(digest, result)

@@ -97,7 +97,7 @@ def op12_chat_examples(spark: SparkSession, base: str) -> DataFrame:
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise(chat.REPLY).alias("role"), F.lit(odd).alias("text"),
     )
-    return chat.read_back(chat.formatted(given.unionByName(more)))
+    return chat.checked(given.unionByName(more))
 
 
 def op13_ranked_search(spark: SparkSession, base: str) -> DataFrame:
