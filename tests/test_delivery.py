@@ -135,6 +135,23 @@ def test_spool_batches_are_bounded_and_finished_in_order(spark, folder, tmp_path
     assert 20 <= spool.acked(folder) <= 24
 
 
+def test_readers_of_a_spool_share_a_batch_and_each_begins_near_its_messages(spark, folder, tmp_path, monkeypatch):
+    fill(spark, folder, [f"{k} é" for k in range(1000)], 1)
+    (_, _, name), = spool.segments(folder)
+    slices = spool.SpoolStream(folder, 100, 4).partitions({"seq": 250}, {"seq": 650})
+    assert [(s.begin, s.end) for s in slices] == [(250, 350), (350, 450), (450, 550), (550, 650)]
+    assert [spool._place(s)[0] for s in slices] == [0, 256, 256, 512]
+    before = [list(spool._rows(s)) for s in slices]
+    assert [r[0] for rows in before for r in rows] == list(range(250, 650))
+    # A segment without its places is read from its beginning.
+    os.unlink(os.path.join(folder, f"{name}.at"))
+    assert [spool._place(s)[0] for s in slices] == [0] * 4 and [list(spool._rows(s)) for s in slices] == before
+    seen = []
+    read = queue.read_stream(spark, "spool", {"prefetch": "100", "readers": "4"}, folder)
+    queue.drain(read.writeStream.foreachBatch(lambda rows, n: seen.append(rows.count())).option("checkpointLocation", f"{tmp_path}/p"))
+    assert seen == [400, 400, 200]
+
+
 def test_messages_that_were_not_finished_come_again(spark, folder, tmp_path):
     fill(spark, folder, [str(k) for k in range(12)], 1)
     with pytest.raises(Exception, match="sink failed"):

@@ -28,6 +28,9 @@ TURN = ["conv_id", "turn"]
 PATH = ("data", "text")
 DOC_BUCKETS = 4096
 
+# Readers of a spool; a batch costs seconds however few messages it has, so they are more than cores.
+READERS_PER_CORE = 4
+
 
 # --- inputs -----------------------------------------------------------------------------------
 
@@ -685,12 +688,14 @@ def stream_outbox(spark: SparkSession, base: str) -> DataFrame:
 
 
 def stream_spool(spark: SparkSession, base: str) -> DataFrame:
-    """Messages of seven shapes in a spool, read up to 500 at a time, marked, and written to another; and how many were rejected and why."""
+    """Messages of seven shapes in a spool, read up to 500 at a time by each reader, marked, and written to another; and how many were
+    rejected and why."""
     use_spool(spark)
     arriving, marked, refused = (scratch_dir(spark, p) for p in ("arriving", "marked", "refused"))
     rows = raw_messages(spark, base).select(F.concat_ws("-", *TURN).alias("key"), "value")
     rows.write.format("spool").mode("append").save(arriving)
-    read = queue.read_stream(spark, "spool", {"prefetch": "500"}, arriving)
+    readers = READERS_PER_CORE * spark.sparkContext.defaultParallelism
+    read = queue.read_stream(spark, "spool", {"prefetch": "500", "readers": str(readers)}, arriving)
     counted: dict[str, int] = {}
 
     def count(batch_id: int, reasons: dict[str, int]) -> None:

@@ -1,7 +1,8 @@
 """A queue of messages in a folder, as a Spark source and sink for queues that have no connector.
 
 A segment is a file of lines, one message each, named by the number of its first message and how many it has, so that its
-place in the queue is told without reading it. A file named ``acked`` holds the number up to which the reader has finished.
+place in the queue is told without reading it. A file beside it (``.at``) holds the bytes at which every so many of its
+messages begin. A file named ``acked`` holds the number up to which the reader has finished.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ SCHEMA = "seq bigint, key string, value string"
 # Fixed value: how many messages a reader may hold that it has not finished.
 PREFETCH = 200
 
+# Messages from one noted place in a segment to the next, which bounds what a slice passes over before it begins.
+STRIDE = 256
+
 
 def use_spool(spark: SparkSession) -> None:
     """Make the format ``spool`` known to a session. The folder given as ``path`` is one that all machines share."""
@@ -71,13 +75,33 @@ class Slice(InputPartition):
     end: int
 
 
-def _slices(path: str, begin: int, end: int) -> list[Slice]:
-    return [Slice(os.path.join(path, name), first, max(begin, first), min(end, first + count)) for first, count, name in segments(path) if first < end and first + count > begin]
+def _slices(path: str, begin: int, end: int, most: int | None = None) -> list[Slice]:
+    """The messages of a range by segment, and of a segment up to ``most`` in a slice."""
+    found = []
+    for first, count, name in segments(path):
+        low, high = max(begin, first), min(end, first + count)
+        step = most or max(high - low, 1)
+        found += [Slice(os.path.join(path, name), first, k, min(k + step, high)) for k in range(low, high, step)]
+    return found
+
+
+def _place(part: Slice) -> tuple[int, int]:
+    """The last noted place in a segment at or before a slice: the number of its message and its byte."""
+    try:
+        with open(f"{part.file}.at", "rb") as places:
+            passed = (part.begin - part.base) // STRIDE
+            places.seek(8 * passed)
+            noted = places.read(8)
+    except FileNotFoundError:
+        noted = b""
+    return (part.base + passed * STRIDE, int.from_bytes(noted, "little")) if len(noted) == 8 else (part.base, 0)
 
 
 def _rows(part: Slice) -> Iterator[tuple]:
-    with open(part.file, encoding="utf-8") as lines:
-        for seq, line in enumerate(lines, part.base):
+    first, at = _place(part)
+    with open(part.file, "rb") as lines:
+        lines.seek(at)
+        for seq, line in enumerate(lines, first):
             if seq >= part.end:
                 break
             if seq >= part.begin:
@@ -86,7 +110,8 @@ def _rows(part: Slice) -> Iterator[tuple]:
 
 
 class Spool(DataSource):
-    """Options: ``path``; ``prefetch``, the bound of a batch in messages."""
+    """Options: ``path``; ``prefetch``, how many messages a reader may hold; ``readers``, how many read side by side, 1 if not given.
+    A batch holds up to what all of them may hold."""
 
     @classmethod
     def name(cls) -> str:
@@ -99,7 +124,7 @@ class Spool(DataSource):
         return SpoolReader(self.options["path"])
 
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:  # noqa: N802
-        return SpoolStream(self.options["path"], int(self.options.get("prefetch", PREFETCH)))
+        return SpoolStream(self.options["path"], int(self.options.get("prefetch", PREFETCH)), int(self.options.get("readers", 1)))
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
         return SpoolWriter(self.options["path"], schema.fieldNames())
@@ -122,10 +147,11 @@ class SpoolReader(DataSourceReader):
 
 
 class SpoolStream(DataSourceStreamReader):
-    """Messages in order, at most ``prefetch`` a batch. A batch is finished, and its place noted, only when its sink has committed."""
+    """Messages in order, at most ``prefetch`` a batch for each of the readers, which are tasks. A batch is finished, and its place
+    noted, only when its sink has committed."""
 
-    def __init__(self, path: str, prefetch: int):
-        self.path, self.prefetch = path, prefetch
+    def __init__(self, path: str, prefetch: int, readers: int = 1):
+        self.path, self.prefetch, self.readers = path, prefetch, readers
         self.planned = acked(path)
 
     def initialOffset(self) -> dict:  # noqa: N802
@@ -133,11 +159,11 @@ class SpoolStream(DataSourceStreamReader):
         return {"seq": acked(self.path)}
 
     def latestOffset(self) -> dict:  # noqa: N802
-        return {"seq": min(_end(self.path), max(self.planned, acked(self.path)) + self.prefetch)}
+        return {"seq": min(_end(self.path), max(self.planned, acked(self.path)) + self.prefetch * self.readers)}
 
     def partitions(self, start: dict, end: dict) -> Sequence[Slice]:
         self.planned = max(self.planned, end["seq"])
-        return _slices(self.path, start["seq"], end["seq"])
+        return _slices(self.path, start["seq"], end["seq"], self.prefetch)
 
     def read(self, partition: Slice) -> Iterator[tuple]:
         return _rows(partition)
@@ -165,10 +191,12 @@ class SpoolWriter(DataSourceWriter):
 
     def write(self, iterator: Iterator) -> Written:
         key, value = self.names.index("key") if "key" in self.names else None, self.names.index("value")
-        name, count = os.path.join(self.path, f".{uuid.uuid4().hex}"), 0
-        with open(name, "w", encoding="utf-8") as out:
+        name, count, at = os.path.join(self.path, f".{uuid.uuid4().hex}"), 0, 0
+        with open(name, "wb") as out, open(f"{name}.at", "wb") as places:
             for row in iterator:
-                out.write(json.dumps({"key": None if key is None else row[key], "value": row[value]}) + "\n")
+                if count % STRIDE == 0:
+                    places.write(at.to_bytes(8, "little"))
+                at += out.write(json.dumps({"key": None if key is None else row[key], "value": row[value]}).encode() + b"\n")
                 count += 1
         return Written(TaskContext.get().partitionId(), count, name)
 
@@ -176,15 +204,20 @@ class SpoolWriter(DataSourceWriter):
         first = _end(self.path)
         for m in sorted((m for m in messages if m is not None), key=lambda m: m.part):
             if m.count:
-                os.rename(m.file, os.path.join(self.path, f"{first:012d}-{m.count}-{tag}-{m.part}.jsonl"))
+                name = os.path.join(self.path, f"{first:012d}-{m.count}-{tag}-{m.part}.jsonl")
+                # The places first, so that a segment that is seen has them.
+                if os.path.exists(f"{m.file}.at"):
+                    os.rename(f"{m.file}.at", f"{name}.at")
+                os.rename(m.file, name)
                 first += m.count
             else:
-                os.unlink(m.file)
+                self._drop([m])
 
     def _drop(self, messages: Sequence[Written | None]) -> None:
         for m in messages:
-            if m is not None and os.path.exists(m.file):
-                os.unlink(m.file)
+            for name in () if m is None else (m.file, f"{m.file}.at"):
+                if os.path.exists(name):
+                    os.unlink(name)
 
     def commit(self, messages: Sequence[Written | None]) -> None:
         self._append(messages, uuid.uuid4().hex)
