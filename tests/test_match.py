@@ -214,3 +214,48 @@ def test_automaton_verdict_needs_no_shuffle(spark, compiled):
     lex = spark.createDataFrame([("milk",)], "word string")
     plan = match.flag_messages(df, F.col("text"), lex)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("passes", [1, 16])
+def test_dictionaries_beyond_the_automata_of_a_task_take_several_passes(spark, monkeypatch, passes):
+    from wordsieve.operators import automaton, joins, segment
+
+    monkeypatch.setattr(joins, "AUTOMATON_CHARS", 300)
+    monkeypatch.setattr(joins, "AUTOMATON_PARTS", 2)
+    monkeypatch.setattr(joins, "AUTOMATON_PASSES", passes)
+    monkeypatch.setattr(automaton, "LEAVING_HITS", 3)
+    entries = [f"word{k}" for k in range(100)] + [f"{chr(97 + k % 26)}{k}" for k in range(200)]
+    words = spark.createDataFrame([(w,) for w in [*entries, entries[0]]], "word string")
+    text = "xword12 q16word7" * 3
+    df = spark.createDataFrame([(1, text), (2, None), (3, "")], "id int, text string")
+    groups = automaton.compiled_passes(words)
+    assert groups is None if passes == 1 else len(groups) > 1 and max(map(len, groups)) <= 2
+    found = segment.find_all(df, ["id"], F.col("text"), words)
+    assert sorted((r.start, r.word) for r in found.collect()) == sorted(plain_hits(set(entries), text))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert passes == 1 or "Exchange" not in plan
+
+
+def test_whole_words_beyond_the_automata_are_looked_up_without_a_join(spark, monkeypatch):
+    """A table of whole words takes 16 bytes a word, whatever their length."""
+    from wordsieve.operators import automaton, joins
+
+    monkeypatch.setattr(joins, "INLINE_WORDS", 0)
+    monkeypatch.setattr(joins, "AUTOMATON_CHARS", 50)
+    lex = spark.createDataFrame([(f"longword{k:020d}",) for k in range(60)] + [("two words",)], "word string")
+    df = spark.createDataFrame([(1, f"a longword{3:020d}!"), (2, "two, words"), (3, "two"), (4, None), (5, "")], "id int, text string")
+    assert automaton.compiled(lex) is None
+    flagged = match.flag_messages(df, F.col("text"), lex)
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert {r.id: r.is_sensitive for r in flagged.collect()} == {1: True, 2: True, 3: False, 4: None, 5: False}
+
+
+def test_entries_that_share_a_number_are_told_apart():
+    import numpy as np
+
+    from wordsieve.operators.automaton import Table
+
+    table = Table(np.array([7, -1, 7]), np.array([1, 2, 3]))
+    assert table.holds(np.array([7, 7, 7, -1, 0]), np.array([3, 1, 2, 2, 2])).tolist() == [True, True, False, True, False]
+    assert not Table(np.zeros(0, np.int64), np.zeros(0, np.int64)).holds(np.array([0]), np.array([0])).any()

@@ -14,8 +14,9 @@ LETTERS = "\\p{L}\\p{M}\\p{N}"
 # Scripts that put no blanks between words: their runs are no words but need a dictionary.
 SPACELESS = "".join(f"\\p{{Is{name}}}" for name in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
 
-# Letters of alphabets, of which a run is a word, and the others.
-ALPHABET = f"{LETTERS}&&[^{SPACELESS}]"
+# Letters of alphabets, of which a run is a word, and the others. The plain ones come first: asking for the script of a letter
+# costs many times what a range does.
+ALPHABET = f"a-z0-9[{LETTERS}&&[^{SPACELESS}]]"
 OTHER = f"{LETTERS}&&[{SPACELESS}]"
 
 # Words are grouped by these lengths, and sought by their first characters within a group.

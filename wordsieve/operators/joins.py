@@ -18,10 +18,12 @@ SALTS, MOST_SALTS = 16, 256
 # Up to this many words are written into the plan as a set, so that texts are checked where they are read.
 INLINE_WORDS = 5_000
 
-# Larger dictionaries become automata, each of up to so many characters (some 20 bytes a character in every Python worker),
-# and so many of them. What is larger still is joined.
+# Larger dictionaries become automata, each of up to so many characters (some 15 bytes a character in every Python worker),
+# and so many of them at a time. Where all places are sought the texts may be read so many times, for as many groups of automata.
+# What is larger still is joined.
 AUTOMATON_CHARS = 4_000_000
 AUTOMATON_PARTS = 4
+AUTOMATON_PASSES = 16
 
 
 def inline_words(table: DataFrame) -> list[str] | None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,18 +104,18 @@ def find_all(
 ) -> DataFrame:
     """Every dictionary word at every position, overlaps included: ids, start, n, word, other dictionary columns.
 
-    A dictionary that tasks can hold is compiled to automata, which find its words in one pass over each text. Of a
-    larger one each position is looked up by the first characters only (once per length of ``tokens.HEADS`` that the
+    A dictionary that tasks can hold is compiled to automata, which find its words in one pass over each text, and one of some
+    times that size to several groups of them, each with a pass of its own. Of a larger one each position is looked up by the first characters only (once per length of ``tokens.HEADS`` that the
     dictionary needs) and compared whole on a hit, so the work does not grow with the longest word.
     ``context`` adds a column of that many characters before and after the word; missing ones on the
     left are ``PAD``. ``at_word_start`` passes over positions inside a Latin word, and needs a context.
     """
     dictionary = dictionary.where(F.length("word") > 0)
-    automata = automaton.compiled(dictionary)
-    if automata is not None:
+    passes = automaton.compiled_passes(dictionary)
+    if passes is not None:
         # Which places are inside a word is decided below, as on the other path; the automaton leaves out the plainest ones.
         around_word = max(context, 1) if at_word_start else context
-        found = automaton.find_all(df, ids, text, automata, around_word, not at_word_start, PAD)
+        found = reduce(DataFrame.unionByName, [automaton.find_all(df, ids, text, own, around_word, not at_word_start, PAD) for own in passes])
         if at_word_start:
             found = found.where(~F.substring("context", around_word, 2).rlike(INSIDE_WORD))
         extra = [c for c in dictionary.columns if c != "word"]
