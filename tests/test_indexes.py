@@ -91,3 +91,24 @@ def test_a_batch_that_changed_replaces_its_counts(spark, tmp_path):
     for words in (["a", "b"], ["c"]):
         frequencies.count_batch(spark.createDataFrame([(words,), (None,)], "word array<string>"), F.col("word"), path, 0, BUCKETS)
     assert {(r.word, r.n) for r in frequencies.vocabulary(spark, path).collect()} == {("c", 1)}
+
+
+def test_rows_of_a_table_are_dealt_by_its_size(spark, tmp_path, monkeypatch):
+    from wordsieve.sources import commits, tables
+
+    spark.range(4000).selectExpr("id", "md5(cast(id AS string)) AS text").repartition(2).write.parquet(f"{tmp_path}/t.parquet")
+    size = commits.size_of(spark, f"{tmp_path}/t.parquet")
+    assert size > 100_000
+    monkeypatch.setattr(tables, "PIECE", size // 10)
+    rows = tables.read_table(spark, str(tmp_path), "t", ["id"], pieces=True)
+    assert rows.rdd.getNumPartitions() >= 10 and rows.distinct().count() == 4000
+
+
+def test_matchable_sorts_each_entry_once(spark):
+    from wordsieve.operators import lexicon
+
+    rows = spark.createDataFrame([("B!",), ("b",), ("B!",), (None,), ("!",)], "word string")
+    found = lexicon.matchable(rows)
+    assert [tuple(r) for r in found.collect()] == [("b", "B!")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2

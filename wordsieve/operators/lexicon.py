@@ -25,9 +25,10 @@ def as_lexicon(words: DataFrame, category: str, source: str) -> DataFrame:
 def matchable(lexicon: DataFrame, profile: str | None = "train") -> DataFrame:
     """The lexicon in the form texts take after cleaning: entry as written, word cleaned and in lower case.
 
-    Entries of which nothing is left are dropped; of several with one form the first by name is kept.
+    Entries of which nothing is left are dropped; of several with one form the first by name is kept. Copies of an entry go
+    first, as the first name is found by sorting.
     """
-    forms = lexicon.select(F.col("word").alias("entry"), normalise_word(F.col("word"), profile).alias("word"))
+    forms = lexicon.select(F.col("word").alias("entry")).distinct().select("entry", normalise_word(F.col("entry"), profile).alias("word"))
     return forms.where(F.length("word") > 0).groupBy("word").agg(F.min("entry").alias("entry"))
 
 

@@ -448,7 +448,8 @@ def lexicon_snapshots(spark: SparkSession, base: str) -> DataFrame:
 
 def lexicon_matchable(spark: SparkSession, base: str) -> DataFrame:
     """Entries cut from the pages at blanks, with all their marks."""
-    entries = pages(spark, base).select(F.explode(F.split("html", "\\s")).alias("word"))
+    html = read_table(spark, base, "pages", ["html"], pieces=True)
+    entries = html.select(F.explode(F.split("html", "\\s")).alias("word"))
     return lexicon.matchable(entries)
 
 

@@ -21,6 +21,12 @@ def _files(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """The bytes of a file, or of all files in a folder."""
+    fs, where = _files(spark, path)
+    return fs.getContentSummary(where).getLength()
+
+
 def numbers(spark: SparkSession, path: str) -> list[int]:
     """The numbers of all commits, in order."""
     fs, where = _files(spark, path)
