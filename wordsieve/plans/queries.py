@@ -511,7 +511,8 @@ def parse_labeled_points(spark: SparkSession, base: str) -> DataFrame:
 
 
 def hashing_tf(spark: SparkSession, base: str) -> DataFrame:
-    return features.hashed_counts(documents(spark, base), DOC, T.words(F.col("text")), classify.NB_BUCKETS)
+    texts = read_table(spark, base, "documents", ["doc_id", "text"], pieces=True)
+    return features.hashed_counts(texts, DOC, T.words(F.col("text")), classify.NB_BUCKETS)
 
 
 def _tfidf(spark: SparkSession, rows: DataFrame, fitted_on: DataFrame, buckets: int) -> DataFrame:
