@@ -772,17 +772,19 @@ def stream_discover(spark: SparkSession, base: str) -> DataFrame:
 
 
 def stream_novelty(spark: SparkSession, base: str) -> DataFrame:
-    """Words of the conversations when they first come, those of the benchmark being known; with a restart between the files."""
+    """Words of the conversations when they first come, those of the benchmark being known; with a restart between the
+    second and the third part."""
     arriving, out, progress = (scratch_dir(spark, p) for p in ("arriving", "new", "progress"))
     rows = conversations(spark, base).withColumn("part", F.col("conv_id") % 4)
     known = stored(benchmark_lexicon(spark, base).select("word"), "lexicon")
+    files = spark.sparkContext.defaultParallelism
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", novelty.STORE)
     try:
         for parts in ((0, 1), (2, 3)):
             for part in parts:
-                rows.where(F.col("part") == part).select("text").coalesce(1).write.mode("append").parquet(arriving)
-            stream = spark.readStream.schema("text string").option("maxFilesPerTrigger", 1).parquet(arriving)
+                rows.where(F.col("part") == part).select("text").repartition(files).write.mode("append").parquet(arriving)
+            stream = spark.readStream.schema("text string").option("maxFilesPerTrigger", files).parquet(arriving)
             words = stream.select(F.explode(T.words(F.col("text"))).alias("word"))
             queue.write_stream(novelty.new_words(words, known), "parquet", {}, progress, out).start().awaitTermination()
     finally:
