@@ -74,6 +74,19 @@ def test_repetitions_go_inside_a_batch(spark):
     assert novelty.once_per_batch(rows).count() <= 4
 
 
+def test_messages_of_a_discovery_are_dealt_if_asked(spark, tmp_path):
+    path, parts = f"{tmp_path}/in", []
+    spark.createDataFrame([(f"plain text {k}",) for k in range(40)], "value string").coalesce(1).write.parquet(path)
+    fitted = model(spark)
+    for deal in (False, True):
+        stream = spark.readStream.schema("value string").parquet(path)
+        archive = f"{tmp_path}/archive{deal}"
+        discovery.discovery_stream(stream, fitted, lambda rows, n: rows.count(), f"{tmp_path}/p{deal}", archive, path=None, deal=deal).start().awaitTermination()
+        texts = spark.read.text(archive)
+        parts.append((texts.count(), len(texts.inputFiles())))
+    assert parts == [(40, 1), (40, spark.sparkContext.defaultParallelism)]
+
+
 # --- models -----------------------------------------------------------------------------------
 
 

@@ -827,7 +827,7 @@ def stream_extend_lexicon(spark: SparkSession, base: str) -> DataFrame:
     arriving = stream_table(spark, base, "conversations").select(F.col("text").alias("value"))
     discovery.discovery_stream(
         arriving, model, discovery.to_lexicon(spark, words, 2), scratch_dir(spark, "progress"),
-        path=None, profile="ascii", ngrams=True,
+        path=None, profile="ascii", ngrams=True, deal=True,
     ).start().awaitTermination()
     return lexicon.delta(lexicon.read_versions(spark, words), 1).select("word")
 

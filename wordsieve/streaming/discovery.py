@@ -14,6 +14,7 @@ from wordsieve.functions import tokens as T
 from wordsieve.functions.text import clean_text
 from wordsieve.operators import classify, lexicon
 from wordsieve.sources import commits
+from wordsieve.sources.tables import spread
 from wordsieve.streaming.flagging import present
 
 Keep = Callable[[DataFrame, int], None]
@@ -123,16 +124,17 @@ def discovery_stream(
     ngrams: bool = False,
     refit_idf: bool = False,
     every: str | None = None,
+    deal: bool = False,
 ) -> DataStreamWriter:
     """A stream that scores the words of each batch, hands the sensitive ones to ``keep`` and archives the texts.
 
     Each batch writes to folders of its own number, so one that is run again leaves no copy. Batches
     without a text write nothing. Instead of a model a function may be given that is asked for it at each batch, such as
-    ``models.Newest``.
+    ``models.Newest``. ``deal`` deals the messages of a batch over the cores, for a source of fewer splits than cores.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        texts = message_texts(batch, value, path, profile).persist()
+        texts = message_texts(spread(batch) if deal else batch, value, path, profile).persist()
         try:
             if texts.isEmpty():
                 return
