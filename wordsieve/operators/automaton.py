@@ -320,22 +320,34 @@ def _second(entry: Column) -> Column:
 
 
 def hashed(dictionary: DataFrame):
-    """A broadcast table of the distinct words, which tasks look whole tokens up in; None for more than they should hold.
+    """A broadcast table of the distinct words, which tasks look whole tokens up in; None for more than the driver should gather.
 
-    It takes less than the largest automata: 16 bytes for each of as many entries as these have characters.
+    It takes 16 bytes an entry, and comes as columns: a row would take many times as much.
     """
     words = dictionary.select("word").where(F.length("word") > 0)
-    if words.count() > joins.AUTOMATON_CHARS * joins.AUTOMATON_PARTS:
+    if words.count() > min(joins.TABLE_WORDS, joins.AUTOMATON_CHARS * joins.AUTOMATON_PARTS):
         return None
-    pairs = words.distinct().select(_first(F.col("word")).alias("a"), _second(F.col("word")).alias("b")).toPandas()
+    pairs = words.distinct().select(_first(F.col("word")).alias("a"), _second(F.col("word")).alias("b")).toArrow()
     share_package(dictionary.sparkSession)
-    return dictionary.sparkSession.sparkContext.broadcast(Table(pairs["a"].to_numpy(np.int64), pairs["b"].to_numpy(np.int64)))
+    return dictionary.sparkSession.sparkContext.broadcast(Table(pairs.column("a").to_numpy(), pairs.column("b").to_numpy()))
+
+
+def held_words(tokens: Column, sizes: Sequence[int], df: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The rows of a dictionary whose word is a token, or a run of tokens of the given sizes, of some text.
+
+    The distinct words of the texts meet the dictionary, each word once, so that a frequent one meets no single task.
+    """
+    words = df.select(F.explode(_grams(tokens, sizes)).alias("word")).distinct()
+    return stored(dictionary.join(words, "word", "left_semi"), "held")
+
+
+def _grams(tokens: Column, sizes: Sequence[int]) -> Column:
+    return F.flatten(F.array(*[T.ngrams(tokens, n) for n in sorted(sizes)])) if sizes else F.slice(tokens, 1, 0)
 
 
 def gram_numbers(tokens: Column, sizes: Sequence[int]) -> Column:
     """The numbers of all tokens and runs of tokens of the given sizes: the first numbers of all, then the second ones."""
-    grams = F.flatten(F.array(*[T.ngrams(tokens, n) for n in sorted(sizes)])) if sizes else F.slice(tokens, 1, 0)
-    return T.bind(grams, lambda g: F.concat(F.transform(g, _first), F.transform(g, _second)))
+    return T.bind(_grams(tokens, sizes), lambda g: F.concat(F.transform(g, _first), F.transform(g, _second)))
 
 
 def holds_words(numbers: Column, joined: Column, table, cut: Sequence = (), listed: frozenset[str] = frozenset()) -> Column:

@@ -25,6 +25,10 @@ AUTOMATON_CHARS = 4_000_000
 AUTOMATON_PARTS = 4
 AUTOMATON_PASSES = 16
 
+# A table of whole words, 16 bytes a word, is gathered by the driver up to so many of them. Of a larger dictionary only those
+# words are gathered that the texts hold.
+TABLE_WORDS = 2_000_000
+
 
 def inline_words(table: DataFrame) -> list[str] | None:
     """The words of a small table, or None when it has more than ``INLINE_WORDS``."""
