@@ -57,6 +57,29 @@ def test_lexicon_changes_and_restart(spark, tmp_path):
     assert json.loads(value) == {"content": {"content": "you clown"}, "isSensitive": True}
 
 
+def test_a_stream_gathers_only_the_words_its_batches_hold(spark, tmp_path, monkeypatch):
+    """A lexicon of more words than the driver should gather, over several batches."""
+    from wordsieve.operators import automaton, joins
+
+    sizes, made = [], automaton.Table.__init__
+
+    def noted(table, first, second):
+        sizes.append(len(first))
+        made(table, first, second)
+
+    monkeypatch.setattr(automaton.Table, "__init__", noted)
+    monkeypatch.setattr(joins, "INLINE_WORDS", 0)
+    monkeypatch.setattr(joins, "TABLE_WORDS", 10, raising=False)
+    inbox, out, progress = (str(tmp_path / p) for p in ("in", "out", "progress"))
+    listed = spark.range(500).select(F.concat(F.lit("word"), "id").alias("word"))
+    send(spark, inbox, "a", ["a word1 here", "nothing", "word2 and word2"])
+    send(spark, inbox, "b", ["", "WORD499!", "word500"])
+    run(flagging.flag_stream(arriving(spark, inbox), lambda: listed, flagging.batch_files(out), progress))
+    assert {r.key for r in spark.read.parquet(out).where("is_sensitive").collect()} == {"a0", "a2", "b1"}
+    assert spark.read.parquet(out).count() == 6
+    assert sizes == [2, 1]
+
+
 def test_route_splits_the_stream(spark, tmp_path):
     inbox, clean, flagged = (str(tmp_path / p) for p in ("in", "clean", "flagged"))
     send(spark, inbox, "a", ["you clown", "ok", "fine"])
